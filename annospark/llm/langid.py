@@ -2,7 +2,8 @@
 
 For each language a raw-content zstandard dictionary is made of a bounded sample of its texts. A text is
 compressed with every dictionary; the smallest result names the language, and how far the second lies
-behind is the margin. A narrow margin means that no language fits well: the text is rejected.
+behind is the margin. A narrow margin means that no language fits well: the text is rejected. Case is folded, and a
+long text is compressed block by block, all of it: in one piece it would soon refer to itself rather than to the dictionary.
 """
 
 from __future__ import annotations
@@ -16,6 +17,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Bytes that are compressed at a time.
+BLOCK = 4096
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -39,7 +42,7 @@ def learn_profiles(docs: DataFrame, per_language: int = 64, dict_bytes: int = 11
         for p in parts:
             if len(content) >= dict_bytes:
                 break
-            content += p + b"\n"
+            content += p.decode().lower().encode() + b"\n"
         out[lang] = content[:dict_bytes]
     return out
 
@@ -56,14 +59,15 @@ class _Profiles:
     def best(self, text: str | None, margin: float) -> tuple[str, float, bool]:
         if not text or not self.by or not _LETTER.search(text):
             return "und", 0.0, True
-        raw = text.encode()
-        sizes = sorted((len(c.compress(raw)) - empty, lang) for lang, c, empty in self.by)
+        raw = text.lower().encode("utf-8", "replace")
+        blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
+        sizes = sorted((sum(len(c.compress(b)) - empty for b in blocks), lang) for lang, c, empty in self.by)
         (least, lang), second = sizes[0], sizes[1][0] if len(sizes) > 1 else 2 * sizes[0][0]
         gap = (second - least) / max(second, 1)
         return lang, min(1.0, max(0.0, 0.5 + gap)), gap < margin
 
 
-def identify(docs: DataFrame, profiles: dict[str, bytes], *, level: int = 1, margin: float = 0.01) -> DataFrame:
+def identify(docs: DataFrame, profiles: dict[str, bytes], *, level: int = 6, margin: float = 0.002) -> DataFrame:
     """docs with lang_pred, score and rejected added (columns of these names are replaced).
 
     score is 0.5 plus the share by which the smallest size lies below the second, at most 1; rejected holds where
