@@ -39,7 +39,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it in whole; one that the mix takes in part counts from half its words on."""
     weights = mixing.quality_weight(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select("doc_id", "source", "text").join(weights, "doc_id", "left")
+    rows = docs.select("doc_id", "source", mixing.word_count().alias("size")).join(weights, "doc_id", "left")
     taken = mixing.mix(rows, weights=(3, 1, 2), share=1.5, max_epochs=2, quality=F.col("quality_weight"))
     times = (F.col("epochs") + F.when((F.col("size") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)).cast("int")
     times = taken.select("doc_id", times.alias("times")).where("times > 0")
