@@ -264,7 +264,7 @@ def _sorted_block(length: int):
             if r["own"]:
                 out.append((r["chunk"], True, r["a"] + r["b"], r["c"], r["d"]))
                 continue
-            n, member = _unpacked(r["a"]).astype(np.int64), _unpacked(r["c"])
+            n, member = _unpacked(r["a"]).astype(np.int64), _unpacked(r["c"]).astype(np.int64)
             texts.append(unsqueeze(r["b"]))
             counts.append(n)
             lists.append((r["chunk"], n, member, r["d"], _unpacked(r["e"]).astype(np.int64)))
