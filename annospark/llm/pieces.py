@@ -101,3 +101,13 @@ class PieceEncoder:
     def trim(self) -> None:
         self.known.trim(self.most)
         self.words.trim(self.most)
+
+
+_ENCODERS: dict[str, PieceEncoder] = {}
+
+
+def shared_encoder(path: str) -> PieceEncoder:
+    """One encoder for all tasks that a worker process runs, so that later tasks find what earlier ones looked up."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = PieceEncoder(path)
+    return _ENCODERS[path]

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_parts
-from .pieces import PieceEncoder
+from .pieces import shared_encoder
 
 BLOCK_IDS = 1 << 16
 _BLOCKS = "part int, block int, part_start long, n_ids long, bits int, doc_ids array<long>, lengths array<long>, payload binary"
@@ -57,7 +57,7 @@ def unpack(payload: bytes, bits: int, start: int, n: int) -> np.ndarray:
 
 def _write(tokenizer_path: str, end_id: int | None, block_ids: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = PieceEncoder(tokenizer_path)
+        encoder = shared_encoder(tokenizer_path)
         bits = bits_needed(encoder.vocabulary)
         part, block, before = TaskContext.get().partitionId(), 0, 0
         tail = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
