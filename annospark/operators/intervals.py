@@ -97,7 +97,7 @@ def silence_gaps(active: DataFrame, spans: DataFrame, keys: Sequence[str] = ("ui
     """What merged activity leaves free of each span (win_on, win_off), longest first by gap_rank (ties: earliest); the whole span where nothing is active."""
     k = list(keys)
     inside = spans.join(active.select(*k, "onset_ms", "offset_ms"), k, "left").withColumns({"on": F.greatest("onset_ms", "win_on"), "off": F.least("offset_ms", "win_off")})
-    inside = inside.withColumn("hit", F.coalesce(F.col("on") < F.col("off"), F.lit(False)))
+    inside = inside.withColumn("hit", F.col("onset_ms").isNotNull() & (F.col("on") < F.col("off")))
     edges = spans.select(*k, "win_on", "win_off", F.col("win_on").alias("off"), F.lit(True).alias("edge")).unionByName(inside.where("hit").select(*k, "win_on", "win_off", "on", "off"), allowMissingColumns=True)
     w = Window.partitionBy(*k, "win_on", "win_off").orderBy(F.col("on").asc_nulls_first(), "off")
     gaps = edges.withColumn("gap_off", F.coalesce(F.lead("on").over(w), F.col("win_off"))).where("gap_off > off")

@@ -79,10 +79,10 @@ select uid, iou, dur_ms, coalesce(n_segments, 0) as n_segments, longest_ms, 0.5:
 
 # Turns and conversations.
 TURNS = SQL + """,
-t1 as (select *, case when label = lag(label) over (partition by uid order by onset_ms, label) then 0 else 1 end as swap from vtc),
-t2 as (select *, sum(swap) over (partition by uid order by onset_ms, label rows between unbounded preceding and current row) as lr from t1),
-t3 as (select *, case when onset_ms - max(offset_ms) over (partition by uid, lr order by onset_ms, label rows between unbounded preceding and 1 preceding) <= 300 then 0 else 1 end as fresh from t2),
-t4 as (select *, sum(fresh) over (partition by uid order by onset_ms, label rows between unbounded preceding and current row) - 1 as turn_idx from t3),
+t1 as (select *, case when label = lag(label) over (partition by uid order by onset_ms, label, offset_ms) then 0 else 1 end as swap from vtc),
+t2 as (select *, sum(swap) over (partition by uid order by onset_ms, label, offset_ms rows between unbounded preceding and current row) as lr from t1),
+t3 as (select *, case when onset_ms - max(offset_ms) over (partition by uid, lr order by onset_ms, label, offset_ms rows between unbounded preceding and 1 preceding) <= 300 then 0 else 1 end as fresh from t2),
+t4 as (select *, sum(fresh) over (partition by uid order by onset_ms, label, offset_ms rows between unbounded preceding and current row) - 1 as turn_idx from t3),
 turns as (select uid, turn_idx::bigint as turn_idx, min(label) as label, min(onset_ms) as onset_ms, max(offset_ms) as offset_ms, count(*) as n_segments from t4 group by uid, turn_idx)"""
 CONVS = TURNS + """,
 c1 as (select *, case when onset_ms - lag(offset_ms) over (partition by uid order by turn_idx) < 10000 then 0 else 1 end as fresh from turns),
@@ -182,6 +182,6 @@ _add("c07_clip_to_absolute", SQL + ", cl as (select uid, onset_ms // 600000 as c
         derive.vtc(s, d).selectExpr("uid", "onset_ms div 600000 as clip_idx", "(onset_ms div 600000) * 600000 as abs_onset_ms").distinct(),
     )
 )
-_add("e20_pair_iou", SQL + ", l as (select *, lag(onset_ms) over w as p_on, lag(offset_ms) over w as p_off from vtc window w as (partition by uid order by onset_ms, label)) select uid, onset_ms, label, coalesce(greatest(0, least(offset_ms, p_off) - greatest(onset_ms, p_on))::double / nullif(greatest(offset_ms, p_off) - least(onset_ms, p_on), 0), 0) as iou from l where p_on is not null")(
-    lambda s, d: derive.vtc(s, d).selectExpr("*", "lag(onset_ms) over (partition by uid order by onset_ms, label) as p_on", "lag(offset_ms) over (partition by uid order by onset_ms, label) as p_off").where("p_on is not null").select("uid", "onset_ms", "label", intervals.pair_iou(F.col("onset_ms"), F.col("offset_ms"), F.col("p_on"), F.col("p_off")).alias("iou"))
+_add("e20_pair_iou", SQL + ", l as (select *, lag(onset_ms) over w as p_on, lag(offset_ms) over w as p_off from vtc window w as (partition by uid order by onset_ms, label, offset_ms)) select uid, onset_ms, label, coalesce(greatest(0, least(offset_ms, p_off) - greatest(onset_ms, p_on))::double / nullif(greatest(offset_ms, p_off) - least(onset_ms, p_on), 0), 0) as iou from l where p_on is not null")(
+    lambda s, d: derive.vtc(s, d).selectExpr("*", "lag(onset_ms) over (partition by uid order by onset_ms, label, offset_ms) as p_on", "lag(offset_ms) over (partition by uid order by onset_ms, label, offset_ms) as p_off").where("p_on is not null").select("uid", "onset_ms", "label", intervals.pair_iou(F.col("onset_ms"), F.col("offset_ms"), F.col("p_on"), F.col("p_off")).alias("iou"))
 )
