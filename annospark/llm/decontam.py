@@ -2,7 +2,8 @@
 
 Postings (term, document, position) of all training texts are stored for the terms that the test items use. Every window of a
 test item is looked up by its rarest term, as the stored postings count it: a posting less the term's offset in the item is a
-place where the item might lie, and lists of several terms meet at the same place. Each place is then confirmed word by word.
+place where the item might lie. A posting also holds a hash of the words that follow, so that the lists of neighbouring terms are
+intersected, offsets adjusted, as they are read: a place needs all of them. Each place is then confirmed word by word.
 All of it is DataFrame operations.
 """
 
@@ -17,6 +18,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: What parts words: all ASCII but digits and lower-case letters; A-Z too where the text isn't lower-cased yet.
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _GAPS_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Words behind a posting whose hash it holds.
+AHEAD = 3
 #: Rows of a table made from the benchmark up to which it may be broadcast; its size is counted each time.
 BROADCAST_ROWS = 200_000
 
@@ -51,15 +54,17 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
 
 
 def build_index(docs: DataFrame, terms: DataFrame, path: str) -> DataFrame:
-    """Stores postings (doc_id, text_hash, pos, term_id) of `docs` for the (term, term_id) rows of `terms` under `path` and returns them.
+    """Stores postings (doc_id, text_hash, pos, term_id, ahead) of `docs` for the (term, term_id) rows of `terms` under `path` and returns them.
 
-    pos counts words from 0. Null and empty texts have no postings. A document is known by its id and its text's hash, so that
+    pos counts words from 0; ahead is a hash of the next AHEAD words. Null and empty texts have no postings. A document is known by its id and its text's hash, so that
     rows that share an id but not the text are kept apart.
     """
     rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), lower_ascii(F.col("text")).alias("low")).where("low is not null")
-    parts, lead, _ = _cut(F.col("low"))
-    rows = rows.select("doc_id", "text_hash", parts.alias("parts")).select("doc_id", "text_hash", (F.element_at("parts", 1) == "").cast("int").alias("lead"), F.posexplode("parts").alias("pos", "term"))
-    rows.join(_checked(terms), "term").select("doc_id", "text_hash", (F.col("pos") - F.col("lead")).alias("pos"), "term_id").write.parquet(path)
+    parts, _, _ = _cut(F.col("low"))
+    rows = rows.select("doc_id", "text_hash", parts.alias("parts")).select("doc_id", "text_hash", "parts", F.posexplode("parts").alias("pos", "term"))
+    lead = (F.get("parts", F.lit(0)) == "").cast("int")
+    ahead = F.hash(*[F.get("parts", F.col("pos") + k) for k in range(1, AHEAD + 1)])
+    rows.join(_checked(terms), "term").select("doc_id", "text_hash", (F.col("pos") - lead).alias("pos"), "term_id", ahead.alias("ahead")).write.parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
@@ -80,16 +85,20 @@ def phrase_hits(docs: DataFrame, items: DataFrame, *, window: int = 10) -> DataF
     seen = index.groupBy("term_id").count().join(_checked(terms), "term_id", "right").select("term", "term_id", F.coalesce("count", F.lit(0)).alias("n"))
     # The rarest term of each window, the first of equally rare ones: neighbouring windows mostly share it.
     spots = windows.select("item_id", "first", F.posexplode(F.slice("words", F.col("first") + 1, F.col("size"))).alias("at", "term")).join(_checked(seen), "term")
-    rarest = spots.groupBy("item_id", "first").agg(F.min(F.struct("n", (F.col("first") + F.col("at")).alias("offset"), "term_id")).alias("r"))
-    anchors = rarest.where("r.n > 0").select("item_id", "r.term_id", "r.offset").distinct()
-    places = index.join(_checked(anchors), "term_id").select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("offset")).alias("place")).distinct()
+    rarest = spots.groupBy("item_id", "first").agg(F.min(F.struct("n", "at")).alias("r")).where("r.n > 0")
+    # Look-ups begin at the rarest term, or as far before it as the words ahead need within the window; short windows have none ahead.
+    begin = F.col("first") + F.greatest(F.lit(0), F.least(F.col("r.at"), F.col("size") - 1 - AHEAD))
+    anchors = rarest.join(_checked(windows), ["item_id", "first"]).withColumn("offset", F.when(F.col("size") > AHEAD, begin).otherwise(F.col("first") + F.col("r.at")))
+    ahead = F.when(F.col("size") > AHEAD, F.hash(*[F.get("words", F.col("offset") + k) for k in range(1, AHEAD + 1)]))
+    anchors = anchors.select("item_id", "offset", F.get("words", F.col("offset")).alias("term"), ahead.alias("wanted")).distinct().join(_checked(terms), "term").drop("term")
+    met = index.join(_checked(anchors), "term_id").where("wanted is null or wanted = ahead")
+    places = met.select("doc_id", "text_hash", "item_id", (F.col("pos") - F.col("offset")).alias("place")).distinct()
     by_doc = places.groupBy("doc_id", "text_hash").agg(F.collect_list(F.struct("item_id", "place")).alias("places"))
     texts = docs.select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), "text")
     found = texts.join(by_doc, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")))
-    found = found.withColumn("all_words", words_of(F.col("text")))
     longest = windows.agg(F.max(F.size("words"))).first()[0] or 0
-    cut = F.transform("places", lambda p: F.struct(p["item_id"].alias("item_id"), p["place"].alias("place"), F.slice("all_words", F.greatest(p["place"], F.lit(0)) + 1, F.lit(longest)).alias("near")))
-    found = found.select("doc_id", "text_hash", F.explode(cut).alias("c")).select("doc_id", "text_hash", "c.*")
+    found = found.select("doc_id", "text_hash", words_of(F.col("text")).alias("all_words"), "places").select("doc_id", "text_hash", "all_words", F.explode("places").alias("p"))
+    found = found.select("doc_id", "text_hash", "p.*", F.slice("all_words", F.greatest(F.col("p.place"), F.lit(0)) + 1, F.lit(longest)).alias("near"))
     whole = windows.where("first = 0").select("item_id", "words", "size").distinct()
     found = found.join(_checked(whole), "item_id")
     same = F.transform("words", lambda w, i: F.coalesce(F.get("near", i + F.least(F.col("place"), F.lit(0))) == w, F.lit(False)))
