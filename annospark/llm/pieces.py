@@ -66,14 +66,14 @@ class _Lookup(dict):
 class PieceEncoder:
     """Encodes texts with the tokenizers library, each piece and pre-token once as long as it is remembered."""
 
-    def __init__(self, path: str, most: int = 600_000):
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.vocabulary = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
-        self.known = _Lookup(self._piece)
+        self.known = _Lookup(self.piece_ids)
         self.words = _Lookup(self._word)
         self.most = most
 
@@ -81,7 +81,8 @@ class PieceEncoder:
         letters = word.encode().decode("latin-1").translate(self.letters)
         return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
 
-    def _piece(self, key: str) -> bytes:
+    def piece_ids(self, key: str) -> bytes:
+        """Ids of one piece; its pre-tokens are remembered, the piece isn't."""
         if not _LATIN.search(key):  # most pieces are a word, or one with a mark behind it
             if key.isalpha():
                 return self.words[" " + key]
