@@ -13,18 +13,22 @@ from annospark.sources.derive import LABELS
 from . import intervals, sessions
 
 CLIP = ["uid", "clip_idx"]
-_LEN = F.col("offset_ms") - F.col("onset_ms")
 FRAME_MS = 100
 
 
-def duration_summary(df: DataFrame, keys: list[str], length: Column = _LEN) -> DataFrame:
+def _length() -> Column:
+    return F.col("offset_ms") - F.col("onset_ms")
+
+
+def duration_summary(df: DataFrame, keys: list[str], length: Column | None = None) -> DataFrame:
     """max, min, sum, num and avg of interval lengths in ms."""
+    length = _length() if length is None else length
     return df.groupBy(*keys).agg(F.max(length).alias("max_ms"), F.min(length).alias("min_ms"), F.sum(length).alias("sum_ms"), F.count("*").alias("num"), F.avg(length).alias("avg_ms"))
 
 
 def file_metadata(vtc: DataFrame, durations: DataFrame) -> DataFrame:
     """Labelled speech of each recording: n_segments, speech_ms and label_counts as a map; zero rows for silent recordings."""
-    per = vtc.groupBy("uid", "label").agg(F.count("*").alias("n"), F.sum(_LEN).alias("ms"))
+    per = vtc.groupBy("uid", "label").agg(F.count("*").alias("n"), F.sum(_length()).alias("ms"))
     per = per.groupBy("uid").agg(F.sum("n").alias("n_segments"), F.sum("ms").alias("speech_ms"), F.map_from_entries(F.sort_array(F.collect_list(F.struct("label", "n")))).alias("label_counts"))
     out = durations.select("uid").join(per, "uid", "left").na.fill(0, ["n_segments", "speech_ms"])
     return out.withColumn("label_counts", F.coalesce("label_counts", F.create_map().cast("map<string,bigint>")))
@@ -33,12 +37,12 @@ def file_metadata(vtc: DataFrame, durations: DataFrame) -> DataFrame:
 def clip_speech(segments: DataFrame) -> DataFrame:
     """Per clip: speech_ms, n_segments, mean segment length, mean positive gap to the segment before."""
     gap = F.col("onset_ms") - F.lag("offset_ms").over(Window.partitionBy(*CLIP).orderBy("onset_ms", "label", "offset_ms"))
-    return segments.withColumn("gap_ms", gap).groupBy(*CLIP).agg(F.sum(_LEN).alias("speech_ms"), F.count("*").alias("n_segments"), F.avg(_LEN).alias("mean_segment_ms"), F.avg(F.when(F.col("gap_ms") > 0, F.col("gap_ms"))).alias("mean_gap_ms"))
+    return segments.withColumn("gap_ms", gap).groupBy(*CLIP).agg(F.sum(_length()).alias("speech_ms"), F.count("*").alias("n_segments"), F.avg(_length()).alias("mean_segment_ms"), F.avg(F.when(F.col("gap_ms") > 0, F.col("gap_ms"))).alias("mean_gap_ms"))
 
 
 def clip_labels(segments: DataFrame) -> DataFrame:
     """Per clip: labels (`;`), n_labels, has_adult, dur_{label}_ms, child and adult lengths, child_fraction."""
-    part = lambda *ls: F.sum(F.when(F.col("label").isin(*ls), _LEN).otherwise(0))
+    part = lambda *ls: F.sum(F.when(F.col("label").isin(*ls), _length()).otherwise(0))
     out = segments.groupBy(*CLIP).agg(
         F.array_join(F.array_sort(F.collect_set("label")), ";").alias("labels"), F.countDistinct("label").alias("n_labels"), F.bool_or(F.col("label").isin("FEM", "MAL")).alias("has_adult"),
         *[part(x).alias(f"dur_{x.lower()}_ms") for x in LABELS], part("KCHI", "OCH").alias("child_ms"), part("FEM", "MAL").alias("adult_ms"),
@@ -48,7 +52,7 @@ def clip_labels(segments: DataFrame) -> DataFrame:
 
 def dominant_label(segments: DataFrame) -> DataFrame:
     """Per clip the label with the most speech; of equal ones the first to speak."""
-    per = segments.groupBy(*CLIP, "label").agg(F.sum(_LEN).alias("ms"), F.min("onset_ms").alias("first"))
+    per = segments.groupBy(*CLIP, "label").agg(F.sum(_length()).alias("ms"), F.min("onset_ms").alias("first"))
     rank = F.row_number().over(Window.partitionBy(*CLIP).orderBy(F.desc("ms"), "first", "label"))
     return per.withColumn("rn", rank).where("rn = 1").select(*CLIP, F.col("label").alias("dominant_label"))
 
@@ -69,7 +73,7 @@ def frame_iou(a: DataFrame, b: DataFrame, keys: list[str] = CLIP, frame_ms: int
 def coverage_by_label(segments: DataFrame, vad: DataFrame) -> DataFrame:
     """Per clip and label the share of labelled time that VAD covers, at most 1."""
     pairs = intervals.overlap_join(segments, intervals.merge(vad, CLIP), CLIP).groupBy(*CLIP, "label").agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
-    per = segments.groupBy(*CLIP, "label").agg(F.sum(_LEN).alias("ms")).join(pairs, [*CLIP, "label"], "left")
+    per = segments.groupBy(*CLIP, "label").agg(F.sum(_length()).alias("ms")).join(pairs, [*CLIP, "label"], "left")
     return per.select(*CLIP, "label", F.least(F.lit(1.0), F.coalesce("both_ms", F.lit(0)).cast("double") / F.col("ms")).alias("coverage"))
 
 
@@ -119,16 +123,16 @@ def clip_stats(clips: DataFrame, segments: DataFrame, vad: DataFrame, valued: Da
         out = out.join(side, CLIP, "left")
     zeros = ["speech_ms", "n_segments", "n_labels", "child_ms", "adult_ms", "n_turns", "vad_ms", "n_conversations", "n_conv_turns", "n_multi_speaker", *[f"dur_{x.lower()}_ms" for x in LABELS]]
     out = out.na.fill(0, zeros).na.fill(0.0, ["frame_iou", "child_fraction"])
-    return out.withColumns({"speech_density": F.col("speech_ms") / _LEN, "turns_per_min": F.col("n_conv_turns") * 60_000.0 / _LEN})
+    return out.withColumns({"speech_density": F.col("speech_ms") / _length(), "turns_per_min": F.col("n_conv_turns") * 60_000.0 / _length()})
 
 
 def file_stats(clips: DataFrame, conversations: DataFrame, turns: DataFrame) -> DataFrame:
     """One row a recording: totals over its clips, mean turn and conversation figures."""
     base = clips.groupBy("uid").agg(
-        F.count("*").alias("n_clips"), F.sum(_LEN).alias("total_ms"), F.sum("speech_ms").alias("speech_ms"), F.sum("vad_ms").alias("vad_ms"), *[F.sum(f"dur_{x.lower()}_ms").alias(f"dur_{x.lower()}_ms") for x in LABELS], F.avg("snr_mean").alias("snr_mean"), F.avg("c50_mean").alias("c50_mean"),
+        F.count("*").alias("n_clips"), F.sum(_length()).alias("total_ms"), F.sum("speech_ms").alias("speech_ms"), F.sum("vad_ms").alias("vad_ms"), *[F.sum(f"dur_{x.lower()}_ms").alias(f"dur_{x.lower()}_ms") for x in LABELS], F.avg("snr_mean").alias("snr_mean"), F.avg("c50_mean").alias("c50_mean"),
     ).withColumn("density", F.col("speech_ms") / F.col("total_ms"))
-    t = turns.groupBy("uid").agg(F.count("*").alias("n_turns"), F.avg(_LEN).alias("mean_turn_ms"))
-    c = conversations.groupBy("uid").agg(F.count("*").alias("n_conversations"), F.avg(_LEN).alias("mean_conv_ms"), F.avg("n_turns").alias("mean_turns_per_conv"))
+    t = turns.groupBy("uid").agg(F.count("*").alias("n_turns"), F.avg(_length()).alias("mean_turn_ms"))
+    c = conversations.groupBy("uid").agg(F.count("*").alias("n_conversations"), F.avg(_length()).alias("mean_conv_ms"), F.avg("n_turns").alias("mean_turns_per_conv"))
     return base.join(t, "uid", "left").join(c, "uid", "left").na.fill(0, ["n_turns", "n_conversations"])
 
 

@@ -48,12 +48,11 @@ mv as (select uid::varchar as wav_id, count(*) as n, sum(offset_ms - onset_ms)::
 mt as (select uid::varchar as wav_id, count(*) as vtc_n_segments, sum(offset_ms - onset_ms)::bigint as duration, '{' || string_agg(distinct '\"' || label || '\":1', ',' order by '\"' || label || '\":1') || '}' as vtc_label_counts from vtc where uid % 10 <> 2 group by uid),
 ms as (select uid::varchar as wav_id, dur_ms as duration, ((uid * 7919) % 400) / 10.0::double - 5 as snr_mean, ((uid * 31) % 100) / 100.0::double as speech_ratio from dur where uid % 10 <> 3),
 me as (select uid::varchar as wav_id, 'cat' || (uid % 5) as dominant_category, ((uid * 17) % 100) / 100.0::double as dominant_prob, ((uid * 6007) % 600) / 10.0::double as c50_mean from dur where uid % 10 <> 4)"""
-_length = F.sum(F.col("offset_ms") - F.col("onset_ms"))
-_id = F.col("uid").cast("string").alias("wav_id")
 
 
 def _stages(s, d):
     vad, vtc, dur = derive.vad(s, d), derive.vtc(s, d), derive.durations(s, d)
+    _length, _id = F.sum(F.col("offset_ms") - F.col("onset_ms")), F.col("uid").cast("string").alias("wav_id")
     label_counts = F.to_json(F.map_from_arrays(F.array_sort(F.collect_set("label")), F.transform(F.array_sort(F.collect_set("label")), lambda _: F.lit(1))))
     return {
         "vad": vad.where("uid % 10 <> 1").groupBy("uid").agg(F.count("*").alias("n"), _length.alias("duration")).select(_id, "n", "duration"),

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import agreement_plans, manifest_plans, stats_plans
+from . import agreement_plans, manifest_plans, source_plans, stats_plans
 
-_PLANS = (agreement_plans, stats_plans, manifest_plans)
+_PLANS = (agreement_plans, stats_plans, manifest_plans, source_plans)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -30,13 +30,13 @@ def ingest(shards: DataFrame, read_current: Callable[[], DataFrame | None], writ
 
 
 def live_conversations(segments: DataFrame, delay: str = "1 minute", gap_ms: int = CONVERSATION_GAP_MS) -> DataFrame:
-    """Sessions of segments (uid, ts, len_ms) less than `gap_ms` apart, emitted once the watermark has passed.
+    """Sessions (uid, start, end_us, n_segments, speech_ms) of segments (uid, ts, len_ms) less than `gap_ms` apart, emitted once the watermark has passed.
 
     A session window joins an event at its very end, so the gap is a microsecond shorter: exactly `gap_ms` apart is apart. A session reaches
     to the largest end it has seen, where the batch form looks at the last turn's end only.
     """
     gap = F.concat((F.col("len_ms") * 1000 + gap_ms * 1000 - 1).cast("string"), F.lit(" microseconds"))
-    return segments.withWatermark("ts", delay).groupBy("uid", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n_segments"), F.sum("len_ms").alias("speech_ms")).select("uid", F.col("w.start").alias("start"), "n_segments", "speech_ms")
+    return segments.withWatermark("ts", delay).groupBy("uid", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n_segments"), F.sum("len_ms").alias("speech_ms")).select("uid", F.col("w.start").alias("start"), (F.expr("unix_micros(w.end)") + 1 - gap_ms * 1000).alias("end_us"), "n_segments", "speech_ms")
 
 
 class TurnProcessor(StatefulProcessor):
