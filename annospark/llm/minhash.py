@@ -232,7 +232,7 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int
     checkpoint_ready(spark)
     buckets = buckets or 2 * shuffle_parts(spark)
     need = needed_matches(k, percent / 100)
-    sketch = docs.select("doc_id", "text").mapInArrow(_sketch(size, k), "doc_id long, n_shingles long, key_a long, key_b long, sig binary").checkpoint()
+    sketch = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch(size, k), "doc_id long, n_shingles long, key_a long, key_b long, sig binary").checkpoint()
     key = ["n_shingles", "key_a", "key_b"]
     classes = sketch.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")).checkpoint()
     posted = classes.select("rep", "sig").mapInArrow(_post(k, k - need + 1, buckets), "bucket int, at binary, ids binary, sigs binary")

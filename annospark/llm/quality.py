@@ -222,4 +222,4 @@ def line_labels(docs: DataFrame, crf: Crf) -> DataFrame:
                 ids = b.column("doc_id").slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), n)))
                 yield pa.RecordBatch.from_arrays([ids, pa.array(np.arange(len(x)) - np.repeat(begins[:-1], n)), pa.array(p)], names=["doc_id", "line", "good"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, line long, good double")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, line long, good double")

@@ -158,7 +158,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     A row for each input row, repeated ones included. Null and empty texts have no spans; other columns are ignored;
     an empty table gives an empty table. A text is scanned whole in the task that reads it; nothing is shuffled.
     """
-    return docs.select("doc_id", "text").mapInArrow(_scan, "doc_id long, spans array<struct<kind string, start long, end long>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, "doc_id long, spans array<struct<kind string, start long, end long>>")
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:

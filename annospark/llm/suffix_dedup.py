@@ -314,7 +314,7 @@ def repeat_spans(docs: DataFrame, *, length: int = 400, buckets: int | None = No
     checkpoint_ready(spark)
     buckets = buckets or 4 * shuffle_parts(spark)
     v, cover = difference_cover(max(1, length * 17 // 20))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("hash"), "text").where(F.octet_length("text") >= length)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").where(F.octet_length("text") >= length)
     spans = "doc_id long, hash long, first binary, last binary"
     named = rows.mapInArrow(_samples(length, v, cover, buckets), _ROWS).groupBy("bucket").applyInArrow(_ranked, _BACK)
     near = named.groupBy("chunk").applyInArrow(_candidates(length, v), spans).dropDuplicates(["doc_id", "hash"])

@@ -142,7 +142,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, buckets: int | None =
     """
     spark = docs.sparkSession
     buckets = buckets or 4 * shuffle_parts(spark)
-    lists = docs.select("doc_id", "text").mapInArrow(_lists(buckets), _LISTS)
+    lists = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_lists(buckets), _LISTS)
     sums = lists.groupBy("bucket").applyInArrow(_bucket(tokenizer_path), _SUMS)
     return sums.groupBy("chunk").applyInArrow(_added, "doc_id long, n_bytes long, n_tokens long")
 

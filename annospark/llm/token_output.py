@@ -95,7 +95,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int |
     """
     spark = docs.sparkSession
     parts = parts or shuffle_parts(spark)
-    rows = docs.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
     rows.mapInArrow(_write(tokenizer_path, end_id, block_ids), _BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
     totals = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     start = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_ids")  # one row for each part
