@@ -103,7 +103,7 @@ _add("f06_multi_key_sort", SQL + " select uid, label, onset_ms from vtc order by
 _add("a15_adapters", _SOURCES + " select wav_id, snr_mean, 'snr' as source from ms where snr_mean > 0")(lambda s, d: manifest.contract(_stages(s, d)["snr"].where("snr_mean > 0").select("wav_id", "snr_mean").withColumn("source", F.lit("snr"))))
 
 # Sampling and exploration. Hash orders are engine-specific, so counts and membership rules are what SQL holds.
-_add("b10_sample_count", "select 20 as n_int, greatest(1, round(count(distinct user_id) * 0.25))::int as n_fraction, count(distinct user_id)::int as n_all from events")(
+_add("b10_sample_count", "select least(20, count(distinct user_id))::int as n_int, greatest(1, round(count(distinct user_id) * 0.25))::int as n_fraction, count(distinct user_id)::int as n_all from events")(
     lambda s, d: (lambda u: s.range(1).select(*[F.lit(x).cast("int").alias(n) for n, x in (("n_int", explore.sample(u, 20).count()), ("n_fraction", explore.sample(u, 0.25).count()), ("n_all", explore.sample(u, 10**9).count()))]))(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct())
 )
 _add("b11_even_shards", "select user_id as uid, (ntile(7) over (order by user_id) - 1)::int as shard from (select distinct user_id from events)")(lambda s, d: explore.even_shards(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct(), 7, ["uid"]))
