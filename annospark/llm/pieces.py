@@ -12,12 +12,15 @@ stands for the rest of the key; a key that begins with a line feed stands for it
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 import regex
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+#: Marks that form a pre-token of their own behind a word.
+_MARKS = frozenset(",.;:!?)")
 #: Letters up to here are classed alike by all versions of Unicode; pieces with others go to the library whole.
 _LATIN = re.compile("[^\x00-ɏ‘-”]")
 
@@ -66,7 +69,7 @@ class _Lookup(dict):
 class PieceEncoder:
     """Encodes texts with the tokenizers library, each piece and pre-token once as long as it is remembered."""
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -78,22 +81,30 @@ class PieceEncoder:
         self.most = most
 
     def _word(self, word: str) -> bytes:
-        letters = word.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.tokenizer.model.tokenize(letters)], "<u4").tobytes()
+        if word.isascii() and word.isprintable():
+            letters = word.replace(" ", self.letters[32])
+        else:
+            letters = word.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _token(self, token: str) -> bytes:
+        """Ids of one pre-token; a word behind a space is kept under its key as a piece."""
+        return self.known[token[1:]] if token[:1] == " " and token[1:].isalpha() else self.words[token]
 
     def piece_ids(self, key: str) -> bytes:
-        """Ids of one piece; its pre-tokens are remembered, the piece isn't."""
-        if not _LATIN.search(key):  # most pieces are a word, or one with a mark behind it
+        """Ids of one piece. Its words are remembered, the piece isn't."""
+        if key.isascii() or not _LATIN.search(key):  # most pieces are a word, or one with a mark behind it
             if key.isalpha():
-                return self.words[" " + key]
-            if key[:-1].isalpha() and key[-1] in ",.;:!?)":
-                return self.words[" " + key[:-1]] + self.words[key[-1]]
+                return self._word(" " + key)
+            if key[-1:] in _MARKS and key[:-1].isalpha():
+                return self.known[key[:-1]] + self.words[key[-1]]
             if key[:1] == "\n" and key[1:].isalpha():
                 return self.words["\n"] + self.words[key[1:]]
         text = key_text(key)
-        if _LATIN.search(text) or any(s in text for s in self.special):
+        if (not text.isascii() and _LATIN.search(text)) or any(s in text for s in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.words.__getitem__, _PRE_TOKEN.findall(text)))
+        return b"".join(map(self._token, _PRE_TOKEN.findall(text)))
 
     def encode(self, text: str) -> bytes:
         """The text's ids as little-endian unsigned 32-bit integers."""
