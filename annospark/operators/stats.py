@@ -113,13 +113,34 @@ def snr_by_clip(valued: DataFrame, digits: int = 1) -> DataFrame:
     return valued.groupBy(*CLIP).agg(*[rounded(f(c), digits).alias(f"{c}_{n}") for c in ("snr", "c50") for f, n in stats])
 
 
+def clip_summary(valued: DataFrame) -> DataFrame:
+    """What clip_speech, clip_labels, dominant_label, label_changes and snr_by_clip give, in one pass over segments that carry snr and c50."""
+    w = Window.partitionBy(*CLIP).orderBy("onset_ms", "label", "offset_ms")
+    gap = F.col("onset_ms") - F.lag("offset_ms").over(w)
+    swap = F.coalesce(F.col("label") != F.lag("label").over(w), F.lit(False)).cast("long")
+    rows = valued.withColumns({"gap_ms": gap, "swap": swap})
+    own = lambda x: F.col("label") == x
+    dur = {x: F.sum(F.when(own(x), _length()).otherwise(0)) for x in LABELS}
+    first = {x: F.min(F.when(own(x), F.col("onset_ms"))) for x in LABELS}
+    stats = [(F.avg, "mean"), (F.stddev_samp, "std"), (F.min, "min"), (F.max, "max")]
+    out = rows.groupBy(*CLIP).agg(
+        F.sum(_length()).alias("speech_ms"), F.count("*").alias("n_segments"), F.avg(_length()).alias("mean_segment_ms"), F.avg(F.when(F.col("gap_ms") > 0, F.col("gap_ms"))).alias("mean_gap_ms"),
+        F.array_join(F.array_sort(F.collect_set("label")), ";").alias("labels"), F.size(F.collect_set("label")).cast("long").alias("n_labels"), F.bool_or(F.col("label").isin("FEM", "MAL")).alias("has_adult"),
+        *[dur[x].alias(f"dur_{x.lower()}_ms") for x in LABELS], (dur["KCHI"] + dur["OCH"]).alias("child_ms"), (dur["FEM"] + dur["MAL"]).alias("adult_ms"), (F.sum("swap") + 1).alias("n_turns"),
+        F.array_max(F.array(*[F.struct(dur[x].alias("ms"), (-F.coalesce(first[x], F.lit(2**62))).alias("early"), F.lit(-i).alias("order"), F.lit(x).alias("label")) for i, x in enumerate(sorted(LABELS))])).alias("top"),
+        *[rounded(f(c), 1).alias(f"{c}_{n}") for c in ("snr", "c50") for f, n in stats],
+    )
+    share = F.coalesce(F.try_divide(F.col("child_ms").cast("double"), F.col("child_ms") + F.col("adult_ms")), F.lit(0.0))
+    return out.withColumns({"dominant_label": F.col("top.label"), "child_fraction": share}).drop("top")
+
+
 def clip_stats(clips: DataFrame, segments: DataFrame, vad: DataFrame, valued: DataFrame) -> DataFrame:
     """One row a clip with all of its statistics; clips without speech have zeros and nulls."""
     tagged = sessions.tag_conversations(sessions.turns(segments, CLIP), CLIP)
     conv = sessions.conversations(tagged, CLIP).groupBy(*CLIP).agg(F.count("*").alias("n_conversations"), F.sum("n_turns").alias("n_conv_turns"), F.sum(F.col("is_multi_speaker").cast("long")).alias("n_multi_speaker"))
     active = intervals.total(intervals.merge(vad, CLIP), CLIP).withColumnRenamed("total_ms", "vad_ms")
     out = clips.select(*CLIP, "onset_ms", "offset_ms")
-    for side in (clip_speech(segments), clip_labels(segments), dominant_label(segments), label_changes(segments), active, frame_iou(vad, segments), conv, snr_by_clip(valued)):
+    for side in (clip_summary(valued), active, frame_iou(vad, segments), conv):
         out = out.join(side, CLIP, "left")
     zeros = ["speech_ms", "n_segments", "n_labels", "child_ms", "adult_ms", "n_turns", "vad_ms", "n_conversations", "n_conv_turns", "n_multi_speaker", *[f"dur_{x.lower()}_ms" for x in LABELS]]
     out = out.na.fill(0, zeros).na.fill(0.0, ["frame_iou", "child_fraction"])

@@ -197,7 +197,7 @@ _add("h09_label_ids", SQL + " select uid, onset_ms, label, case label when 'FEM'
 )
 _add("h10_frame_masks", CLIPS + """, fr as (select uid, clip_idx, unnest(range(0, (offset_ms - onset_ms) // 20)) as i from clips), hm as (select uid, clip_idx, label, count(distinct i) as n from (select uid, clip_idx, label, unnest(range(rel_on_ms // 20, rel_off_ms // 20)) as i from seg) group by 1, 2, 3)
 select c.uid, c.clip_idx, ((c.offset_ms - c.onset_ms) // 20)::int as n_frames, """ + ", ".join(f"coalesce(max(case when label = '{x}' then n end), 0)::int as n_{x}" for x in derive.LABELS) + " from clips c left join hm using (uid, clip_idx) group by c.uid, c.clip_idx, c.offset_ms, c.onset_ms")(
-    lambda s, d: samples.frame_masks(_fixed(s, d), _seg(s, d), derive.LABELS).select("uid", "clip_idx", F.size("attention").alias("n_frames"), *[F.size(F.filter(f"mask_{x}", lambda b: b)).alias(f"n_{x}") for x in derive.LABELS])
+    lambda s, d: samples.frame_masks(_fixed(s, d), _seg(s, d), derive.LABELS).select("uid", "clip_idx", F.size("attention").alias("n_frames"), *[F.size(F.array_remove(f"mask_{x}", False)).alias(f"n_{x}") for x in derive.LABELS])
 )
 _BATCH = f"with s as (select vec_id, label, list_transform(embedding, lambda x: x::double)[1 : 20 + vec_id % 40] as samples from embeddings), b as (select *, (row_number() over (partition by label order by vec_id) - 1) // 8 as batch, len(samples) as n_s from s)"
 
@@ -207,7 +207,7 @@ def _cut(s, d):
 
 
 _add("h11_batches", _BATCH + " select label, batch, count(*) as n, (ceil(max(n_s) / 16.0) * 16)::int as width, sum(n_s)::bigint as n_attended, round(sum(list_sum(samples)), 9) as total from b group by label, batch having count(*) = 8")(
-    lambda s, d: samples.batches(_cut(s, d), 8, ["vec_id"], "label", multiple=16, drop_last=True).select("label", "batch", "n", "width", F.size(F.filter(F.flatten("attention"), lambda x: x)).cast("long").alias("n_attended"), _sum(F.flatten("samples")).alias("total"))
+    lambda s, d: samples.batches(_cut(s, d), 8, ["vec_id"], "label", multiple=16, drop_last=True).select("label", "batch", "n", "width", F.size(F.array_remove(F.flatten("attention"), False)).cast("long").alias("n_attended"), _sum(F.flatten("samples")).alias("total"))
 )
 _add("h12_collate", "with z as (select event_id, user_id, case when user_id % 3 = 0 or event_id % 4 = 0 then null else value end as v from events) select event_id, case when count(v) over (partition by user_id) > 0 then coalesce(v, 0) end as v from z")(
     lambda s, d: table(s, d, "events").selectExpr("event_id", "user_id", "case when user_id % 3 = 0 or event_id % 4 = 0 then null else value end as v").select("event_id", samples.collate_scalar(F.col("v"), F.col("user_id")).alias("v"))
