@@ -5,6 +5,8 @@ value) pair of a prefix of its MinHash signature: two signatures that agree in t
 shorter lists lose nothing. Documents that meet in a list count in how many coordinates they collide, and those with t
 collisions are joined to a cluster; a list hands on a spanning forest of these links, never all pairs. Within a cluster, whole
 shingle sets confirm the links: the search grows one component at a time and asks only for links to documents outside it.
+A large cluster is dealt into blocks and each two of its blocks are searched together, so that any two documents meet somewhere
+and no task holds more than two blocks; the components of all pairs of blocks are joined in the end.
 t is the greatest number that a pair at the threshold misses with a probability of 1e-5 at most.
 """
 
@@ -166,7 +168,8 @@ def _sets(size: int):
         for b in batches:
             for i, j, data, offsets in byte_slices(b):
                 sets = shingle_sets(data, offsets, size)
-                yield pa.RecordBatch.from_arrays([b.column("component").slice(i, j - i), b.column("rep").slice(i, j - i), pa.array([s.tobytes() for s in sets], pa.binary())], names=["component", "rep", "shingles"])
+                keys = [b.column(c).slice(i, j - i) for c in ("component", "blocks", "rep")]
+                yield pa.RecordBatch.from_arrays([*keys, pa.array([s.tobytes() for s in sets], pa.binary())], names=["component", "blocks", "rep", "shingles"])
 
     return run
 
@@ -214,19 +217,20 @@ def _confirm(percent: int):
     def each(table: pa.Table) -> pa.Table:
         ids = np.array(table.column("rep").to_pylist(), np.int64)
         sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles")]
-        return pa.table({"rep": ids, "component_id": confirmed(ids, sets, percent)})
+        return pa.table({"rep": ids, "component_id": confirmed(ids, sets, percent), "blocks": table.column("blocks")})
 
     return each
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None) -> DataFrame:
+def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, cluster_docs: int = 4096) -> DataFrame:
     """Rows (doc_id, n_shingles, component_id, kept), one for each row of `docs`.
 
     n_shingles counts the distinct shingles of `size` words (a shorter text's whole sequence is one); component_id is the smallest
     doc_id reachable over links with 100 * shared >= percent * all shingles, kept whether that is the row's own. Null and empty
     texts and those without words have no shingles and are linked with nothing. Repeated rows of an id share its component; null ids
     aren't linked (component_id null, kept false). Other columns are ignored; an empty table gives an empty table.
-    `buckets` (default: 2 for each shuffle partition) parts the postings; a task holds one bucket, and one cluster's shingles.
+    `buckets` (default: 2 for each shuffle partition) parts the postings; a task holds one bucket, and the shingles of two blocks of
+    about `cluster_docs` documents of a cluster.
     """
     spark = docs.sparkSession
     checkpoint_ready(spark)
@@ -238,9 +242,18 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int
     posted = classes.select("rep", "sig").mapInArrow(_post(k, k - need + 1, buckets), "bucket int, at binary, ids binary, sigs binary")
     links = posted.groupBy("bucket").applyInArrow(_links(k, need), "a long, b long")
     cluster = components(links).withColumnRenamed("node", "rep")
-    texts = docs.select("doc_id", "text").join(cluster, F.col("doc_id") == F.col("rep")).select("component", "rep", "text")
-    sets = texts.mapInArrow(_sets(size), "component long, rep long, shingles binary").dropDuplicates(["component", "rep"])
-    found = sets.groupBy("component").applyInArrow(_confirm(percent), "rep long, component_id long")
+    sizes = cluster.groupBy("component").agg(F.ceil(F.count("*") / cluster_docs).cast("int").alias("blocks"))
+    cluster = cluster.join(sizes, "component")
+    texts = docs.select("doc_id", "text").join(cluster, F.col("doc_id") == F.col("rep")).select("component", "blocks", "rep", "text")
+    sets = texts.mapInArrow(_sets(size), "component long, blocks int, rep long, shingles binary").dropDuplicates(["component", "rep"])
+    own, other = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cells = sets.withColumn("own", own).withColumn("other", other).select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "blocks", "rep", "shingles")
+    found = cells.groupBy("component", "low", "high").applyInArrow(_confirm(percent), "rep long, component_id long, blocks int").checkpoint()
+    large = found.where("blocks > 1")
+    if not large.isEmpty():
+        joined = components(large, "rep", "component_id").toDF("rep", "joined")
+        large = large.select("rep").distinct().join(joined, "rep", "left").select("rep", F.coalesce("joined", "rep").alias("component_id"))
+        found = found.where("blocks = 1").select("rep", "component_id").unionByName(large)
     by_class = classes.select(*key, "rep").join(found, "rep", "left").select(*key, F.coalesce("component_id", "rep").alias("found"))
     out = sketch.drop("sig").join(by_class, key, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
