@@ -329,6 +329,18 @@ def test_near_duplicates(spark, percent):
     assert minhash.near_duplicates(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_large_clusters_in_blocks(spark):
+    rng = np.random.default_rng(9)
+    base, texts = [f"w{j}" for j in range(100)], []
+    for i in range(60):  # a chain: each differs a little from the one before, far ones aren't linked themselves
+        base[int(rng.integers(0, 100))] = f"n{i}"
+        texts.append(" ".join(base))
+    texts += [" ".join(f"u{j}" for j in range(30)), "none of these"]
+    got = minhash.near_duplicates(docs(spark, texts), percent=80, cluster_docs=7).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id, r.kept) for r in got] == naive_components(texts, 80)
+    assert len({r.component_id for r in got}) < 30
+
+
 def test_long_lists_and_null_ids(spark):
     many = [" ".join(f"w{j}" for j in range(60)) + f" tail{i}" for i in range(60)] + ["other words here and there now"]
     got = minhash.near_duplicates(docs(spark, many), percent=85).orderBy("doc_id").collect()
