@@ -5,8 +5,6 @@ Results are written to a folder that the session shares and read again, so that
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from annospark.operators import extend, sessions
@@ -31,13 +29,7 @@ def _add(name: str, sql: str | None = None):
     return put
 
 
-def _folder(spark, name: str) -> str:
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/annospark-checkpoints"))
-    return f"{sc.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
-
-
+_folder = tables.shared_folder
 _VTC = SQL + " select uid, onset_ms, offset_ms, label from vtc"
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from annospark.operators import explore, frames, intervals, sessions, stats, tiling
 from annospark.functions.columns import rounded, rounded_sql
-from annospark.sources import derive
+from annospark.sources import derive, tables
 from annospark.sources.derive import FRAMES_SQL, LABELS, SQL, WINDOWS_SQL
 
 from .agreement_plans import islands
@@ -121,7 +121,14 @@ val as (select g.uid, g.clip_idx, g.onset_ms, g.offset_ms, g.label, {rounded_sql
 
 
 def _val(s, d):
-    return stats.join_segment_snr(_seg(s, d).drop("rel_on_ms", "rel_off_ms"), _snr(s, d))
+    """Segments by clip with snr and c50: several statistics read them, so they are written once."""
+    tables.checkpoint_ready(s)
+    return stats.join_segment_snr(_seg(s, d).drop("rel_on_ms", "rel_off_ms"), _snr(s, d)).checkpoint()
+
+
+def _both(s, d):
+    val = _val(s, d)
+    return val.drop("snr", "c50"), val
 
 
 _add("c03_segment_stats", _VAL + " select * from val")(_val)
@@ -139,13 +146,13 @@ convs as (select *, lead(onset_ms) over (partition by uid, clip_idx order by con
 ts as (select t.uid, t.clip_idx, t.turn_idx, t.label, t.onset_ms, t.offset_ms, t.n_segments, avg(v.snr) as snr_mean, avg(v.c50) as c50_mean from turns t left join val v on v.uid = t.uid and v.clip_idx = t.clip_idx and v.onset_ms >= t.onset_ms and v.offset_ms <= t.offset_ms group by all),
 cs as (select t.uid, t.clip_idx, t.conv_idx, t.onset_ms, t.offset_ms, t.n_turns, t.is_multi_speaker, t.labels, t.n_transitions, t.gap_after_ms, avg(v.snr) as snr_mean, avg(v.c50) as c50_mean from convs t left join val v on v.uid = t.uid and v.clip_idx = t.clip_idx and v.onset_ms >= t.onset_ms and v.offset_ms <= t.offset_ms group by all)"""
 _round = lambda df: df.withColumns({"snr_mean": rounded(F.col("snr_mean"), 4), "c50_mean": rounded(F.col("c50_mean"), 4)})
-_add("d15_turn_stats", _TURNC + " select * replace (floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean, floor(c50_mean * 10000::double + 0.500001) / 10000::double as c50_mean) from ts")(lambda s, d: _round(stats.turn_stats(_seg(s, d), _val(s, d))))
-_add("d16_conversation_stats", _TURNC + " select * replace (floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean, floor(c50_mean * 10000::double + 0.500001) / 10000::double as c50_mean) from cs")(lambda s, d: _round(stats.conversation_stats(_seg(s, d), _val(s, d))))
-_add("c04_contained_means", _TURNC + " select uid, clip_idx, turn_idx, floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean from ts where snr_mean is not null")(lambda s, d: stats.turn_stats(_seg(s, d), _val(s, d)).where("snr_mean is not null").select("uid", "clip_idx", "turn_idx", rounded(F.col("snr_mean"), 4).alias("snr_mean")))
+_add("d15_turn_stats", _TURNC + " select * replace (floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean, floor(c50_mean * 10000::double + 0.500001) / 10000::double as c50_mean) from ts")(lambda s, d: _round(stats.turn_stats(*_both(s, d))))
+_add("d16_conversation_stats", _TURNC + " select * replace (floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean, floor(c50_mean * 10000::double + 0.500001) / 10000::double as c50_mean) from cs")(lambda s, d: _round(stats.conversation_stats(*_both(s, d))))
+_add("c04_contained_means", _TURNC + " select uid, clip_idx, turn_idx, floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean from ts where snr_mean is not null")(lambda s, d: stats.turn_stats(*_both(s, d)).where("snr_mean is not null").select("uid", "clip_idx", "turn_idx", rounded(F.col("snr_mean"), 4).alias("snr_mean")))
 _add("d17_transition_stats", _TURNC + """, r1 as (select *, lag(label) over w as from_label, onset_ms - lag(offset_ms) over w as gap_ms, lag(offset_ms - onset_ms) over w as from_ms, offset_ms - onset_ms as to_ms from tc window w as (partition by uid, clip_idx, conv_idx order by turn_idx))
 select uid, clip_idx, conv_idx, turn_idx, from_label, label as to_label, gap_ms, from_ms, to_ms from r1 where from_label <> label""")(lambda s, d: sessions.transitions(sessions.tag_conversations(sessions.turns(_seg(s, d), stats.CLIP), stats.CLIP), stats.CLIP))
 _add("d19_recomputed_conversations", _TURNC.replace("<= 300", "<= 600").replace("< 10000", "< 5000") + " select uid, clip_idx, conv_idx, onset_ms, offset_ms, n_turns, n_transitions from cs")(
-    lambda s, d: stats.conversation_stats(_seg(s, d), _val(s, d), turn_gap_ms=600, gap_ms=5_000).select("uid", "clip_idx", "conv_idx", "onset_ms", "offset_ms", "n_turns", "n_transitions")
+    lambda s, d: stats.conversation_stats(*_both(s, d), turn_gap_ms=600, gap_ms=5_000).select("uid", "clip_idx", "conv_idx", "onset_ms", "offset_ms", "n_turns", "n_transitions")
 )
 _SC = """,
 sc as (select uid, clip_idx, """ + ", ".join(f"{rounded_sql(f'{f}({c})', 1)} as {c}_{n}" for c in ("snr", "c50") for f, n in (("avg", "mean"), ("stddev_samp", "std"), ("min", "min"), ("max", "max"))) + " from val group by uid, clip_idx)"
@@ -160,8 +167,14 @@ coalesce(speech_ms, 0) / (c.offset_ms - c.onset_ms)::double as speech_density, c
 from clips c left join sp using (uid, clip_idx) left join lab using (uid, clip_idx) left join dm using (uid, clip_idx) left join ch using (uid, clip_idx) left join vt using (uid, clip_idx) left join fi using (uid, clip_idx) left join cv2 using (uid, clip_idx) left join sc using (uid, clip_idx))"""
 
 
-def _cstat(s, d):
-    return stats.clip_stats(_fixed(s, d), _seg(s, d).drop("rel_on_ms", "rel_off_ms"), _vseg(s, d).drop("rel_on_ms", "rel_off_ms"), _val(s, d))
+def _cstat(s, d, both=None):
+    seg, val = both or _both(s, d)
+    return stats.clip_stats(_fixed(s, d), seg, _vseg(s, d).drop("rel_on_ms", "rel_off_ms").checkpoint(), val)
+
+
+def _file_stats(s, d):
+    both = _both(s, d)
+    return stats.file_stats(_cstat(s, d, both), stats.conversation_stats(*both), stats.turn_stats(*both))
 
 
 _add("d07_clip_stats", _FULL + " select * from cstat")(_cstat)
@@ -169,7 +182,7 @@ _FILE = _FULL + """,
 fb0 as (select uid, count(*) as n_clips, sum(offset_ms - onset_ms)::bigint as total_ms, sum(speech_ms)::bigint as speech_ms, sum(vad_ms)::bigint as vad_ms, """ + ", ".join(f"sum(dur_{x.lower()}_ms)::bigint as dur_{x.lower()}_ms" for x in LABELS) + """, avg(snr_mean) as snr_mean, avg(c50_mean) as c50_mean from cstat group by uid),
 ft as (select uid, count(*) as n_turns, avg(offset_ms - onset_ms) as mean_turn_ms from turns group by uid), fc as (select uid, count(*) as n_conversations, avg(offset_ms - onset_ms) as mean_conv_ms, avg(n_turns) as mean_turns_per_conv from convs group by uid)
 select uid, n_clips, total_ms, speech_ms, vad_ms, """ + ", ".join(f"dur_{x.lower()}_ms" for x in LABELS) + """, floor(snr_mean * 10000::double + 0.500001) / 10000::double as snr_mean, floor(c50_mean * 10000::double + 0.500001) / 10000::double as c50_mean, speech_ms / total_ms::double as density, coalesce(n_turns, 0) as n_turns, mean_turn_ms, coalesce(n_conversations, 0) as n_conversations, mean_conv_ms, mean_turns_per_conv from fb0 left join ft using (uid) left join fc using (uid)"""
-_add("d18_file_stats", _FILE)(lambda s, d: _round(stats.file_stats(_cstat(s, d), stats.conversation_stats(_seg(s, d), _val(s, d)), stats.turn_stats(_seg(s, d), _val(s, d)))))
+_add("d18_file_stats", _FILE)(lambda s, d: _round(_file_stats(s, d)))
 _METRICS = ["speech_ms", "n_segments", "mean_segment_ms", "n_labels", "child_fraction", "n_turns", "vad_ms", "frame_iou", "n_conversations", "n_conv_turns", "snr_mean", "c50_mean", "speech_density"]
 _CORR = _FULL + ", co as (" + " union all ".join(f"select '{a}' as a, '{b}' as b, corr({a}, {b}) as r from cstat" for a in _METRICS for b in _METRICS) + ")"
 _add("d20_correlations", _CORR + " select a, b, round(r, 6) as r from co")(lambda s, d: stats.correlations(_cstat(s, d), _METRICS).withColumn("r", F.round("r", 6)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,6 +63,19 @@ def read_log(spark: SparkSession, path: str, schema: str, step: str | None = Non
     return out.where(F.col("step") == step) if step else out
 
 
+def checkpoint_ready(spark: SparkSession) -> None:
+    """Sets a checkpoint folder only where the session has none, as in tests."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/annospark-checkpoints"))
+
+
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A fresh name below the checkpoint folder, which driver and executors share."""
+    checkpoint_ready(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 class ParquetStore:
     """Rows by key in a partitioned Parquet folder: load, save, exists, list_ids. Saving an id replaces its rows."""
 
