@@ -79,3 +79,8 @@ def decode_label(i: Column, ids: dict[str, int]) -> Column:
     for name, n in ids.items():
         out = F.when(i == n, F.lit(name)).otherwise(out)
     return out
+
+
+def seeded(key: Column, *seeds: int) -> Column:
+    """Hash of a key and seeds that any engine with md5 can tell: rows ordered by it are a fixed random permutation."""
+    return F.md5(F.concat_ws(":", key.cast("string"), *[F.lit(str(x)) for x in seeds]))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annospark.functions.columns import seeded
+
 
 def shares(rows: DataFrame, value: str) -> DataFrame:
     """rows with share_pct of the total; the total is one row."""
@@ -37,7 +39,7 @@ def sample(rows: DataFrame, size: int | float, seed: int = 42, key: str = "uid")
         size = max(1, round(n * size))
     if size >= n:
         return rows
-    return rows.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(size)
+    return rows.orderBy(seeded(F.col(key), seed), key).limit(size)
 
 
 def even_shards(rows: DataFrame, count: int, order: Sequence[str]) -> DataFrame:
@@ -62,7 +64,7 @@ def diverse_sample(rows: DataFrame, buckets: Sequence[tuple[str, Column, int]],
 
     A row's bucket is the first whose condition it meets within that bucket's quota; conditions and ranks are columns, so this stays one plan.
     """
-    h = F.xxhash64(F.col(key), F.lit(seed))
+    h = seeded(F.col(key), seed)
     taken, left = None, rows.withColumn("_h", h)
     for name, condition, quota in buckets:
         picked = left.where(condition).orderBy("_h", key).limit(quota).withColumn("bucket", F.lit(name))
@@ -107,3 +109,20 @@ def tidy(rows: DataFrame, section: str, metrics: dict[str, Column]) -> DataFrame
     """Aggregates as rows (section, metric, value)."""
     one = rows.agg(*[c.cast("double").alias(k) for k, c in metrics.items()])
     return one.unpivot([], list(metrics), "metric", "value").select(F.lit(section).alias("section"), "metric", "value")
+
+
+def length_summary(rows: DataFrame, length: Column, key: str = "label") -> DataFrame:
+    """Count, sum, mean and greatest length by key."""
+    return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum(length).alias("total"), F.avg(length).alias("mean"), F.max(length).alias("longest"))
+
+
+def upper_median(rows: DataFrame, value: str, key: str) -> DataFrame:
+    """The element in the upper middle of each key's values; nulls don't count."""
+    w = Window.partitionBy(key)
+    ranked = rows.where(F.col(value).isNotNull()).select(key, value, F.row_number().over(w.orderBy(value)).alias("_rn"), F.count("*").over(w).alias("_n"))
+    return ranked.where(F.col("_rn") == F.floor(F.col("_n") / 2) + 1).select(key, value)
+
+
+def eta(rates: DataFrame, todo: DataFrame, key: str = "step") -> DataFrame:
+    """Expected seconds of each step: bytes to do over its rate for all workers (null without a rate)."""
+    return todo.join(rates, key, "left").withColumn("eta_s", F.try_divide(F.col("bytes").cast("double"), F.col("rate") * F.col("workers")))

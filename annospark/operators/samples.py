@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annospark.functions.columns import seeded
+
 from . import intervals
 
 
@@ -109,6 +111,6 @@ def collate_scalar(x: Column, batch: Column) -> Column:
 
 def epoch_order(rows: DataFrame, key: str, seed: int, epoch: int, workers: int) -> DataFrame:
     """Deals rows to workers by a seeded hash and gives each its place in the worker's order of this epoch."""
-    h = F.xxhash64(F.col(key), F.lit(seed), F.lit(epoch))
-    x = rows.withColumn("worker", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(workers)))
-    return x.withColumn("place", F.row_number().over(Window.partitionBy("worker").orderBy(h, key)))
+    deal = F.conv(F.substring(seeded(F.col(key), seed), 1, 8), 16, 10).cast("long")
+    x = rows.withColumn("worker", F.pmod(deal, F.lit(workers)))
+    return x.withColumn("place", F.row_number().over(Window.partitionBy("worker").orderBy(seeded(F.col(key), seed, epoch), key)))

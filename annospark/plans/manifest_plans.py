@@ -102,7 +102,8 @@ _add("g06_except", "select user_id from (select distinct user_id from events exc
 _add("f06_multi_key_sort", SQL + " select uid, label, onset_ms from vtc order by uid, label, onset_ms")(lambda s, d: derive.vtc(s, d).select("uid", "label", "onset_ms").orderBy("uid", "label", "onset_ms"))
 _add("a15_adapters", _SOURCES + " select wav_id, snr_mean, 'snr' as source from ms where snr_mean > 0")(lambda s, d: manifest.contract(_stages(s, d)["snr"].where("snr_mean > 0").select("wav_id", "snr_mean").withColumn("source", F.lit("snr"))))
 
-# Sampling and exploration. Hash orders are engine-specific, so counts and membership rules are what SQL holds.
+# Sampling and exploration.
+_add("b10_sample", "select user_id as uid from (select distinct user_id from events) order by md5(user_id::varchar || ':42'), user_id limit 20")(lambda s, d: explore.sample(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct(), 20))
 _add("b10_sample_count", "select least(20, count(distinct user_id))::int as n_int, greatest(1, round(count(distinct user_id) * 0.25))::int as n_fraction, count(distinct user_id)::int as n_all from events")(
     lambda s, d: (lambda u: s.range(1).select(*[F.lit(x).cast("int").alias(n) for n, x in (("n_int", explore.sample(u, 20).count()), ("n_fraction", explore.sample(u, 0.25).count()), ("n_all", explore.sample(u, 10**9).count()))]))(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct())
 )
@@ -118,7 +119,11 @@ _add("b12_long_turns", _LONG + ", bk as (select *, case when len_s < 30 then '10
     lambda s, d: _long(s, d).where("len_s >= 10").withColumn("bucket", explore.duration_buckets(F.col("len_s"), 10)).groupBy("bucket").agg(F.count("*").alias("n"), F.round(F.sum("len_s"), 6).alias("total_s"))
 )
 _add("b13_short_stem", "select page_id, array_to_string(list_slice(string_split(replace(url, '/', '_'), '_'), -2, len(string_split(replace(url, '/', '_'), '_'))), '_') as short from pages")(lambda s, d: table(s, d, "pages").select("page_id", C.short_stem(F.replace("url", F.lit("/"), F.lit("_"))).alias("short")))
-_add("b15_diverse_sample")(
+_add("b15_diverse_sample", CLIPS + """, z as (select uid || '_' || printf('%04d', clip_idx) as clip_id, sum(offset_ms - onset_ms)::bigint as speech_ms, count(*) as n from seg group by uid, clip_idx), h as (select *, md5(clip_id || ':42') as h from z),
+p1 as (select *, 'dense' as bucket from h where speech_ms > 100000 order by h, clip_id limit 5), p2 as (select *, 'busy' as bucket from h where n > 8 and clip_id not in (select clip_id from p1) order by h, clip_id limit 5),
+p3 as (select *, 'quiet' as bucket from h where speech_ms < 20000 and clip_id not in (select clip_id from p1 union all select clip_id from p2) order by h, clip_id limit 5),
+p as (select * from p1 union all select * from p2 union all select * from p3), f as (select *, 'fill' as bucket from h where clip_id not in (select clip_id from p) order by h, clip_id limit 40)
+select clip_id, bucket, speech_ms from (select * from p union all select * from f) order by bucket = 'fill', h, clip_id limit 40""")(
     lambda s, d: explore.diverse_sample(stats.clip_speech(_seg(s, d)).withColumn("clip_id", C.clip_key(F.col("uid"), F.col("clip_idx"))), [("dense", F.col("speech_ms") > 100_000, 5), ("busy", F.col("n_segments") > 8, 5), ("quiet", F.col("speech_ms") < 20_000, 5)], 40).select("clip_id", "bucket", "speech_ms")
 )
 _add("b16_pick_clips", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as clip_id, onset_ms, offset_ms from clips where uid || '_' || printf('%04d', clip_idx) in ('3_0001', '17_0004', '90_0000')")(
@@ -158,8 +163,9 @@ _add("d42_file_sizes", "with x as (select page_id, case when page_id % 9 <> 0 th
 _add("d47_run_summary", "select sum((value > 100)::int)::bigint as n_ok, sum((value <= 100)::int)::bigint as n_failed, round(avg(case when value > 100 then value end), 6) as mean_ok, round(stddev_samp(case when value > 100 then value end), 6) as std_ok, min(case when value > 100 then value end) as min_ok, max(case when value > 100 then value end) as max_ok from events where value is not null")(
     lambda s, d: (lambda ok: table(s, d, "events").where("value is not null").agg(F.sum((F.col("value") > 100).cast("long")).alias("n_ok"), F.sum((F.col("value") <= 100).cast("long")).alias("n_failed"), F.round(F.avg(ok), 6).alias("mean_ok"), F.round(F.stddev_samp(ok), 6).alias("std_ok"), F.min(ok).alias("min_ok"), F.max(ok).alias("max_ok")))(F.when(F.col("value") > 100, F.col("value")))
 )
-_add("d43_upper_median", "select event_type, list(value order by value)[count(*) // 2 + 1] as upper_median from events where value is not null group by event_type")(
-    lambda s, d: table(s, d, "events").where("value is not null").selectExpr("event_type", "value", "row_number() over (partition by event_type order by value) as rn", "count(*) over (partition by event_type) as n").where("rn = floor(n / 2) + 1").selectExpr("event_type", "value as upper_median")
+_add("d43_upper_median", "select event_type, list(value order by value)[count(*) // 2 + 1] as value from events where value is not null group by event_type")(lambda s, d: explore.upper_median(table(s, d, "events"), "value", "event_type"))
+_add("d43_eta", "with m as (select event_type as step, list(value order by value)[count(*) // 2 + 1] as rate from events where value is not null group by event_type), t as (select event_type as step, count(*) * 1000 as bytes, 4 as workers from events group by event_type) select step, bytes, workers, rate, bytes::double / nullif(rate * workers, 0) as eta_s from t left join m using (step)")(
+    lambda s, d: explore.eta(explore.upper_median(table(s, d, "events"), "value", "event_type").toDF("step", "rate"), table(s, d, "events").groupBy(F.col("event_type").alias("step")).agg((F.count("*") * 1000).alias("bytes"), F.first(F.lit(4)).alias("workers")))
 )
 _add("h13_json", SQL + ", c as (select uid, label, count(*) as n from vtc group by uid, label) select uid, '{' || string_agg('\"' || label || '\":' || n, ',' order by label) || '}' as counts from c group by uid")(
     lambda s, d: derive.vtc(s, d).groupBy("uid", "label").count().groupBy("uid").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "count"))))).alias("counts"))
@@ -215,7 +221,12 @@ _add("h12_collate", "with z as (select event_id, user_id, case when user_id % 3
 _add("h16_sample_range", SQL + " select uid, onset_ms, label, onset_ms * 16000 // 1000 as first, least(offset_ms * 16000 // 1000, dur_ms * 16 - 200000) as stop from vtc join dur using (uid) where onset_ms * 16000 // 1000 < least(offset_ms * 16000 // 1000, dur_ms * 16 - 200000)")(
     lambda s, d: (lambda r: derive.vtc(s, d).join(derive.durations(s, d), "uid").select("uid", "onset_ms", "label", r[0].alias("first"), r[1].alias("stop")).where("first < stop"))(samples.sample_range(F.col("onset_ms"), F.col("offset_ms"), 16_000, F.col("dur_ms") * 16 - 200_000))
 )
-_add("i04_epoch_order", "select 4::bigint as n_workers, count(*) as n, count(*) as n_distinct from embeddings")(lambda s, d: samples.epoch_order(table(s, d, "embeddings").select("vec_id"), "vec_id", 42, 1, 4).agg(F.countDistinct("worker").alias("n_workers"), F.count("*").alias("n"), F.countDistinct("worker", "place").alias("n_distinct")))
+_add("i04_epoch_order", "with z as (select vec_id, ('0x' || substr(md5(vec_id || ':42'), 1, 8))::bigint % 4 as worker, md5(vec_id || ':42:1') as h from embeddings) select vec_id, worker, row_number() over (partition by worker order by h, vec_id)::int as place from z")(
+    lambda s, d: samples.epoch_order(table(s, d, "embeddings").select("vec_id"), "vec_id", 42, 1, 4)
+)
+_add("d38_long_turn_summary", _LONG + " select label, count(*) as n, round(sum(len_s), 6) as total, round(avg(len_s), 6) as mean, max(len_s) as longest from lt where len_s >= 10 group by label")(
+    lambda s, d: explore.length_summary(_long(s, d).where("len_s >= 10"), F.col("len_s")).withColumns({"total": F.round("total", 6), "mean": F.round("mean", 6)})
+)
 
 # Export documents.
 _add("a13_clip_manifest", CLIPS + ", z as (select uid, clip_idx, string_agg(distinct label, ';' order by label) as labels, " + ", ".join(f"sum(case when label = '{x}' then offset_ms - onset_ms else 0 end)::bigint as dur_{x}" for x in derive.LABELS) + " from seg group by uid, clip_idx) select * from z")(
