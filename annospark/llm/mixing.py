@@ -51,11 +51,11 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), share
     return t.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, *, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, quality: Column | None = None, seed: int = 17, ranges: int = 512) -> DataFrame:
+def mix(docs: DataFrame, *, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, size: Column | None = None, quality: Column | None = None, seed: int = 17, ranges: int = 512) -> DataFrame:
     """How many words of each document the mix takes: rows (doc_id, size, source_size, target, taken, epochs, part).
 
-    `docs` needs doc_id, source and text, or `size` where the words are counted already (so that a join before needn't
-    move texts); other columns are ignored. `quality` is the positive weight of a row (default 1;
+    `docs` needs doc_id, source and text; give `size` where the words are counted already, so that a join before needn't
+    move texts. Other columns are ignored. `quality` is the positive weight of a row (default 1;
     null or not positive counts as 1). epochs is how often the whole document is taken, part the words that the
     fractional selection adds: its whole size, or what the budget still had for the one document that
     crosses it, so that a source's words add up to its target rounded to a word.
@@ -64,8 +64,7 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = (3, 1, 2), share: float =
     """
     u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed)))), 1, 12), 16, 10).cast("double") + 1) / F.lit(float(2**48 + 1))
     weight = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(F.lit(1.0))
-    size = F.col("size") if "size" in docs.columns else word_count()
-    rows = docs.select("doc_id", "source", size.alias("size"), (-F.log(u) / weight).alias("key"))
+    rows = docs.select("doc_id", "source", (word_count() if size is None else size).alias("size"), (-F.log(u) / weight).alias("key"))
     # 1 - exp(-key) is monotone in the key and close to uniform, so ranges hold about as many rows each.
     rows = rows.select("doc_id", "size", "key", F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), F.floor((1 - F.exp(-F.col("key"))) * ranges).cast("int").alias("slot"))
     sums = rows.groupBy("none", "src", "slot").agg(F.sum("size").alias("slot_size"))

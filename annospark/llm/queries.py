@@ -45,7 +45,7 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     weights = mixing.quality_weight(_table(spark, sf_dir, "labels"))
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size")).join(weights, "doc_id", "left")
-    return mixing.mix(docs, weights=(3, 1, 2), share=1.5, max_epochs=2, quality=F.col("quality_weight"))
+    return mixing.mix(docs, weights=(3, 1, 2), share=1.5, max_epochs=2, size=F.col("size"), quality=F.col("quality_weight"))
 
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
