@@ -240,7 +240,7 @@ def test_targets_share_the_excess(spark):
 def test_mix(spark):
     rng = np.random.default_rng(2)
     rows = [(i, " w" * int(rng.integers(0, 50)) if i % 9 else None, ["x", "y", "z", None][i % 4] if i % 3 else "x", 1) for i in range(500)]
-    df = spark.createDataFrame([*rows, rows[1], rows[1]], "doc_id long, text string, source string, target int")
+    df = spark.createDataFrame([*rows, rows[1], rows[1]], "doc_id long, text string, source string, size int")
     got = mixing.mix(df, ranges=16).collect()
     assert len(got) == 502
     size = {r[0]: len((r[1] or "").split()) for r in rows}

@@ -1,5 +1,7 @@
 """The pipeline's stages, each held against a plain version of what it should keep."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from annospark.llm import common, decontam, langid, minhash, mixing
 
@@ -32,6 +34,23 @@ def test_stages(spark, tmp_path):
     assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
 
 
+def test_odd_rows(spark):
+    """Nulls in any column, repeated rows, extra columns whose names clash with the operators' own."""
+    sf = "/root/testdata/sf0.001"
+    some = spark.read.parquet(f"{sf}/documents.parquet").limit(40)
+    odd = spark.createDataFrame([(1001, None, None, None, None), (1002, "", "en", None, 0), (None, "the and of to in that", None, "s", None), (1003, "...", None, "s", 3)], some.schema)
+    docs = some.unionByName(odd).unionByName(some.limit(3)).withColumns({"score": F.lit("x"), "size": F.lit(-1), "rejected": F.lit(7), "times": F.lit(None).cast("int"), "hash": F.lit(0), "rep": F.lit("y")})
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, sf)
+        if name == "token_ids":
+            assert out.count() == docs.count()
+        else:
+            assert out.columns == docs.columns
+            rows = out.collect()
+            assert all((r["score"], r["size"], r["rejected"], r["rep"]) == ("x", -1, 7, "y") for r in rows)
+            assert 0 < len(rows) <= 2 * docs.count()
+
+
 def test_runs_on_an_empty_table(spark, tmp_path):
     sf = "/root/testdata/sf0.001"
     none = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
