@@ -18,11 +18,12 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what language ID rejects: null texts, texts without letters, and narrow margins between languages."""
     ship_package(spark)
     profiles = langid.learn_profiles(docs.where(id_remainder() != HELD_OUT))
-    return langid.identify(docs, profiles).where(~F.col("rejected")).select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
+    return langid.identify(rows, profiles).where(~F.col("rejected")).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates (five words, 0.8), and one row of an id."""
+    """Keeps the document with the smallest doc_id of each group of near-duplicates (five words, 0.8), one row of an id; null ids go."""
     ship_package(spark)
     kept = minhash.near_duplicates(docs, percent=80, size=5).where("kept").select("doc_id").distinct()
     return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
@@ -32,18 +33,22 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     """Drops documents that hold ten successive words of a benchmark item, or all of a shorter one."""
     ship_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    hits = decontam.phrase_hits(docs, items).select("doc_id").distinct()
-    return docs.join(hits, "doc_id", "left_anti").select(*docs.columns)
+    hits = decontam.phrase_hits(docs, items).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return docs.join(hits, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left_anti")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats each document as often as the mix takes it in whole; one that the mix takes in part counts from half its words on."""
+    """Repeats each document as often as the mix takes it in whole; one that the mix takes in part counts from half its words on.
+
+    Rows that share an id are repeated alike, as often as the mix takes the one it takes most; null ids go.
+    """
     weights = mixing.quality_weight(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = docs.select("doc_id", "source", mixing.word_count().alias("size")).join(weights, "doc_id", "left")
-    taken = mixing.mix(rows, weights=(3, 1, 2), share=1.5, max_epochs=2, quality=F.col("quality_weight"))
+    taken = mixing.mix(rows, weights=(3, 1, 2), share=1.5, max_epochs=2, size=F.col("size"), quality=F.col("quality_weight"))
     times = (F.col("epochs") + F.when((F.col("size") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)).cast("int")
-    times = taken.select("doc_id", times.alias("times")).where("times > 0")
-    return docs.join(times, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times")))).select(*docs.columns)
+    times = taken.groupBy("doc_id").agg(F.max(times).alias("_times")).where("_times > 0")
+    repeated = docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    return repeated.select(*docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
