@@ -56,7 +56,7 @@ class InvertedFiles:
         return total
 
 
-def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, n_pivots: int = 96, order_length: int = 64, share: float = 0.25, least: int = 512, shard_rows: int = 4096, query_block: int = 256, seed: int = 11) -> DataFrame:
+def search(vectors: DataFrame, queries: DataFrame, *, k: int = 10, n_pivots: int = 96, order_length: int = 64, share: float = 0.125, least: int = 512, shard_rows: int = 4096, query_block: int = 256, seed: int = 11) -> DataFrame:
     """The k nearest of `vectors` by Euclidean distance for each row of `queries`: (query_id, rank, vec_id, score).
 
     Both tables have vec_id and embedding; other columns are ignored. A query never finds its own id. score is the distance of the original vectors in

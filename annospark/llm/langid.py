@@ -26,15 +26,19 @@ def learn_profiles(docs: DataFrame, per_language: int = 64, dict_bytes: int = 11
     """Dictionary content by language from rows (doc_id, text, lang).
 
     The bound on what is learned from is `per_language` rows, those with the smallest hash of their id, and
-    `dict_bytes` of their text, whole texts in turn until the bytes are full. Null languages, null and empty texts
-    are left out; repeated rows count once. Only the bounded sample reaches the driver. No rows give {}.
+    `dict_bytes` of their text, whole texts in turn until the bytes are full. Null languages and ids, null and empty
+    texts are left out; repeated rows count once. Only the bounded sample reaches the driver. No rows give {}.
     """
-    rows = docs.where("lang is not null and text is not null and length(text) > 0").select("lang", "text", F.xxhash64("doc_id").alias("h"))
+    known = docs.where("lang is not null and doc_id is not null and text is not null and length(text) > 0")
+    rows = known.select("lang", "doc_id", F.xxhash64("doc_id").alias("h"))
     for part in (Window.partitionBy("lang", F.pmod("h", F.lit(64))), Window.partitionBy("lang")):  # a frequent language is cut down in 64 groups first
-        rows = rows.withColumn("n", F.row_number().over(part.orderBy("h", F.xxhash64("text")))).where(F.col("n") <= per_language).drop("n")
-    rows = rows.select("lang", "h", F.substring("text", 1, dict_bytes).alias("text"))
+        rows = rows.withColumn("n", F.row_number().over(part.orderBy("h", "doc_id"))).where(F.col("n") <= per_language).drop("n")
+    picked = [r.doc_id for r in rows.select("doc_id").distinct().collect()]  # per_language ids for each language
+    if not picked:
+        return {}
+    rows = known.where(F.col("doc_id").isin(picked)).select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, dict_bytes).alias("text"))
     texts: dict[str, dict] = {}
-    for r in sorted(rows.toLocalIterator(), key=lambda r: (r.lang, r.h)):
+    for r in sorted(rows.toLocalIterator(), key=lambda r: (r.lang, r.h, r.text)):
         texts.setdefault(r.lang, {})[r.text.encode()] = None
     out = {}
     for lang, parts in texts.items():
