@@ -234,7 +234,7 @@ def _cats(s, d):
 
 _add("h02_categories", _MAP + " select * from cat")(_cats)
 _add("h01_category_vector", _MAP + ", p as (pivot (select uid, bin, category, prob from cat where map = 'new' and category <> 'other') on category in ('cat0', 'cat1', 'cat2', 'cat3', 'cat4', 'cat5', 'cat6') using max(prob) group by uid, bin) select uid, bin, " + ", ".join(f"cat{k} as prob_cat{k}" for k in range(7)) + " from p")(
-    lambda s, d: derive.table(s, d, "embeddings").selectExpr("label as uid", "row_number() over (partition by label order by vec_id) - 1 as bin", "transform(embedding, x -> abs(cast(x as double))) as probs").select("uid", "bin", *frames.category_vector(F.col("probs"), _CATS))
+    lambda s, d: derive.table(s, d, "embeddings").selectExpr("label as uid", "cast(row_number() over (partition by label order by vec_id) - 1 as bigint) as bin", "transform(embedding, x -> abs(cast(x as double))) as probs").select("uid", "bin", *frames.category_vector(F.col("probs"), _CATS))
 )
 _add("h03_upsample", _MAP + " select uid, category, bin * 3 + k as bin, prob from cat, unnest([0, 1, 2]) t(k) where map = 'new'")(lambda s, d: frames.upsample(_cats(s, d).where("map = 'new'").select("uid", "category", F.col("bin").cast("long").alias("bin"), "prob"), 3))
 _add("h04_fixed_windows", "select vec_id, w::bigint as win_idx, [coalesce(embedding[w * 20 + j + 1], 0) for j in range(20)]::varchar as samples from embeddings, unnest(range(0, 4)) t(w)")(

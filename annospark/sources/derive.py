@@ -50,7 +50,7 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class probabilities by window: uid, bin, class_idx, prob."""
-    rows = table(spark, sf_dir, "embeddings").selectExpr("label as uid", "row_number() over (partition by label order by vec_id) - 1 as bin", "embedding")
+    rows = table(spark, sf_dir, "embeddings").selectExpr("label as uid", "cast(row_number() over (partition by label order by vec_id) - 1 as bigint) as bin", "embedding")
     return rows.selectExpr("uid", "bin", "posexplode(embedding) as (class_idx, x)").selectExpr("uid", "bin", "class_idx", "abs(cast(x as double)) as prob")
 
 
