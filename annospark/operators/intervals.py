@@ -19,7 +19,8 @@ def merge(df: DataFrame, keys: Sequence[str] = ("uid",), collar_ms: int = 0, min
     w = Window.partitionBy(*keys).orderBy("onset_ms", "offset_ms")
     reach = F.max("offset_ms").over(w.rowsBetween(Window.unboundedPreceding, -1))
     rows = df.select(*keys, "onset_ms", "offset_ms").withColumn("fresh", F.coalesce(F.col("onset_ms") > reach + collar_ms, F.lit(True)).cast("int"))
-    rows = rows.withColumn("island", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # Equal intervals count as one step, in whichever order they come.
+    rows = rows.withColumn("island", F.sum("fresh").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     out = rows.groupBy(*keys, "island").agg(F.min("onset_ms").alias("onset_ms"), F.max("offset_ms").alias("offset_ms")).drop("island")
     return out.where(F.col("offset_ms") - F.col("onset_ms") >= min_ms) if min_ms else out
 

@@ -15,11 +15,11 @@ def tag_turns(segments: DataFrame, keys: Sequence[str] = ("uid",), gap_ms: int =
     """segments with turn_idx, from 0: a new turn begins where the label changes or more than `gap_ms` passed since the label run's last end."""
     w = Window.partitionBy(*keys).orderBy("onset_ms", "label", "offset_ms")
     rows = segments.withColumn("swap", F.coalesce(F.col("label") != F.lag("label").over(w), F.lit(True)).cast("int"))
-    rows = rows.withColumn("label_run", F.sum("swap").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    rows = rows.withColumn("label_run", F.sum("swap").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     inner = Window.partitionBy(*keys, "label_run").orderBy("onset_ms", "label", "offset_ms")
     reach = F.max("offset_ms").over(inner.rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.withColumn("fresh", F.coalesce(F.col("onset_ms") - reach > gap_ms, F.lit(True)).cast("int"))
-    return rows.withColumn("turn_idx", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).drop("swap", "label_run", "fresh")
+    return rows.withColumn("turn_idx", F.sum("fresh").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - 1).drop("swap", "label_run", "fresh")
 
 
 def turns(segments: DataFrame, keys: Sequence[str] = ("uid",), gap_ms: int = TURN_GAP_MS) -> DataFrame:

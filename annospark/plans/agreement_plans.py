@@ -26,7 +26,7 @@ def islands(source: str, keys: str, collar: int = 0, least: int = 0, name: str =
     """CTE text of merged intervals."""
     return f""",
 {name}_a as (select {keys}, onset_ms, offset_ms, case when onset_ms > max(offset_ms) over (partition by {keys} order by onset_ms, offset_ms rows between unbounded preceding and 1 preceding) + {collar} then 1 else 0 end as fresh from {source}),
-{name}_b as (select *, sum(fresh) over (partition by {keys} order by onset_ms, offset_ms rows between unbounded preceding and current row) as island from {name}_a),
+{name}_b as (select *, sum(fresh) over (partition by {keys} order by onset_ms, offset_ms range between unbounded preceding and current row) as island from {name}_a),
 {name} as (select {keys}, min(onset_ms) as onset_ms, max(offset_ms) as offset_ms from {name}_b group by {keys}, island having max(offset_ms) - min(onset_ms) >= {least})"""
 
 
@@ -80,9 +80,9 @@ select uid, iou, dur_ms, coalesce(n_segments, 0) as n_segments, longest_ms, 0.5:
 # Turns and conversations.
 TURNS = SQL + """,
 t1 as (select *, case when label = lag(label) over (partition by uid order by onset_ms, label, offset_ms) then 0 else 1 end as swap from vtc),
-t2 as (select *, sum(swap) over (partition by uid order by onset_ms, label, offset_ms rows between unbounded preceding and current row) as lr from t1),
+t2 as (select *, sum(swap) over (partition by uid order by onset_ms, label, offset_ms range between unbounded preceding and current row) as lr from t1),
 t3 as (select *, case when onset_ms - max(offset_ms) over (partition by uid, lr order by onset_ms, label, offset_ms rows between unbounded preceding and 1 preceding) <= 300 then 0 else 1 end as fresh from t2),
-t4 as (select *, sum(fresh) over (partition by uid order by onset_ms, label, offset_ms rows between unbounded preceding and current row) - 1 as turn_idx from t3),
+t4 as (select *, sum(fresh) over (partition by uid order by onset_ms, label, offset_ms range between unbounded preceding and current row) - 1 as turn_idx from t3),
 turns as (select uid, turn_idx::bigint as turn_idx, min(label) as label, min(onset_ms) as onset_ms, max(offset_ms) as offset_ms, count(*) as n_segments from t4 group by uid, turn_idx)"""
 CONVS = TURNS + """,
 c1 as (select *, case when onset_ms - lag(offset_ms) over (partition by uid order by turn_idx) < 10000 then 0 else 1 end as fresh from turns),

@@ -134,9 +134,9 @@ def _both(s, d):
 _add("c03_segment_stats", _VAL + " select * from val")(_val)
 _TURNC = _VAL + """,
 t1 as (select *, case when label = lag(label) over (partition by uid, clip_idx order by onset_ms, label, offset_ms) then 0 else 1 end as swap from val),
-t2 as (select *, sum(swap) over (partition by uid, clip_idx order by onset_ms, label, offset_ms rows between unbounded preceding and current row) as lr from t1),
+t2 as (select *, sum(swap) over (partition by uid, clip_idx order by onset_ms, label, offset_ms range between unbounded preceding and current row) as lr from t1),
 t3 as (select *, case when onset_ms - max(offset_ms) over (partition by uid, clip_idx, lr order by onset_ms, label, offset_ms rows between unbounded preceding and 1 preceding) <= 300 then 0 else 1 end as fresh from t2),
-t4 as (select *, sum(fresh) over (partition by uid, clip_idx order by onset_ms, label, offset_ms rows between unbounded preceding and current row) - 1 as turn_idx from t3),
+t4 as (select *, sum(fresh) over (partition by uid, clip_idx order by onset_ms, label, offset_ms range between unbounded preceding and current row) - 1 as turn_idx from t3),
 turns as (select uid, clip_idx, turn_idx::bigint as turn_idx, min(label) as label, min(onset_ms) as onset_ms, max(offset_ms) as offset_ms, count(*) as n_segments from t4 group by uid, clip_idx, turn_idx),
 c1 as (select *, case when onset_ms - lag(offset_ms) over (partition by uid, clip_idx order by turn_idx) < 10000 then 0 else 1 end as fresh from turns),
 tc as (select *, (sum(fresh) over (partition by uid, clip_idx order by turn_idx rows between unbounded preceding and current row) - 1)::bigint as conv_idx from c1),
