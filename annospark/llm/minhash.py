@@ -87,7 +87,7 @@ def _sketch(size: int, k: int):
                 a = np.array([s.sum(dtype=np.uint64) for s in sets], np.uint64).view(np.int64)
                 x = np.array([np.bitwise_xor.reduce(mixed(s * _ODD[63])) if len(s) else 0 for s in sets], np.uint64).view(np.int64)
                 sig = [_signature(s, k).tobytes() for s in sets]
-                yield pa.RecordBatch.from_arrays([b.column("doc_id").slice(i, j - i), pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(x), pa.array(sig, pa.binary())], names=["doc_id", "n_shingles", "key_a", "key_b", "sig"])
+                yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in ("doc_id", "text_hash")], pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(x), pa.array(sig, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "key_a", "key_b", "sig"])
 
     return run
 
@@ -222,13 +222,24 @@ def _confirm(percent: int):
     return each
 
 
-def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, cluster_docs: int = 4096) -> DataFrame:
-    """Rows (doc_id, n_shingles, component_id, kept), one for each row of `docs`.
+def near_duplicates(docs: DataFrame, **options) -> DataFrame:
+    """Rows (doc_id, n_shingles, component_id, kept), one for each row of `docs`; options are those of `linked` but `null_ids`.
 
     n_shingles counts the distinct shingles of `size` words (a shorter text's whole sequence is one); component_id is the smallest
     doc_id reachable over links with 100 * shared >= percent * all shingles, kept whether that is the row's own. Null and empty
-    texts and those without words have no shingles and are linked with nothing. Repeated rows of an id share its component; null ids
-    aren't linked (component_id null, kept false). Other columns are ignored; an empty table gives an empty table.
+    texts and those without words have no shingles and are linked with nothing. Repeated rows share a component, different texts of
+    one id have each their own; null ids aren't linked (component_id null, kept false). Other columns are ignored; an empty table
+    gives an empty table.
+    """
+    own = F.col("head.doc_id")
+    return linked(docs, **options).select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
+
+
+def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, cluster_docs: int = 4096, null_ids: bool = False) -> DataFrame:
+    """Rows (doc_id, text_hash, n_shingles, head), one for each row of `docs`: head (none, doc_id, text_hash) is the least row that links reach.
+
+    A row is told by its id and the xxhash64 of its text, so different texts of one id are linked each for itself. Rows are ordered by
+    doc_id, null last, then text_hash. Null ids are linked if `null_ids`, otherwise each is its own head, as are rows without shingles.
     `buckets` (default: 2 for each shuffle partition) parts the postings; a task holds one bucket, and the shingles of two blocks of
     about `cluster_docs` documents of a cluster.
     """
@@ -236,15 +247,20 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int
     checkpoint_ready(spark)
     buckets = buckets or 2 * shuffle_parts(spark)
     need = needed_matches(k, percent / 100)
-    sketch = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_sketch(size, k), "doc_id long, n_shingles long, key_a long, key_b long, sig binary").checkpoint()
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    sketch = keyed.mapInArrow(_sketch(size, k), "doc_id long, text_hash long, n_shingles long, key_a long, key_b long, sig binary").checkpoint()
     key = ["n_shingles", "key_a", "key_b"]
-    classes = sketch.where("n_shingles > 0 and doc_id is not null").groupBy(*key).agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")).checkpoint()
+    row, may_link = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"), F.lit(null_ids) | F.col("doc_id").isNotNull()
+    classes = sketch.where((F.col("n_shingles") > 0) & may_link).groupBy(*key).agg(F.min(row).alias("head"), F.min("sig").alias("sig"))
+    classes = classes.withColumn("rep", F.monotonically_increasing_id()).checkpoint()  # numbers are fixed once they are written
     posted = classes.select("rep", "sig").mapInArrow(_post(k, k - need + 1, buckets), "bucket int, at binary, ids binary, sigs binary")
     links = posted.groupBy("bucket").applyInArrow(_links(k, need), "a long, b long")
     cluster = components(links).withColumnRenamed("node", "rep")
     sizes = cluster.groupBy("component").agg(F.ceil(F.count("*") / cluster_docs).cast("int").alias("blocks"))
     cluster = cluster.join(sizes, "component")
-    texts = docs.select("doc_id", "text").join(cluster, F.col("doc_id") == F.col("rep")).select("component", "blocks", "rep", "text")
+    # Null ids are spelt out as two columns, which joins by hash as eqNullSafe does.
+    places = cluster.join(classes.select("rep", "head"), "rep").select("component", "blocks", "rep", F.coalesce("head.doc_id", F.lit(0)).alias("id"), "head.none", "head.text_hash")
+    texts = keyed.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text_hash", "text").join(places, ["id", "none", "text_hash"]).select("component", "blocks", "rep", "text")
     sets = texts.mapInArrow(_sets(size), "component long, blocks int, rep long, shingles binary").dropDuplicates(["component", "rep"])
     own, other = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     cells = sets.withColumn("own", own).withColumn("other", other).select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "blocks", "rep", "shingles")
@@ -254,7 +270,8 @@ def near_duplicates(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int
         joined = components(large, "rep", "component_id").toDF("rep", "joined")
         large = large.select("rep").distinct().join(joined, "rep", "left").select("rep", F.coalesce("joined", "rep").alias("component_id"))
         found = found.where("blocks = 1").select("rep", "component_id").unionByName(large)
-    by_class = classes.select(*key, "rep").join(found, "rep", "left").select(*key, F.coalesce("component_id", "rep").alias("found"))
+    heads = found.join(classes.select("rep", "head"), "rep").groupBy("component_id").agg(F.min("head").alias("least"))
+    found = found.join(heads, "component_id").select("rep", "least")
+    by_class = classes.select(*key, "rep", "head").join(found, "rep", "left").select(*key, F.coalesce("least", "head").alias("found"))
     out = sketch.drop("sig").join(by_class, key, "left")
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("found", "doc_id"))
-    return out.select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
+    return out.select("doc_id", "text_hash", "n_shingles", F.coalesce(F.when(may_link, F.col("found")), row).alias("head"))

@@ -51,8 +51,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[float] = (3, 1, 2), share
     return t.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def mix(docs: DataFrame, *, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, size: Column | None = None, quality: Column | None = None, seed: int = 17, ranges: int = 512) -> DataFrame:
-    """How many words of each document the mix takes: rows (doc_id, size, source_size, target, taken, epochs, part).
+def mix(docs: DataFrame, *, weights: Sequence[float] = (3, 1, 2), share: float = 1.5, max_epochs: int = 2, size: Column | None = None, quality: Column | None = None, seed: int = 17, ranges: int = 512, row_key: Sequence[str] = ()) -> DataFrame:
+    """How many words of each document the mix takes: rows (doc_id, *row_key, size, source_size, target, taken, epochs, part).
 
     `docs` needs doc_id, source and text; give `size` where the words are counted already, so that a join before needn't
     move texts. Other columns are ignored. `quality` is the positive weight of a row (default 1;
@@ -60,26 +60,28 @@ def mix(docs: DataFrame, *, weights: Sequence[float] = (3, 1, 2), share: float =
     fractional selection adds: its whole size, or what the budget still had for the one document that
     crosses it, so that a source's words add up to its target rounded to a word.
     Null or empty texts have size 0 and give nothing. Null sources are a source of their own. Repeated rows
-    are separate documents. Equal keys are ordered by doc_id. An empty table gives an empty table.
+    are separate documents. Equal keys are ordered by doc_id, size and `row_key`, columns that tell rows of one id apart and
+    stand for the id in the hash where that is null. An empty table gives an empty table.
     """
-    u = (F.conv(F.substring(F.md5(F.concat_ws(":", F.col("doc_id").cast("string"), F.lit(str(seed)))), 1, 12), 16, 10).cast("double") + 1) / F.lit(float(2**48 + 1))
+    name = F.coalesce(F.col("doc_id").cast("string"), *([F.concat_ws(":", *[F.col(c).cast("string") for c in row_key])] if row_key else []))
+    u = (F.conv(F.substring(F.md5(F.concat_ws(":", name, F.lit(str(seed)))), 1, 12), 16, 10).cast("double") + 1) / F.lit(float(2**48 + 1))
     weight = F.lit(1.0) if quality is None else F.when(quality > 0, quality.cast("double")).otherwise(F.lit(1.0))
-    rows = docs.select("doc_id", "source", (word_count() if size is None else size).alias("size"), (-F.log(u) / weight).alias("key"))
+    rows = docs.select("doc_id", *row_key, "source", (word_count() if size is None else size).alias("size"), (-F.log(u) / weight).alias("key"))
     # 1 - exp(-key) is monotone in the key and close to uniform, so ranges hold about as many rows each.
-    rows = rows.select("doc_id", "size", "key", F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), F.floor((1 - F.exp(-F.col("key"))) * ranges).cast("int").alias("slot"))
+    rows = rows.select("doc_id", *row_key, "size", "key", F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), F.floor((1 - F.exp(-F.col("key"))) * ranges).cast("int").alias("slot"))
     sums = rows.groupBy("none", "src", "slot").agg(F.sum("size").alias("slot_size"))
     targets = source_targets(sums.groupBy("none", "src").agg(F.sum("slot_size").alias("source_size")).select(F.when(~F.col("none"), F.col("src")).alias("source"), "source_size"), weights, share, max_epochs)
     targets = targets.select(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("src"), "source_size", "target")
     before = F.sum("slot_size").over(Window.partitionBy("none", "src").orderBy("slot").rowsBetween(Window.unboundedPreceding, 0)) - F.col("slot_size")
     starts = sums.withColumn("slot_start", before).join(targets, ["none", "src"]).drop("slot_size")
-    order = Window.partitionBy("none", "src", "slot").orderBy("key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    order = Window.partitionBy("none", "src", "slot").orderBy("key", "doc_id", "size", *row_key).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.join(starts, ["none", "src", "slot"]).withColumn("ahead", F.col("slot_start") + F.sum("size").over(order) - F.col("size"))
     epochs = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(max_epochs))).otherwise(F.lit(0)).cast("long")
     rows = rows.withColumn("epochs", epochs)
     budget = F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + 0.5)
     part = F.when(F.col("epochs") >= max_epochs, F.lit(0)).otherwise(F.greatest(F.lit(0), F.least(F.col("size"), budget - F.col("ahead")))).cast("long")
     rows = rows.withColumn("part", part)
-    return rows.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), "epochs", "part")
+    return rows.select("doc_id", *row_key, "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"), "epochs", "part")
 
 
 def quality_weight(labels: DataFrame) -> DataFrame:

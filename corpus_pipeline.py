@@ -23,10 +23,18 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest doc_id of each group of near-duplicates (five words, 0.8), one row of an id; null ids go."""
+    """Keeps the document with the smallest doc_id of each group of near-duplicates (five words, 0.8), one row of an id and text.
+
+    Documents are told by id and text: null ids stay, in a group with known ids they are last, and different texts of one id are
+    documents of their own.
+    """
     ship_package(spark)
-    kept = minhash.near_duplicates(docs, percent=80, size=5).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    key = lambda text_hash: {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull(), "_hash": text_hash}
+    found = minhash.linked(docs, percent=80, size=5, null_ids=True)
+    own = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("text_hash") == F.col("head.text_hash"))
+    kept = found.where(own).withColumns(key(F.col("text_hash"))).select("_id", "_none", "_hash").distinct()
+    rows = docs.withColumns(key(F.xxhash64("text"))).join(kept, ["_id", "_none", "_hash"], "left_semi")
+    return rows.dropDuplicates(["_id", "_none", "_hash"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,14 +48,14 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it in whole; one that the mix takes in part counts from half its words on.
 
-    Rows that share an id are repeated alike, as often as the mix takes the one it takes most; null ids go.
+    Documents are told by id and text, null ids too. Rows that share both are repeated alike, as often as the mix takes the one it takes most.
     """
     weights = mixing.quality_weight(spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rows = docs.select("doc_id", "source", mixing.word_count().alias("size")).join(weights, "doc_id", "left")
-    taken = mixing.mix(rows, weights=(3, 1, 2), share=1.5, max_epochs=2, size=F.col("size"), quality=F.col("quality_weight"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "source", mixing.word_count().alias("size")).join(weights, "doc_id", "left")
+    taken = mixing.mix(rows, weights=(3, 1, 2), share=1.5, max_epochs=2, size=F.col("size"), quality=F.col("quality_weight"), row_key=["_hash"])
     times = (F.col("epochs") + F.when((F.col("size") > 0) & (2 * F.col("part") >= F.col("size")), 1).otherwise(0)).cast("int")
-    times = taken.groupBy("doc_id").agg(F.max(times).alias("_times")).where("_times > 0")
-    repeated = docs.join(times, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    times = taken.groupBy(F.col("doc_id").alias("_id"), "_hash").agg(F.max(times).alias("_times")).where("_times > 0")
+    repeated = docs.join(times, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash"))).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return repeated.select(*docs.columns)
 
 

@@ -349,6 +349,19 @@ def test_long_lists_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash.near_duplicates(nulls).collect()) == [(-1, -1, False), (7, 7, True)]
 
 
+def test_texts_of_a_shared_id_are_linked_each_for_itself(spark):
+    text = lambda name: " ".join(f"{name}{j}" for j in range(60))
+    for ids in ([3, 3, 4, 5], [4, 4, 3, 5], [3, 3, 5, 4]):
+        rows = docs(spark, [text("a"), text("b"), text("a") + " x", text("b") + " y"]).withColumn("doc_id", F.element_at(F.array(*map(F.lit, ids)), (F.col("doc_id") + 1).cast("int")).cast("long"))
+        got = {r.doc_id: set() for r in rows.collect()}
+        for r in minhash.near_duplicates(rows).collect():
+            got[r.doc_id].add((r.component_id, r.kept))
+        want = {i: set() for i in ids}
+        for i, j in ((0, 2), (2, 0), (1, 3), (3, 1)):
+            want[ids[i]].add((min(ids[i], ids[j]), ids[i] <= ids[j]))
+        assert got == want
+
+
 def test_needed_matches_and_components(spark):
     assert minhash.needed_matches(24, 0.85) > minhash.needed_matches(24, 0.8) >= 8
     edges = spark.createDataFrame([(5, 4), (4, 3), (3, 9), (20, 21), (7, 7), (None, 1)], "a long, b long")

@@ -1,5 +1,7 @@
 """The pipeline's stages, each held against a plain version of what it should keep."""
 
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -56,3 +58,17 @@ def test_runs_on_an_empty_table(spark, tmp_path):
     none = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, sf).count() == 0
+
+
+def test_null_and_shared_ids_keep_their_documents(spark):
+    sf = "/root/testdata/sf0.001"
+    text = lambda name, n=60: " ".join(f"{name}{j}" for j in range(n))
+    rows = [(None, text("a")), (None, text("b")), (5, text("c")), (5, text("d")), (7, text("d") + " more"), (8, text("e")), (None, text("e")), (None, text("b") + " end"), (9, text("f")), (9, text("f"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], spark.read.parquet(f"{sf}/documents.parquet").schema)
+    kept = sorted(((r.doc_id or -1, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, sf).collect()))
+    b = min((text("b"), text("b") + " end"), key=lambda t: spark.range(1).select(F.xxhash64(F.lit(t))).first()[0])
+    assert kept == sorted([(-1, text("a")), (-1, b), (5, text("c")), (5, text("d")), (8, text("e")), (9, text("f"))])
+    # One source, whose target is 1.5 times its words: each document is taken once at least.
+    one = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in kept], docs.schema).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    times = Counter((r.doc_id or -1, r.text) for r in corpus_pipeline.mixed(spark, one, sf).collect())
+    assert sorted(times) == kept and set(times.values()) == {1, 2}
