@@ -1,7 +1,7 @@
 """Secret scan: patterns find candidates, structure confirms them.
 
-Three base patterns report every match of enough length. Beside them, long runs of base64 or hex letters
-are decoded and parsed: nested DER lengths must fill their parents, SSH key blobs must be made of length-
+Three base patterns report every match of enough length. Beside them, long runs of base64 letters, or of hex
+letters in either case, are decoded and parsed: nested DER lengths must fill their parents, SSH key blobs must be made of length-
 prefixed fields with a known key type, a signed token's header must be JSON that names an algorithm.
 Only what parses is reported.
 """
@@ -27,7 +27,11 @@ BASE = {
 KINDS = [*BASE, "pem", "der", "ssh", "jwt"]
 _HINTS = ("passw", "secret", "token", "key")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
-_PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,40})-----([A-Za-z0-9+/=\s]*?)-----END \1-----")
+_HEX = re.compile(r"[0-9A-Fa-f]{24,}")
+#: White space as text holds it when it is quoted, in JSON or source code, once or more: \n, \r, \t, \u000a, \u000d.
+_ESCAPED = r"\\+(?:[nrt]|u000[adAD])"
+_PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----((?:[A-Za-z0-9+/=\s]++|{_ESCAPED}|\\+/)*+)-----END \1-----")
+_QUOTING = re.compile(rf"{_ESCAPED}|\s|\\+(?=/)")
 _JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
 _SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
 #: DER tags that hold other elements: SEQUENCE, SET and the context-specific constructed ones.
@@ -92,6 +96,10 @@ def is_ssh_key(data: bytes) -> bool:
     return at == len(data) and len(fields) >= 2 and fields[0] in _SSH_TYPES
 
 
+def _key_kind(data: bytes) -> str | None:
+    return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+
+
 def decoded(run: str) -> bytes | None:
     """Bytes of a base64 or base64url run, or None."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
@@ -126,17 +134,19 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
         for m in BASE["hex"][0].finditer(text, r.start(), r.end()):
             if len(m[1]) >= BASE["hex"][1]:
                 found.append(("hex", m.start(), m.end()))
-                if len(m[1]) % 2 == 0 and is_der_key(bytes.fromhex(m[1])):
-                    found.append(("der", m.start(), m.end()))
-        data = decoded(r[0]) if r[0][0] in "MA" else None  # a SEQUENCE begins with M, a length prefix with A
-        if data and is_der_key(data):
-            found.append(("der", r.start(), r.end()))
-        elif data and is_ssh_key(data):
-            found.append(("ssh", r.start(), r.end()))
+        blobs = {}
+        for m in (*BASE["hex"][0].finditer(text, r.start(), r.end()), *_HEX.finditer(text, r.start(), r.end())):
+            if len(m[0]) >= BASE["hex"][1] and len(m[0]) % 2 == 0:
+                blobs[m.span()] = bytes.fromhex(m[0])
+        found += [(kind, *span) for span, data in blobs.items() if (kind := _key_kind(data))]
+        # A SEQUENCE begins with M, a length prefix with A, openssh-key-v1 with b.
+        data = decoded(r[0]) if r[0][0] in "MAb" else None
+        if data and (kind := _key_kind(data)) and (kind, *r.span()) not in found:
+            found.append((kind, *r.span()))
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
-            data = decoded("".join(m[2].split()))
-            if data and (is_der_key(data) or is_ssh_key(data)):
+            data = decoded(_QUOTING.sub("", m[2]))
+            if data and _key_kind(data):
                 found.append(("pem", m.start(), m.end()))
     if "eyJ" in text:
         found += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]

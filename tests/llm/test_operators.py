@@ -408,3 +408,26 @@ def test_secrets(spark):
     assert d[0].base_sha256 == hashlib.sha256(b"").hexdigest() and d[0].spans == "" and d[len(ODD)].n_assign == 2
     assert "[secret]" in secrets.redact(docs(spark, texts)).orderBy("doc_id").collect()[len(ODD) + 1].text
     assert secrets.find_secrets(docs(spark, texts).limit(0)).count() == 0
+
+
+def test_secrets_in_other_spellings():
+    key = der(0x30, der(0x02, b"\0"), der(0x02, bytes(range(1, 130))), der(0x30, der(0x06, b"\x2a\x86"), der(0x02, b"\x03")))
+    ssh = b"\0\0\0\x0bssh-ed25519" + b"\0\0\0\x20" + bytes(32)
+    private = b"openssh-key-v1\0" + bytes(range(60))
+    b64 = base64.b64encode(key).decode()
+    spans = lambda t: [(k, t[s:e]) for k, s, e in secrets.spans_of(t) if k not in secrets.BASE]
+    for data, kind in ((key, "der"), (ssh, "ssh"), (private, "ssh")):
+        h = data.hex()
+        for run in (h, h.upper(), h[:40] + h[40:].upper()):
+            assert spans(f"x {run}, y") == [(kind, run)]
+        assert spans(h.upper()[:-1]) == [] == spans("0" + h)
+    run = base64.b64encode(private).decode()
+    assert spans(f"x {run}") == [("ssh", run)]
+    assert spans("A" + key.hex())[:1] == [("der", key.hex())]  # a lower-case run beside an upper-case letter
+    pem = f"-----BEGIN PRIVATE KEY-----\n{b64[:64]}\r\n{b64[64:]}\n-----END PRIVATE KEY-----\n"
+    for depth in range(3):
+        assert [k for k, _ in spans(pem)] == ["pem"] if depth else "pem" in {k for k, _ in spans(pem)}
+        pem = json.dumps({"key": pem})
+    slashed = json.dumps(f"-----BEGIN PRIVATE KEY-----\n{b64}\n-----END PRIVATE KEY-----").replace("/", "\\/").replace("\\n", "\\u000a", 1)
+    assert "pem" in {k for k, _ in spans(slashed)}
+    assert spans("-----BEGIN PRIVATE KEY-----" + "\\n" * 200_000) == []
