@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,12 +27,18 @@ def dataset_summary(windows: DataFrame, cats: DataFrame, window_s: float) -> Dat
 
 
 def histogram(rows: DataFrame, value: Column, lo: float, hi: float, n: int, keys: Sequence[str] = ()) -> DataFrame:
-    """Counts of n bins of equal width over [lo, hi], the last closed; values outside are left out. Bins without values aren't listed."""
-    x = rows.select(*keys, value.cast("double").alias("x")).where((F.col("x") >= lo) & (F.col("x") <= hi))
-    bin_idx = F.least(F.floor((F.col("x") - lo) / ((hi - lo) / n)), F.lit(n - 1)).cast("long")
+    """Counts of n bins of equal width over [lo, hi], the last closed; values outside count as the nearest bound, nulls and NaN don't. Bins without values aren't listed."""
+    x = rows.select(*keys, value.cast("double").alias("x")).where(F.col("x").isNotNull() & ~F.isnan("x"))
+    capped = F.greatest(F.lit(float(lo)), F.least(F.col("x"), F.lit(float(hi))))
+    bin_idx = F.least(F.floor((capped - lo) / ((hi - lo) / n)), F.lit(n - 1)).cast("long")
     return x.groupBy(*keys, bin_idx.alias("bin")).agg(F.count("*").alias("n"))
 
 
+def log2_bins(n: int) -> int:
+    """Number of bins for n values: by Sturges' rule, 8 at least."""
+    return max(8, math.ceil(math.log2(n) + 1)) if n > 0 else 8
+
+
 def sample(rows: DataFrame, size: int | float, seed: int = 42, key: str = "uid") -> DataFrame:
     """`size` rows, or that fraction of them (1 at least), in the order of a seeded hash of the key; all if there are fewer."""
     n = rows.count()

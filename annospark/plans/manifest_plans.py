@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from annospark.functions import columns as C
 from annospark.operators import explore, intervals, manifest, samples, sessions, stats, tiling
 from annospark.sources import derive
-from annospark.sources.derive import SQL, WINDOWS_SQL, table
+from annospark.sources.derive import FRAMES_SQL, SQL, WINDOWS_SQL, table
 
 from .agreement_plans import TRANS, TURNS, islands
 from .stats_plans import CLIPS, _fixed, _seg
@@ -144,8 +144,35 @@ union all select 'files', 'std_ms', round(stddev_pop(dur_ms), 3) from dur union
 _add("d35_summary_card", SQL + " select 'card' as section, metric, value from (unpivot (select count(distinct uid)::double as files, count(*)::double as segments, count(distinct label)::double as labels, sum(offset_ms - onset_ms) / 3600000.0::double as speech_h from vtc) on files, segments, labels, speech_h into name metric value value)")(
     lambda s, d: explore.tidy(derive.vtc(s, d), "card", {"files": F.countDistinct("uid"), "segments": F.count("*"), "labels": F.countDistinct("label"), "speech_h": F.sum(F.col("offset_ms") - F.col("onset_ms")) / F.lit(3600000.0)})
 )
-_add("d36_histogram", SQL + " select label, least(((offset_ms - onset_ms) / (30000.0::double / 60))::double, 1e18) as x, 1 as one from vtc limit 0")(lambda s, d: explore.histogram(derive.vtc(s, d), F.col("offset_ms") - F.col("onset_ms"), 0.0, 30_000.0, 60, ["label"]))
+_add("d36_histogram", SQL + " select label, least(((offset_ms - onset_ms) / (30000.0::double / 60))::double, 1e18) as x, 1 as one from vtc limit 0")(lambda s, d: explore.histogram(derive.vtc(s, d).where("offset_ms - onset_ms between 0 and 30000"), F.col("offset_ms") - F.col("onset_ms"), 0.0, 30_000.0, 60, ["label"]))
 ORACLE["d36_histogram"] = SQL + " select label, least(floor((offset_ms - onset_ms)::double / 500.0::double), 59)::bigint as bin, count(*) as n from vtc where offset_ms - onset_ms between 0 and 30000 group by label, bin"
+_add("d36_histogram_capped", SQL + " select label, least(floor(greatest(0, least(offset_ms - onset_ms, 30000))::double / 500.0::double), 59)::bigint as bin, count(*) as n from vtc group by label, bin")(
+    lambda s, d: explore.histogram(derive.vtc(s, d), F.col("offset_ms") - F.col("onset_ms"), 0.0, 30_000.0, 60, ["label"])
+)
+
+
+def _p99(s, d):
+    rows = _long(s, d)
+    cap = rows.agg(F.percentile("len_s", F.lit(0.99))).first()[0]
+    return explore.histogram(rows, F.col("len_s"), 0.0, cap or 1.0, 60, ["label"])
+
+
+_add("d36_turns_p99", _LONG + ", c as (select quantile_cont(len_s, 0.99) as cap from lt) select label, least(floor(least(len_s, cap) / (cap / 60)), 59)::bigint as bin, count(*) as n from lt, c group by label, bin")(_p99)
+
+
+def _log2(s, d):
+    rows = derive.frames(s, d)
+    both = rows.agg(F.count("snr") + F.count("c50"), *[f(c) for c in ("snr", "c50") for f in (F.min, F.max)]).first()
+    n, bounds = explore.log2_bins(both[0]), {"snr": both[1:3], "c50": both[3:5]}
+    parts = [explore.histogram(rows, F.col(c), lo or 0.0, hi if lo is not None and hi > lo else (lo or 0.0) + 1, n).withColumn("metric", F.lit(c)) for c, (lo, hi) in bounds.items()]
+    return parts[0].unionByName(parts[1])
+
+
+_add("d36_log2_bins", SQL + FRAMES_SQL + """, v as (unpivot (select snr::double as snr, c50::double as c50 from frames) on snr, c50 into name metric value x), b as (select metric, min(x) as lo, max(x) as hi from v group by metric), c as (select greatest(8, ceil(log2(count(*)) + 1))::bigint as k from v)
+select metric, least(floor((x - lo) / ((hi - lo) / k)), k - 1)::bigint as bin, count(*) as n from v join b using (metric), c group by metric, bin""")(_log2)
+_add("d36_integer_bins", CLIPS + " select least(n_labels, 4)::bigint as bin, count(*) as n from (select count(distinct label) as n_labels from seg group by uid, clip_idx) group by bin")(
+    lambda s, d: explore.histogram(_seg(s, d).groupBy("uid", "clip_idx").agg(F.countDistinct("label").alias("n_labels")), F.col("n_labels"), 0.0, 5.0, 5)
+)
 _LEN = ", ln as (select label, offset_ms - onset_ms as len_ms from vtc)"
 
 

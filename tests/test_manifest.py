@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from annospark.functions import columns as C
-from annospark.operators import extend, manifest, samples
+from annospark.operators import explore, extend, manifest, samples
 
 
 def test_contract_and_protected_id(spark):
@@ -68,3 +68,9 @@ def test_registry_rejects_duplicates():
         r.register(s)
     with pytest.raises(KeyError):
         r.get("b")
+
+
+def test_histogram_caps_values_at_its_bounds(spark):
+    rows = spark.createDataFrame([(x,) for x in (-5.0, 0.0, 9.9, 10.0, 29.0, 30.0, 31.0, 1e9, None, float("nan"))], "x double")
+    assert sorted(map(tuple, explore.histogram(rows, F.col("x"), 0, 30, 3).collect())) == [(0, 3), (1, 1), (2, 4)]
+    assert [explore.log2_bins(n) for n in (0, 1, 128, 129, 1 << 20)] == [8, 8, 8, 9, 21]
