@@ -182,6 +182,8 @@ def _len(s, d):
 
 _add("d39_chunk_peaks", SQL + _LEN + """, z as (select *, round_even(len_ms / 3980.0::double, 0)::bigint as k from ln), t as (select count(*) as total, sum((len_ms < 43780)::int) as inside from ln)
 select k as peak, count(*) as n, 100.0::double * count(*) / any_value(total) as pct, count(*) / (any_value(inside) * 2001.0::double / 43780) as enrichment from z, t where abs(len_ms - k * 3980) <= 1000 and k between 1 and 10 group by k""")(lambda s, d: explore.chunk_peaks(_len(s, d), 3980, within_ms=1000))
+_add("d39_chunk_peaks_10ms", SQL + _LEN + """, z as (select *, round_even(len_ms / 3980.0::double, 0)::bigint as k from ln), t as (select count(*) as total, sum((len_ms < 43780)::int) as inside from ln)
+select k as peak, count(*) as n, 100.0::double * count(*) / any_value(total) as pct, count(*) / (any_value(inside) * 21.0::double / 43780) as enrichment from z, t where abs(len_ms - k * 3980) <= 10 and k between 1 and 10 group by k""")(lambda s, d: explore.chunk_peaks(_len(s, d), 3980))
 _add("d40_onset_phase", SQL + " select (onset_ms % 3980) // 50 as bin, count(*) as n from vtc group by bin")(lambda s, d: explore.onset_phase(derive.vtc(s, d), 3980))
 _add("d41_duration_spectrum", SQL + _LEN + ", b as (select label, len_ms // 50 as bin, count(*) as n from ln group by 1, 2), m as (select label, quantile_cont(n, 0.5)::double as baseline from b group by label) select label, bin, n, baseline, n / baseline as ratio from b join m using (label)")(lambda s, d: explore.spectrum(_len(s, d), 50, ["label"]))
 _add("d42_file_sizes", "with x as (select page_id, case when page_id % 9 <> 0 then length(html) end as bytes from pages) select count(bytes) as n_found, count(*) - count(bytes) as n_missing, min(bytes) as min_bytes, max(bytes) as max_bytes, avg(bytes) as mean_bytes, quantile_cont(bytes, 0.5)::double as median_bytes, sum(bytes)::bigint as total_bytes from x")(

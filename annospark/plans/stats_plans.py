@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from annospark.operators import explore, frames, intervals, sessions, stats, tiling
@@ -262,6 +263,21 @@ _add("d32_dataset_summary", _MAP + ", h as (select category, sum(prob) * 10 / 36
 _add("f03_top_classes", _MAP + " select class_idx, round(sum(prob) * 10, 6) as pw_seconds from win where class_idx >= 4 group by class_idx order by sum(prob) desc, class_idx limit 50")(
     lambda s, d: _six(derive.windows(s, d).where("class_idx >= 4").groupBy("class_idx").agg((F.sum("prob") * 10.0).alias("pw_seconds")).orderBy(F.desc("pw_seconds"), "class_idx").limit(50))
 )
+_add("f03_top_by_metric", _MAP + """, rk as (select *, case when class_idx < 4 then 0 else prob end as p from win), rk2 as (select *, row_number() over (partition by uid, bin order by p desc, class_idx) <= 10 as top from rk),
+cs as (select class_idx, sum(p) * 10 as pw_seconds, avg(p) as mean_prob, avg(top::int::double) as top_rate from rk2 where class_idx >= 4 group by class_idx),
+rw as (select 'pw_seconds' as metric, class_idx, pw_seconds as value, 50 as most from cs union all select 'mean_prob', class_idx, mean_prob, 50 from cs union all select 'top_rate', class_idx, top_rate, 50 from cs
+  union all select 'old_other', class_idx, pw_seconds, 30 from cs join mp using (class_idx) where map = 'old' and category = 'other'),
+z as (select *, row_number() over (partition by metric order by value desc, class_idx) as rank from rw) select metric, rank, class_idx, round(value, 6) as value from z where rank <= most""")(lambda s, d: _six(_top_by_metric(s, d)))
+
+
+def _top_by_metric(s, d):
+    rows = frames.class_stats(derive.windows(s, d), 10.0, range(4)).where("class_idx >= 4")
+    other = rows.join(_maps(s).where("map = 'old' and category = 'other'").select("class_idx"), "class_idx").select("class_idx", F.lit("old_other").alias("metric"), F.col("pw_seconds").alias("value"))
+    ranked = rows.unpivot(["class_idx"], ["pw_seconds", "mean_prob", "top_rate"], "metric", "value").unionByName(other)
+    ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("metric").orderBy(F.desc("value"), "class_idx")))  # a row for each class
+    return ranked.where(F.col("rank") <= F.when(F.col("metric") == "old_other", 30).otherwise(50)).select("metric", "rank", "class_idx", "value")
+
+
 _add("f04_category_shares", _MAP + " select category, round(sum(prob) * 10 / 3600, 6) as hours, round(100 * sum(prob) / sum(sum(prob)) over (), 6) as share_pct from cat where map = 'new' group by category")(
     lambda s, d: _six(explore.shares(_cats(s, d).where("map = 'new'").groupBy("category").agg((F.sum("prob") * 10.0 / 3600).alias("hours")), "hours"))
 )
