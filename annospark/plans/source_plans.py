@@ -5,6 +5,8 @@ Results are written to a folder that the session shares and read again, so that
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from annospark.operators import extend, sessions
@@ -19,9 +21,9 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def _add(name: str, sql: str | None = None):
+def _add(name: str, sql: str | None = None, **options):
     def put(f):
-        QUERIES[name] = f
+        QUERIES[name] = partial(f, **options) if options else f
         if sql:
             ORACLE[name] = sql
         return f
@@ -33,9 +35,10 @@ _folder = tables.shared_folder
 _VTC = SQL + " select uid, onset_ms, offset_ms, label from vtc"
 
 
-@_add("a01_manifest_formats", SQL + " select uid, onset_ms, label, f as format from vtc, unnest(['parquet', 'csv', 'tsv', 'jsonl']) t(f) where uid % 10 = 0")
-def _formats(s, d):
-    rows, path = derive.vtc(s, d).where("uid % 10 = 0").select("uid", "onset_ms", "label"), _folder(s, "formats")
+@_add("a01_all_formats", SQL + " select uid, onset_ms, label, f as format from vtc, unnest(['parquet', 'csv', 'tsv', 'jsonl']) t(f)")
+@_add("a01_manifest_formats", SQL + " select uid, onset_ms, label, f as format from vtc, unnest(['parquet', 'csv', 'tsv', 'jsonl']) t(f) where uid % 10 = 0", of="uid % 10 = 0")
+def _formats(s, d, of="true"):
+    rows, path = derive.vtc(s, d).where(of).select("uid", "onset_ms", "label"), _folder(s, "formats")
     rows.write.parquet(f"{path}.parquet")
     rows.write.option("header", True).csv(f"{path}.csv")
     rows.write.option("header", True).option("sep", "\t").csv(f"{path}.tsv")
@@ -74,9 +77,10 @@ def _csv(s, d):
     return s.read.schema("uid long, clip_idx long, labels string").option("header", True).csv(path)
 
 
-@_add("a07_array_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames where uid % 5 = 0 group by uid")
-def _npz(s, d):
-    rows = derive.frames(s, d).where("uid % 5 = 0").groupBy(F.col("uid").cast("string").alias("uid")).agg(F.sort_array(F.collect_list(F.struct("i", "snr", "c50", "vad"))).alias("x"))
+@_add("a07_all_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames group by uid")
+@_add("a07_array_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames where uid % 5 = 0 group by uid", of="uid % 5 = 0")
+def _npz(s, d, of="true"):
+    rows = derive.frames(s, d).where(of).groupBy(F.col("uid").cast("string").alias("uid")).agg(F.sort_array(F.collect_list(F.struct("i", "snr", "c50", "vad"))).alias("x"))
     rows = rows.select("uid", *[F.expr(f"transform(x, r -> r.{a})").alias(a) for a in ("snr", "c50", "vad")])
     packed = arrays.pack_npz(rows, ("snr", "c50", "vad"))
     packed.write.parquet(path := _folder(s, "npz"))
@@ -114,9 +118,10 @@ def _store(s, d):
     return store.table().drop("slot")
 
 
-@_add("a11_a12_tar_shards", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as key, 'bin' as ext, (offset_ms - onset_ms)::varchar as payload, uid::varchar as meta_uid from clips where uid % 5 = 0")
-def _tar(s, d):
-    clips = shards.assign_shards(_fixed(s, d).where("uid % 5 = 0"), 50)
+@_add("a11_a12_all_shards", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as key, 'bin' as ext, (offset_ms - onset_ms)::varchar as payload, uid::varchar as meta_uid from clips")
+@_add("a11_a12_tar_shards", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as key, 'bin' as ext, (offset_ms - onset_ms)::varchar as payload, uid::varchar as meta_uid from clips where uid % 5 = 0", of="uid % 5 = 0")
+def _tar(s, d, of="true"):
+    clips = shards.assign_shards(_fixed(s, d).where(of), 50)
     members = clips.select("shard", "key", F.explode(F.array(F.struct(F.lit("bin").alias("ext"), (F.col("offset_ms") - F.col("onset_ms")).cast("string").cast("binary").alias("payload")), F.struct(F.lit("json").alias("ext"), F.to_json(F.struct(F.col("uid").cast("string").alias("uid"))).cast("binary").alias("payload")))).alias("m")).select("shard", "key", "m.*")
     path = _folder(s, "tars")
     shards.write_shards(members, path.removeprefix("file://").removeprefix("file:"))
