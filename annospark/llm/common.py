@@ -6,8 +6,10 @@ helper keeps its working set to a slice of a few MB of text, whatever the batch
 
 from __future__ import annotations
 
+import ctypes
 import math
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -29,10 +31,17 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def checkpoint_ready(spark: SparkSession) -> None:
-    """Sets a checkpoint folder only where the session has none, as in tests."""
+    """Makes sure that the session has a checkpoint folder, that of spark.checkpoint.dir.
+
+    Where neither names one, a folder of this machine will do for a local master, as in tests; on a cluster it is an error, since
+    executors wouldn't see each other's files.
+    """
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/annospark-checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master.startswith("local[") or sc.master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or "/tmp/annospark-checkpoints")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -43,6 +52,41 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def cut_lineage(rows: DataFrame) -> DataFrame:
+    """rows, written to the checkpoint folder. For tables of ids, far smaller than the texts they stem from: an eighth of the
+    shuffle partitions holds them, so that a loop doesn't leave thousands of tiny files."""
+    checkpoint_ready(rows.sparkSession)
+    return rows.coalesce(max(8, shuffle_parts(rows.sparkSession) // 8)).checkpoint()
+
+
+#: What a Python worker keeps from task to task: name -> (made value, when it was last asked for).
+_KEPT: dict[str, tuple[object, float]] = {}
+
+
+def kept(name: str, make: Callable[[], object]) -> object:
+    """A value that the tasks of one worker process share, made at the first call."""
+    value = _KEPT[name][0] if name in _KEPT else make()
+    _KEPT[name] = (value, time.monotonic())
+    return value
+
+
+def tidy(run: Callable) -> Callable:
+    """The task function `run`; after its last batch the worker, which Spark keeps for further tasks, gives freed memory back to
+    the system and drops what no task has asked for lately."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        for name in [n for n, (_, at) in _KEPT.items() if time.monotonic() - at > 10]:
+            del _KEPT[name]
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        except (OSError, AttributeError):  # another C library: it keeps what it has
+            pass
+
+    return each
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -133,8 +177,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
 
     Nulls and loops are ignored; an empty list gives an empty result.
     """
-    spark = edges.sparkSession
-    checkpoint_ready(spark)
     e = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi > lo").distinct()
     seen = None
     for _ in range(rounds):
@@ -144,8 +186,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         e = (
             large.join(low, "hi").where("lo > m").select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
-            .unionByName(low.select("hi", F.col("m").alias("lo"))).distinct().checkpoint()
+            .unionByName(low.select("hi", F.col("m").alias("lo"))).distinct()
         )
+        e = cut_lineage(e)
         now = e.agg(F.count("*").alias("n"), F.sum("lo").alias("s"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("x")).first()
         if seen == now:
             break

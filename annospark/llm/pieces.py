@@ -17,6 +17,8 @@ import struct
 import numpy as np
 import regex
 
+from .common import kept
+
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
 #: Marks that form a pre-token of their own behind a word.
@@ -115,11 +117,6 @@ class PieceEncoder:
         self.words.trim(self.most)
 
 
-_ENCODERS: dict[str, PieceEncoder] = {}
-
-
 def shared_encoder(path: str) -> PieceEncoder:
     """One encoder for all tasks that a worker process runs, so that later tasks find what earlier ones looked up."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = PieceEncoder(path)
-    return _ENCODERS[path]
+    return kept(path, lambda: PieceEncoder(path))
