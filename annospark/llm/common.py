@@ -132,6 +132,11 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
+def spread(chunk: int) -> int:
+    """A number of a chunk that deals chunks evenly, though their own numbers are a partition's and a count within it."""
+    return (chunk * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF) >> 33
+
+
 class Rolling:
     """Fingerprints of all windows of a byte array: prefix sums of a polynomial modulo 2**64, so that a
     window of any length costs two look-ups."""
@@ -181,7 +186,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
     seen = None
     for _ in range(rounds):
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # Written, so that the join shuffles both sides for itself and Spark can split the rows of a hub.
+        least = cut_lineage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("hi"), F.col("m").alias("lo")).where("hi > lo").distinct()
         low = large.groupBy("hi").agg(F.min("lo").alias("m"))
         e = (

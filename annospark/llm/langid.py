@@ -8,25 +8,28 @@ long text is compressed block by block, all of it: in one piece it would soon re
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard as zstd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import tidy
+
 #: Bytes that are compressed at a time.
 BLOCK = 4096
-_LETTER = re.compile(r"[^\W\d_]")
+#: Pieces that a longer text gives to the sample.
+PIECES = 8
 
 
 def learn_profiles(docs: DataFrame, per_language: int = 64, dict_bytes: int = 112 << 10) -> dict[str, bytes]:
     """Dictionary content by language from rows (doc_id, text, lang).
 
     The bound on what is learned from is `per_language` rows, those with the smallest hash of their id, and
-    `dict_bytes` of their text, whole texts in turn until the bytes are full. Null languages and ids, null and empty
+    `dict_bytes` of their text: each row gives an equal share, and what shorter ones leave goes to the others. Of a text over its share, pieces spread
+    evenly over all of it are taken. Null languages and ids, null and empty
     texts are left out; repeated rows count once. Only the bounded sample reaches the driver. No rows give {}.
     """
     known = docs.where("lang is not null and doc_id is not null and text is not null and length(text) > 0")
@@ -36,21 +39,33 @@ def learn_profiles(docs: DataFrame, per_language: int = 64, dict_bytes: int = 11
     picked = [r.doc_id for r in rows.select("doc_id").distinct().collect()]  # per_language ids for each language
     if not picked:
         return {}
-    rows = known.where(F.col("doc_id").isin(picked)).select("lang", F.xxhash64("doc_id").alias("h"), F.substring("text", 1, dict_bytes).alias("text"))
+    rows = known.where(F.col("doc_id").isin(picked)).select("lang", F.xxhash64("doc_id").alias("h"), _spread(F.col("text"), dict_bytes).alias("text"))
     texts: dict[str, dict] = {}
     for r in sorted(rows.toLocalIterator(), key=lambda r: (r.lang, r.h, r.text)):
-        texts.setdefault(r.lang, {})[r.text.encode()] = None
+        texts.setdefault(r.lang, {})[r.text.lower()] = None
     out = {}
     for lang, parts in texts.items():
-        content = b""
-        for p in parts:
-            if len(content) >= dict_bytes:
-                break
-            content += p.decode().lower().encode() + b"\n"
-        out[lang] = content[:dict_bytes]
+        raw = [p.encode() + b"\n" for p in parts]
+        left, share = dict_bytes, {}
+        for n, i in enumerate(sorted(range(len(raw)), key=lambda i: len(raw[i]))):
+            share[i] = min(len(raw[i]), left // (len(raw) - n))
+            left -= share[i]
+        out[lang] = b"".join(r if share[i] == len(r) else _pieces(r, share[i]) for i, r in enumerate(raw))
     return out
 
 
+def _spread(text: Column, most: int) -> Column:
+    """The text, or of a longer one pieces of `most` characters in all, evenly spread over it."""
+    step, size = F.length(text) / PIECES, most // PIECES
+    parts = [F.substring(text, F.floor(step * k).cast("int") + 1, F.lit(size)) for k in range(PIECES)]
+    return F.when(F.length(text) <= most, text).otherwise(F.concat(*parts))
+
+
+def _pieces(raw: bytes, most: int) -> bytes:
+    size = most // PIECES
+    return b"".join(raw[i : i + size] for i in range(0, len(raw) - size + 1, max(1, (len(raw) - size) // max(1, PIECES - 1))))[:most] if size else raw[:most]
+
+
 class _Profiles:
     def __init__(self, profiles: dict[str, bytes], level: int):
         self.by = []
@@ -61,7 +76,7 @@ class _Profiles:
             self.by.append((lang, c, len(c.compress(b""))))
 
     def best(self, text: str | None, margin: float) -> tuple[str, float, bool]:
-        if not text or not self.by or not _LETTER.search(text):
+        if not text or not self.by or not any(map(str.isalpha, text)):
             return "und", 0.0, True
         raw = text.lower().encode("utf-8", "replace")
         blocks = [raw[i : i + BLOCK] for i in range(0, len(raw), BLOCK)]
@@ -89,4 +104,4 @@ def identify(docs: DataFrame, profiles: dict[str, bytes], *, level: int = 6, mar
             extra = [pa.array([f[i] for f in found], k) for i, k in enumerate((pa.string(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*b.columns, *extra], names=[*b.schema.names, "lang_pred", "score", "rejected"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidy(run), schema)

@@ -2,11 +2,14 @@
 
 Documents with the same shingles form a class; one of them stands for it. Each representative is posted under every (coordinate,
 value) pair of a prefix of its MinHash signature: two signatures that agree in t of k coordinates agree in one of any k - t + 1, so
-shorter lists lose nothing. Documents that meet in a list count in how many coordinates they collide, and those with t
+shorter lists lose nothing. Documents that meet in a list count in how many coordinates they collide: the lists of the other coordinates
+are merged, by the same prefix only the shortest of them, skipping the long ones, and what comes up is counted in all. Those with t
 collisions are joined to a cluster; a list hands on a spanning forest of these links, never all pairs. Within a cluster, whole
 shingle sets confirm the links: the search grows one component at a time and asks only for links to documents outside it.
-A large cluster is dealt into blocks and each two of its blocks are searched together, so that any two documents meet somewhere
-and no task holds more than two blocks; the components of all pairs of blocks are joined in the end.
+
+A cluster with more shingles than a block has first meets a few of its own documents, in one pass over it: what is linked with these forms
+groups. The largest group, in blocks, is then searched together with the blocks of the rest, and the rest with itself, so that any two
+documents that aren't in one group yet meet somewhere and no task holds more than two blocks; the components of all links are joined in the end.
 t is the greatest number that a pair at the threshold misses with a probability of 1e-5 at most.
 """
 
@@ -20,14 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_slices, checkpoint_ready, components, mixed, shuffle_parts
+from .common import Rolling, byte_slices, checkpoint_ready, components, cut_lineage, mixed, shuffle_parts, tidy
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _ODD = mixed(np.arange(1, 65, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 _KEYS = mixed(np.arange(1001, 1257, dtype=np.uint64) * np.uint64(0xD6E8FEB86659FD93)) | np.uint64(1)
-#: Documents of a list or cluster that are compared at once.
-BLOCK = 512
+#: Documents that a large cluster meets first.
+HUBS = 16
 
 
 def needed_matches(k: int, similarity: float, miss: float = 1e-5) -> int:
@@ -89,7 +92,7 @@ def _sketch(size: int, k: int):
                 sig = [_signature(s, k).tobytes() for s in sets]
                 yield pa.RecordBatch.from_arrays([*[b.column(c).slice(i, j - i) for c in ("doc_id", "text_hash")], pa.array([len(s) for s in sets], pa.int64()), pa.array(a), pa.array(x), pa.array(sig, pa.binary())], names=["doc_id", "text_hash", "n_shingles", "key_a", "key_b", "sig"])
 
-    return run
+    return tidy(run)
 
 
 def _post(k: int, prefix: int, buckets: int):
@@ -108,30 +111,42 @@ def _post(k: int, prefix: int, buckets: int):
             for i in range(0, len(rows), 256):
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[i : i + 256]), (pa.int32(), *[pa.binary()] * 3))], names=["bucket", "at", "ids", "sigs"])
 
-    return run
+    return tidy(run)
 
 
 def _forest(sig: np.ndarray, need: int) -> np.ndarray:
-    """Smallest index of each row's component, rows being linked if they agree in `need` columns."""
-    m = len(sig)
-    label = np.arange(m)
-    for i in range(0, m, BLOCK):
-        for j in range(i, m, BLOCK):
-            part = np.zeros((len(sig[i : i + BLOCK]), len(sig[j : j + BLOCK])), np.uint8)
-            for c in range(sig.shape[1]):
-                part += sig[i : i + BLOCK, c, None] == sig[None, j : j + BLOCK, c]
-            for r, row in enumerate(part >= need):
-                hit = np.flatnonzero(row)
-                if len(hit):
-                    found = np.unique(label[hit + j])
-                    if len(found) > 1 or found[0] != label[i + r]:
-                        found = np.union1d(found, label[i + r])
-                        label[np.isin(label, found)] = found[0]
-    return label
-
+    """Smallest index of each row's component, rows being linked if they agree in `need` columns.
 
-#: A list of more documents than this is linked as a whole: the cluster that confirms links gets larger, and no link is lost.
-LONG_LIST = 16_384
+    A row looks for partners outside its component in its k - need + 1 shortest lists of rows with its value in a column: whoever agrees in
+    `need` columns is in one of them. The lists are made anew each time half of their rows have found a component.
+    """
+    m, k = sig.shape
+    label, outside, left = np.full(m, -1), np.ones(m, bool), m
+
+    def listed() -> tuple[list, np.ndarray, np.ndarray]:
+        rows = np.flatnonzero(outside)
+        by = [np.argsort(sig[rows, c], kind="stable") for c in range(k)]
+        values = [sig[rows[o], c] for c, o in enumerate(by)]
+        return [rows[o] for o in by], *(np.stack([np.searchsorted(v, sig[:, c], side) for c, v in enumerate(values)], 1) for side in ("left", "right"))
+
+    held, first, end = listed()
+    at_index = left
+    for seed in range(m):
+        if not outside[seed]:
+            continue
+        outside[seed], label[seed], left = False, seed, left - 1
+        todo = [seed]
+        while todo and left:
+            d = todo.pop()
+            if 2 * left < at_index:
+                (held, first, end), at_index = listed(), left
+            few = np.argsort(end[d] - first[d], kind="stable")[: k - need + 1]
+            near = np.concatenate([held[c][first[d, c] : end[d, c]] for c in few])
+            near = np.unique(near[outside[near]])
+            near = near[(sig[near] == sig[d]).sum(1) >= need]
+            outside[near], label[near], left = False, seed, left - len(near)
+            todo += near.tolist()
+    return label
 
 
 def _links(k: int, need: int):
@@ -153,7 +168,7 @@ def _links(k: int, need: int):
             b.append(ids[i[same] + lag])
         for n in np.flatnonzero(length > 24):
             s = slice(edge[n], edge[n + 1])
-            label = _forest(sig[order[s]], need) if length[n] <= LONG_LIST else np.zeros(length[n], np.int64)
+            label = _forest(sig[order[s]], need)
             other = np.flatnonzero(label != np.arange(len(label)))
             a.append(ids[s][label[other]])
             b.append(ids[s][other])
@@ -171,7 +186,25 @@ def _sets(size: int):
                 keys = [b.column(c).slice(i, j - i) for c in ("component", "blocks", "rep")]
                 yield pa.RecordBatch.from_arrays([*keys, pa.array([s.tobytes() for s in sets], pa.binary())], names=["component", "blocks", "rep", "shingles"])
 
-    return run
+    return tidy(run)
+
+
+def _met(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Which of its cluster's hubs each document is linked with: rows (rep, hub)."""
+        for b in batches:
+            reps, hubs = [], []
+            for rep, raw, others in zip(b.column("rep").to_pylist(), b.column("shingles").to_pylist(), b.column("hubs").to_pylist()):
+                own = np.frombuffer(raw, np.uint64)
+                for hub in others:
+                    other = np.frombuffer(hub["shingles"], np.uint64)
+                    shared = len(np.intersect1d(own, other, assume_unique=True))
+                    if shared and 100 * shared >= percent * (len(own) + len(other) - shared):
+                        reps.append(rep)
+                        hubs.append(hub["rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(reps, pa.int64()), pa.array(hubs, pa.int64())], names=["rep", "hub"])
+
+    return tidy(run)
 
 
 def confirmed(ids: np.ndarray, sets: list[np.ndarray], percent: int) -> np.ndarray:
@@ -217,7 +250,7 @@ def _confirm(percent: int):
     def each(table: pa.Table) -> pa.Table:
         ids = np.array(table.column("rep").to_pylist(), np.int64)
         sets = [np.frombuffer(s.as_py(), np.uint64) for s in table.column("shingles")]
-        return pa.table({"rep": ids, "component_id": confirmed(ids, sets, percent), "blocks": table.column("blocks")})
+        return pa.table({"rep": ids, "component_id": confirmed(ids, sets, percent)})
 
     return each
 
@@ -235,13 +268,42 @@ def near_duplicates(docs: DataFrame, **options) -> DataFrame:
     return linked(docs, **options).select("doc_id", "n_shingles", own.alias("component_id"), F.coalesce(own == F.col("doc_id"), F.lit(False)).alias("kept"))
 
 
-def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, cluster_docs: int = 4096, null_ids: bool = False) -> DataFrame:
+def _dealt(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(cells, links) of clusters of several blocks, from rows (component, blocks, rep, shingles).
+
+    links (rep, other) are the documents' links with the cluster's hubs, those with the least hash. Each cell (component, low, high) holds
+    two blocks that may have further links; blocks of the largest group have numbers from 0 on, those of the rest negative ones. Two blocks of the largest
+    group make no cell, so the cells grow with the size of the rest rather than with the square of the cluster.
+    """
+    large = sets.where("blocks > 1")
+    # HUBS rows for each cluster of several blocks.
+    hubs = large.groupBy("component").agg(*[F.min(F.struct(F.xxhash64("rep", F.lit(k)), "rep"))["rep"].alias(f"r{k}") for k in range(HUBS)])
+    hubs = hubs.select("component", F.explode(F.array_distinct(F.array(*[f"r{k}" for k in range(HUBS)]))).alias("rep"))
+    hubs = large.join(hubs, ["component", "rep"]).groupBy("component").agg(F.collect_list(F.struct("rep", "shingles")).alias("hubs"))
+    met = large.select("component", "rep", "shingles").join(hubs, "component").select("rep", "shingles", "hubs").mapInArrow(_met(percent), "rep long, hub long").where("rep <> hub")
+    links = cut_lineage(met.toDF("rep", "other"))
+    groups = components(links, "rep", "other").toDF("rep", "grp")
+    own = large.select("component", "blocks", "rep").join(groups, "rep", "left")
+    most = own.where("grp is not null").groupBy("component", "grp").count().groupBy("component").agg(F.max(F.struct("count", "grp")).alias("top"))
+    own = own.join(most.select("component", F.col("top.grp").alias("top")), "component", "left").withColumn("main", F.coalesce(F.col("grp") == F.col("top"), F.lit(False)))
+    shares = own.groupBy("component").agg(F.ceil(F.max("blocks") * F.avg(F.col("main").cast("int"))).cast("int").alias("mains"), F.ceil(F.max("blocks") * F.avg((~F.col("main")).cast("int"))).cast("int").alias("rests"))
+    own = own.select("component", "rep", "main").join(shares, "component")
+    block = lambda n: F.pmod(F.xxhash64("rep"), F.greatest(n, F.lit(1))).cast("int")
+    own = own.withColumn("own", F.when(F.col("main"), block(F.col("mains"))).otherwise(-1 - block(F.col("rests"))))
+    rests = F.when(F.col("rests") > 0, F.sequence(-F.col("rests"), F.lit(-1))).otherwise(F.array().cast("array<int>"))
+    mains = F.when(F.col("mains") > 0, F.sequence(F.lit(0), F.col("mains") - 1)).otherwise(F.array().cast("array<int>"))
+    own = own.select("component", "rep", "own", F.explode(F.when(F.col("main"), rests).otherwise(F.concat(rests, mains))).alias("other"))
+    cells = large.select("rep", "shingles").join(own, "rep").select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "rep", "shingles")
+    return cells, links
+
+
+def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, block_shingles: int = 1 << 20, null_ids: bool = False) -> DataFrame:
     """Rows (doc_id, text_hash, n_shingles, head), one for each row of `docs`: head (none, doc_id, text_hash) is the least row that links reach.
 
     A row is told by its id and the xxhash64 of its text, so different texts of one id are linked each for itself. Rows are ordered by
     doc_id, null last, then text_hash. Null ids are linked if `null_ids`, otherwise each is its own head, as are rows without shingles.
-    `buckets` (default: 2 for each shuffle partition) parts the postings; a task holds one bucket, and the shingles of two blocks of
-    about `cluster_docs` documents of a cluster.
+    `buckets` (default: 2 for each shuffle partition) parts the postings; a task holds one bucket, or two blocks of a cluster with about
+    `block_shingles` shingles each.
     """
     spark = docs.sparkSession
     checkpoint_ready(spark)
@@ -252,24 +314,26 @@ def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, bu
     key = ["n_shingles", "key_a", "key_b"]
     row, may_link = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"), F.lit(null_ids) | F.col("doc_id").isNotNull()
     classes = sketch.where((F.col("n_shingles") > 0) & may_link).groupBy(*key).agg(F.min(row).alias("head"), F.min("sig").alias("sig"))
-    classes = classes.withColumn("rep", F.monotonically_increasing_id()).checkpoint()  # numbers are fixed once they are written
+    classes = cut_lineage(classes.withColumn("rep", F.monotonically_increasing_id()))  # numbers are fixed once they are written
     posted = classes.select("rep", "sig").mapInArrow(_post(k, k - need + 1, buckets), "bucket int, at binary, ids binary, sigs binary")
     links = posted.groupBy("bucket").applyInArrow(_links(k, need), "a long, b long")
-    cluster = components(links).withColumnRenamed("node", "rep")
-    sizes = cluster.groupBy("component").agg(F.ceil(F.count("*") / cluster_docs).cast("int").alias("blocks"))
-    cluster = cluster.join(sizes, "component")
+    cluster = components(links).withColumnRenamed("node", "rep").join(classes.select("rep", "n_shingles", "head"), "rep")
+    sizes = cluster.groupBy("component").agg(F.ceil(F.sum("n_shingles") / block_shingles).cast("int").alias("blocks"))
     # Null ids are spelt out as two columns, which joins by hash as eqNullSafe does.
-    places = cluster.join(classes.select("rep", "head"), "rep").select("component", "blocks", "rep", F.coalesce("head.doc_id", F.lit(0)).alias("id"), "head.none", "head.text_hash")
+    places = cluster.join(sizes, "component").select("component", "blocks", "rep", F.coalesce("head.doc_id", F.lit(0)).alias("id"), "head.none", "head.text_hash")
     texts = keyed.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "text_hash", "text").join(places, ["id", "none", "text_hash"]).select("component", "blocks", "rep", "text")
     sets = texts.mapInArrow(_sets(size), "component long, blocks int, rep long, shingles binary").dropDuplicates(["component", "rep"])
-    own, other = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    cells = sets.withColumn("own", own).withColumn("other", other).select("component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "blocks", "rep", "shingles")
-    found = cells.groupBy("component", "low", "high").applyInArrow(_confirm(percent), "rep long, component_id long, blocks int").checkpoint()
-    large = found.where("blocks > 1")
-    if not large.isEmpty():
-        joined = components(large, "rep", "component_id").toDF("rep", "joined")
-        large = large.select("rep").distinct().join(joined, "rep", "left").select("rep", F.coalesce("joined", "rep").alias("component_id"))
-        found = found.where("blocks = 1").select("rep", "component_id").unionByName(large)
+    confirm = lambda cells: cells.groupBy("component", "low", "high").applyInArrow(_confirm(percent), "rep long, component_id long")
+    if sizes.where("blocks > 1").isEmpty():
+        found = cut_lineage(confirm(sets.select("component", F.lit(0).alias("low"), F.lit(0).alias("high"), "rep", "shingles")))
+    else:
+        sets = sets.checkpoint()  # read several times from here on
+        small = confirm(sets.where("blocks = 1").select("component", F.lit(0).alias("low"), F.lit(0).alias("high"), "rep", "shingles"))
+        cells, met = _dealt(sets, percent)
+        further = confirm(cells).toDF("rep", "other").where("rep <> other")
+        joined = components(met.unionByName(further), "rep", "other").toDF("rep", "joined")
+        large = sets.where("blocks > 1").select("rep").join(joined, "rep", "left").select("rep", F.coalesce("joined", "rep").alias("component_id"))
+        found = cut_lineage(small.unionByName(large))
     heads = found.join(classes.select("rep", "head"), "rep").groupBy("component_id").agg(F.min("head").alias("least"))
     found = found.join(heads, "component_id").select("rep", "least")
     by_class = classes.select(*key, "rep", "head").join(found, "rep", "left").select(*key, F.coalesce("least", "head").alias("found"))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_slices
+from .common import byte_slices, tidy
 
 #: Sorts of bytes whose share of a line is a feature.
 _SORTS = ("lower", "upper", "digit", "space", "mark", "symbol", "high")
@@ -105,7 +105,25 @@ class Crf:
     trans: np.ndarray
 
     def marginals(self, x: np.ndarray, begins: np.ndarray) -> np.ndarray:
-        """P(good) of each line, by forward-backward over all documents at once, longest first."""
+        """P(good) of each line."""
+        fwd, bwd, _ = self._passes(x, begins)
+        both = fwd + bwd
+        return 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
+
+    def pair_marginals(self, x: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """P(good) of each line, the lines that have one before them, and P(label before, label) of these as rows of 2 x 2."""
+        fwd, bwd, emit = self._passes(x, begins)
+        both = fwd + bwd
+        total = np.logaddexp(both[:, 0], both[:, 1])  # the same along a document
+        inner = np.ones(len(x), bool)
+        inner[begins[:-1]] = False
+        at = np.flatnonzero(inner)
+        here = bwd[at] + np.stack([np.zeros(len(at)), emit[at]], 1)
+        pairs = np.exp(fwd[at - 1][:, :, None] + self.trans[None] + here[:, None, :] - total[at, None, None])
+        return np.exp(both[:, 1] - total), at, pairs
+
+    def _passes(self, x: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Forward and backward scores of both labels and the lines' own scores, over all documents at once, longest first."""
         emit = x @ self.weights
         lens = np.diff(begins)
         fwd, bwd = np.zeros((len(x), 2)), np.zeros((len(x), 2))
@@ -127,50 +145,65 @@ class Crf:
             nxt = bwd[at + 1] + np.stack([np.zeros(live), emit[at + 1]], 1)
             bwd[at, 0] = np.logaddexp(nxt[:, 0] + self.trans[0, 0], nxt[:, 1] + self.trans[0, 1])
             bwd[at, 1] = np.logaddexp(nxt[:, 0] + self.trans[1, 0], nxt[:, 1] + self.trans[1, 1])
-        both = fwd + bwd
-        return 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
+        return fwd, bwd, emit
 
 
-def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int = 250, rate: float = 0.08, decay: float = 1e-3) -> Crf:
-    """Fits by conditional likelihood with Adam; each document counts alike whatever its number of lines, the two labels alike in sum.
+def log_likelihood(crf: Crf, x: np.ndarray, begins: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    """Conditional log-likelihood of documents whose lines all carry the document's label, times `share`, and its gradients by weights and transitions."""
+    lens = np.diff(begins)
+    y = np.repeat(labels, lens).astype(np.int64)
+    w = np.repeat(share, lens)
+    fwd, bwd, emit = crf._passes(x, begins)
+    last = begins[1:] - 1
+    stay = crf.trans[labels, labels] * (lens - 1)
+    value = float((share * (np.add.reduceat(emit * y, begins[:-1]) + stay - np.logaddexp(fwd[last, 0], fwd[last, 1]))).sum())
+    p, at, pairs = crf.pair_marginals(x, begins)
+    seen = np.zeros((len(at), 2, 2))
+    seen[np.arange(len(at)), y[at - 1], y[at]] = 1.0
+    return value, x.T @ (w * (y - p)), (w[at, None, None] * (seen - pairs)).sum(0)
 
-    The gradient of the transitions takes the product of neighbouring marginals for the pairs' expectation.
+
+def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int = 200, rate: float = 0.08, decay: float = 1e-3, trans_decay: float = 1e-2) -> Crf:
+    """Fits weights and all four transitions by conditional likelihood with Adam, from the marginals of lines and of pairs of lines.
+
+    Each document counts alike whatever its number of lines, the two labels alike in sum. `decay` and `trans_decay` are the quadratic penalties; as
+    labels don't change within a labelled document, the penalty alone keeps the transitions finite.
     """
     lens = np.diff(begins)
-    y = np.repeat(labels, lens).astype(np.float64)
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) / np.maximum(lens, 1)
-    w = np.repeat(share, lens)
-    pair = np.ones(len(x), bool)
-    pair[begins[:-1]] = False
-    pair = np.flatnonzero(pair)
     crf = Crf(np.zeros(x.shape[1]), np.zeros((2, 2)))
-    m1, m2 = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
+    m1, m2 = np.zeros(x.shape[1] + 4), np.zeros(x.shape[1] + 4)
     for step in range(1, steps + 1):
-        p = crf.marginals(x, begins)
-        g = x.T @ (w * (y - p)) - decay * crf.weights
-        stay = np.mean((w[pair] * len(x)) * (1.0 - (p[pair] * p[pair - 1] + (1 - p[pair]) * (1 - p[pair - 1])))) if len(pair) else 0.0
-        g = np.append(g, 0.1 * stay - decay * crf.trans[0, 0])
+        _, by_weight, by_trans = log_likelihood(crf, x, begins, labels, share)
+        g = np.concatenate((by_weight - decay * crf.weights, (by_trans - trans_decay * crf.trans).ravel()))
         m1, m2 = 0.9 * m1 + 0.1 * g, 0.999 * m2 + 0.001 * g * g
         move = rate * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.999**step)) + 1e-9)
-        crf.weights = crf.weights + move[:-1]
-        s = min(2.0, crf.trans[0, 0] + move[-1])  # staying with a label; bounded, or a long document would be decided by one line
-        crf.trans = np.array([[s, 0.0], [0.0, s]])
+        crf.weights = crf.weights + move[:-4]
+        crf.trans = crf.trans + move[-4:].reshape(2, 2)
     return crf
 
 
-def _first_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for i, j, data, offsets in byte_slices(b):
-            x, size, begins = line_features(data, offsets)
-            rows = [x[s:e].astype("<f4").tobytes() for s, e in zip(begins[:-1], begins[1:])]
-            yield pa.RecordBatch.from_arrays([b.column("quality").slice(i, j - i), pa.array(rows, pa.binary())], names=["quality", "features"])
+def _first_features(lines: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for i, j, data, offsets in byte_slices(b):
+                x, size, begins = line_features(data, offsets)
+                rows = []
+                for s, e in zip(begins[:-1].tolist(), begins[1:].tolist()):
+                    if e - s > lines:  # successive lines, from a place that the document's length decides
+                        s += (e - s) * 2654435761 % (e - s - lines + 1)
+                        e = s + lines
+                    rows.append(x[s:e].astype("<f4").tobytes())
+                yield pa.RecordBatch.from_arrays([b.column("quality").slice(i, j - i), pa.array(rows, pa.binary())], names=["quality", "features"])
+
+    return tidy(run)
 
 
-def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 4000) -> Crf:
+def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 4000, lines: int = 400) -> Crf:
     """Learns from rows (doc_id, text) joined to rows (doc_id, quality) of 0 or 1.
 
-    The bound on what is learned from is `sample` documents of each label, those with the smallest hashes of their ids; only
-    their line features reach the driver. Null labels and texts are left out; of repeated labels the least counts. With one label only,
+    The bound on what is learned from is `sample` documents of each label, those with the smallest hashes of their ids, and of a longer one a block of
+    `lines` successive lines, cut in the task that reads it; only these lines' features reach the driver. Null labels and texts are left out; of repeated labels the least counts. With one label only,
     or none, all texts get its (or label 1's) side by the bias alone.
     """
     known = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
@@ -179,12 +212,11 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = 4000) -> Crf:
         few = known.where(F.col("quality") == label).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         picked = few if picked is None else picked.unionByName(few)
     # The picked ids are at most 2 * sample rows.
-    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("quality", "text").mapInArrow(_first_features, "quality int, features binary").collect()
+    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id").select("quality", "text").mapInArrow(_first_features(lines), "quality int, features binary").collect()
     rows.sort(key=lambda r: (r.quality, zlib.crc32(r.features), len(r.features)))
     if not rows:
         return Crf(np.zeros(FEATURES), np.zeros((2, 2)))
     xs = [np.frombuffer(r.features, "<f4").reshape(-1, FEATURES) for r in rows]
-    xs = [x if len(x) <= 400 else x[np.linspace(0, len(x) - 1, 400).astype(int)] for x in xs]  # of a very long document, lines spread over all of it
     return fit_crf(np.concatenate(xs).astype(np.float64), np.concatenate(([0], np.cumsum([len(x) for x in xs]))), np.array([r.quality for r in rows]))
 
 
@@ -199,7 +231,7 @@ def _score(crf: Crf):
                 rows = b.slice(i, j - i)
                 yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(np.clip(score, 0.0, 1.0))], names=[*b.schema.names, "score"])
 
-    return run
+    return tidy(run)
 
 
 def score(docs: DataFrame, crf: Crf) -> DataFrame:

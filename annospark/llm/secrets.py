@@ -1,9 +1,9 @@
 """Secret scan: patterns find candidates, structure confirms them.
 
-Three base patterns report every match of enough length. Beside them, long runs of base64 letters, or of hex
-letters in either case, are decoded and parsed: nested DER lengths must fill their parents, SSH key blobs must be made of length-
-prefixed fields with a known key type, a signed token's header must be JSON that names an algorithm.
-Only what parses is reported.
+Three base patterns report every match of enough length. Beside them, long runs of base64 letters (also over line ends), or of hex
+letters in either case, are searched for places where a key might begin, decoded from there and parsed: nested DER lengths must fill their
+parents, SSH key blobs must be made of length-prefixed fields with a known key type, OpenSSH private keys of all fields that the
+format has, a signed token's header must be JSON that names an algorithm. Only what parses is reported, as long as it says it is.
 """
 
 from __future__ import annotations
@@ -18,6 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import tidy
+
 #: Base patterns with the least length of group 1 (the value); all letters of `assign` in either case.
 BASE = {
     "assign": (re.compile(r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII), 6),
@@ -32,8 +34,12 @@ _HEX = re.compile(r"[0-9A-Fa-f]{24,}")
 _ESCAPED = r"\\+(?:[nrt]|u000[adAD])"
 _PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----((?:[A-Za-z0-9+/=\s]++|{_ESCAPED}|\\+/)*+)-----END \1-----")
 _QUOTING = re.compile(rf"{_ESCAPED}|\s|\\+(?=/)")
-_JWT = re.compile(r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]*")
-_SSH_TYPES = (b"ssh-rsa", b"ssh-dss", b"ssh-ed25519", b"ecdsa-sha2-nistp256", b"ecdsa-sha2-nistp384", b"ecdsa-sha2-nistp521")
+#: base64 over several lines, and segments that points join; both begin at the first letter of a run, so that the search stays linear.
+_LINES = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/]++)++={0,2}")
+_SEGMENTS = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
+#: Where a key might begin: base64 of a SEQUENCE with its length, of a length before "ssh-" or "ecdsa-", of "openssh-key-v1"; hex of the same.
+_KEY64 = re.compile(r"(?=M[A-I][A-Za-z0-9+/_-]{22}|AAAA[BCE][23]|b3BlbnNzaC1rZXktdjEA)")
+_KEY16 = re.compile(r"(?=30(?:[0-7]|8[1-4])|000000[01][37b]7373682d|000000136563647361|6f70656e7373682d6b65792d763100)", re.IGNORECASE)
 #: DER tags that hold other elements: SEQUENCE, SET and the context-specific constructed ones.
 _HOLDERS = {0x30, 0x31, *range(0xA0, 0xA4)}
 #: DER tags that key encodings use for values.
@@ -82,22 +88,132 @@ def _one_element(data: bytes) -> bool:
     return h + size == len(data) and size > 0
 
 
+def _field(data: bytes, at: int) -> tuple[bytes, int] | None:
+    """A length-prefixed field and where it ends."""
+    if at + 4 > len(data):
+        return None
+    end = at + 4 + int.from_bytes(data[at : at + 4], "big")
+    return (data[at + 4 : end], end) if end <= len(data) else None
+
+
+#: Fields behind the key type of a public key.
+_SSH_FIELDS = {b"ssh-rsa": 2, b"ssh-dss": 4, b"ssh-ed25519": 1, b"ecdsa-sha2-nistp256": 2, b"ecdsa-sha2-nistp384": 2, b"ecdsa-sha2-nistp521": 2}
+_MAGIC = b"openssh-key-v1\0"
+
+
+def _ssh_end(data: bytes) -> int:
+    """Where the public key at the start of data ends, 0 if there is none: a known type and its fields, none empty."""
+    kind = _field(data, 0)
+    if kind is None or kind[0] not in _SSH_FIELDS:
+        return 0
+    at = kind[1]
+    for _ in range(_SSH_FIELDS[kind[0]]):
+        part = _field(data, at)
+        if part is None or not part[0]:
+            return 0
+        at = part[1]
+    return at
+
+
+def _openssh_end(data: bytes) -> int:
+    """Where the private key at the start of data ends, 0 if there is none: cipher, derivation and its options, as many public keys as it says, and a
+    private section of whole cipher blocks, in clear if no cipher is named."""
+    at, names = len(_MAGIC), []
+    if not data.startswith(_MAGIC):
+        return 0
+    for _ in range(3):
+        part = _field(data, at)
+        if part is None:
+            return 0
+        names.append(part[0])
+        at = part[1]
+    cipher, derivation, options = names
+    count = int.from_bytes(data[at : at + 4], "big") if at + 4 <= len(data) else 0
+    at += 4
+    if not (cipher.isascii() and cipher and (cipher == b"none") == (derivation == b"none") == (not options) and 0 < count <= 16):
+        return 0
+    for _ in range(count):
+        part = _field(data, at)
+        if part is None or _ssh_end(part[0]) != len(part[0]):
+            return 0
+        at = part[1]
+    private = _field(data, at)
+    if private is None or not private[0] or len(private[0]) % 8 or (cipher == b"none" and private[0][:4] != private[0][4:8]):
+        return 0
+    return private[1]
+
+
 def is_ssh_key(data: bytes) -> bool:
-    """Length-prefixed fields that fill the blob, the first a known key type; or an OpenSSH private key."""
-    if data.startswith(b"openssh-key-v1\0"):
-        return True
-    at, fields = 0, []
-    while at + 4 <= len(data):
-        size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data):
-            return False
-        fields.append(data[at + 4 : at + 4 + size])
-        at += 4 + size
-    return at == len(data) and len(fields) >= 2 and fields[0] in _SSH_TYPES
+    """A public key blob or an OpenSSH private key that fills all bytes."""
+    return len(data) > 0 and len(data) in (_ssh_end(data), _openssh_end(data))
+
+
+def key_at_start(data: bytes) -> tuple[str, int] | None:
+    """The kind of the key that data begins with and its length in bytes."""
+    if data[:1] == b"\x30" and len(data) >= 16:
+        h = _head(data)
+        size = data[1] if data[1] < 0x80 else int.from_bytes(data[2:h], "big")
+        if 16 <= h + size <= len(data) and data[1] <= 0x84 and data[h] in (0x02, 0x30) and is_der_key(data[: h + size]):
+            return "der", h + size
+    end = _ssh_end(data) or _openssh_end(data)
+    return ("ssh", end) if end else None
 
 
 def _key_kind(data: bytes) -> str | None:
-    return "der" if is_der_key(data) else "ssh" if is_ssh_key(data) else None
+    """The kind of the key that fills all of data."""
+    found = key_at_start(data)
+    return found[0] if found and found[1] == len(data) else None
+
+
+def _key_in(letters: str, base: int) -> tuple[str, int] | None:
+    """The kind of the key that a run of base64 or hex letters begins with and how many letters it takes."""
+    bits = {64: 6, 16: 4}[base]
+    head = _bytes(letters[:24], base)
+    if head is None:
+        return None
+    size = min(len(letters), MOST_LETTERS // 4)
+    if head[:1] == b"\x30":  # the outer length tells how much to decode, the first inner tag whether it's worth it
+        h = _head(head)
+        if head[1] in range(0x81, 0x85):
+            size = int.from_bytes(head[2:h], "big")
+        elif head[1] < 0x80:
+            size = head[1]
+        else:
+            return None
+        if h >= len(head) or head[h] not in (0x02, 0x30):
+            return None
+        size = -(-8 * (h + size) // bits)
+        if size > len(letters):
+            return None
+    data = _bytes(letters[:size], base)
+    found = key_at_start(data) if data else None
+    return (found[0], -(-8 * found[1] // bits)) if found else None
+
+
+def _bytes(letters: str, base: int) -> bytes | None:
+    """Whole bytes of the letters; what is left of a last byte is dropped."""
+    if base == 16:
+        return bytes.fromhex(letters[: len(letters) // 2 * 2])
+    return decoded(letters if len(letters) % 4 != 1 else letters[:-1])
+
+
+#: Letters that a DER key may take; an SSH blob, which doesn't say its length, a quarter of that. It keeps a long run of false beginnings cheap.
+MOST_LETTERS = 1 << 16
+
+
+def _keys_in(text: str, start: int, end: int, base: int) -> Iterator[tuple[str, int, int]]:
+    """Keys within a run of letters, one after the other."""
+    at = start
+    while m := (_KEY64 if base == 64 else _KEY16).search(text, at, end):
+        found = _key_in(text[m.start() : min(end, m.start() + MOST_LETTERS)], base)
+        if found:
+            at = m.start() + found[1]
+            if base == 64:
+                while at < len(text) and text[at] == "=" and at - m.start() - found[1] < 2:
+                    at += 1
+            yield found[0], m.start(), at
+        else:
+            at = m.start() + 1
 
 
 def decoded(run: str) -> bytes | None:
@@ -121,6 +237,18 @@ def is_signed_token(token: str) -> bool:
     return isinstance(header, dict) and isinstance(header.get("alg"), str) and isinstance(payload, dict)
 
 
+def _tokens_in(joined: str, start: int) -> Iterator[tuple[str, int, int]]:
+    """Signed tokens among segments that points join: a header begins with its segment, or with the last `eyJ` in it."""
+    parts = joined.split(".")
+    at = 0
+    for i, part in enumerate(parts[:-2]):
+        for begin in {0, part.rfind("eyJ")} if "eyJ" in part else ():
+            token = ".".join((part[begin:], parts[i + 1], parts[i + 2]))
+            if part[begin:].startswith("eyJ") and parts[i + 1] and is_signed_token(token):
+                yield "jwt", start + at + begin, start + at + begin + len(token)
+        at += len(part) + 1
+
+
 def spans_of(text: str) -> list[tuple[str, int, int]]:
     """(kind, start, end) of all findings in code points, by start, then kind as listed in KINDS."""
     found = []
@@ -130,27 +258,36 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
         found += [("assign", m.start(), m.end()) for m in BASE["assign"][0].finditer(text) if len(m[1]) >= BASE["assign"][1]]
     if "AKIA" in text:
         found += [("access", m.start(), m.end()) for m in BASE["access"][0].finditer(text) if len(m[1]) >= BASE["access"][1]]
-    for r in runs:  # a maximal hex run of enough letters lies within such a run, wherever that begins
-        for m in BASE["hex"][0].finditer(text, r.start(), r.end()):
-            if len(m[1]) >= BASE["hex"][1]:
-                found.append(("hex", m.start(), m.end()))
-        blobs = {}
-        for m in (*BASE["hex"][0].finditer(text, r.start(), r.end()), *_HEX.finditer(text, r.start(), r.end())):
-            if len(m[0]) >= BASE["hex"][1] and len(m[0]) % 2 == 0:
-                blobs[m.span()] = bytes.fromhex(m[0])
-        found += [(kind, *span) for span, data in blobs.items() if (kind := _key_kind(data))]
-        # A SEQUENCE begins with M, a length prefix with A, openssh-key-v1 with b.
-        data = decoded(r[0]) if r[0][0] in "MAb" else None
-        if data and (kind := _key_kind(data)) and (kind, *r.span()) not in found:
-            found.append((kind, *r.span()))
+    armoured: list[tuple[int, int]] = []
     if "-----BEGIN " in text:
         for m in _PEM.finditer(text):
             data = decoded(_QUOTING.sub("", m[2]))
             if data and _key_kind(data):
-                found.append(("pem", m.start(), m.end()))
+                armoured.append((m.start(), m.end()))
+    keys: list[tuple[str, int, int]] = []
+    for r in runs:  # a maximal hex run of enough letters lies within such a run, wherever that begins
+        for m in BASE["hex"][0].finditer(text, r.start(), r.end()):
+            if len(m[1]) >= BASE["hex"][1]:
+                found.append(("hex", m.start(), m.end()))
+        keys += _keys_in(text, r.start(), r.end(), 64)
+        for m in _HEX.finditer(text, r.start(), r.end()):
+            keys += _keys_in(text, m.start(), m.end(), 16)
+    for m in _LINES.finditer(text):
+        letters = "".join(m[0].split()).rstrip("=")
+        if _KEY64.match(letters) and (key := _key_in(letters, 64)) and key[1] > len(m[0].split(maxsplit=1)[0]):
+            end, n = m.start(), 0
+            while n < key[1]:
+                n += not text[end].isspace()
+                end += 1
+            while end < m.end() and text[end] == "=":
+                end += 1
+            keys.append((key[0], m.start(), end))
+    # A key within armour is reported as that.
+    found += [("pem", *a) for a in armoured] + [k for k in keys if not any(s <= k[1] and k[2] <= e for s, e in armoured)]
     if "eyJ" in text:
-        found += [("jwt", m.start(), m.end()) for m in _JWT.finditer(text) if is_signed_token(m[0])]
-    return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+        for m in _SEGMENTS.finditer(text):
+            found += _tokens_in(m[0], m.start())
+    return sorted(set(found), key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
@@ -168,7 +305,7 @@ def find_secrets(docs: DataFrame) -> DataFrame:
     A row for each input row, repeated ones included. Null and empty texts have no spans; other columns are ignored;
     an empty table gives an empty table. A text is scanned whole in the task that reads it; nothing is shuffled.
     """
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_scan, "doc_id long, spans array<struct<kind string, start long, end long>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(tidy(_scan), "doc_id long, spans array<struct<kind string, start long, end long>>")
 
 
 def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
@@ -189,7 +326,7 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
                 out.append(t)
             yield b.set_column(at, "text", pa.array(out, pa.string()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def digest(found: DataFrame) -> DataFrame:

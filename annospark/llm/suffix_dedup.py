@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_slices, checkpoint_ready, mixed, shuffle_parts
+from .common import Rolling, byte_slices, checkpoint_ready, mixed, shuffle_parts, spread, tidy
 from .token_counts import _packed, _unpacked
 
 #: Bits of an anchor's position; a longer document is cut into overlapping pieces.
@@ -58,7 +58,7 @@ def _batch(rows: list[tuple], kinds=_KINDS, names=None) -> pa.RecordBatch:
 def _own(chunk: int, buckets: int, rows: pa.RecordBatch, lens: np.ndarray) -> tuple:
     """Which documents a chunk holds: ids (with the null ones), hashes and lengths in bytes."""
     ids = rows.column("doc_id").to_pylist()
-    return (chunk % buckets, chunk, True, np.array([i or 0 for i in ids], "<i8").tobytes(), np.array([i is not None for i in ids]).tobytes(), np.array(rows.column("hash").to_pylist(), "<i8").tobytes(), lens.astype("<i8").tobytes(), b"")
+    return (spread(chunk) % buckets, chunk, True, np.array([i or 0 for i in ids], "<i8").tobytes(), np.array([i is not None for i in ids]).tobytes(), np.array(rows.column("hash").to_pylist(), "<i8").tobytes(), lens.astype("<i8").tobytes(), b"")
 
 
 def _dealt(bucket: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -89,7 +89,7 @@ def _samples(length: int, v: int, cover: np.ndarray, buckets: int):
                 yield _batch(rows)
                 chunk += 1
 
-    return run
+    return tidy(run)
 
 
 def _ranked(table: pa.Table) -> pa.Table:
@@ -218,7 +218,7 @@ def _segments(length: int, gram: int, buckets: int):
                 yield _batch(out)
                 chunk += 1
 
-    return run
+    return tidy(run)
 
 
 def repeated(text: np.ndarray, starts: np.ndarray, times: np.ndarray, length: int) -> np.ndarray:

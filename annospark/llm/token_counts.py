@@ -2,8 +2,9 @@
 
 A task turns its documents into an inverted list: each distinct pre-token with the documents that hold it
 and how often. The lists are dealt by the pre-token's hash, so that each distinct pre-token meets the tokenizer
-in one place only and its count is joined to all its lists there. What comes back is, for each chunk of documents,
-a vector of sums, and the vectors of a chunk are added. Lists travel as packed arrays, not as a row for each pair.
+in one place only and its count is joined to all its lists there. A pre-token that is frequent in a chunk, of which there are few, is dealt by
+the chunk as well, so that the lists of a very frequent one don't meet in one task; each place then counts it once. What comes back
+is, for each chunk of documents, a vector of sums, and the vectors of a chunk are added. Lists travel as packed arrays, not as a row for each pair.
 """
 
 from __future__ import annotations
@@ -18,10 +19,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_slices, shuffle_parts
+from .common import byte_slices, shuffle_parts, spread, tidy
 from .pieces import piece_keys, shared_encoder
 
 CHUNK_BYTES = 2 << 20
+#: A pre-token is frequent in a chunk if one of so many of its documents holds it, and 32 at least.
+FREQUENT = 8
 _LISTS = "bucket int, chunk long, own boolean, n int, sizes binary, keys binary, counts binary, docs binary, freqs binary"
 _SUMS = "chunk long, own boolean, ids binary, sums binary"
 
@@ -46,7 +49,9 @@ def _lists(buckets: int):
         pairs, freqs = np.unique(codes.astype(np.int64) * len(texts) + np.repeat(np.arange(len(texts)), lens), return_counts=True)
         code, doc = pairs // max(1, len(texts)), pairs % max(1, len(texts))
         raw = [k.encode() for k in keys]
-        bucket = np.fromiter((zlib.crc32(k) for k in raw), np.int64, len(raw)) % buckets
+        held = np.bincount(code, minlength=len(raw))
+        hashed = np.fromiter((zlib.crc32(k) for k in raw), np.int64, len(raw))
+        bucket = np.where(held >= np.maximum(32, len(texts) / FREQUENT), hashed + spread(chunk), hashed) % buckets
         rows = {n: [] for n in ("bucket", "chunk", "own", "n", "sizes", "keys", "counts", "docs", "freqs")}
 
         def add(*values):
@@ -58,7 +63,6 @@ def _lists(buckets: int):
         edges = np.searchsorted(of[order], np.arange(buckets + 1))
         by_key = np.argsort(bucket, kind="stable")
         key_edges = np.searchsorted(bucket[by_key], np.arange(buckets + 1))
-        held = np.bincount(code, minlength=len(raw))
         for b in range(buckets):
             at = order[edges[b] : edges[b + 1]]
             if len(at):
@@ -66,7 +70,7 @@ def _lists(buckets: int):
                 some = [raw[i] for i in own]
                 add(b, chunk, False, len(texts), _packed(np.fromiter(map(len, some), np.int64, len(some))), b"".join(some), _packed(held[own]), _packed(doc[at]), _packed(freqs[at]))
         has = np.array([i is not None for i in ids])
-        add(int(chunk % buckets), chunk, True, len(texts), np.array([i or 0 for i in ids], "<i8").tobytes(), has.tobytes(), n_bytes.astype("<i8").tobytes(), b"", b"")
+        add(spread(chunk) % buckets, chunk, True, len(texts), np.array([i or 0 for i in ids], "<i8").tobytes(), has.tobytes(), n_bytes.astype("<i8").tobytes(), b"", b"")
         kinds = (pa.int32(), pa.int64(), pa.bool_(), pa.int32(), *[pa.binary()] * 5)
         return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(rows.values(), kinds)], names=list(rows))
 
@@ -78,7 +82,7 @@ def _lists(buckets: int):
                 yield chunk_rows(chunk, part.column("doc_id").to_pylist(), [t or "" for t in part.column("text").to_pylist()], np.diff(offsets))
                 chunk += 1
 
-    return run
+    return tidy(run)
 
 
 def _counted(tokenizer_path: str):
@@ -138,7 +142,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, *, buckets: int | None =
     special tokens are left out, special strings in texts are one token each. Null and empty texts have 0 bytes and
     0 tokens. Repeated rows give repeated rows; other columns are ignored; an empty table gives an empty table.
     `buckets` (default: 4 for each shuffle partition) parts the pre-tokens: a task holds one bucket's lists, so
-    give more buckets for more text. A very frequent pre-token adds a few bytes for each document to one bucket.
+    give more buckets for more text.
     """
     spark = docs.sparkSession
     buckets = buckets or 4 * shuffle_parts(spark)

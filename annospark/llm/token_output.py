@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts
+from .common import shuffle_parts, tidy
 from .pieces import shared_encoder
 
 BLOCK_IDS = 1 << 16
@@ -83,7 +83,7 @@ def _write(tokenizer_path: str, end_id: int | None, block_ids: int):
         if docs:
             yield row()
 
-    return run
+    return tidy(run)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int | None = 0, parts: int | None = None, block_ids: int = BLOCK_IDS) -> None:

@@ -42,7 +42,7 @@ def test_ann_exact_scores_order_and_left_out_rows(spark):
     x = rng.normal(size=(400, 8)).astype(np.float32)
     rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(400, None), (401, [0.0] * 8), (402, [float("nan")] * 8), (403, [float("inf")] + [0.0] * 7), (404, [None] + [1.0] * 7), (405, x[7].tolist())]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("clash"))
-    got = ann.search(df, df.where("vec_id % 50 = 0"), k=5, n_pivots=32, order_length=24, shard_rows=150, least=64).collect()
+    got = ann.search(df, df.where("vec_id % 50 = 0"), k=5, n_pivots=32, order_length=24, visit=16, share=0.1, least=64, list_rows=50).collect()
     y, hit = x.astype(float), 0
     y = np.vstack([y, y[7]])
     ids = np.array([*range(400), 405])
@@ -60,14 +60,28 @@ def test_ann_exact_scores_order_and_left_out_rows(spark):
     assert ann.search(df.limit(3), df.limit(1), k=10).count() == 2
 
 
-def test_footrule_of_inverted_files_is_that_of_the_orders():
+def test_footrule_of_places_is_that_of_the_orders():
     rng = np.random.default_rng(1)
-    orders = np.stack([rng.permutation(12)[:5] for _ in range(30)]).astype(np.int32)
-    files = ann.InvertedFiles(orders, 12)
-    place = np.full((30, 12), 5)
-    np.put_along_axis(place, orders.astype(np.int64), np.arange(5)[None].repeat(30, 0), 1)
+    pivots, x = rng.normal(size=(12, 4)), rng.normal(size=(30, 4))
+    place = ann.places(x, pivots, 5)
+    nearest = np.argsort(((x[:, None] - pivots[None]) ** 2).sum(2), axis=1)[:, :5]
+    assert (np.argsort(place, axis=1, kind="stable")[:, :5] == nearest).all() and ((place < 5).sum(1) == 5).all()
     for q in range(5):
-        assert (files.footrule(orders[q]) == np.abs(place - place[q]).sum(1)).all()
+        assert (ann.footrule(place[q], place.T.copy(), 5) == np.abs(place - place[q]).sum(1)).all()
+
+
+def test_ann_repeated_ids_other_lengths_and_a_very_frequent_vector(spark):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 8))
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(500, [1.0] * 9), (501, [1.0] * 7), (7, (x[0] + 0.01).tolist()), (7, (x[0] + 3).tolist())]
+    rows += [(1000 + i, x[5].tolist()) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = ann.search(df, df.where("vec_id in (0, 5, 7, 500)"), k=10, list_rows=40).collect()
+    by = {q: [(r.vec_id, round(r.score, 9)) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 5, 7, 500)}
+    assert by[500] == [] and len(by[0]) == len(by[7]) == 10
+    assert by[0][0] == (7, round(float(np.sqrt(8) * 0.01), 9)) and len({v for v, _ in by[0]}) == 10
+    assert by[5] == [(1000 + i, 0.0) for i in range(10)]
+    assert sorted(map(tuple, got)) == sorted(map(tuple, ann.search(df.repartition(7), df.where("vec_id in (0, 5, 7, 500)"), k=10, list_rows=40).collect()))
 
 
 # 2 and 8
@@ -90,6 +104,15 @@ def test_token_counts(spark):
     assert token_counts.count_tokens(df.limit(0), tokenizer_path()).count() == 0
 
 
+def test_frequent_pre_tokens_are_dealt_by_chunk_too(spark, monkeypatch):
+    texts = [f"the same words and no{i}" for i in range(200)]
+    got = Counter((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(docs(spark, texts).repartition(5), tokenizer_path(), buckets=64).collect())
+    tok = library()
+    assert got == Counter((i, len(tok.encode(t, add_special_tokens=False).ids)) for i, t in enumerate(texts))
+    assert len({common.spread(p << 32 | c) % 64 for p in range(16) for c in range(16)}) > 48
+
+
+
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 32])
 def test_packing_round_trip(bits):
     ids = np.random.default_rng(bits).integers(0, 2**bits, 70_001, dtype=np.uint64).astype(np.uint32)
@@ -137,6 +160,14 @@ def naive_hits(texts, items, n):
     return out
 
 
+def naive_near(texts, items, distance):
+    """Places of each item's rarest word (ties by the word) that have its second rarest near."""
+    docs_, out = [naive_words(t) for t in texts], []
+    n = Counter(w for d in docs_ for w in d)
+    pairs = [p for p in (sorted(set(naive_words(text)), key=lambda w: (n[w], w))[:2] for _, text in items) if len(p) == 2]
+    return [sum(any(abs(i - j) <= distance and y == b for j, y in enumerate(d)) for a, b in pairs for i, x in enumerate(d) if x == a) for d in docs_]
+
+
 def test_decontamination(spark):
     rng = np.random.default_rng(3)
     vocab = ["the", "of", "É1", "and", "zu", "x9", "Rare"]
@@ -145,7 +176,8 @@ def test_decontamination(spark):
     cut = long.split()
     texts = [*ODD, "pre " + ", ".join(cut[5:17]).upper() + " post", " ".join(cut[:9]), "THE the-the the", "one", " ".join(cut + cut), *[" ".join(rng.choice(vocab, 200)) for _ in range(5)]]
     got = decontam.decontaminate(docs(spark, texts), spark.createDataFrame(items, "item_id long, text string")).orderBy("doc_id").collect()
-    assert [tuple(r)[1:] for r in got] == naive_hits(texts, items, 10)
+    assert [tuple(r)[1:6] for r in got] == naive_hits(texts, items, 10)
+    assert [r.n_near for r in got] == naive_near(texts, items, 10)
     assert decontam.decontaminate(docs(spark, texts).limit(0), spark.createDataFrame(items, "item_id long, text string")).count() == 0
     assert not any(r.contaminated for r in decontam.decontaminate(docs(spark, texts), spark.createDataFrame([], "item_id long, text string")).collect())
     twice = docs(spark, ["one", "one"]).withColumn("doc_id", F.lit(5))
@@ -283,6 +315,40 @@ def test_forward_backward_against_all_labelings():
     assert crf.marginals(x, begins) == pytest.approx(want)
 
 
+def test_pair_marginals_and_gradients():
+    rng = np.random.default_rng(1)
+    crf = quality.Crf(rng.normal(size=3), rng.normal(size=(2, 2)))
+    x, begins, labels, share = rng.normal(size=(7, 3)), np.array([0, 4, 5, 7]), np.array([1, 0, 1]), np.array([0.5, 0.3, 0.2])
+    _, at, pairs = crf.pair_marginals(x, begins)
+    assert at.tolist() == [1, 2, 3, 6] and pairs.sum((1, 2)) == pytest.approx(1)
+    n, z, want = 4, 0.0, np.zeros((3, 2, 2))
+    for k in range(2**n):
+        y = [(k >> i) & 1 for i in range(n)]
+        w = np.exp(sum(x[i] @ crf.weights * y[i] for i in range(n)) + sum(crf.trans[y[i], y[i + 1]] for i in range(n - 1)))
+        z += w
+        for i in range(n - 1):
+            want[i, y[i], y[i + 1]] += w
+    assert pairs[:3] == pytest.approx(want / z)
+    _, by_weight, by_trans = quality.log_likelihood(crf, x, begins, labels, share)
+    for g, part in ((by_weight, crf.weights), (by_trans, crf.trans)):
+        for i in np.ndindex(part.shape):
+            part[i] += 1e-6
+            up = quality.log_likelihood(crf, x, begins, labels, share)[0]
+            part[i] -= 2e-6
+            down = quality.log_likelihood(crf, x, begins, labels, share)[0]
+            part[i] += 1e-6
+            assert g[i] == pytest.approx((up - down) / 2e-6, abs=1e-6)
+    fitted = quality.fit_crf(x, begins, labels)
+    assert len({round(float(t), 6) for t in fitted.trans.ravel()}) > 2 and np.abs(fitted.trans).max() < 50
+
+
+def test_long_documents_teach_a_block_of_lines(spark):
+    rows = spark.createDataFrame([(0, "bad\n" * 3000), (1, "Good words stand here.\n" * 5)], "doc_id long, text string")
+    model = quality.learn(rows, spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, quality int"), lines=50)
+    got = {r.doc_id: r.score for r in quality.score(rows, model).collect()}
+    assert got[0] < 0.5 < got[1]
+
+
 def test_quality_on_held_out_rows(spark, sf):
     d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     lab = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
@@ -336,7 +402,7 @@ def test_large_clusters_in_blocks(spark):
         base[int(rng.integers(0, 100))] = f"n{i}"
         texts.append(" ".join(base))
     texts += [" ".join(f"u{j}" for j in range(30)), "none of these"]
-    got = minhash.near_duplicates(docs(spark, texts), percent=80, cluster_docs=7).orderBy("doc_id").collect()
+    got = minhash.near_duplicates(docs(spark, texts), percent=80, block_shingles=700).orderBy("doc_id").collect()
     assert [(r.n_shingles, r.component_id, r.kept) for r in got] == naive_components(texts, 80)
     assert len({r.component_id for r in got}) < 30
 
@@ -349,6 +415,37 @@ def test_long_lists_and_null_ids(spark):
     assert sorted((r.doc_id or -1, r.component_id or -1, r.kept) for r in minhash.near_duplicates(nulls).collect()) == [(-1, -1, False), (7, 7, True)]
 
 
+def test_large_cluster_meets_hubs_first(spark):
+    """One large group of near copies makes no cells; what is linked with some of them only is still found."""
+    rng = np.random.default_rng(9)
+    base = [f"w{i}" for i in range(100)]
+    texts = []
+    for i in range(80):
+        own = list(base)
+        own[int(rng.integers(0, 100))] = f"n{i}"
+        texts.append(" ".join(own))
+    for i in range(12):  # further and further away
+        base[7 * i] = f"m{i}"
+        texts.append(" ".join(base))
+    got = minhash.near_duplicates(docs(spark, texts), percent=80, block_shingles=900).orderBy("doc_id").collect()
+    assert [(r.n_shingles, r.component_id, r.kept) for r in got] == naive_components(texts, 80)
+    sets = docs(spark, texts[:80]).select(F.lit(1).cast("long").alias("component"), F.lit(9).alias("blocks"), F.col("doc_id").alias("rep"), "text").mapInArrow(minhash._sets(5), "component long, blocks int, rep long, shingles binary")
+    cells, links = minhash._dealt(sets, 80)
+    assert cells.count() == 0 and common.components(links, "rep", "other").where("component = 0").count() == 80
+
+
+def test_forest_against_all_pairs():
+    rng = np.random.default_rng(4)
+    sig = rng.integers(0, 3, (60, 8)).astype("<u4")
+    sig[30:40] = sig[30] + (rng.random((10, 8)) < 0.1)
+    for need in (1, 4, 6, 8):
+        label = np.arange(60)
+        for _ in range(60):
+            for i in range(60):
+                label[i] = min(label[j] for j in range(60) if (sig[i] == sig[j]).sum() >= need)
+        assert minhash._forest(sig, need).tolist() == label.tolist()
+
+
 def test_texts_of_a_shared_id_are_linked_each_for_itself(spark):
     text = lambda name: " ".join(f"{name}{j}" for j in range(60))
     for ids in ([3, 3, 4, 5], [4, 4, 3, 5], [3, 3, 5, 4]):
@@ -383,6 +480,13 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.identify(docs(spark, ODD), {}).collect()} == {"und"}
 
 
+def test_letters_and_shares_of_the_sample(spark):
+    assert {r.lang_pred for r in langid.identify(docs(spark, ["²", "½ ① 12", "…"]), {"en": b"abc", "fr": b"xyz"}).collect()} == {"und"}
+    rows = [(0, "x" * 100_000, "en"), *[(i, f"short text number {i}", "en") for i in range(1, 20)]]
+    held = langid.learn_profiles(spark.createDataFrame(rows, "doc_id long, text string, lang string"), dict_bytes=2000)["en"]
+    assert len(held) <= 2000 and all(f"number {i}\n".encode() in held for i in range(1, 20)) and held.count(b"x") > 1000
+
+
 # 10
 def der(tag, *parts):
     body = b"".join(parts)
@@ -410,17 +514,50 @@ def test_secrets(spark):
     assert secrets.find_secrets(docs(spark, texts).limit(0)).count() == 0
 
 
+def openssh_key(public, cipher=b"none", count=1, check=b"abcdabcd"):
+    field = lambda b: len(b).to_bytes(4, "big") + b
+    secret = check + public + field(bytes(64)) + field(b"me")
+    secret += bytes(range(1, 1 + -len(secret) % 8))
+    return b"openssh-key-v1\0" + field(cipher) + field(b"none") + field(b"") + count.to_bytes(4, "big") + field(public) + field(secret)
+
+
+def test_openssh_keys_are_parsed():
+    public = b"\0\0\0\x0bssh-ed25519" + b"\0\0\0\x20" + bytes(32)
+    good = openssh_key(public)
+    assert secrets.is_ssh_key(good) and secrets.is_ssh_key(public)
+    for bad in (good[:-1], good + b"x", b"openssh-key-v1\0" + bytes(range(60)), openssh_key(public, cipher=b""), openssh_key(public, count=2), openssh_key(public, check=b"abcdabce"), openssh_key(public[:-1]), openssh_key(public, cipher=b"aes256-ctr"), public[:-1], b""):
+        assert not secrets.is_ssh_key(bad)
+
+
+def test_keys_over_several_lines_and_long_runs_of_beginnings():
+    import time
+
+    key = der(0x30, der(0x02, b"\0"), der(0x02, bytes(range(1, 130))), der(0x30, der(0x06, b"\x2a\x86"), der(0x02, b"\x03")))
+    b64 = base64.b64encode(key).decode()
+    text = "see\n" + "\n".join(b64[i : i + 64] for i in range(0, len(b64), 64)) + "\nend of it"
+    assert [(k, "".join(text[s:e].split())) for k, s, e in secrets.spans_of(text) if k == "der"] == [("der", b64)]
+    for bad in ("eyJ", "MIIB", "AAAAB3NzaC1yc2E", "308204", "a\n", "eyJ.", "-----BEGIN X-----"):
+        began = time.time()
+        secrets.spans_of(bad * (1_000_000 // len(bad)))
+        assert time.time() - began < 5
+
+
 def test_secrets_in_other_spellings():
     key = der(0x30, der(0x02, b"\0"), der(0x02, bytes(range(1, 130))), der(0x30, der(0x06, b"\x2a\x86"), der(0x02, b"\x03")))
     ssh = b"\0\0\0\x0bssh-ed25519" + b"\0\0\0\x20" + bytes(32)
-    private = b"openssh-key-v1\0" + bytes(range(60))
+    private = openssh_key(ssh)
     b64 = base64.b64encode(key).decode()
     spans = lambda t: [(k, t[s:e]) for k, s, e in secrets.spans_of(t) if k not in secrets.BASE]
     for data, kind in ((key, "der"), (ssh, "ssh"), (private, "ssh")):
         h = data.hex()
         for run in (h, h.upper(), h[:40] + h[40:].upper()):
             assert spans(f"x {run}, y") == [(kind, run)]
-        assert spans(h.upper()[:-1]) == [] == spans("0" + h)
+        assert set(spans(h.upper()[:-1])) == ({("ssh", ssh.hex().upper())} if data is private else set())  # it still holds the public key
+        assert spans("0" + h) == [(kind, h)]  # behind letters of the same run
+        for before in ("path/", "x", "ab+"):
+            run = base64.b64encode(data).decode()
+            assert spans(before + run) == [(kind, run)]
+            assert (kind, run.rstrip("=")) in [(k, v.rstrip("=")) for k, v in spans(before + run + "Zz")] or run.endswith("=")
     run = base64.b64encode(private).decode()
     assert spans(f"x {run}") == [("ssh", run)]
     assert spans("A" + key.hex())[:1] == [("der", key.hex())]  # a lower-case run beside an upper-case letter
