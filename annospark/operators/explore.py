@@ -41,11 +41,8 @@ def log2_bins(n: int) -> int:
 
 def sample(rows: DataFrame, size: int | float, seed: int = 42, key: str = "uid") -> DataFrame:
     """`size` rows, or that fraction of them (1 at least), in the order of a seeded hash of the key; all if there are fewer."""
-    n = rows.count()
     if isinstance(size, float):
-        size = max(1, round(n * size))
-    if size >= n:
-        return rows
+        size = max(1, round(rows.count() * size))
     return rows.orderBy(seeded(F.col(key), seed), key).limit(size)
 
 

@@ -43,29 +43,33 @@ def count_overlaps(df: DataFrame, keys: Sequence[str] = ("uid",)) -> DataFrame:
     return df.select(*keys, early.cast("long").alias("early")).groupBy(*keys).agg(F.sum("early").alias("n_overlaps"))
 
 
-def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot_ms: int = SLOT_MS) -> DataFrame:
+def overlap_join(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot_ms: int | None = SLOT_MS) -> DataFrame:
     """Pairs of overlapping intervals, with a's columns as they are and b's as `b_*`, and on_ms, off_ms of the common part.
 
     Both sides are dealt by time as well as by key, so that one long recording doesn't sit in one task; a pair counts in the
-    range where its common part begins, and so once.
+    range where its common part begins, and so once. Without `slot_ms` they are dealt by key only, for keys that name a short stretch, as a clip.
     """
+    on, off = F.greatest("onset_ms", "b_onset_ms"), F.least("offset_ms", "b_offset_ms")
+    meets = (F.col("onset_ms") < F.col("b_offset_ms")) & (F.col("b_onset_ms") < F.col("offset_ms"))
+    right = b.select(*[F.col(c).alias(c if c in keys else f"b_{c}") for c in b.columns])
+    if slot_ms is None:
+        return a.join(right, list(keys)).where(meets).withColumns({"on_ms": on, "off_ms": off})
     slots = lambda on, off: F.explode(F.sequence(F.floor(F.col(on) / slot_ms), F.floor((F.greatest(F.col(off) - 1, F.col(on))) / slot_ms)))
     left = a.withColumn("_slot", slots("onset_ms", "offset_ms"))
-    right = b.select(*[F.col(c).alias(c if c in keys else f"b_{c}") for c in b.columns]).withColumn("_slot", slots("b_onset_ms", "b_offset_ms"))
-    on, off = F.greatest("onset_ms", "b_onset_ms"), F.least("offset_ms", "b_offset_ms")
-    pairs = left.join(right, [*keys, "_slot"]).where((F.col("onset_ms") < F.col("b_offset_ms")) & (F.col("b_onset_ms") < F.col("offset_ms")) & (F.floor(on / slot_ms) == F.col("_slot")))
+    right = right.withColumn("_slot", slots("b_onset_ms", "b_offset_ms"))
+    pairs = left.join(right, [*keys, "_slot"]).where(meets & (F.floor(on / slot_ms) == F.col("_slot")))
     return pairs.withColumns({"on_ms": on, "off_ms": off}).drop("_slot")
 
 
-def overlap_ms(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",)) -> DataFrame:
+def overlap_ms(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot_ms: int | None = SLOT_MS) -> DataFrame:
     """Summed length of what two sets of disjoint intervals share."""
-    return overlap_join(a, b, keys).groupBy(*keys).agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
+    return overlap_join(a, b, keys, slot_ms).groupBy(*keys).agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
 
 
-def iou(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",)) -> DataFrame:
+def iou(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot_ms: int | None = SLOT_MS) -> DataFrame:
     """Intersection over union of two sets of intervals by group: 1 where both are empty, 0 where one is. Null-free."""
     x, y = merge(a, keys), merge(b, keys)
-    out = total(x, keys).withColumnRenamed("total_ms", "a_ms").join(total(y, keys).withColumnRenamed("total_ms", "b_ms"), list(keys), "full").join(overlap_ms(x, y, keys), list(keys), "left").na.fill(0, ["a_ms", "b_ms", "both_ms"])
+    out = total(x, keys).withColumnRenamed("total_ms", "a_ms").join(total(y, keys).withColumnRenamed("total_ms", "b_ms"), list(keys), "full").join(overlap_ms(x, y, keys, slot_ms), list(keys), "left").na.fill(0, ["a_ms", "b_ms", "both_ms"])
     return out.withColumn("iou", F.coalesce(F.try_divide(F.col("both_ms").cast("double"), F.col("a_ms") + F.col("b_ms") - F.col("both_ms")), F.lit(1.0)))
 
 
@@ -95,11 +99,14 @@ def threshold_segments(scores: DataFrame, threshold: float, step_ms: int, keys:
 
 
 def silence_gaps(active: DataFrame, spans: DataFrame, keys: Sequence[str] = ("uid",)) -> DataFrame:
-    """What merged activity leaves free of each span (win_on, win_off), longest first by gap_rank (ties: earliest); the whole span where nothing is active."""
+    """What merged activity leaves free of each span (win_on, win_off), longest first by gap_rank (ties: earliest); the whole span where nothing is active.
+
+    Activity and spans are dealt by time as well as by key.
+    """
     k = list(keys)
-    inside = spans.join(active.select(*k, "onset_ms", "offset_ms"), k, "left").withColumns({"on": F.greatest("onset_ms", "win_on"), "off": F.least("offset_ms", "win_off")})
-    inside = inside.withColumn("hit", F.col("onset_ms").isNotNull() & (F.col("on") < F.col("off")))
-    edges = spans.select(*k, "win_on", "win_off", F.col("win_on").alias("off"), F.lit(True).alias("edge")).unionByName(inside.where("hit").select(*k, "win_on", "win_off", "on", "off"), allowMissingColumns=True)
+    bounds = spans.select(*k, F.col("win_on").alias("onset_ms"), F.col("win_off").alias("offset_ms")).distinct()
+    inside = overlap_join(bounds, active.select(*k, "onset_ms", "offset_ms"), k).select(*k, F.col("onset_ms").alias("win_on"), F.col("offset_ms").alias("win_off"), F.col("on_ms").alias("on"), F.col("off_ms").alias("off"))
+    edges = spans.select(*k, "win_on", "win_off", F.col("win_on").alias("off")).unionByName(inside, allowMissingColumns=True)
     w = Window.partitionBy(*k, "win_on", "win_off").orderBy(F.col("on").asc_nulls_first(), "off")
     gaps = edges.withColumn("gap_off", F.coalesce(F.lead("on").over(w), F.col("win_off"))).where("gap_off > off")
     gaps = gaps.select(*k, "win_on", "win_off", F.col("off").alias("gap_on"), "gap_off")
@@ -107,11 +114,15 @@ def silence_gaps(active: DataFrame, spans: DataFrame, keys: Sequence[str] = ("ui
     return gaps.withColumn("gap_rank", F.row_number().over(rank))
 
 
-def boundaries_near(segments: DataFrame, points: DataFrame, keys: Sequence[str] = ("uid",)) -> DataFrame:
-    """Segment ends strictly inside (win_on, win_off), ranked by distance to `point`, then to the middle of the span, then by time."""
+def boundaries_near(segments: DataFrame, points: DataFrame, keys: Sequence[str] = ("uid",), slot_ms: int = SLOT_MS) -> DataFrame:
+    """Segment ends strictly inside (win_on, win_off), ranked by distance to `point`, then to the middle of the span, then by time.
+
+    Ends and spans are dealt by time as well as by key; an end lies in one range, so it meets a span once.
+    """
     k = list(keys)
-    ends = segments.select(*k, F.explode(F.array("onset_ms", "offset_ms")).alias("at")).distinct()
-    near = points.join(ends, k).where("at > win_on and at < win_off")
+    ends = segments.select(*k, F.explode(F.array("onset_ms", "offset_ms")).alias("at")).distinct().withColumn("_slot", F.floor(F.col("at") / slot_ms))
+    ranges = F.sequence(F.floor(F.col("win_on") / slot_ms), F.floor(F.greatest("win_on", "win_off") / slot_ms))
+    near = points.withColumn("_slot", F.explode(ranges)).join(ends, [*k, "_slot"]).where("at > win_on and at < win_off").drop("_slot")
     w = Window.partitionBy(*k, "win_on", "win_off").orderBy(F.abs(F.col("at") - F.col("point")), F.abs(2 * F.col("at") - F.col("win_on") - F.col("win_off")), "at")
     return near.withColumn("near_rank", F.row_number().over(w))
 

@@ -153,3 +153,44 @@ def all_ids(tables: Sequence[DataFrame], strict: bool = False, key: str = ID) ->
 def keep_last(rows: DataFrame, key: str, order: str) -> DataFrame:
     """The last row of each key."""
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(order)))).where("_rn = 1").drop("_rn")
+
+
+@dataclass(frozen=True)
+class Adapter:
+    """How the tables of one source are read: the column with the recording's id, which rows count as successful, and whether each needs its array file."""
+
+    source: str
+    key: str
+    success: str
+    needs_arrays: bool = False
+
+    def as_manifest(self, meta: DataFrame) -> DataFrame:
+        """The metadata with the id renamed, for joins."""
+        return meta.withColumnRenamed(self.key, ID)
+
+    def list_ids(self, meta: DataFrame) -> DataFrame:
+        """Ids that were processed with success."""
+        return meta.where(self.success).select(F.col(self.key).alias(ID)).where(F.col(ID).isNotNull()).distinct()
+
+    def existing(self, meta: DataFrame, arrays: DataFrame | None = None) -> DataFrame:
+        """Ids whose outputs are there: processed with success, and with an array file where the source has them; `arrays` has a row (uid, ...) for each
+        of these files, as scan_files or read_npz give them."""
+        if not self.needs_arrays:
+            return self.list_ids(meta)
+        if arrays is None:
+            raise ValueError(f"{self.source} needs the table of its array files")
+        return self.list_ids(meta).join(arrays.select(F.col("uid").alias(ID)).distinct(), ID, "left_semi")
+
+    def exists(self, meta: DataFrame, value, arrays: DataFrame | None = None) -> bool:
+        return not self.existing(meta.where(F.col(self.key) == value), arrays).isEmpty()
+
+    def load(self, meta: DataFrame, value, **segments: DataFrame) -> dict[str, DataFrame]:
+        """The metadata row and the named tables (raw, merged, arrays ...) of one recording; an unknown id is an error."""
+        own = self.as_manifest(meta).where(F.col(ID) == value)
+        if own.isEmpty():
+            raise FileNotFoundError(f"{self.source} has no metadata for {value}")
+        return {"meta": own} | {name: df.where(F.col("uid") == value) for name, df in segments.items()}
+
+
+#: The sources that the loader joins; their status columns and id columns are fixed values.
+ADAPTERS = {a.source: a for a in (Adapter("vad", "file_id", "success"), Adapter("vtc", "uid", "error = ''"), Adapter("snr", "uid", "snr_status = 'ok'", True), Adapter("esc", "uid", "esc_status = 'ok'", True))}

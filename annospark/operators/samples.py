@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annospark.functions.columns import seeded
 
-from . import intervals
-
 
 def resample(x: Column, rate_from: int, rate_to: int) -> Column:
     """Linear interpolation to int(n * to / from) samples, spread evenly from the first to the last."""
@@ -67,26 +68,38 @@ def sample_range(onset_ms: Column, offset_ms: Column, rate: int, n: Column) -> t
 
 
 def frame_masks(clips: DataFrame, segments: DataFrame, labels: Sequence[str], frame_ms: int = 20, keys: Sequence[str] = ("uid", "clip_idx")) -> DataFrame:
-    """Per clip an attention mask and one mask for each label, frames of `frame_ms`, cut off downwards: arrays of booleans.
+    """Per clip its number of frames of `frame_ms`, cut off downwards, an attention mask and a mask for each label, and how many frames each label has: n_frames, attention, mask_*, n_*.
 
-    A segment covers frames [on div frame, off div frame) of clip-relative time. Segments are merged on the frame grid and each run
-    of equal frames becomes one array_repeat, so neither a row nor a test is made for a frame.
+    A segment covers frames [on div frame, off div frame) of clip-relative time. Masks are packed bits, frame i in bit i % 8 of byte i // 8 (`unpack_mask`
+    gives booleans). A clip's segments meet in one row; its bits are set in the task that holds it, so no row is made for a frame.
     """
     k = list(keys)
     n = F.floor((F.col("offset_ms") - F.col("onset_ms")) / frame_ms).cast("int")
-    grid = segments.select(*k, "label", F.floor(F.col("rel_on_ms") / frame_ms).alias("onset_ms"), F.floor(F.col("rel_off_ms") / frame_ms).alias("offset_ms")).where("offset_ms > onset_ms")
-    merged = intervals.merge(grid, [*k, "label"])
-    gap = F.col("onset_ms") - F.coalesce(F.lag("offset_ms").over(Window.partitionBy(*k, "label").orderBy("onset_ms")), F.lit(0))
-    spans = merged.withColumn("gap", gap).groupBy(*k, "label").agg(F.array_sort(F.collect_list(F.struct("onset_ms", "offset_ms", "gap"))).alias("spans"))
-    wide = spans.groupBy(*k).pivot("label", list(labels)).agg(F.first("spans"))
-    out = clips.select(*k, n.alias("n")).join(wide, k, "left")
-    many = lambda value, times: F.array_repeat(F.lit(value), times.cast("int"))
-
-    def mask(label: str):
-        held = F.flatten(F.transform(F.col(label), lambda s: F.concat(many(False, s["gap"]), many(True, s["offset_ms"] - s["onset_ms"]))))
-        return F.coalesce(F.concat(held, many(False, F.col("n") - F.get(F.col(label), F.size(label) - 1)["offset_ms"])), many(False, F.col("n")))
-
-    return out.select(*k, many(True, F.col("n")).alias("attention"), *[mask(x).alias(f"mask_{x}") for x in labels])
+    on, off = (F.floor(F.col(c) / frame_ms).cast("int") for c in ("rel_on_ms", "rel_off_ms"))
+    spans = segments.where(F.col("label").isin(*labels) & (off > on)).groupBy(*k).agg(F.collect_list(F.array(F.array_position(F.lit(list(labels)), F.col("label")).cast("int") - 1, on, off)).alias("spans"))
+    rows = clips.select(*k, n.alias("n_frames")).join(spans, k, "left")
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            masks, counts = [], []
+            for size, held in zip(b.column("n_frames").to_pylist(), b.column("spans").to_pylist()):
+                bits = np.zeros((len(labels) + 1, max(size or 0, 0)), bool)
+                bits[-1] = True
+                for label, first, end in held or ():
+                    bits[label, first:end] = True
+                masks.append([row.tobytes() for row in np.packbits(bits, axis=1, bitorder="little")])
+                counts.append(bits[:-1].sum(1).tolist())
+            columns = [pa.array([m[i] for m in masks], pa.binary()) for i in (-1, *range(len(labels)))] + [pa.array([c[i] for c in counts], pa.int32()) for i in range(len(labels))]
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in (*k, "n_frames")], *columns], names=names)
+
+    names = [*k, "n_frames", "attention", *[f"mask_{x}" for x in labels], *[f"n_{x}" for x in labels]]
+    kinds = T.StructType([*rows.select(*k, "n_frames").schema.fields, *[T.StructField(c, T.BinaryType() if not c.startswith("n_") else T.IntegerType()) for c in names[len(k) + 1 :]]])
+    return rows.mapInArrow(fill, kinds)
+
+
+def unpack_mask(mask: bytes, n: int) -> np.ndarray:
+    """The n booleans of a packed mask."""
+    return np.unpackbits(np.frombuffer(mask, np.uint8), count=n, bitorder="little").astype(bool)
 
 
 def batches(rows: DataFrame, size: int, order: Sequence[str], shard: str, samples: str = "samples", multiple: int = 1, drop_last: bool = False) -> DataFrame:

@@ -66,13 +66,13 @@ def label_changes(segments: DataFrame) -> DataFrame:
 def frame_iou(a: DataFrame, b: DataFrame, keys: list[str] = CLIP, frame_ms: int = FRAME_MS) -> DataFrame:
     """IoU of two segment sets on frames of `frame_ms`, indices cut off downwards; 0 without any active frame."""
     grid = lambda df: intervals.merge(df.select(*keys, F.floor(F.col("onset_ms") / frame_ms).alias("onset_ms"), F.floor(F.col("offset_ms") / frame_ms).alias("offset_ms")).where("offset_ms > onset_ms"), keys)
-    out = intervals.iou(grid(a), grid(b), keys)
+    out = intervals.iou(grid(a), grid(b), keys, slot_ms=None if keys == CLIP else intervals.SLOT_MS)
     return out.select(*keys, F.when(F.col("a_ms") + F.col("b_ms") == 0, 0.0).otherwise(F.col("iou")).alias("frame_iou"))
 
 
 def coverage_by_label(segments: DataFrame, vad: DataFrame) -> DataFrame:
     """Per clip and label the share of labelled time that VAD covers, at most 1."""
-    pairs = intervals.overlap_join(segments, intervals.merge(vad, CLIP), CLIP).groupBy(*CLIP, "label").agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
+    pairs = intervals.overlap_join(segments, intervals.merge(vad, CLIP), CLIP, slot_ms=None).groupBy(*CLIP, "label").agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
     per = segments.groupBy(*CLIP, "label").agg(F.sum(_length()).alias("ms")).join(pairs, [*CLIP, "label"], "left")
     return per.select(*CLIP, "label", F.least(F.lit(1.0), F.coalesce("both_ms", F.lit(0)).cast("double") / F.col("ms")).alias("coverage"))
 
@@ -91,11 +91,15 @@ def join_segment_snr(segments: DataFrame, values: DataFrame, digits: int = 1) ->
 
 
 def contained_means(spans: DataFrame, valued: DataFrame, keys: list[str]) -> DataFrame:
-    """spans with the mean snr and c50 of the segments that lie wholly inside them."""
-    pairs = intervals.overlap_join(spans.select(*keys, "onset_ms", "offset_ms").distinct(), valued.select(*keys, "onset_ms", "offset_ms", "snr", "c50"), keys)
-    pairs = pairs.where("b_onset_ms >= onset_ms and b_offset_ms <= offset_ms")
-    means = pairs.groupBy(*keys, "onset_ms", "offset_ms").agg(F.avg("b_snr").alias("snr_mean"), F.avg("b_c50").alias("c50_mean"))
-    return spans.join(means, [*keys, "onset_ms", "offset_ms"], "left")
+    """spans with the mean snr and c50 of the segments that lie wholly inside them.
+
+    The join is dealt by `keys`, which should name a short stretch, as a clip; the means are grouped where the pairs are.
+    """
+    own = valued.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("onset_ms").alias("_on"), F.col("offset_ms").alias("_off"), F.col("snr").alias("_snr"), F.col("c50").alias("_c50"))
+    inside = (F.col("_on") >= F.col("onset_ms")) & (F.col("_off") <= F.col("offset_ms"))
+    for k in keys:
+        inside &= F.col(k) == F.col(f"_{k}")
+    return spans.join(own, inside, "left").groupBy(*spans.columns).agg(F.avg("_snr").alias("snr_mean"), F.avg("_c50").alias("c50_mean"))
 
 
 def turn_stats(segments: DataFrame, valued: DataFrame, keys: list[str] = CLIP) -> DataFrame:

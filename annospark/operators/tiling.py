@@ -12,7 +12,7 @@ from . import intervals
 #: Step of the model grid that interior cuts are snapped to.
 GRID_MS = 3_980
 #: How a cut was found, in the order of preference; the last for a search window without room.
-TIERS = ("long_union_gap", "any_union_gap", "vad_gap", "vtc_gap", "speaker_boundary", "hard_cut", "degenerate_window")
+TIERS = ("long_union_gap", "short_union_gap", "vad_only_gap", "vtc_only_gap", "speaker_boundary", "hard_cut", "degenerate_window")
 
 
 def snap_to_grid(t: Column, dur: Column, grid_ms: int = GRID_MS) -> Column:
@@ -57,7 +57,7 @@ def cut_points(dur: int, vad: np.ndarray, vtc: np.ndarray, union: np.ndarray, en
         if lo >= hi:
             cut, tier = float(min(prev + max_ms, dur)), "degenerate_window"
         else:
-            for tier, name, least in (("long_union_gap", "union", long_gap_ms), ("any_union_gap", "union", 0), ("vad_gap", "vad", 0), ("vtc_gap", "vtc", 0)):
+            for tier, name, least in (("long_union_gap", "union", long_gap_ms), ("short_union_gap", "union", 0), ("vad_only_gap", "vad", 0), ("vtc_only_gap", "vtc", 0)):
                 cut = _nearest_gap(gaps[name], lo, hi, ideal, least)
                 if cut is not None:
                     break

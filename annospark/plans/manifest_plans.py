@@ -103,9 +103,28 @@ _add("f06_multi_key_sort", SQL + " select uid, label, onset_ms from vtc order by
 _add("a15_adapters", _SOURCES + " select wav_id, snr_mean, 'snr' as source from ms where snr_mean > 0")(lambda s, d: manifest.contract(_stages(s, d)["snr"].where("snr_mean > 0").select("wav_id", "snr_mean").withColumn("source", F.lit("snr"))))
 
 # Sampling and exploration.
+def _adapted(s, d):
+    """Metadata of four sources with their own id and status columns, made of the annotations; array files are there for two recordings in three."""
+    uid = F.col("uid").cast("string")
+    vad = derive.vad(s, d).groupBy("uid").agg(F.count("*").alias("n")).select(uid.alias("file_id"), "n", (F.col("uid") % 7 != 0).alias("success"))
+    vtc = derive.vtc(s, d).groupBy("uid").agg(F.count("*").alias("n")).select(uid.alias("uid"), "n", F.when(F.col("uid") % 5 == 0, "no audio").otherwise("").alias("error"))
+    dur = derive.durations(s, d)
+    snr = dur.select(uid.alias("uid"), F.col("dur_ms").alias("n"), F.when(F.col("uid") % 4 == 0, "skipped").otherwise("ok").alias("snr_status"))
+    esc = dur.select(uid.alias("uid"), F.col("dur_ms").alias("n"), F.when(F.col("uid") % 6 == 0, F.lit(None)).otherwise("ok").alias("esc_status"))
+    files = dur.where("uid % 3 <> 0").select(uid.alias("uid"))
+    out = []
+    for source, meta in (("vad", vad), ("vtc", vtc), ("snr", snr), ("esc", esc)):
+        adapter = manifest.ADAPTERS[source]
+        out.append(adapter.as_manifest(meta).join(adapter.list_ids(meta), "wav_id").join(adapter.existing(meta, files).withColumn("there", F.lit(True)), "wav_id", "left").select("wav_id", F.lit(source).alias("source"), "n", F.coalesce("there", F.lit(False)).alias("there")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
+_add("a15_four_adapters", SQL + """ select uid::varchar as wav_id, source, n, source in ('vad', 'vtc') or uid % 3 <> 0 as there from (
+  select uid, 'vad' as source, count(*) as n from vad where uid % 7 <> 0 group by uid union all select uid, 'vtc', count(*) from vtc where uid % 5 <> 0 group by uid
+  union all select uid, 'snr', dur_ms from dur where uid % 4 <> 0 union all select uid, 'esc', dur_ms from dur where uid % 6 <> 0)""")(_adapted)
 _add("b10_sample", "select user_id as uid from (select distinct user_id from events) order by md5(user_id::varchar || ':42'), user_id limit 20")(lambda s, d: explore.sample(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct(), 20))
 _add("b10_sample_count", "select least(20, count(distinct user_id))::int as n_int, greatest(1, round(count(distinct user_id) * 0.25))::int as n_fraction, count(distinct user_id)::int as n_all from events")(
-    lambda s, d: (lambda u: s.range(1).select(*[F.lit(x).cast("int").alias(n) for n, x in (("n_int", explore.sample(u, 20).count()), ("n_fraction", explore.sample(u, 0.25).count()), ("n_all", explore.sample(u, 10**9).count()))]))(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct())
+    lambda s, d: (lambda u: explore.sample(u, 20).agg(F.count("*").cast("int").alias("n_int")).crossJoin(explore.sample(u, 0.25).agg(F.count("*").cast("int").alias("n_fraction"))).crossJoin(u.agg(F.count("*").cast("int").alias("n_all"))))(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct())
 )
 _add("b11_even_shards", "select user_id as uid, (ntile(7) over (order by user_id) - 1)::int as shard from (select distinct user_id from events)")(lambda s, d: explore.even_shards(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct(), 7, ["uid"]))
 _LONG = TURNS + ", lt as (select *, (offset_ms - onset_ms) / 1000.0::double as len_s from turns)"
@@ -232,7 +251,7 @@ _add("h09_label_ids", SQL + " select uid, onset_ms, label, case label when 'FEM'
 )
 _add("h10_frame_masks", CLIPS + """, fr as (select uid, clip_idx, unnest(range(0, (offset_ms - onset_ms) // 20)) as i from clips), hm as (select uid, clip_idx, label, count(distinct i) as n from (select uid, clip_idx, label, unnest(range(rel_on_ms // 20, rel_off_ms // 20)) as i from seg) group by 1, 2, 3)
 select c.uid, c.clip_idx, ((c.offset_ms - c.onset_ms) // 20)::int as n_frames, """ + ", ".join(f"coalesce(max(case when label = '{x}' then n end), 0)::int as n_{x}" for x in derive.LABELS) + " from clips c left join hm using (uid, clip_idx) group by c.uid, c.clip_idx, c.offset_ms, c.onset_ms")(
-    lambda s, d: samples.frame_masks(_fixed(s, d), _seg(s, d), derive.LABELS).select("uid", "clip_idx", F.size("attention").alias("n_frames"), *[F.size(F.array_remove(f"mask_{x}", False)).alias(f"n_{x}") for x in derive.LABELS])
+    lambda s, d: samples.frame_masks(_fixed(s, d), _seg(s, d), derive.LABELS).select("uid", "clip_idx", "n_frames", *[f"n_{x}" for x in derive.LABELS])
 )
 _BATCH = f"with s as (select vec_id, label, list_transform(embedding, lambda x: x::double)[1 : 20 + vec_id % 40] as samples from embeddings), b as (select *, (row_number() over (partition by label order by vec_id) - 1) // 8 as batch, len(samples) as n_s from s)"
 

@@ -5,8 +5,6 @@ Results are written to a folder that the session shares and read again, so that
 
 from __future__ import annotations
 
-from functools import partial
-
 from pyspark.sql import functions as F
 
 from annospark.operators import extend, sessions
@@ -21,9 +19,9 @@ QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
 
-def _add(name: str, sql: str | None = None, **options):
+def _add(name: str, sql: str | None = None):
     def put(f):
-        QUERIES[name] = partial(f, **options) if options else f
+        QUERIES[name] = f
         if sql:
             ORACLE[name] = sql
         return f
@@ -36,9 +34,9 @@ _VTC = SQL + " select uid, onset_ms, offset_ms, label from vtc"
 
 
 @_add("a01_all_formats", SQL + " select uid, onset_ms, label, f as format from vtc, unnest(['parquet', 'csv', 'tsv', 'jsonl']) t(f)")
-@_add("a01_manifest_formats", SQL + " select uid, onset_ms, label, f as format from vtc, unnest(['parquet', 'csv', 'tsv', 'jsonl']) t(f) where uid % 10 = 0", of="uid % 10 = 0")
-def _formats(s, d, of="true"):
-    rows, path = derive.vtc(s, d).where(of).select("uid", "onset_ms", "label"), _folder(s, "formats")
+@_add("a01_manifest_formats", SQL + " select uid, onset_ms, label, f as format from vtc, unnest(['parquet', 'csv', 'tsv', 'jsonl']) t(f)")
+def _formats(s, d):
+    rows, path = derive.vtc(s, d).select("uid", "onset_ms", "label"), _folder(s, "formats")
     rows.write.parquet(f"{path}.parquet")
     rows.write.option("header", True).csv(f"{path}.csv")
     rows.write.option("header", True).option("sep", "\t").csv(f"{path}.tsv")
@@ -47,13 +45,15 @@ def _formats(s, d, of="true"):
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
 
 
-@_add("a03_scan_files", "select (user_id % 20)::varchar as uid, count(*) > 0 as has_bytes from events group by 1")
+@_add("a03_scan_files", "select distinct user_id::varchar as uid, '.json' as ext, true as has_bytes from events")
 def _scan(s, d):
+    """A small file for each recording; hidden files and others lie beside."""
     path = _folder(s, "scan")
-    payload = table(s, d, "events").groupBy((F.col("user_id") % 20).cast("string").alias("uid")).agg(F.to_json(F.sort_array(F.collect_list("event_id"))).alias("x"))
-    payload.write.partitionBy("uid").text(path)
-    found = s.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select(F.regexp_extract("path", "uid=([^/]+)/", 1).alias("uid"), (F.col("length") > 0).alias("has_bytes"))
-    return found.distinct()
+    rows = table(s, d, "events").select("event_id", F.col("user_id").cast("string").alias("uid"))
+    rows.repartition("uid").write.partitionBy("uid").json(path)
+    rows.select("uid").distinct().coalesce(1).write.text(f"{path}/other")
+    found = tables.scan_files(s, path, (".json",), F.regexp_extract("path", "uid=([^/]+)/", 1))
+    return found.groupBy("uid", "ext").agg((F.sum("bytes") > 0).alias("has_bytes"))
 
 
 @_add("a04_read_shards", SQL + " select uid, onset_ms, offset_ms, label from vtc union all select uid, onset_ms, offset_ms, null from vad")
@@ -78,28 +78,13 @@ def _csv(s, d):
 
 
 @_add("a07_all_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames group by uid")
-@_add("a07_array_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames where uid % 5 = 0 group by uid", of="uid % 5 = 0")
-def _npz(s, d, of="true"):
-    rows = derive.frames(s, d).where(of).groupBy(F.col("uid").cast("string").alias("uid")).agg(F.sort_array(F.collect_list(F.struct("i", "snr", "c50", "vad"))).alias("x"))
+@_add("a07_array_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames group by uid")
+def _npz(s, d):
+    rows = derive.frames(s, d).groupBy(F.col("uid").cast("string").alias("uid")).agg(F.sort_array(F.collect_list(F.struct("i", "snr", "c50", "vad"))).alias("x"))
     rows = rows.select("uid", *[F.expr(f"transform(x, r -> r.{a})").alias(a) for a in ("snr", "c50", "vad")])
-    packed = arrays.pack_npz(rows, ("snr", "c50", "vad"))
-    packed.write.parquet(path := _folder(s, "npz"))
-    back = s.read.parquet(path).mapInPandas(_unpacked_npz, "uid string, n long, n_speech long")
-    return back
-
-
-def _unpacked_npz(batches):
-    import io
-
-    import numpy as np
-    import pandas as pd
-
-    for pdf in batches:
-        out = []
-        for uid, content in zip(pdf.uid, pdf.content):
-            with np.load(io.BytesIO(content)) as z:
-                out.append((uid, len(z["vad"]), int((z["vad"] > np.float16(0.5)).sum())))
-        yield pd.DataFrame(out, columns=["uid", "n", "n_speech"])
+    arrays.write_npz(arrays.pack_npz(rows, ("snr", "c50", "vad")), path := _folder(s, "npz"))
+    back = arrays.frames_of(arrays.read_npz(s, path, scalars=()))
+    return back.groupBy("uid").agg(F.count("*").alias("n"), F.sum((F.col("vad") > 0.5).cast("long")).alias("n_speech"))
 
 
 @_add("a08_json_store", SQL + " select uid::varchar as wav_id, dur_ms from dur")
@@ -115,16 +100,16 @@ def _store(s, d):
     rows = derive.durations(s, d).select(F.col("uid").cast("string").alias("wav_id"), "dur_ms", "uid")
     store.save(rows.drop("uid"))
     store.save(rows.where("uid % 3 = 0").select("wav_id", (-F.col("dur_ms")).alias("dur_ms")))
-    return store.table().drop("slot")
+    return store.table()
 
 
 @_add("a11_a12_all_shards", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as key, 'bin' as ext, (offset_ms - onset_ms)::varchar as payload, uid::varchar as meta_uid from clips")
-@_add("a11_a12_tar_shards", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as key, 'bin' as ext, (offset_ms - onset_ms)::varchar as payload, uid::varchar as meta_uid from clips where uid % 5 = 0", of="uid % 5 = 0")
-def _tar(s, d, of="true"):
-    clips = shards.assign_shards(_fixed(s, d).where(of), 50)
+@_add("a11_a12_tar_shards", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as key, 'bin' as ext, (offset_ms - onset_ms)::varchar as payload, uid::varchar as meta_uid from clips")
+def _tar(s, d):
+    clips = shards.assign_shards(_fixed(s, d), 50)
     members = clips.select("shard", "key", F.explode(F.array(F.struct(F.lit("bin").alias("ext"), (F.col("offset_ms") - F.col("onset_ms")).cast("string").cast("binary").alias("payload")), F.struct(F.lit("json").alias("ext"), F.to_json(F.struct(F.col("uid").cast("string").alias("uid"))).cast("binary").alias("payload")))).alias("m")).select("shard", "key", "m.*")
     path = _folder(s, "tars")
-    shards.write_shards(members, path.removeprefix("file://").removeprefix("file:"))
+    shards.write_shards(members, path)
     return shards.samples_of(shards.read_shards(s, path)).select("key", "ext", F.col("payload").cast("string").alias("payload"), F.col("metadata")["uid"].alias("meta_uid"))
 
 
@@ -159,14 +144,9 @@ def _live_vtc(s, d):
 
 @_add("i01_incremental_ingest", SQL + " select uid, label, count(*) as n from vtc group by uid, label")
 def _ingest(s, d):
-    path, at = _folder(s, "ingest"), {}
-
-    def write(df, batch_id):
-        df.write.mode("overwrite").parquet(f"{path}/{batch_id}")
-        at["path"] = f"{path}/{batch_id}"
-
-    live.ingest(_live_vtc(s, d), lambda: s.read.parquet(at["path"]) if at else None, write, _folder(s, "ingest-checkpoint"))
-    return s.read.parquet(at["path"]).groupBy("uid", "label").agg(F.count("*").alias("n"))
+    store = tables.ParquetStore(s, _folder(s, "ingest"), "uid")
+    live.ingest(_live_vtc(s, d), store, _folder(s, "ingest-checkpoint"))
+    return store.table().groupBy("uid", "label").agg(F.count("*").alias("n"))
 
 
 @_add("i02_live_conversations", SQL + """, x as (select *, max(offset_ms) over (partition by uid order by onset_ms, offset_ms rows between unbounded preceding and 1 preceding) as reach from vtc), y as (select *, sum(case when onset_ms - reach < 10000 then 0 else 1 end) over (partition by uid order by onset_ms, offset_ms rows between unbounded preceding and current row) as k from x),

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from annospark.functions.columns import stem
 
+from .shards import store_of
+
 
 def read_npz(spark: SparkSession, folder: str, arrays: Sequence[str] = ("snr", "c50", "vad"), scalars: Sequence[str] = ("step_s",)) -> DataFrame:
     """One row a file: uid, each array as ARRAY<FLOAT>, each scalar as double. Missing members are null. A task reads the files it is dealt, one at a time."""
@@ -48,3 +50,24 @@ def pack_npz(rows: DataFrame, arrays: Sequence[str]) -> DataFrame:
             yield pd.DataFrame(out, columns=["uid", "content"])
 
     return rows.select("uid", *arrays).mapInPandas(pack, "uid string, content binary")
+
+
+def write_npz(packed: DataFrame, folder: str) -> int:
+    """Writes rows (uid, content) as files {uid}.npz of a shared folder, in any store that Arrow knows; returns their number.
+
+    A file is written under another name and moved, so that a task that is tried again leaves a whole file.
+    """
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
+
+        store, base = store_of(folder)
+        store.create_dir(base, recursive=True)
+        for pdf in batches:
+            for uid, content in zip(pdf.uid, pdf.content):
+                with store.open_output_stream(tmp := f"{base}/.{uid}.{TaskContext.get().taskAttemptId()}.tmp") as out:
+                    out.write(content)
+                store.move(tmp, f"{base}/{uid}.npz")
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    return packed.select("uid", "content").mapInPandas(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

@@ -9,6 +9,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
@@ -27,6 +28,13 @@ def assign_shards(clips: DataFrame, per_shard: int = 100, group: str = "uid", or
     return ranged.withColumns({"shard": shard, "key": F.concat(F.col("uid").cast("string"), F.lit("_"), F.format_string("%04d", F.col("clip_idx")))}).drop("_part")
 
 
+def store_of(path: str) -> tuple[fs.FileSystem, str]:
+    """The file system that a path or URI names, and the path within it: any that Arrow knows (file, s3, gs, hdfs, abfs)."""
+    if "://" not in path:
+        path = "file://" + os.path.abspath(path.removeprefix("file:"))
+    return fs.FileSystem.from_uri(path)
+
+
 @dataclass
 class _Written(WriterCommitMessage):
     files: list
@@ -40,38 +48,44 @@ class _TarWriter(DataSourceWriter):
         """Rows (shard, key, ext, payload) in order of shard; a shard is written under a name of this attempt and renamed on commit."""
         from pyspark import TaskContext
 
-        os.makedirs(self.path, exist_ok=True)
+        store, folder = store_of(self.path)
+        store.create_dir(folder, recursive=True)
         attempt = TaskContext.get().taskAttemptId()
-        tar, shard, done = None, None, []
+        tar, stream, shard, done = None, None, None, []
         for r in rows:
             if r.shard != shard:
                 if tar:
                     tar.close()
+                    stream.close()
                 shard = r.shard
-                name = f"{self.path}/.{shard}.{attempt}.tmp"
-                tar = tarfile.open(name, "w")
-                done.append((name, f"{self.path}/{shard}.tar"))
+                name = f"{folder}/.{shard}.{attempt}.tmp"
+                stream = store.open_output_stream(name)
+                tar = tarfile.open(fileobj=stream, mode="w|")
+                done.append((name, f"{folder}/{shard}.tar"))
             info = tarfile.TarInfo(f"{r.key}.{r.ext}")
             info.size = len(r.payload)
             tar.addfile(info, io.BytesIO(bytes(r.payload)))
         if tar:
             tar.close()
+            stream.close()
         return _Written(done)
 
     def commit(self, messages: list) -> None:
+        store, _ = store_of(self.path)
         for m in messages:
             for tmp, name in m.files if m else []:
-                os.replace(tmp, name)
+                store.move(tmp, name)
 
     def abort(self, messages: list) -> None:
+        store, _ = store_of(self.path)
         for m in messages:
             for tmp, _ in m.files if m else []:
-                if os.path.exists(tmp):
-                    os.remove(tmp)
+                if store.get_file_info(tmp).type == fs.FileType.File:
+                    store.delete_file(tmp)
 
 
 class TarShards(DataSource):
-    """df.write.format("tar_shards").save(folder): the folder must be one that driver and executors share (a mounted store)."""
+    """df.write.format("tar_shards").save(folder): the folder is one that driver and executors share, in any store that Arrow knows."""
 
     @classmethod
     def name(cls) -> str:

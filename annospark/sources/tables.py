@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,12 +34,15 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(folder)
 
 
-def scan_files(spark: SparkSession, root: str, extensions: tuple[str, ...] = (".wav", ".flac", ".mp3", ".ogg", ".m4a")) -> DataFrame:
-    """path, uid, ext and bytes of the files below a folder; hidden files and other extensions are left out. Contents aren't read."""
+def scan_files(spark: SparkSession, root: str, extensions: tuple[str, ...] = (".wav", ".flac", ".mp3", ".ogg", ".m4a"), uid: Column | None = None) -> DataFrame:
+    """path, uid, ext and bytes of the files below a folder; hidden files and other extensions are left out. Contents aren't read.
+
+    The uid is the name without its extension, or what `uid` makes of the column path, where folders carry the id.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(root).select("path", F.col("length").alias("bytes"))
     name = F.regexp_extract("path", r"([^/]+)$", 1)
     ext = F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1))
-    return files.withColumns({"uid": stem(F.col("path")), "ext": ext}).where(ext.isin(*extensions) & ~name.startswith(".")).select("path", "uid", "ext", "bytes")
+    return files.withColumns({"uid": stem(F.col("path")) if uid is None else uid, "ext": ext}).where(ext.isin(*extensions) & ~name.startswith(".")).select("path", "uid", "ext", "bytes")
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -64,10 +68,13 @@ def read_log(spark: SparkSession, path: str, schema: str, step: str | None = Non
 
 
 def checkpoint_ready(spark: SparkSession) -> None:
-    """Sets a checkpoint folder only where the session has none, as in tests."""
+    """Makes sure that the session has a checkpoint folder, that of spark.checkpoint.dir; a folder of this machine only for a local master, as in tests."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", "/tmp/annospark-checkpoints"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None and not (sc.master.startswith("local[") or sc.master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(folder or "/tmp/annospark-checkpoints")
 
 
 def shared_folder(spark: SparkSession, name: str) -> str:
@@ -77,35 +84,54 @@ def shared_folder(spark: SparkSession, name: str) -> str:
 
 
 class ParquetStore:
-    """Rows by key in a partitioned Parquet folder: load, save, exists, list_ids. Saving an id replaces its rows."""
+    """Rows by key in Parquet: load, save, exists, list_ids. Saving an id replaces its rows.
+
+    Keys are dealt to slots. A save writes the slots that it touches to rows/version=V, then which slots these are to versions/save=V; only the second
+    makes it visible, all at once. What was cut off before that is never read, and a save that is repeated under its version writes the same again.
+    """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "wav_id", buckets: int = 64):
         self.spark, self.path, self.key, self.buckets = spark, path, key, buckets
 
-    def _slot(self):
-        return F.pmod(F.xxhash64(F.col(self.key).cast("string")), F.lit(self.buckets)).cast("int")
+    def _slot(self, key: Column) -> Column:
+        return F.pmod(F.xxhash64(key.cast("string")), F.lit(self.buckets)).cast("int")
+
+    def _versions(self, before: int | None = None) -> dict[int, int]:
+        """The version that stands for each slot, of saves before a version; at most a row for each slot reaches the driver."""
+        try:
+            saves = self.spark.read.parquet(f"{self.path}/versions")
+        except AnalysisException as e:  # nothing saved yet
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}
+        saves = saves if before is None else saves.where(F.col("version") < before)
+        return {r.slot: r.version for r in saves.groupBy("slot").agg(F.max("version").alias("version")).collect()}
+
+    def _rows(self, versions: dict[int, int]) -> DataFrame:
+        """Rows with their slot; the filter is on folders only."""
+        rows = self.spark.read.option("mergeSchema", True).parquet(f"{self.path}/rows")
+        standing = F.create_map(*[F.lit(x) for pair in versions.items() for x in pair])
+        return rows.where(F.col("version") == F.try_element_at(standing, F.col("slot"))).drop("version")
 
     def table(self) -> DataFrame:
-        return self.spark.read.parquet(self.path)
+        return self._rows(self._versions()).drop("slot")
 
     def load(self, value) -> DataFrame:
-        """Rows of one id; only its partition is read."""
-        slot = self.spark.range(1).select(F.pmod(F.xxhash64(F.lit(str(value))), F.lit(self.buckets)).cast("int")).first()[0]
-        return self.table().where((F.col("slot") == slot) & (F.col(self.key) == value)).drop("slot")
-
-    def save(self, rows: DataFrame) -> None:
-        """Adds rows and replaces those of the same ids: only touched partitions are rewritten, from a copy made before."""
-        new = rows.withColumn("slot", self._slot())
-        try:
-            old = self.table()
-        except Exception as e:  # nothing written yet
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        else:
-            touched = new.select("slot").distinct()
-            kept = old.join(touched, "slot", "left_semi").join(new.select(self.key).distinct(), self.key, "left_anti")
-            new = kept.unionByName(new, allowMissingColumns=True).checkpoint()
-        new.repartition("slot").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("slot").parquet(self.path)
+        """Rows of one id; only its slot is read."""
+        return self._rows(self._versions()).where((F.col("slot") == self._slot(F.lit(value))) & (F.col(self.key) == value)).drop("slot")
+
+    def save(self, rows: DataFrame, version: int | None = None) -> None:
+        """Adds rows and replaces those of the same ids. Give a version, greater than all before, where a save may be repeated."""
+        standing = self._versions(version)
+        if version is None:
+            version = max(standing.values(), default=-1) + 1
+        new = rows.withColumn("slot", self._slot(F.col(self.key)))
+        touched = [r.slot for r in new.select("slot").distinct().collect()]  # `buckets` at most
+        if old := {k: v for k, v in standing.items() if k in touched}:
+            new = self._rows(old).join(new.select(self.key).distinct(), self.key, "left_anti").unionByName(new, allowMissingColumns=True)
+        new.repartition("slot").write.mode("overwrite").partitionBy("slot").parquet(f"{self.path}/rows/version={version}")
+        saved = self.spark.range(1).select(F.explode(F.lit(touched) if touched else F.array().cast("array<int>")).alias("slot"), F.lit(version).cast("long").alias("version"))
+        saved.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/versions/save={version}")
 
     def exists(self, value) -> bool:
         return not self.load(value).isEmpty()

@@ -2,27 +2,26 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from annospark.operators.manifest import upsert
 from annospark.operators.sessions import CONVERSATION_GAP_MS, TURN_GAP_MS
+from annospark.sources.tables import ParquetStore
 
 
-def ingest(shards: DataFrame, read_current: Callable[[], DataFrame | None], write: Callable[[DataFrame, int], None], checkpoint: str, key: str = "uid"):
-    """Merges newly arrived shards into a table, each batch once: rows of ids that come again are replaced.
+def ingest(shards: DataFrame, store: ParquetStore, checkpoint: str):
+    """Merges newly arrived shards into a store, each batch once: rows of ids that come again are replaced.
 
-    `read_current` gives the table as it is (None at first), `write(df, batch_id)` puts the merged one in its place and must be idempotent for a batch id.
+    A batch is saved under its number, which lies beside the rows: after a restart, a batch that was cut off, or saved but not yet noted in
+    `checkpoint`, is saved again from the state before it. Only the slots that a batch touches are written.
     """
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        old = read_current()
-        new = batch.distinct()
-        write(new if old is None else upsert(old, new, key), batch_id)
+        store.save(batch.distinct(), version=batch_id)
 
     query = shards.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()

@@ -74,3 +74,16 @@ def test_histogram_caps_values_at_its_bounds(spark):
     rows = spark.createDataFrame([(x,) for x in (-5.0, 0.0, 9.9, 10.0, 29.0, 30.0, 31.0, 1e9, None, float("nan"))], "x double")
     assert sorted(map(tuple, explore.histogram(rows, F.col("x"), 0, 30, 3).collect())) == [(0, 3), (1, 1), (2, 4)]
     assert [explore.log2_bins(n) for n in (0, 1, 128, 129, 1 << 20)] == [8, 8, 8, 9, 21]
+
+
+def test_adapters(spark):
+    esc = manifest.ADAPTERS["esc"]
+    meta = spark.createDataFrame([("a", "ok"), ("b", "failed"), ("c", None), ("d", "ok"), (None, "ok")], "uid string, esc_status string")
+    files = spark.createDataFrame([("a",), ("b",)], "uid string")
+    assert sorted(r.wav_id for r in esc.list_ids(meta).collect()) == ["a", "d"] and [r.wav_id for r in esc.existing(meta, files).collect()] == ["a"]
+    assert esc.exists(meta, "a", files) and not esc.exists(meta, "d", files)
+    assert {k: df.count() for k, df in esc.load(meta, "a", arrays=files).items()} == {"meta": 1, "arrays": 1}
+    with pytest.raises(FileNotFoundError):
+        esc.load(meta, "z")
+    with pytest.raises(ValueError):
+        esc.existing(meta)

@@ -48,3 +48,25 @@ def test_store_replaces_rows(spark, tmp_path):
 def test_csv_flattens(spark, tmp_path):
     tables.write_csv(spark.sql("select 1 as a, array('x', 'y') as b, map('k', 2) as c"), str(tmp_path / "c"))
     assert tuple(spark.read.option("header", True).csv(str(tmp_path / "c")).first()) == ("1", "x;y", '{"k":2}')
+
+
+def test_store_switches_versions_at_once(spark, tmp_path):
+    s = tables.ParquetStore(spark, str(tmp_path / "store"), buckets=3)
+    frame = lambda *rows: spark.createDataFrame(rows, "wav_id string, x int")
+    s.save(frame(("a", 1), ("b", 2), ("c", 3)), version=0)
+    s.save(frame(("b", 5)), version=1)
+    frame(("a", 99)).withColumn("slot", s._slot(F.col("wav_id"))).write.partitionBy("slot").parquet(f"{s.path}/rows/version=2")  # a save that was cut off
+    assert sorted(map(tuple, s.table().collect())) == [("a", 1), ("b", 5), ("c", 3)]
+    s.save(frame(("b", 6)), version=2)
+    s.save(frame(("b", 6)), version=2)  # tried again
+    assert sorted(map(tuple, tables.ParquetStore(spark, s.path, buckets=3).table().collect())) == [("a", 1), ("b", 6), ("c", 3)]
+    s.save(frame(), version=3)
+    assert s.table().count() == 3
+
+
+def test_files_in_any_store(spark, tmp_path):
+    store, path = shards.store_of(str(tmp_path))
+    assert path == str(tmp_path) and shards.store_of(f"file:{tmp_path}")[1] == shards.store_of(f"file://{tmp_path}")[1] == path
+    rows = spark.createDataFrame([("r1", [1.0, 2.0]), ("r2", [0.5])], "uid string, vad array<float>")
+    assert arrays.write_npz(arrays.pack_npz(rows, ("vad",)), f"file://{tmp_path}/npz") == 2
+    assert sorted((r.uid, r.vad) for r in arrays.read_npz(spark, f"file://{tmp_path}/npz", ("vad",), ()).collect()) == [("r1", [1.0, 2.0]), ("r2", [0.5])]

@@ -32,9 +32,9 @@ def test_long_gap_is_preferred():
 
 
 def test_short_gap_then_single_sources():
-    assert tiers(1200, vad=[(0, 580), (585, 1200)], vtc=[(0, 580), (585, 1200)])[0][1] == "any_union_gap"
-    assert tiers(1200, vad=[(0, 580), (585, 1200)], vtc=[(0, 1200)])[0][1] == "vad_gap"
-    assert tiers(1200, vad=[(0, 1200)], vtc=[(0, 580), (590, 1200)])[0][1] == "vtc_gap"
+    assert tiers(1200, vad=[(0, 580), (585, 1200)], vtc=[(0, 580), (585, 1200)])[0][1] == "short_union_gap"
+    assert tiers(1200, vad=[(0, 580), (585, 1200)], vtc=[(0, 1200)])[0][1] == "vad_only_gap"
+    assert tiers(1200, vad=[(0, 1200)], vtc=[(0, 580), (590, 1200)])[0][1] == "vtc_only_gap"
 
 
 def test_speaker_boundary_and_hard_cut():
