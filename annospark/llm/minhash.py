@@ -281,7 +281,7 @@ def _dealt(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     hubs = hubs.select("component", F.explode(F.array_distinct(F.array(*[f"r{k}" for k in range(HUBS)]))).alias("rep"))
     hubs = large.join(hubs, ["component", "rep"]).groupBy("component").agg(F.collect_list(F.struct("rep", "shingles")).alias("hubs"))
     met = large.select("component", "rep", "shingles").join(hubs, "component").select("rep", "shingles", "hubs").mapInArrow(_met(percent), "rep long, hub long").where("rep <> hub")
-    links = cut_lineage(met.toDF("rep", "other"))
+    links = met.toDF("rep", "other").checkpoint()
     groups = components(links, "rep", "other").toDF("rep", "grp")
     own = large.select("component", "blocks", "rep").join(groups, "rep", "left")
     most = own.where("grp is not null").groupBy("component", "grp").count().groupBy("component").agg(F.max(F.struct("count", "grp")).alias("top"))
@@ -297,7 +297,7 @@ def _dealt(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return cells, links
 
 
-def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, block_shingles: int = 1 << 20, null_ids: bool = False) -> DataFrame:
+def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, block_shingles: int = 1 << 17, null_ids: bool = False) -> DataFrame:
     """Rows (doc_id, text_hash, n_shingles, head), one for each row of `docs`: head (none, doc_id, text_hash) is the least row that links reach.
 
     A row is told by its id and the xxhash64 of its text, so different texts of one id are linked each for itself. Rows are ordered by
@@ -325,7 +325,7 @@ def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, bu
     sets = texts.mapInArrow(_sets(size), "component long, blocks int, rep long, shingles binary").dropDuplicates(["component", "rep"])
     confirm = lambda cells: cells.groupBy("component", "low", "high").applyInArrow(_confirm(percent), "rep long, component_id long")
     if sizes.where("blocks > 1").isEmpty():
-        found = cut_lineage(confirm(sets.select("component", F.lit(0).alias("low"), F.lit(0).alias("high"), "rep", "shingles")))
+        found = confirm(sets.select("component", F.lit(0).alias("low"), F.lit(0).alias("high"), "rep", "shingles")).checkpoint()
     else:
         sets = sets.checkpoint()  # read several times from here on
         small = confirm(sets.where("blocks = 1").select("component", F.lit(0).alias("low"), F.lit(0).alias("high"), "rep", "shingles"))
@@ -333,9 +333,22 @@ def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, bu
         further = confirm(cells).toDF("rep", "other").where("rep <> other")
         joined = components(met.unionByName(further), "rep", "other").toDF("rep", "joined")
         large = sets.where("blocks > 1").select("rep").join(joined, "rep", "left").select("rep", F.coalesce("joined", "rep").alias("component_id"))
-        found = cut_lineage(small.unionByName(large))
+        found = small.unionByName(large).checkpoint()
     heads = found.join(classes.select("rep", "head"), "rep").groupBy("component_id").agg(F.min("head").alias("least"))
     found = found.join(heads, "component_id").select("rep", "least")
     by_class = classes.select(*key, "rep", "head").join(found, "rep", "left").select(*key, F.coalesce("least", "head").alias("found"))
     out = sketch.drop("sig").join(by_class, key, "left")
     return out.select("doc_id", "text_hash", "n_shingles", F.coalesce(F.when(may_link, F.col("found")), row).alias("head"))
+
+
+#: near_duplicates(percent=85, size=5) in DuckDB's SQL, by counting the shared shingles of all pairs that share any.
+NEAR_SQL = """
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w from documents),
+sh as (select distinct doc_id, array_to_string(w[i + 1 : i + 5], ' ') as s from (select doc_id, w, unnest(range(0, greatest(1, len(w) - 4))) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from sh group by doc_id),
+pairs as (select a.doc_id as x, b.doc_id as y, count(*) as c from sh a join sh b on a.s = b.s and a.doc_id <> b.doc_id group by 1, 2),
+links as (select x, y from pairs join n nx on nx.doc_id = x join n ny on ny.doc_id = y where 100 * c >= 85 * (nx.n + ny.n - c)),
+reach as (select doc_id, doc_id as other from w union select r.doc_id, l.y from reach r join links l on l.x = r.other),
+comp as (select doc_id, min(other) as component_id from reach group by doc_id)
+select w.doc_id, coalesce(n.n, 0)::bigint as n_shingles, component_id, component_id = w.doc_id as kept from w join comp using (doc_id) left join n using (doc_id)
+"""

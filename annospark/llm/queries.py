@@ -81,4 +81,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontam.DECONTAM_SQL, "op5_mix": mixing.MIX_SQL}
+    return {"op3_decontaminate": decontam.DECONTAM_SQL, "op5_mix": mixing.MIX_SQL, "op7_minhash": minhash.NEAR_SQL}

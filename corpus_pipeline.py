@@ -18,8 +18,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops what language ID rejects: null texts, texts without letters, and narrow margins between languages."""
     ship_package(spark)
     profiles = langid.learn_profiles(docs.where(id_remainder() != HELD_OUT))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), "text")
-    return langid.identify(rows, profiles).where(~F.col("rejected")).select("row.*")
+    # Other columns travel as one, so that none clashes with those that are added.
+    rows = docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("row"), "text")
+    kept = langid.identify(rows, profiles).where(~F.col("rejected"))
+    return kept.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,7 +62,11 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Writes the token ids and returns, read from the files, where each document's are and their crc32."""
+    """Writes the token ids and returns, read from the files, where each document's are and their crc32.
+
+    A row for each row of docs, in ascending doc_id, null ids first; rows of one id are in the order of their texts' hashes, repeated rows are written
+    each. Null and empty texts have the end id only; an empty table gives an empty table.
+    """
     ship_package(spark)
     token_output.write_ids(docs, path := shared_folder(spark, "token-ids"), _tokenizer(), end_id=0)
     return token_output.read_ids(spark, path)

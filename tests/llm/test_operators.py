@@ -215,6 +215,44 @@ def test_suffix_dedup(spark, n):
     assert suffix_dedup.remove_repeats(docs(spark, texts).limit(0), length=n).count() == 0
 
 
+def test_suffix_dedup_of_planted_passages(spark):
+    """Passages of 50 to 80 words, under and over 400 bytes, some in very many documents, over many partitions."""
+    rng = np.random.default_rng(12)
+    vocab = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyzé"), int(n))) for n in rng.integers(2, 9, 600)]
+    prose = lambda n: " ".join(rng.choice(vocab, n))
+    passages = [prose(int(n)) for n in rng.integers(50, 81, 24)]
+    assert min(len(p.encode()) for p in passages) < 400 < max(len(p.encode()) for p in passages)
+    texts = [f"{prose(60)} {passages[i % 24 if i % 3 else 0]} {prose(60)}" for i in range(120)] + [prose(150) for _ in range(30)]
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    got = suffix_dedup.remove_repeats(docs(spark, texts).repartition(29), length=400).orderBy("doc_id").collect()
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+    want = naive_removed(texts, 400)
+    assert [(r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256, bytes(r.kept)) for r in got] == want
+    long = [len(passages[i % 24 if i % 3 else 0].encode()) >= 400 for i in range(120)] + [False] * 30
+    assert all(bool(w[1]) == (is_long or w[1] > 0) for w, is_long in zip(want, long)) and not any(w[1] for w in want[120:])
+
+
+def test_null_ids_and_repeated_rows(spark):
+    """Rows without an id and rows that come twice, with whole and long texts, through all operators on documents."""
+    long = "Long lines of words stand here.\n" * 1000
+    base = docs(spark, [long, "one two three", None, ""]).withColumn("doc_id", F.when(F.col("doc_id") > 0, F.col("doc_id")))
+    rows = base.unionByName(base)
+    tok = library()
+    ids = [len(tok.encode(t, add_special_tokens=False).ids) for t in (long, "one two three", "", "")]
+    want = Counter({(i, n): 2 for i, n in zip((None, 1, 2, 3), ids)})
+    assert Counter((r.doc_id, r.n_tokens) for r in token_counts.count_tokens(rows, tokenizer_path()).collect()) == want
+    items = spark.createDataFrame([(1, "two three"), (None, "words stand")], "item_id long, text string")
+    got = decontam.decontaminate(rows, items).collect()
+    assert Counter((r.doc_id, r.n_hit, r.n_items) for r in got) == {(None, 2000, 1): 2, (1, 2, 1): 2, (2, 0, 0): 2, (3, 0, 0): 2}
+    assert Counter((r.doc_id, r.n_removed) for r in suffix_dedup.remove_repeats(rows, length=400).collect()) == {(None, len(long)): 2, (1, 0): 2, (2, 0): 2, (3, 0): 2}
+    token_output.write_ids(rows, path := common.shared_folder(spark, "ids"), tokenizer_path(), parts=3)
+    assert Counter((r.doc_id, r.n_tokens - 1) for r in token_output.read_ids(spark, path).collect()) == want
+    crf = quality.Crf(np.linspace(-1, 1, quality.FEATURES), np.eye(2))
+    for scored in (quality.score(rows, crf), langid.identify(rows, {"en": b"words of english", "fr": b"des mots"}), secrets.find_secrets(rows)):
+        seen = Counter(map(str, scored.collect()))
+        assert len(seen) == 4 and set(seen.values()) == {2}
+
+
 def test_suffix_dedup_counts_repeated_rows(spark):
     twice = docs(spark, ["z" * 10 + "abcdefghij" * 3, "z" * 10 + "abcdefghij" * 3]).withColumn("doc_id", F.lit(1))
     assert [r.n_removed for r in suffix_dedup.remove_repeats(twice, length=30).collect()] == [40, 40]
