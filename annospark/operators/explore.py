@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annospark.functions.columns import seeded
 
@@ -46,12 +49,25 @@ def sample(rows: DataFrame, size: int | float, seed: int = 42, key: str = "uid")
     return rows.orderBy(seeded(F.col(key), seed), key).limit(size)
 
 
-def even_shards(rows: DataFrame, count: int, order: Sequence[str]) -> DataFrame:
-    """Contiguous shards by rank, the remainder going to the first: adds shard, from 0.
+def global_rank(rows: DataFrame, order: Sequence[str], name: str = "rank") -> DataFrame:
+    """rows with their place in the whole order, from 0: ranges of the order are ranked on their own, and a row for each range gives where it starts.
 
-    A manifest has a row for each recording; ranks are global, so this orders the manifest in one task, and segments never.
+    Ranges are written once, since Spark would draw their bounds anew each time.
     """
-    return rows.withColumn("shard", F.ntile(count).over(Window.orderBy(*order)) - 1)
+    ranged = rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
+    starts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    starts = starts.select("_range", (F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return ranged.withColumn("_place", place).join(F.broadcast(starts), "_range").withColumn(name, F.col("_start") + F.col("_place")).drop("_range", "_place", "_start")
+
+
+def even_shards(rows: DataFrame, count: int, order: Sequence[str]) -> DataFrame:
+    """Contiguous shards by rank, the remainder going to the first: adds shard, from 0. Needs a checkpoint folder."""
+    ranked = global_rank(rows, order, "_rank").crossJoin(F.broadcast(rows.agg(F.count("*").alias("_all"))))  # one row
+    size, more = F.floor(F.col("_all") / count), F.col("_all") % count
+    late = F.col("_rank") - more * (size + 1)
+    shard = F.when(late < 0, F.floor(F.col("_rank") / (size + 1))).otherwise(more + F.floor(late / F.greatest(size, F.lit(1))))
+    return ranked.withColumn("shard", shard.cast("int")).drop("_rank", "_all")
 
 
 def duration_buckets(length_s: Column, threshold: float) -> Column:
@@ -63,20 +79,58 @@ def duration_buckets(length_s: Column, threshold: float) -> Column:
     return out.otherwise("300+")
 
 
+#: Name, column of the clip statistics, comparison, bound and quota of each bucket, in their order; a missing number counts as 0.
+BUCKETS = (
+    ("density_hi", "speech_density", ">=", 0.75, 4),
+    ("density_lo", "speech_density", "<=", 0.25, 4),
+    ("child_hi", "child_fraction", ">=", 0.75, 4),
+    ("child_lo", "child_fraction", "<=", 0.15, 4),
+    ("iou_hi", "frame_iou", ">=", 0.6, 4),
+    ("iou_lo", "frame_iou", "<=", 0.15, 4),
+    ("turns_hi", "n_turns", ">=", 80, 3),
+    ("turns_lo", "n_turns", "<=", 5, 3),
+    ("dom_KCHI", "dominant_label", "=", "KCHI", 3),
+    ("dom_FEM", "dominant_label", "=", "FEM", 3),
+    ("dom_MAL", "dominant_label", "=", "MAL", 2),
+    ("dom_OCH", "dominant_label", "=", "OCH", 2),
+)
+
+
+def clip_buckets() -> list[tuple[str, Column, int]]:
+    """BUCKETS as conditions on clip statistics, for diverse_sample."""
+    out = []
+    for name, column, how, bound, quota in BUCKETS:
+        if how == "=":
+            out.append((name, F.coalesce(F.col(column) == bound, F.lit(False)), quota))
+        else:
+            number = F.coalesce(F.col(column).cast("double"), F.lit(0.0))
+            out.append((name, number >= bound if how == ">=" else number <= bound, quota))
+    return out
+
+
 def diverse_sample(rows: DataFrame, buckets: Sequence[tuple[str, Column, int]], n: int, seed: int = 42, key: str = "clip_id") -> DataFrame:
-    """Takes from each bucket (name, condition, quota) in turn, leaving out what earlier ones took, then fills up in hash order to n: adds bucket.
+    """Takes from each bucket (name, condition, quota) in turn, in hash order and leaving out what earlier ones took, then fills up to n: adds bucket.
 
-    A row's bucket is the first whose condition it meets within that bucket's quota; conditions and ranks are columns, so this stays one plan.
+    A bucket can lose no more rows to earlier ones than these may take, so its first rows by hash, as many as all quotas so far, hold what it takes.
+    Only these, bounded by the quotas and n, meet in one task that chooses; keys should be unique.
     """
-    h = seeded(F.col(key), seed)
-    taken, left = None, rows.withColumn("_h", h)
-    for name, condition, quota in buckets:
-        picked = left.where(condition).orderBy("_h", key).limit(quota).withColumn("bucket", F.lit(name))
-        taken = picked if taken is None else taken.unionByName(picked)
-        left = left.join(picked.select(key), key, "left_anti")
-    filled = left.orderBy("_h", key).limit(n).withColumn("bucket", F.lit("fill"))
-    order = F.when(F.col("bucket") == "fill", 1).otherwise(0)
-    return (taken.unionByName(filled) if taken is not None else filled).orderBy(order, "_h", key).limit(n).drop("_h")
+    quotas, last = [*[q for _, _, q in buckets], n], len(buckets)
+    names, reach = [*[name for name, _, _ in buckets], "fill"], list(accumulate(quotas))
+    met = F.array(*[F.when(condition, F.lit(i)) for i, (_, condition, _) in enumerate(buckets)], F.lit(len(buckets)))
+    may = rows.withColumn("_h", seeded(F.col(key), seed)).select(F.col(key), "_h", F.explode(F.filter(met, lambda x: x.isNotNull())).alias("_k"))
+    may = may.withColumn("_rn", F.row_number().over(Window.partitionBy("_k").orderBy("_h", key))).where(F.col("_rn") <= max(reach))
+    may = may.where(F.col("_rn") <= F.element_at(F.lit(reach), F.col("_k") + 1))
+
+    def choose(pdf: pd.DataFrame) -> pd.DataFrame:
+        taken: dict = {}
+        for k, own in pdf.sort_values(["_k", "_h", key]).groupby("_k"):
+            free = [(v, h) for v, h in zip(own[key], own["_h"]) if v not in taken][: quotas[k] if k < last else max(0, n - len(taken))]
+            taken |= {v: (h, k) for v, h in free}
+        return pd.DataFrame([(v, h, k) for v, (h, k) in list(taken.items())[:n]], columns=[key, "_h", "_k"])
+
+    chosen = may.groupBy(F.lit(1).alias("_one")).applyInPandas(choose, T.StructType([*may.select(key).schema.fields, T.StructField("_h", T.StringType()), T.StructField("_k", T.IntegerType())]))
+    out = rows.join(F.broadcast(chosen), key)  # n rows at most
+    return out.orderBy("_k", "_h", key).withColumn("bucket", F.element_at(F.lit(names), F.col("_k") + 1)).drop("_h", "_k")
 
 
 def transition_counts(rows: DataFrame, n: int = 12) -> DataFrame:
@@ -121,10 +175,16 @@ def length_summary(rows: DataFrame, length: Column, key: str = "label") -> DataF
 
 
 def upper_median(rows: DataFrame, value: str, key: str) -> DataFrame:
-    """The element in the upper middle of each key's values; nulls don't count."""
-    w = Window.partitionBy(key)
-    ranked = rows.where(F.col(value).isNotNull()).select(key, value, F.row_number().over(w.orderBy(value)).alias("_rn"), F.count("*").over(w).alias("_n"))
-    return ranked.where(F.col("_rn") == F.floor(F.col("_n") / 2) + 1).select(key, value)
+    """The element in the upper middle of each key's values; nulls don't count.
+
+    Approximate quantiles bound where it lies; what is below is counted, and only the tenth of the rows in between is ranked.
+    """
+    x = rows.where(F.col(value).isNotNull()).select(key, value)
+    bounds = x.groupBy(key).agg(F.count("*").alias("_n"), F.percentile_approx(value, [0.45, 0.55], 1000).alias("_b")).select(key, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    x = x.join(bounds, key).where(F.col(value) <= F.col("_hi"))
+    below = x.groupBy(key).agg(F.sum((F.col(value) < F.col("_lo")).cast("long")).alias("_below"))
+    band = x.where(F.col(value) >= F.col("_lo")).withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(value)))
+    return band.join(below, key).where(F.col("_below") + F.col("_rn") == F.floor(F.col("_n") / 2) + 1).select(key, value)
 
 
 def eta(rates: DataFrame, todo: DataFrame, key: str = "step") -> DataFrame:

@@ -77,11 +77,18 @@ def coverage_by_label(segments: DataFrame, vad: DataFrame) -> DataFrame:
     return per.select(*CLIP, "label", F.least(F.lit(1.0), F.coalesce("both_ms", F.lit(0)).cast("double") / F.col("ms")).alias("coverage"))
 
 
-def segment_snr(segments: DataFrame, frames: DataFrame, step_ms: int = 1000) -> DataFrame:
-    """segments with the mean snr and c50 of the frames they cover, [onset div step, ceil(offset / step)); null without frames."""
-    w = segments.withColumns({"f0": F.floor(F.col("onset_ms") / step_ms), "f1": F.ceil(F.col("offset_ms") / step_ms)})
-    hit = w.withColumn("i", F.explode(F.sequence(F.col("f0"), F.greatest(F.col("f0"), F.col("f1") - 1)))).where("i < f1").join(frames.select("uid", "i", "snr", "c50"), ["uid", "i"], "left")
-    return hit.groupBy(*segments.columns).agg(F.avg("snr").alias("snr"), F.avg("c50").alias("c50"))
+def segment_snr(segments: DataFrame, frames: DataFrame, step_ms: int = 1000, block: int = 64) -> DataFrame:
+    """segments with the mean snr and c50 of the frames they cover, [onset div step, ceil(offset / step)); null without frames.
+
+    Frames are gathered in blocks of `block` successive ones, so that a segment meets a block or two instead of a row for each frame.
+    """
+    blocks = frames.groupBy("uid", F.floor(F.col("i") / block).alias("_b")).agg(F.collect_list(F.struct("i", "snr", "c50")).alias("_fr"))
+    w = segments.withColumns({"_f0": F.floor(F.col("onset_ms") / step_ms), "_f1": F.ceil(F.col("offset_ms") / step_ms)})
+    w = w.withColumn("_b", F.explode(F.sequence(F.floor(F.col("_f0") / block), F.floor(F.greatest(F.col("_f0"), F.col("_f1") - 1) / block))))
+    own = lambda c: F.filter(F.transform(F.filter("_fr", lambda x: (x["i"] >= F.col("_f0")) & (x["i"] < F.col("_f1"))), lambda x: x[c]), lambda x: x.isNotNull())
+    hit = w.join(blocks, ["uid", "_b"], "left").select(*segments.columns, own("snr").alias("_snr"), own("c50").alias("_c50"))
+    mean = lambda c: F.try_divide(F.sum(F.aggregate(c, F.lit(0.0), lambda a, x: a + x)), F.sum(F.size(c)))
+    return hit.groupBy(*segments.columns).agg(mean("_snr").alias("snr"), mean("_c50").alias("c50"))
 
 
 def join_segment_snr(segments: DataFrame, values: DataFrame, digits: int = 1) -> DataFrame:

@@ -10,7 +10,7 @@ from annospark.sources import derive
 from annospark.sources.derive import FRAMES_SQL, SQL, WINDOWS_SQL, table
 
 from .agreement_plans import TRANS, TURNS, islands
-from .stats_plans import CLIPS, _fixed, _seg
+from .stats_plans import _FULL, CLIPS, _cstat, _fixed, _seg
 
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
@@ -145,6 +145,23 @@ p as (select * from p1 union all select * from p2 union all select * from p3), f
 select clip_id, bucket, speech_ms from (select * from p union all select * from f) order by bucket = 'fill', h, clip_id limit 40""")(
     lambda s, d: explore.diverse_sample(stats.clip_speech(_seg(s, d)).withColumn("clip_id", C.clip_key(F.col("uid"), F.col("clip_idx"))), [("dense", F.col("speech_ms") > 100_000, 5), ("busy", F.col("n_segments") > 8, 5), ("quiet", F.col("speech_ms") < 20_000, 5)], 40).select("clip_id", "bucket", "speech_ms")
 )
+def _bucket_sql(n: int) -> str:
+    """Each bucket takes from what the ones before it left, then the rest fills up."""
+    out = _FULL + ", h as materialized (select *, md5(clip_id || ':42') as h from (select *, uid || '_' || printf('%04d', clip_idx) as clip_id from cstat)), p0 as (select clip_id, h, '' as bucket, -1 as k from h limit 0)"
+    for k, (name, column, how, bound, quota) in enumerate(explore.BUCKETS, 1):
+        value = f"{column} = '{bound}'" if how == "=" else f"coalesce({column}, 0)::double {how} {bound}"
+        out += f", q{k} as materialized (select clip_id, h, '{name}' as bucket, {k} as k from h where {value} and clip_id not in (select clip_id from p{k - 1}) order by h, clip_id limit {quota}), p{k} as materialized (select * from p{k - 1} union all select * from q{k})"
+    last = len(explore.BUCKETS)
+    out += f", f as (select clip_id, h, 'fill' as bucket, {last + 1} as k from h where clip_id not in (select clip_id from p{last}) order by h, clip_id limit {n})"
+    return out + f" select clip_id, bucket from (select * from p{last} union all select * from f) order by k, h, clip_id limit {n}"
+
+
+def _twelve(s, d, n: int = 60):
+    rows = _cstat(s, d).select(C.clip_key(F.col("uid"), F.col("clip_idx")).alias("clip_id"), "speech_density", "child_fraction", "frame_iou", "n_turns", "dominant_label")
+    return explore.diverse_sample(rows.checkpoint(), explore.clip_buckets(), n).select("clip_id", "bucket")
+
+
+_add("b15_twelve_buckets", _bucket_sql(60))(_twelve)
 _add("b16_pick_clips", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as clip_id, onset_ms, offset_ms from clips where uid || '_' || printf('%04d', clip_idx) in ('3_0001', '17_0004', '90_0000')")(
     lambda s, d: _fixed(s, d).select(C.clip_key(F.col("uid"), F.col("clip_idx")).alias("clip_id"), "onset_ms", "offset_ms").where(F.col("clip_id").isin("3_0001", "17_0004", "90_0000"))
 )

@@ -122,9 +122,9 @@ val as (select g.uid, g.clip_idx, g.onset_ms, g.offset_ms, g.label, {rounded_sql
 
 
 def _val(s, d):
-    """Segments by clip with snr and c50: several statistics read them, so they are written once."""
+    """Segments by clip with snr and c50: several statistics read them, so they are written once, dealt by clip as all of these group them."""
     tables.checkpoint_ready(s)
-    return stats.join_segment_snr(_seg(s, d).drop("rel_on_ms", "rel_off_ms"), _snr(s, d)).checkpoint()
+    return stats.join_segment_snr(_seg(s, d).drop("rel_on_ms", "rel_off_ms"), _snr(s, d)).repartition(*stats.CLIP).checkpoint()
 
 
 def _both(s, d):
@@ -170,7 +170,7 @@ from clips c left join sp using (uid, clip_idx) left join lab using (uid, clip_i
 
 def _cstat(s, d, both=None):
     seg, val = both or _both(s, d)
-    return stats.clip_stats(_fixed(s, d), seg, _vseg(s, d).drop("rel_on_ms", "rel_off_ms").checkpoint(), val)
+    return stats.clip_stats(_fixed(s, d), seg, _vseg(s, d).drop("rel_on_ms", "rel_off_ms").repartition(*stats.CLIP).checkpoint(), val)
 
 
 def _file_stats(s, d):
