@@ -182,7 +182,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 40) -
 
     Nulls and loops are ignored; an empty list gives an empty result.
     """
-    e = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi > lo").distinct()
+    e = cut_lineage(edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).where("hi > lo").distinct())
     seen = None
     for _ in range(rounds):
         both = e.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(e.select(F.col("lo").alias("u"), F.col("hi").alias("v")))

@@ -334,7 +334,8 @@ def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, bu
         joined = components(met.unionByName(further), "rep", "other").toDF("rep", "joined")
         large = sets.where("blocks > 1").select("rep").join(joined, "rep", "left").select("rep", F.coalesce("joined", "rep").alias("component_id"))
         found = small.unionByName(large).checkpoint()
-    heads = found.join(classes.select("rep", "head"), "rep").groupBy("component_id").agg(F.min("head").alias("least"))
+    # Written, so that the join shuffles both sides for itself and Spark can split the rows of a large component.
+    heads = cut_lineage(found.join(classes.select("rep", "head"), "rep").groupBy("component_id").agg(F.min("head").alias("least")))
     found = found.join(heads, "component_id").select("rep", "least")
     by_class = classes.select(*key, "rep", "head").join(found, "rep", "left").select(*key, F.coalesce("least", "head").alias("found"))
     out = sketch.drop("sig").join(by_class, key, "left")
