@@ -169,7 +169,7 @@ def _key_in(letters: str, base: int) -> tuple[str, int] | None:
     """The kind of the key that a run of base64 or hex letters begins with and how many letters it takes."""
     bits = {64: 6, 16: 4}[base]
     head = _bytes(letters[:24], base)
-    if head is None:
+    if head is None or len(head) < 8:
         return None
     size = min(len(letters), MOST_LETTERS // 4)
     if head[:1] == b"\x30":  # the outer length tells how much to decode, the first inner tag whether it's worth it
@@ -272,7 +272,7 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
         keys += _keys_in(text, r.start(), r.end(), 64)
         for m in _HEX.finditer(text, r.start(), r.end()):
             keys += _keys_in(text, m.start(), m.end(), 16)
-    for m in _LINES.finditer(text):
+    for m in _LINES.finditer(text) if runs else ():  # its first line is such a run
         letters = "".join(m[0].split()).rstrip("=")
         if _KEY64.match(letters) and (key := _key_in(letters, 64)) and key[1] > len(m[0].split(maxsplit=1)[0]):
             end, n = m.start(), 0

@@ -580,6 +580,16 @@ def test_keys_over_several_lines_and_long_runs_of_beginnings():
         assert time.time() - began < 5
 
 
+def test_secrets_of_random_runs():
+    """Beginnings of keys cut off anywhere, at the ends of runs and texts: nothing is found but also nothing fails."""
+    rng = np.random.default_rng(8)
+    parts = ["30", "3082", "MII", "MC4C", "AAAAB3NzaC1yc2E", "AAAAC3NzaC1lZDI1NTE5", "b3BlbnNzaC1rZXktdjEA", "0000000b7373682d", "eyJ", ".", "=", "\n", " ", "/", "Zz09", "abcdef0123", "-----BEGIN A-----", "-----END A-----", "é"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts, int(rng.integers(1, 14))))
+        for k, s, e in secrets.spans_of(text):
+            assert 0 <= s < e <= len(text) and k in secrets.KINDS
+
+
 def test_secrets_in_other_spellings():
     key = der(0x30, der(0x02, b"\0"), der(0x02, bytes(range(1, 130))), der(0x30, der(0x06, b"\x2a\x86"), der(0x02, b"\x03")))
     ssh = b"\0\0\0\x0bssh-ed25519" + b"\0\0\0\x20" + bytes(32)
