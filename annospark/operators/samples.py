@@ -123,7 +123,14 @@ def collate_scalar(x: Column, batch: Column) -> Column:
 
 
 def epoch_order(rows: DataFrame, key: str, seed: int, epoch: int, workers: int) -> DataFrame:
-    """Deals rows to workers by a seeded hash and gives each its place in the worker's order of this epoch."""
+    """Deals rows to workers by a seeded hash and gives each its place in the worker's order of this epoch.
+
+    The order's hashes fall into 4,096 ranges that are ranked on their own; a row for each worker and range gives where it starts.
+    """
     deal = F.conv(F.substring(seeded(F.col(key), seed), 1, 8), 16, 10).cast("long")
-    x = rows.withColumn("worker", F.pmod(deal, F.lit(workers)))
-    return x.withColumn("place", F.row_number().over(Window.partitionBy("worker").orderBy(seeded(F.col(key), seed, epoch), key)))
+    x = rows.withColumns({"worker": F.pmod(deal, F.lit(workers)), "_h": seeded(F.col(key), seed, epoch)}).withColumn("_slot", F.conv(F.substring("_h", 1, 3), 16, 10).cast("int"))
+    counts = x.groupBy("worker", "_slot").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("worker").orderBy("_slot").rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")
+    starts = counts.select("worker", "_slot", before.alias("_start"))
+    place = F.row_number().over(Window.partitionBy("worker", "_slot").orderBy("_h", key))
+    return x.withColumn("_place", place).join(starts, ["worker", "_slot"]).withColumn("place", (F.col("_start") + F.col("_place")).cast("int")).select(*rows.columns, "worker", "place")
