@@ -26,7 +26,7 @@ def _add(name: str, sql: str | None = None):
     return put
 
 
-# Tiling: the choices are sequential; the oracle holds the invariants, the tests the tiers.
+# Tiling: the choices are sequential, so the oracle makes one cut of each recording in each step of a recursion.
 def _clips(s, d):
     return tiling.build_clips(derive.vtc(s, d), derive.vad(s, d), derive.durations(s, d))
 
@@ -40,9 +40,38 @@ def _invariants(s, d):
     )
 
 
-_add("e17_tiling")(_clips)
+def _nearest(gaps: str, least: int) -> str:
+    """The middle of the gap nearest to `ideal` within lo and hi, ties to the longest, then the earliest."""
+    inside = f"list_transform({gaps}, lambda g: {{'a': greatest(g.a::double, lo), 'b': least(g.b::double, hi)}})"
+    ranked = f"list_transform(list_filter({inside}, lambda c: c.b > c.a and c.b - c.a >= {least}), lambda c: {{'d': abs((c.a + c.b) / 2 - ideal), 's': c.a - c.b, 'a': c.a, 'm': (c.a + c.b) / 2}})"
+    return f"list_sort({ranked})[1].m"
+
+
+def _free(name: str) -> str:
+    """Lists of the free spans between the merged intervals of a table m_{name}."""
+    return f""",
+g_{name} as (select uid, lag(offset_ms, 1, 0) over (partition by uid order by onset_ms) as a, onset_ms as b from m_{name} union all select uid, max(offset_ms), any_value(dur_ms) from m_{name} join dur using (uid) group by uid
+  union all select uid, 0, dur_ms from dur where uid not in (select uid from m_{name})),
+l_{name} as materialized (select uid, list({{'a': a, 'b': b}}) as gaps_{name} from g_{name} where b > a group by uid)"""
+
+
+_TILES = SQL.replace("with ev", "with recursive ev", 1) + ", un as (select uid, onset_ms, offset_ms from vtc union all select uid, onset_ms, offset_ms from vad)" + islands("vad", "uid", name="m_vad") + islands("vtc", "uid", name="m_vtc") + islands("un", "uid", name="m_un") + _free("un") + _free("vad") + _free("vtc") + f""",
+l_end as (select uid, list(distinct at_ms) as ends from (select uid, unnest([onset_ms, offset_ms]) as at_ms from vtc) group by uid),
+rec as materialized (select uid, dur_ms, gaps_un, gaps_vad, gaps_vtc, coalesce(ends, []) as ends from dur left join l_un using (uid) left join l_vad using (uid) left join l_vtc using (uid) left join l_end using (uid) where dur_ms > 0),
+st as (select uid, 0 as k, 0::bigint as prev, '' as tier from rec union all
+  select uid, k + 1, case when snapped <= prev then least(prev + 600000, dur_ms) else snapped end, tier from (
+    select uid, k, prev, dur_ms, tier, greatest(0, least((round_even(cut / 3980.0::double, 0) * 3980)::bigint, dur_ms)) as snapped from (
+      select *, case when lo >= hi then 'degenerate_window' when c1 is not null then 'long_union_gap' when c2 is not null then 'short_union_gap' when c3 is not null then 'vad_only_gap' when c4 is not null then 'vtc_only_gap' when c5 is not null then 'speaker_boundary' else 'hard_cut' end as tier,
+        case when lo >= hi then least(prev + 600000, dur_ms)::double else coalesce(c1, c2, c3, c4, c5, least(ideal, prev + 600000)) end as cut from (
+        select *, {_nearest("gaps_un", 10_000)} as c1, {_nearest("gaps_un", 0)} as c2, {_nearest("gaps_vad", 0)} as c3, {_nearest("gaps_vtc", 0)} as c4,
+          list_sort(list_transform(list_filter(ends, lambda e: e > lo and e < hi), lambda e: {{'d': abs(e - ideal), 'm': abs(e - (lo + hi) / 2), 'e': e::double}}))[1].e as c5 from (
+          select *, greatest(ideal - 120000, prev + 1000) as lo, least(ideal + 120000, prev + 600000, dur_ms - 1000)::double as hi from (
+            select *, prev + (dur_ms - prev)::double / ceil((dur_ms - prev) / 600000.0::double) as ideal from (select st.uid, k, prev, dur_ms, gaps_un, gaps_vad, gaps_vtc, ends from st join rec using (uid) where dur_ms - prev > 600000))))))),
+cuts as (select uid, k, prev as cut, tier from st join dur using (uid) where k > 0 and prev < dur_ms),
+tiles as (select uid, k - 1 as clip_idx, lag(cut, 1, 0) over (partition by uid order by k) as onset_ms, cut as offset_ms, tier from cuts union all select uid, count(cut), coalesce(max(cut), 0), any_value(dur_ms), 'end' from rec left join cuts using (uid) group by uid)"""
+_add("e17_tiling", _TILES + " select uid, clip_idx::bigint as clip_idx, onset_ms::bigint as onset_ms, offset_ms::bigint as offset_ms, tier from tiles")(_clips)
 _add("e17_tiling_invariants", SQL + " select uid, dur_ms as covered_ms, 0::bigint as first_ms, dur_ms as last_ms, 0::bigint as off_grid, 0::bigint as too_long, 0::bigint as empty from dur")(_invariants)
-_add("d45_tier_counts")(lambda s, d: tiling.tier_counts(_clips(s, d)))
+_add("d45_tier_counts", _TILES + f" select t.tier, count(clip_idx) as n from unnest({list(tiling.TIERS)}) t(tier) left join tiles on tiles.tier = t.tier group by t.tier")(lambda s, d: tiling.tier_counts(_clips(s, d)))
 _add("b18_snap_to_grid", SQL + " select uid, onset_ms, label, greatest(0, least(cast(round_even(onset_ms / 3980.0::double, 0) * 3980 as bigint), dur_ms)) as snapped_ms from vtc join dur using (uid)")(
     lambda s, d: derive.vtc(s, d).join(derive.durations(s, d), "uid").select("uid", "onset_ms", "label", tiling.snap_to_grid(F.col("onset_ms"), F.col("dur_ms")).alias("snapped_ms"))
 )
