@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Rolling, byte_slices, checkpoint_ready, mixed, shuffle_parts, spread, tidy
+from .common import Rolling, byte_slices, mixed, shared_folder, shuffle_parts, spread, tidy
 from .token_counts import _packed, _unpacked
 
 #: Bits of an anchor's position; a longer document is cut into overlapping pieces.
@@ -303,6 +303,20 @@ def _repeats(length: int):
     return each
 
 
+def _candidate_texts(rows: DataFrame, length: int, buckets: int) -> DataFrame:
+    """rows with the runs of positions that might begin a repeat, of the documents that have any: rows (doc_id, hash, text, first, last).
+
+    They are written, compressed, to the shared folder: what was shuffled to find them isn't needed any more when the blocks are dealt.
+    """
+    v, cover = difference_cover(max(1, length * 17 // 20))
+    spans = "doc_id long, hash long, first binary, last binary"
+    named = rows.mapInArrow(_samples(length, v, cover, buckets), _ROWS).groupBy("bucket").applyInArrow(_ranked, _BACK)
+    near = named.groupBy("chunk").applyInArrow(_candidates(length, v), spans).dropDuplicates(["doc_id", "hash"])
+    held = rows.join(near, rows["doc_id"].eqNullSafe(near["doc_id"]) & (rows["hash"] == near["hash"])).select(rows["doc_id"], rows["hash"], "text", "first", "last")
+    held.write.option("compression", "zstd").parquet(path := shared_folder(rows.sparkSession, "candidates"))
+    return rows.sparkSession.read.schema(held.schema).parquet(path)
+
+
 def repeat_spans(docs: DataFrame, *, length: int = 400, buckets: int | None = None) -> DataFrame:
     """Rows (doc_id, hash, text, first, last) of the documents that hold repeats: bytes first to last, both included, packed as little-endian
     64-bit integers, are covered by strings of `length` bytes that also start elsewhere in the table.
@@ -311,19 +325,15 @@ def repeat_spans(docs: DataFrame, *, length: int = 400, buckets: int | None = No
     documents. Null and empty texts and those shorter than `length` have no repeats; other columns are ignored.
     """
     spark = docs.sparkSession
-    checkpoint_ready(spark)
     buckets = buckets or 4 * shuffle_parts(spark)
-    v, cover = difference_cover(max(1, length * 17 // 20))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"), "text").where(F.octet_length("text") >= length)
     spans = "doc_id long, hash long, first binary, last binary"
-    named = rows.mapInArrow(_samples(length, v, cover, buckets), _ROWS).groupBy("bucket").applyInArrow(_ranked, _BACK)
-    near = named.groupBy("chunk").applyInArrow(_candidates(length, v), spans).dropDuplicates(["doc_id", "hash"])
-    key = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["hash"] == b["hash"])
-    held = rows.join(near, key(rows, near)).select(rows["doc_id"], rows["hash"], "text", "first", "last").checkpoint()
+    held = _candidate_texts(rows, length, buckets)
     back = held.mapInArrow(_segments(length, min(12, max(1, length // 3)), buckets), _ROWS).groupBy("bucket").applyInArrow(_sorted_block(length), _BACK)
     found = back.groupBy("chunk").applyInArrow(_repeats(length), spans).groupBy("doc_id", "hash").agg(F.collect_list("first").alias("first"), F.collect_list("last").alias("last"))
     held = held.select("doc_id", "hash", "text").dropDuplicates(["doc_id", "hash"])
-    return held.join(found, key(held, found)).select(held["doc_id"], held["hash"], "text", "first", "last")
+    same = held["doc_id"].eqNullSafe(found["doc_id"]) & (held["hash"] == found["hash"])
+    return held.join(found, same).select(held["doc_id"], held["hash"], "text", "first", "last")
 
 
 def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
