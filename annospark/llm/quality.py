@@ -163,7 +163,7 @@ def log_likelihood(crf: Crf, x: np.ndarray, begins: np.ndarray, labels: np.ndarr
     return value, x.T @ (w * (y - p)), (w[at, None, None] * (seen - pairs)).sum(0)
 
 
-def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int = 200, rate: float = 0.08, decay: float = 1e-3, trans_decay: float = 1e-2) -> Crf:
+def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int = 200, rate: float = 0.08, decay: float = 1e-4, trans_decay: float = 1e-2) -> Crf:
     """Fits weights and all four transitions by conditional likelihood with Adam, from the marginals of lines and of pairs of lines.
 
     Each document counts alike whatever its number of lines, the two labels alike in sum. `decay` and `trans_decay` are the quadratic penalties; as
