@@ -297,7 +297,7 @@ def _dealt(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return cells, links
 
 
-def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, block_shingles: int = 1 << 17, null_ids: bool = False) -> DataFrame:
+def linked(docs: DataFrame, *, percent: int = 80, size: int = 5, k: int = 24, buckets: int | None = None, block_shingles: int = 1 << 16, null_ids: bool = False) -> DataFrame:
     """Rows (doc_id, text_hash, n_shingles, head), one for each row of `docs`: head (none, doc_id, text_hash) is the least row that links reach.
 
     A row is told by its id and the xxhash64 of its text, so different texts of one id are linked each for itself. Rows are ordered by
