@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontam, langid, minhash, mixing, quality, secrets, suffix_dedup, token_counts, token_output
+from . import ann, decontam, filter_audit, langid, minhash, mixing, quality, secrets, source_audit, suffix_dedup, token_counts, token_output, warc
 from .common import id_remainder, shared_folder, ship_package
 
 #: The part of documents, by crc32 of the id modulo 4, that no model learns from.
@@ -76,9 +76,25 @@ def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest(secrets.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(filter_audit.cells(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")), list(filter_audit.FILTERS))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.divergence(_table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    warc.write_pages(_table(spark, sf_dir, "pages"), path := shared_folder(spark, "warc"), revisit_bytes=0)
+    return warc.read_pages(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_ann, op2_token_counts, op3_decontaminate, op4_suffix_dedup, op5_mix, op6_quality, op7_minhash, op8_token_output, op9_language, op10_secrets)}
+    return {f.__name__: f for f in (op1_ann, op2_token_counts, op3_decontaminate, op4_suffix_dedup, op5_mix, op6_quality, op7_minhash, op8_token_output, op9_language, op10_secrets, op11_filter_audit, op12_source_divergence, op13_warc)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_decontaminate": decontam.DECONTAM_SQL, "op5_mix": mixing.MIX_SQL, "op7_minhash": minhash.NEAR_SQL}
+    return {
+        "op3_decontaminate": decontam.DECONTAM_SQL, "op5_mix": mixing.MIX_SQL, "op7_minhash": minhash.NEAR_SQL, "op11_filter_audit": filter_audit.AUDIT_SQL,
+        "op12_source_divergence": source_audit.DIVERGENCE_SQL, "op13_warc": warc.WARC_SQL,
+    }
