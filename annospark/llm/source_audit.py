@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, shared_folder, tidy
+from .common import SLICE_BYTES, shared_folder, shuffle_parts, tidy
 
 #: Letters A-Z are lowered, other letters and all bytes of non-ASCII code points stay, the rest separates.
 _TABLE = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
@@ -137,7 +137,7 @@ def divergence(docs: DataFrame, *, min_docs: int = 3, top: int = 200) -> DataFra
 
     Sums of a pair stay below (1e9 + V)**2, so they fit a long for vocabularies of up to 2e9 terms. A group without terms has pairs of its own; a language without kept
     terms gives pairs of value 0. For nulls, repeated rows and empty tables see `vocabulary`. The result has a row for each pair of sources of a language; terms are met in blocks of
-    about BLOCK_ROWS rows, by a hash of the term.
+    about BLOCK_ROWS rows at most, by a hash of the term.
     """
     spark = docs.sparkSession
     path = shared_folder(spark, "vocabulary")
@@ -164,7 +164,7 @@ def divergence(docs: DataFrame, *, min_docs: int = 3, top: int = 200) -> DataFra
     sides = F.explode(F.array(*[F.struct(F.col(a).alias("source"), F.col(b).alias("item"), F.expr(f"cast(m as decimal(20, 0)) * (({x}) - ({y}))").cast("decimal(38,0)").alias("value")) for a, b, x, y in (("source", "other", _f("p", "o0"), _f("p0", "o0")), ("other", "source", _f("o0", "p"), _f("o0", "p0")))]))
     sided = counts.join(others, "lang").where("source <> other").select("lang", sides.alias("s")).select("lang", "s.*")
     blocks = -(-(terms.where("term <> '' and size(posts) > 1").agg(F.sum(F.size("posts"))).first()[0] or 1) // BLOCK_ROWS)
-    shared = rows.where("holders > 1").select("lang", F.pmod(F.xxhash64("term"), F.lit(max(8, blocks))).alias("block"), "term", "source", "p", "p0")
+    shared = rows.where("holders > 1").select("lang", F.pmod(F.xxhash64("term"), F.lit(max(shuffle_parts(spark), blocks))).alias("block"), "term", "source", "p", "p0")
     both = shared.groupBy("lang", "block").applyInArrow(_together, "lang string, source string, item string, value long")
     pairs = pairs.unionByName(sided).unionByName(both.withColumn("value", F.col("value").cast("decimal(38,0)")))
     pairs = pairs.groupBy("lang", "source", "item").agg(F.sum("value").cast("long").alias("value")).withColumn("rank", F.row_number().over(first))
