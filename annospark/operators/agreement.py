@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import intervals
+from . import intervals, selection
 
 HOUR_MS = 3_600_000.0
 
@@ -68,16 +68,17 @@ def match_table(matches: DataFrame, collars: Sequence[int] = (500, 1000, 2000, 3
     """Counts and shares of matched segments by label, also within each collar, and the median errors."""
     worst = F.greatest("onset_err_ms", "offset_err_ms")
     share = lambda c: F.lit(100.0) * F.sum(F.when(c, 1).otherwise(0)) / F.count("*")
-    return matches.groupBy("label").agg(
+    medians = [selection.quantiles(matches, ["label"], f"{e}_err_ms", {f"{e}_median": 0.5}) for e in ("onset", "offset")]
+    out = matches.groupBy("label").agg(
         F.count("*").alias("n"), F.sum(F.col("matched").cast("long")).alias("n_matched"), share(F.col("matched")).alias("match_pct"), *[share(worst <= c).alias(f"within_{c}") for c in collars],
-        F.percentile("onset_err_ms", F.lit(0.5)).alias("onset_median"), F.percentile("offset_err_ms", F.lit(0.5)).alias("offset_median"),
     )
+    return out.join(medians[0], "label", "left").join(medians[1], "label", "left")
 
 
 def error_quartiles(matches: DataFrame) -> DataFrame:
     """Quartiles of the edges' errors over matched segments."""
     rows = matches.where("matched").select(F.expr("stack(2, 'onset', onset_err_ms, 'offset', offset_err_ms) as (edge, err)"))
-    return rows.groupBy("edge").agg(*[F.percentile("err", F.lit(q)).alias(n) for n, q in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])
+    return selection.quantiles(rows, ["edge"], "err", {"q1": 0.25, "median": 0.5, "q3": 0.75})
 
 
 def error_cdf(matches: DataFrame) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 
 from annospark.functions.columns import seeded
 
+from . import selection
+
 
 def shares(rows: DataFrame, value: str) -> DataFrame:
     """rows with share_pct of the total; the total is one row."""
@@ -43,9 +45,12 @@ def log2_bins(n: int) -> int:
 
 
 def sample(rows: DataFrame, size: int | float, seed: int = 42, key: str = "uid") -> DataFrame:
-    """`size` rows, or that fraction of them (1 at least), in the order of a seeded hash of the key; all if there are fewer."""
+    """`size` rows, the first in the order of a seeded hash of the key, or that fraction of them (1 at least), in no order; all if there are fewer.
+
+    A number of rows is kept by each task and by the one that merges them; a fraction is as large as the table, so it is cut by counts.
+    """
     if isinstance(size, float):
-        size = max(1, round(rows.count() * size))
+        return selection.k_of_n(rows, max(1, round(rows.count() * size)), key, seed)
     return rows.orderBy(seeded(F.col(key), seed), key).limit(size)
 
 
@@ -135,7 +140,10 @@ def diverse_sample(rows: DataFrame, buckets: Sequence[tuple[str, Column, int]],
 
 def transition_counts(rows: DataFrame, n: int = 12) -> DataFrame:
     """The most frequent speaker changes with the median and mean of their gaps."""
-    return rows.groupBy("from_label", "to_label").agg(F.count("*").alias("n"), F.percentile("gap_ms", F.lit(0.5)).alias("gap_median"), F.avg("gap_ms").alias("gap_mean")).orderBy(F.desc("n"), "from_label", "to_label").limit(n)
+    pair = ["from_label", "to_label"]
+    top = rows.groupBy(*pair).agg(F.count("*").alias("n"), F.avg("gap_ms").alias("gap_mean")).orderBy(F.desc("n"), *pair).limit(n)
+    medians = selection.quantiles(rows.join(F.broadcast(top.select(*pair)), pair), pair, "gap_ms", {"gap_median": 0.5})  # n rows
+    return top.join(medians, pair).select(*pair, "n", "gap_median", "gap_mean")
 
 
 def chunk_peaks(lengths: DataFrame, chunk_ms: int, peaks: int = 10, within_ms: int = 10) -> DataFrame:
@@ -158,7 +166,7 @@ def onset_phase(segments: DataFrame, grid_ms: int, bin_ms: int = 50) -> DataFram
 def spectrum(lengths: DataFrame, bin_ms: int = 50, keys: Sequence[str] = ()) -> DataFrame:
     """Counts of length bins, the median count of non-empty bins as a baseline, and each bin's ratio to it."""
     bins = lengths.groupBy(*keys, F.floor(F.col("len_ms") / bin_ms).alias("bin")).agg(F.count("*").alias("n"))
-    base = bins.groupBy(*keys).agg(F.percentile("n", F.lit(0.5)).alias("baseline"))
+    base = selection.quantiles(bins, list(keys), "n", {"baseline": 0.5})
     both = bins.join(base, list(keys)) if keys else bins.crossJoin(F.broadcast(base))  # one row
     return both.withColumn("ratio", F.col("n") / F.col("baseline"))
 
@@ -174,19 +182,6 @@ def length_summary(rows: DataFrame, length: Column, key: str = "label") -> DataF
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum(length).alias("total"), F.avg(length).alias("mean"), F.max(length).alias("longest"))
 
 
-def upper_median(rows: DataFrame, value: str, key: str) -> DataFrame:
-    """The element in the upper middle of each key's values; nulls don't count.
-
-    Approximate quantiles bound where it lies; what is below is counted, and only the tenth of the rows in between is ranked.
-    """
-    x = rows.where(F.col(value).isNotNull()).select(key, value)
-    bounds = x.groupBy(key).agg(F.count("*").alias("_n"), F.percentile_approx(value, [0.45, 0.55], 1000).alias("_b")).select(key, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
-    x = x.join(bounds, key).where(F.col(value) <= F.col("_hi"))
-    below = x.groupBy(key).agg(F.sum((F.col(value) < F.col("_lo")).cast("long")).alias("_below"))
-    band = x.where(F.col(value) >= F.col("_lo")).withColumn("_rn", F.row_number().over(Window.partitionBy(key).orderBy(value)))
-    return band.join(below, key).where(F.col("_below") + F.col("_rn") == F.floor(F.col("_n") / 2) + 1).select(key, value)
-
-
 def eta(rates: DataFrame, todo: DataFrame, key: str = "step") -> DataFrame:
     """Expected seconds of each step: bytes to do over its rate for all workers (null without a rate)."""
     return todo.join(rates, key, "left").withColumn("eta_s", F.try_divide(F.col("bytes").cast("double"), F.col("rate") * F.col("workers")))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from annospark.operators import agreement, intervals, sessions
+from annospark.operators import agreement, explore, intervals, sessions
 from annospark.sources import derive
 from annospark.sources.derive import SQL
 
@@ -117,7 +117,7 @@ _add("d37_conversation_kinds", CONVS + " select is_multi_speaker, count(*) as n,
     lambda s, d: sessions.conversations(_tagged(s, d)).groupBy("is_multi_speaker").agg(F.count("*").alias("n"), (F.sum(F.col("offset_ms") - F.col("onset_ms")) / F.lit(3600000.0)).alias("hours"))
 )
 _add("f02_top_transitions", TRANS + " select from_label, to_label, count(*) as n, quantile_cont(gap_ms, 0.5)::double as gap_median, avg(gap_ms)::double as gap_mean from trans group by from_label, to_label order by n desc, from_label, to_label limit 10")(
-    lambda s, d: sessions.transitions(_tagged(s, d)).groupBy("from_label", "to_label").agg(F.count("*").alias("n"), F.percentile("gap_ms", F.lit(0.5)).alias("gap_median"), F.avg("gap_ms").alias("gap_mean")).orderBy(F.desc("n"), "from_label", "to_label").limit(10)
+    lambda s, d: explore.transition_counts(sessions.transitions(_tagged(s, d)), 10)
 )
 
 # Alignment of two annotators of the same kind: all segments against those that lie in the first 600 s of every 1,200 s.

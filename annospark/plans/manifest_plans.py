@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from annospark.functions import columns as C
-from annospark.operators import explore, intervals, manifest, samples, sessions, stats, tiling
+from annospark.operators import explore, intervals, manifest, samples, selection, sessions, stats, tiling
 from annospark.sources import derive
 from annospark.sources.derive import FRAMES_SQL, SQL, WINDOWS_SQL, table
 
@@ -189,7 +189,7 @@ _add("d36_histogram_capped", SQL + " select label, least(floor(greatest(0, least
 
 def _p99(s, d):
     rows = _long(s, d)
-    cap = rows.agg(F.percentile("len_s", F.lit(0.99))).first()[0]
+    cap = selection.quantiles(rows, [], "len_s", {"cap": 0.99}).first()[0]
     return explore.histogram(rows, F.col("len_s"), 0.0, cap or 1.0, 60, ["label"])
 
 
@@ -228,9 +228,9 @@ _add("d42_file_sizes", "with x as (select page_id, case when page_id % 9 <> 0 th
 _add("d47_run_summary", "select sum((value > 100)::int)::bigint as n_ok, sum((value <= 100)::int)::bigint as n_failed, round(avg(case when value > 100 then value end), 6) as mean_ok, round(stddev_samp(case when value > 100 then value end), 6) as std_ok, min(case when value > 100 then value end) as min_ok, max(case when value > 100 then value end) as max_ok from events where value is not null")(
     lambda s, d: (lambda ok: table(s, d, "events").where("value is not null").agg(F.sum((F.col("value") > 100).cast("long")).alias("n_ok"), F.sum((F.col("value") <= 100).cast("long")).alias("n_failed"), F.round(F.avg(ok), 6).alias("mean_ok"), F.round(F.stddev_samp(ok), 6).alias("std_ok"), F.min(ok).alias("min_ok"), F.max(ok).alias("max_ok")))(F.when(F.col("value") > 100, F.col("value")))
 )
-_add("d43_upper_median", "select event_type, list(value order by value)[count(*) // 2 + 1] as value from events where value is not null group by event_type")(lambda s, d: explore.upper_median(table(s, d, "events"), "value", "event_type"))
+_add("d43_upper_median", "select event_type, list(value order by value)[count(*) // 2 + 1] as value from events where value is not null group by event_type")(lambda s, d: selection.upper_median(table(s, d, "events"), "value", "event_type"))
 _add("d43_eta", "with m as (select event_type as step, list(value order by value)[count(*) // 2 + 1] as rate from events where value is not null group by event_type), t as (select event_type as step, count(*) * 1000 as bytes, 4 as workers from events group by event_type) select step, bytes, workers, rate, bytes::double / nullif(rate * workers, 0) as eta_s from t left join m using (step)")(
-    lambda s, d: explore.eta(explore.upper_median(table(s, d, "events"), "value", "event_type").toDF("step", "rate"), table(s, d, "events").groupBy(F.col("event_type").alias("step")).agg((F.count("*") * 1000).alias("bytes"), F.first(F.lit(4)).alias("workers")))
+    lambda s, d: explore.eta(selection.upper_median(table(s, d, "events"), "value", "event_type").toDF("step", "rate"), table(s, d, "events").groupBy(F.col("event_type").alias("step")).agg((F.count("*") * 1000).alias("bytes"), F.first(F.lit(4)).alias("workers")))
 )
 _add("h13_json", SQL + ", c as (select uid, label, count(*) as n from vtc group by uid, label) select uid, '{' || string_agg('\"' || label || '\":' || n, ',' order by label) || '}' as counts from c group by uid")(
     lambda s, d: derive.vtc(s, d).groupBy("uid", "label").count().groupBy("uid").agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("label", "count"))))).alias("counts"))
