@@ -12,7 +12,12 @@ from . import intervals
 
 def vad_metadata(frames: DataFrame, threshold: float = 0.5, step_ms: int = 1000, long_ms: int = 10_000) -> DataFrame:
     """Speech and silence runs of each recording: max, min, sum, num, avg of both (zeros without runs), speech_ratio, has_long_segment."""
-    rows = intervals.runs(frames, F.col("vad") > threshold).withColumn("ms", (F.col("end") - F.col("first")) * step_ms)
+    return run_metadata(intervals.runs(frames, F.col("vad") > threshold), step_ms, long_ms)
+
+
+def run_metadata(runs: DataFrame, step_ms: int = 1000, long_ms: int = 10_000) -> DataFrame:
+    """The same from runs (uid, flag, first, end)."""
+    rows = runs.withColumn("ms", (F.col("end") - F.col("first")) * step_ms)
     part = lambda on, name: [
         F.coalesce(f(F.when(F.col("flag") == on, F.col("ms"))), F.lit(0)).alias(f"{name}_{n}") for f, n in ((F.max, "max"), (F.min, "min"), (F.sum, "sum"), (F.count, "num"))
     ] + [F.coalesce(F.avg(F.when(F.col("flag") == on, F.col("ms"))), F.lit(0.0)).alias(f"{name}_avg")]

@@ -7,10 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from annospark.operators import extend, sessions
+from annospark.operators import extend, selection, sessions
 from annospark.sources import arrays, derive, shards, tables
 from annospark.sources.derive import FRAMES_SQL, SQL, table
-from annospark.streaming import live
+from annospark.streaming import endless, live
+from annospark.streaming import sessions as timed
 
 from .agreement_plans import CONVS, TURNS
 from .stats_plans import CLIPS, _fixed, _seg
@@ -113,6 +114,56 @@ def _tar(s, d):
     return shards.samples_of(shards.read_shards(s, path)).select("key", "ext", F.col("payload").cast("string").alias("payload"), F.col("metadata")["uid"].alias("meta_uid"))
 
 
+def _members(s, d):
+    """The clips' tars, two members for each clip, in a fresh folder."""
+    clips = shards.assign_shards(_fixed(s, d), 50)
+    parts = F.array(F.struct(F.lit("bin").alias("ext"), (F.col("offset_ms") - F.col("onset_ms")).cast("string").cast("binary").alias("payload")), F.struct(F.lit("json").alias("ext"), F.to_json(F.struct(F.col("uid").cast("string").alias("uid"))).cast("binary").alias("payload")))
+    shards.write_shards(clips.select("shard", "key", F.explode(parts).alias("m")).select("shard", "key", "m.*"), path := _folder(s, "tars"))
+    return path
+
+
+_KEYS = CLIPS + ", k as (select uid, uid || '_' || printf('%04d', clip_idx) as key, (offset_ms - onset_ms)::varchar as length from clips)"
+
+
+@_add("a12_pushed_filters", _KEYS + " select key, length from k where key >= '5' and key < '8'")
+def _pushed(s, d):
+    """A range of keys: the filters reach the source, which plans and reads only the tars and members that have such keys."""
+    return shards.read_shards(s, _members(s, d)).where("ext = 'bin' and key >= '5' and key < '8'").select("key", F.col("payload").cast("string").alias("length"))
+
+
+@_add("a12_random_access", _KEYS + " select key, length from k join dur using (uid) where dur_ms > 4200000")
+def _fetched(s, d):
+    """Members that a join with another table chooses, fetched by their places in the index."""
+    path = _members(s, d)
+    long = derive.durations(s, d).where("dur_ms > 4200000").select(F.col("uid").cast("string").alias("uid"))
+    index = shards.read_index(s, path).where("ext = 'bin'").withColumn("uid", F.regexp_extract("key", "^(.*)_", 1)).join(long, "uid", "left_semi")
+    return shards.fetch_members(index, path).select("key", F.col("payload").cast("string").alias("length"))
+
+
+@_add("i04_endless_epochs", _KEYS + " select epoch, key, length, uid::varchar as meta_uid from k, unnest([0, 1]) t(epoch)")
+def _epochs(s, d):
+    """Two epochs of the endless reader, by two workers: each epoch has every sample once."""
+    path, parts = _members(s, d), []
+    for worker in range(2):
+        stream = endless.endless_samples(s, path, f"{_folder(s, 'planned')}.json", buffer=500, blocks=64, worker=worker, workers=2, epochs=2)
+        rows = stream.select("epoch", "key", F.col("members")["bin"].cast("string").alias("length"), F.get_json_object(F.col("members")["json"].cast("string"), "$.uid").alias("meta_uid"))
+        out = _folder(s, "epochs")
+        q = rows.writeStream.format("parquet").option("path", out).option("checkpointLocation", _folder(s, "epochs-checkpoint")).trigger(processingTime="0 seconds").start()
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        parts.append(s.read.schema(rows.schema).parquet(out))
+    return parts[0].unionByName(parts[1])
+
+
+@_add("i04_fixed_subset", _KEYS + " select key, length from k order by md5(key || ':42'), key limit 300")
+def _subset(s, d):
+    """A fixed subset for evaluation: exactly 300 samples by a seeded hash, the same whatever the shards and tasks; only their bytes are read."""
+    path = _members(s, d)
+    return shards.fetch_members(selection.k_of_n(shards.read_index(s, path).where("ext = 'bin'"), 300, "key"), path).select("key", F.col("payload").cast("string").alias("length"))
+
+
 @_add("a16_benchmark_log", "select event_type as step, event_id, value as seconds from events where event_type = 'click'")
 def _log(s, d):
     path = _folder(s, "log")
@@ -160,14 +211,28 @@ def _live_conversations(s, d):
     return out.where(F.col("end_ms") + 10_000 < last - 60_000).select("uid", "start_ms", "n_segments", "speech_ms")
 
 
-@_add("i03_live_turns", TURNS + " select uid, label, onset_ms, offset_ms, n_segments from turns where turn_idx < (select max(turn_idx) from turns t where t.uid = turns.uid)")
-def _live_turns(s, d):
+def _fed(s, d, form, schema: str):
+    """Segments arrive in five batches, up to 100 s out of order, each to a query that goes on where the last one was stopped; then rows without a label say that time has moved on."""
+    rows = derive.vtc(s, d)
+    late = F.col("onset_ms") + F.pmod(F.xxhash64("uid", "onset_ms", "label"), F.lit(100_000))
+    last = rows.agg(F.max("offset_ms")).first()[0] or 0
+    rows = rows.select("uid", "onset_ms", "offset_ms", "label", F.least(late * 5 / (last + 1), F.lit(4)).cast("int").alias("batch"))
+    given, out, check = _folder(s, "segments"), _folder(s, "closed"), _folder(s, "closed-checkpoint")
     old = s.conf.get("spark.sql.streaming.stateStore.providerClass")
     s.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     try:
-        return _run(s, live.live_turns(_live_vtc(s, d).select("uid", "onset_ms", "offset_ms", "label")), "turns")
+        for i in range(6):
+            batch = rows.where(F.col("batch") == i).drop("batch") if i < 5 else s.createDataFrame([(-1, last + 10_000_000, None, None)], "uid long, onset_ms long, offset_ms long, label string")
+            batch.write.mode("append").parquet(given)
+            q = form(s.readStream.schema(batch.schema).parquet(given), "2 minutes").writeStream.format("parquet").option("path", out).option("checkpointLocation", check).trigger(availableNow=True).start()
+            q.awaitTermination()
     finally:
         s.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    return s.read.schema(schema).parquet(out)
+
+
+_add("i02_closed_conversations", CONVS + " select uid, conv_idx, onset_ms, offset_ms, n_turns, is_multi_speaker, labels, n_transitions from convs")(lambda s, d: _fed(s, d, timed.live_conversations, timed.CONVERSATIONS))
+_add("i03_live_turns", TURNS + " select uid, turn_idx, label, onset_ms, offset_ms, n_segments from turns")(lambda s, d: _fed(s, d, timed.live_turns, timed.TURNS))
 
 
 @_add("i05_stream_semi_join", SQL + " select uid, onset_ms, label from vtc where uid in (select uid from dur where dur_ms > 4200000)")

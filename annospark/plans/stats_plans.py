@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from annospark.operators import explore, frames, intervals, sessions, stats, tiling
+from annospark.operators import explore, frames, intervals, kernels, sessions, stats, tiling
 from annospark.functions.columns import rounded, rounded_sql
 from annospark.sources import derive, tables
 from annospark.sources.derive import FRAMES_SQL, LABELS, SQL, WINDOWS_SQL
@@ -142,7 +142,7 @@ sv as (select v.uid, v.onset_ms, v.offset_ms, v.label, avg(f.snr) as snr, avg(f.
 
 
 def _snr(s, d):
-    return stats.segment_snr(derive.vtc(s, d), derive.frames(s, d))
+    return kernels.segment_means(derive.vtc(s, d), derive.frame_arrays(s, d))
 
 
 _add("c10_segment_snr", SQL + _SNR + f" select uid, onset_ms, offset_ms, label, {rounded_sql('snr', 2)} as snr, {rounded_sql('c50', 2)} as c50 from sv")(lambda s, d: _snr(s, d).withColumns({"snr": rounded(F.col("snr"), 2), "c50": rounded(F.col("c50"), 2)}))
@@ -233,7 +233,7 @@ select uid, label, min(i) * 1000 as onset_ms, (max(i) + 1) * 1000 as offset_ms f
     lambda s, d: intervals.threshold_segments(derive.frames(s, d).selectExpr("uid", "i", "stack(2, 'FEM', vad, 'KCHI', (snr + 5D) / 40D) as (label, score)"), 0.6, 1000)
 )
 _add("d02_vad_metadata", _RUNS + ", rr as (select uid, flag, (\"end\" - first) * 1000 as ms from runs) select uid, " + ", ".join(f"coalesce({f}(case when {c} then ms end), 0)::bigint as {n}_{x}" for n, c in (("speech", "flag"), ("silence", "not flag")) for f, x in (("max", "max"), ("min", "min"), ("sum", "sum"), ("count", "num"))) + ", coalesce(avg(case when flag then ms end), 0) as speech_avg, coalesce(avg(case when not flag then ms end), 0) as silence_avg, coalesce(sum(case when flag then ms end), 0)::double / sum(ms) as speech_ratio, coalesce(max(case when flag then ms end), 0) >= 10000 as has_long_segment from rr group by uid")(
-    lambda s, d: frames.vad_metadata(derive.frames(s, d))
+    lambda s, d: frames.run_metadata(kernels.runs(derive.frame_arrays(s, d), "vad", 0.5))
 )
 _six = lambda df: df.withColumns({c: F.round(c, 6) for c, t in df.dtypes if t == "double"})
 _add("d04_snr_metadata", _F + " select uid, count(*) as n_frames, sum((vad > 0.5)::int)::bigint as n_speech, round(avg((vad > 0.5)::int::double), 6) as speech_fraction, " + ", ".join(f"round(coalesce({f}(case when vad > 0.5 then {c} end), {f}({c})), 6) as {c}_{n}" for c in ("snr", "c50") for f, n in (("avg", "mean"), ("stddev_pop", "std"), ("min", "min"), ("max", "max"))) + " from frames group by uid")(

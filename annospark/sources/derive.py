@@ -48,6 +48,15 @@ def frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def frame_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same frames as they are stored, one row a recording: uid, snr, c50 and vad as arrays of doubles, by i."""
+    value = {"snr": "((uid*7919 + i*104729) % 4000)/100D - 5D", "c50": "((uid*6007 + i*15485863) % 6000)/100D", "vad": "((uid*31 + i*17) % 1000)/1000D"}
+    rows = durations(spark, sf_dir)
+    # Rows are few and long: they are dealt to as many tasks as a shuffle has, since Spark would put rows of these few bytes into one.
+    rows = rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "uid")
+    return rows.selectExpr("uid", *[f"transform(sequence(0L, dur_ms div 1000 - 1), i -> {v}) as {c}" for c, v in value.items()])
+
+
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class probabilities by window: uid, bin, class_idx, prob."""
     rows = table(spark, sf_dir, "embeddings").selectExpr("label as uid", "cast(row_number() over (partition by label order by vec_id) - 1 as bigint) as bin", "embedding")

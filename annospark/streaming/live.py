@@ -1,15 +1,11 @@
-"""Streaming forms: incremental upserts, live conversations and turns, filtered samples."""
+"""Streaming forms: incremental upserts, sessions by windows, filtered samples. Turns and conversations as the batch forms define them are in sessions.py."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from annospark.operators.sessions import CONVERSATION_GAP_MS, TURN_GAP_MS
+from annospark.operators.sessions import CONVERSATION_GAP_MS
 from annospark.sources.tables import ParquetStore
 
 
@@ -38,38 +34,6 @@ def live_conversations(segments: DataFrame, delay: str = "1 minute", gap_ms: int
     return segments.withWatermark("ts", delay).groupBy("uid", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n_segments"), F.sum("len_ms").alias("speech_ms")).select("uid", F.col("w.start").alias("start"), (F.expr("unix_micros(w.end)") + 1 - gap_ms * 1000).alias("end_us"), "n_segments", "speech_ms")
 
 
-class TurnProcessor(StatefulProcessor):
-    """Keeps the open turn of each recording: label, onset, running maximum of offsets, number of segments."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.open = handle.getValueState("open", "label string, onset_ms long, offset_ms long, n long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        got = pd.concat(list(rows)).sort_values(["onset_ms", "label", "offset_ms"])
-        state = self.open.get() if self.open.exists() else None
-        out = []
-        for r in got.itertuples():
-            if state and r.label == state[0] and r.onset_ms - state[2] <= TURN_GAP_MS:
-                state = (state[0], state[1], max(state[2], int(r.offset_ms)), state[3] + 1)
-                continue
-            if state:
-                out.append((key[0], *state))
-            state = (r.label, int(r.onset_ms), int(r.offset_ms), 1)
-        self.open.update(state)
-        yield pd.DataFrame(out, columns=["uid", "label", "onset_ms", "offset_ms", "n_segments"])
-
-    def close(self) -> None:
-        pass
-
-
-def live_turns(segments: DataFrame) -> DataFrame:
-    """Finished turns of a stream of segments (uid, onset_ms, offset_ms, label) that arrive in order of onset for each recording.
-
-    A turn is emitted when the next one begins; late segments would re-open a turn, so they belong to a batch re-run.
-    """
-    return segments.groupBy("uid").transformWithStateInPandas(TurnProcessor(), "uid long, label string, onset_ms long, offset_ms long, n_segments long", "Append", "None")
-
-
 def allowed_samples(samples: DataFrame, allowed: DataFrame, key: str = "wav_id") -> DataFrame:
     """Samples of a stream whose id is in a table of allowed ids."""
     return samples.join(allowed.select(key).distinct(), key, "left_semi")
