@@ -41,13 +41,21 @@ def hhmmss(seconds: Column) -> Column:
 
 
 def human_size(n: Column) -> Column:
-    """Bytes with one digit in the largest unit that leaves 1 or more."""
-    out = F.concat(F.format_string("%.1f", n.cast("double")), F.lit(" B"))
-    for power, unit in ((1, "KB"), (2, "MB"), (3, "GB"), (4, "TB")):
+    """Bytes with one digit in the largest unit that leaves 1 or more, whole bytes below."""
+    out = F.concat(n.cast("long").cast("string"), F.lit(" B"))
+    for power, unit in ((1, "KB"), (2, "MB"), (3, "GB"), (4, "TB"), (5, "PB")):
         out = F.when(n >= 1024**power, F.concat(F.format_string("%.1f", n / float(1024**power)), F.lit(f" {unit}"))).otherwise(out)
     return out
 
 
+def human_duration(seconds: Column) -> Column:
+    """45s below a minute, 3m 20s below an hour, 2h 15m from then on."""
+    whole = F.floor(seconds)
+    minutes = F.format_string("%dm %ds", F.floor(whole / 60), whole % 60)
+    hours = F.format_string("%dh %dm", F.floor(whole / 3600), F.floor(whole % 3600 / 60))
+    return F.when(seconds < 60, F.format_string("%ds", F.bround(seconds).cast("long"))).when(seconds < 3600, minutes).otherwise(hours)
+
+
 def clip_key(uid: Column, idx: Column) -> Column:
     """uid and clip number with four digits."""
     return F.concat(uid.cast("string"), F.lit("_"), F.format_string("%04d", idx))

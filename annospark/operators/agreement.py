@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from annospark.functions.columns import rounded
+
 from . import intervals, selection
 
 HOUR_MS = 3_600_000.0
@@ -125,3 +127,18 @@ def coverage_report(rows: DataFrame, labels: Sequence[str] = ("FEM", "MAL", "KCH
     metrics = ["n_segments", "total_ms", "n_cuts", "n_cut_segments", "missed_ms"]
     long = rows.unpivot("label", metrics, "metric", "value")
     return long.groupBy("metric").pivot("label", list(labels)).agg(F.first(F.col("value").cast("string")))
+
+
+def coverage_figures(rows: DataFrame, labels: Sequence[str] = ("KCHI", "OCH", "MAL", "FEM")) -> DataFrame:
+    """The coverage table as formatted figures, a row for each metric: metric, all_types and a column for each label; a label without segments has zeros."""
+    share = lambda a, b: F.format_string("%.2f%%", rounded(F.coalesce(F.try_divide(F.lit(100.0) * F.col(a), F.col(b)), F.lit(0.0)), 2))
+    seconds = lambda c: F.format_string("%.3f", F.col(c) / 1000.0)
+    names = {
+        "Total VTC segments": F.col("n_segments").cast("string"), "Total VTC duration (seconds)": seconds("total_ms"), "VTC segments with >=1 cut": F.col("n_cut_segments").cast("string"),
+        "% VTC segments with >=1 cut": share("n_cut_segments", "n_segments"), "Total number of cuts": F.col("n_cuts").cast("string"), "Total missed speech (seconds)": seconds("missed_ms"), "% VTC speech missed": share("missed_ms", "total_ms"),
+    }
+    every = rows.sparkSession.createDataFrame([(x,) for x in ("all", *labels)], "label string")
+    full = every.join(rows, "label", "left").na.fill(0, ["n_segments", "total_ms", "n_cuts", "n_cut_segments", "missed_ms"])
+    long = full.select("label", F.explode(F.array(*[F.struct(F.lit(i).alias("place"), F.lit(m).alias("metric"), v.alias("text")) for i, (m, v) in enumerate(names.items())])).alias("x")).select("label", "x.*")
+    wide = long.groupBy("place", "metric").pivot("label", ["all", *labels]).agg(F.first("text"))
+    return wide.orderBy("place").select("metric", F.col("all").alias("all_types"), *labels)

@@ -182,6 +182,23 @@ def length_summary(rows: DataFrame, length: Column, key: str = "label") -> DataF
     return rows.groupBy(key).agg(F.count("*").alias("n"), F.sum(length).alias("total"), F.avg(length).alias("mean"), F.max(length).alias("longest"))
 
 
+def first_failures(results: DataFrame, key: str, error: str = "error", n: int = 5) -> DataFrame:
+    """The first n keys whose results carry an error."""
+    return results.where(F.col(error).isNotNull()).orderBy(key).limit(n).select(key, error)
+
+
+def file_sizes(manifest: DataFrame, files: DataFrame, key: str = "uid") -> DataFrame:
+    """One row about the files of a manifest's keys, from what `tables.scan_files` has found: total, n_found, n_missing, total_bytes, least, greatest, mean and median bytes, and the first 10 missing keys.
+
+    A key's files count as one; files of other keys are left out.
+    """
+    per = files.groupBy(key).agg(F.sum("bytes").alias("bytes"))
+    both = manifest.select(key).distinct().join(per, key, "left")
+    out = both.agg(F.count("*").alias("total"), F.count("bytes").alias("n_found"), (F.count("*") - F.count("bytes")).alias("n_missing"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("total_bytes"), F.min("bytes").alias("least"), F.max("bytes").alias("greatest"), F.avg("bytes").alias("mean"))
+    missing = both.where("bytes is null").select(F.col(key).cast("string").alias("k")).orderBy("k").limit(10).agg(F.array_join(F.array_sort(F.collect_list("k")), ";").alias("missing"))
+    return out.crossJoin(selection.quantiles(both, [], "bytes", {"median": 0.5})).crossJoin(missing)  # one row each
+
+
 def eta(rates: DataFrame, todo: DataFrame, key: str = "step") -> DataFrame:
     """Expected seconds of each step: bytes to do over its rate for all workers (null without a rate)."""
     return todo.join(rates, key, "left").withColumn("eta_s", F.try_divide(F.col("bytes").cast("double"), F.col("rate") * F.col("workers")))

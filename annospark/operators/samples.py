@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 
 from annospark.functions.columns import seeded
 
+from . import explore
+
 
 def resample(x: Column, rate_from: int, rate_to: int) -> Column:
     """Linear interpolation to int(n * to / from) samples, spread evenly from the first to the last."""
@@ -104,9 +106,11 @@ def unpack_mask(mask: bytes, n: int) -> np.ndarray:
 
 def batches(rows: DataFrame, size: int, order: Sequence[str], shard: str, samples: str = "samples", multiple: int = 1, drop_last: bool = False) -> DataFrame:
     """Batches of `size` rows within a shard, padded with zeros to the batch's longest (rounded up to a multiple): one row a batch with the padded
-    samples, attention masks and lengths. Batches are cut within shards, so that no task orders all samples."""
-    w = Window.partitionBy(shard).orderBy(*order)
-    x = rows.withColumn("batch", F.floor((F.row_number().over(w) - 1) / size)).withColumn("len", F.size(samples))
+    samples, attention masks and lengths. Rows are ranked by ranges of (shard, order), so no task orders a shard; needs a checkpoint folder."""
+    ranked = explore.global_rank(rows.select(shard, *[c for c in order if c != shard]), [shard, *order], "_rank")
+    first = ranked.groupBy(shard).agg(F.min("_rank").alias("_first"))
+    place = ranked.join(first, shard).select(shard, *[c for c in order if c != shard], F.floor((F.col("_rank") - F.col("_first")) / size).alias("batch"))
+    x = rows.join(place, list(dict.fromkeys([shard, *order]))).withColumn("len", F.size(samples))
     width = (F.ceil(F.max("len").over(Window.partitionBy(shard, "batch")) / multiple) * multiple).cast("int")
     x = x.withColumn("width", width).withColumn("pad", F.col("width") - F.col("len"))
     kind = dict(rows.dtypes)[samples][6:-1]
@@ -117,6 +121,29 @@ def batches(rows: DataFrame, size: int, order: Sequence[str], shard: str, sample
     return out.where(F.col("n") == size) if drop_last else out
 
 
+def stack_masks(rows: DataFrame, batch: Sequence[str], order: Sequence[str], masks: Sequence[str], n_frames: str = "n_frames") -> DataFrame:
+    """Packed masks of a batch's rows as one block of bits: batch, n, width (the most frames of a row with masks), n_labels (the most masks of a row), masks.
+
+    `masks` are columns of packed bits; a null one is absent, and those that are left stand first, as a row with fewer labels would have them. Each row takes n_labels masks of
+    ceil(width / 8) bytes, zeros where it has none, rows in order: `unpack_stack` gives booleans [row, label, frame]. Masks and width are null where no row of the batch has a mask.
+    Padding is of whole bytes, since the bits of a packed mask after its last frame are zero.
+    """
+    held = F.filter(F.array(*masks), lambda m: m.isNotNull())
+    x = rows.select(*batch, F.struct(*order).alias("_order"), held.alias("_m"), F.when(F.size(held) > 0, F.col(n_frames)).alias("_n"))
+    out = x.groupBy(*batch).agg(F.count("*").alias("n"), F.max("_n").alias("width"), F.max(F.size("_m")).alias("n_labels"), F.array_sort(F.collect_list(F.struct("_order", "_m"))).alias("_rows"))
+    size = F.ceil(F.col("width") / 8).cast("int")
+    absent = F.rpad(F.unhex(F.lit("")), size, F.unhex(F.lit("00")))
+    row = lambda r: F.concat(*[F.coalesce(F.rpad(F.get(r["_m"], F.lit(i)), size, F.unhex(F.lit("00"))), F.when(F.col("n_labels") > i, absent).otherwise(F.unhex(F.lit("")))) for i in range(len(masks))])
+    whole = F.aggregate(F.transform("_rows", row), F.unhex(F.lit("")), lambda a, b: F.concat(a, b))
+    return out.select(*batch, "n", "width", "n_labels", F.when(F.col("width").isNotNull(), whole).alias("masks"))
+
+
+def unpack_stack(masks: bytes, n: int, width: int, n_labels: int) -> np.ndarray:
+    """Booleans [row, label, frame] of stacked masks."""
+    bits = np.unpackbits(np.frombuffer(masks, np.uint8).reshape(n, n_labels, -(-width // 8)), axis=2, bitorder="little")
+    return bits[:, :, :width].astype(bool)
+
+
 def collate_scalar(x: Column, batch: Column) -> Column:
     """A scalar in a batch: null where the whole batch has none, 0 for single gaps."""
     return F.when(F.count(x).over(Window.partitionBy(batch)) > 0, F.coalesce(x, F.lit(0)))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from annospark.operators import agreement, explore, intervals, sessions
+from annospark.functions.columns import rounded_sql
+from annospark.operators import agreement, explore, intervals, sessions, slots
 from annospark.sources import derive
 from annospark.sources.derive import SQL
 
@@ -34,6 +35,7 @@ _add("e01_merge_pairs", SQL + islands("vad", "uid") + " select * from m")(lambda
 _add("e02_merge_vad", SQL + islands("vad", "uid", 100, 100) + " select *, (offset_ms - onset_ms) / 1000.0::double as duration from m")(
     lambda s, d: intervals.merge(derive.vad(s, d), ["uid"], 100, 100).withColumn("duration", (F.col("offset_ms") - F.col("onset_ms")) / F.lit(1000.0))
 )
+_add("e02_merge_by_slots", SQL + islands("vad", "uid", 1) + " select uid, onset_ms, offset_ms from m")(lambda s, d: slots.merge(derive.vad(s, d), ["uid"], 1))
 _add("e02_merge_vtc", SQL + islands("vtc", "uid, label", 300, 300) + " select *, (offset_ms - onset_ms) / 1000.0::double as duration from m")(
     lambda s, d: intervals.merge(derive.vtc(s, d), ["uid", "label"], 300, 300).withColumn("duration", (F.col("offset_ms") - F.col("onset_ms")) / F.lit(1000.0))
 )
@@ -105,6 +107,8 @@ def _tagged(s, d):
 
 _add("e09_turns", TURNS + " select * from turns")(_turns)
 _add("e10_conversations", CONVS + " select * from convs")(lambda s, d: sessions.conversations(_tagged(s, d)))
+_add("e09_turns_by_slots", TURNS + " select * from turns")(lambda s, d: slots.turns(derive.vtc(s, d)))
+_add("e10_tags_by_slots", CONVS + " select uid, turn_idx, label, onset_ms, offset_ms, n_segments, conv_idx from tc")(lambda s, d: slots.tag_conversations(slots.turns(derive.vtc(s, d))))
 _add("e11_transitions", TRANS + " select * from trans")(lambda s, d: sessions.transitions(_tagged(s, d)))
 _add("e12_inter_turn_gaps", TRANS + " select uid, conv_idx, turn_idx, gap_ms from r1 where gap_ms is not null")(lambda s, d: sessions.turn_gaps(_tagged(s, d)))
 _add("e13_inter_conversation_gaps", CONVS + " select uid, conv_idx, gap_after_ms from convs where gap_after_ms is not null")(
@@ -176,6 +180,15 @@ _add("d27_vad_coverage", _VCOV + " select * from vc")(lambda s, d: agreement.cov
 _add("d28_coverage_report", _VCOV + ", lg as (unpivot (select label, n_segments, total_ms, n_cuts, n_cut_segments, missed_ms from vc) on n_segments, total_ms, n_cuts, n_cut_segments, missed_ms into name metric value value) select metric, " + ", ".join(f"max(case when label = '{x}' then value end)::varchar as {x}" for x in ("FEM", "MAL", "KCHI", "OCH", "all")).replace("as all", 'as "all"') + " from lg group by metric")(
     lambda s, d: agreement.coverage_report(agreement.coverage_table(_uncovered(s, d)))
 )
+_part_of = "(case when {b} > 0 then 100.0::double * {a} / {b} else 0 end)"
+_FIGURES = {
+    "Total VTC segments": "n_segments::varchar", "Total VTC duration (seconds)": "printf('%.3f', total_ms / 1000.0::double)", "VTC segments with >=1 cut": "n_cut_segments::varchar",
+    "% VTC segments with >=1 cut": "printf('%.2f%%', " + rounded_sql(_part_of.format(a="n_cut_segments", b="n_segments"), 2) + ")", "Total number of cuts": "n_cuts::varchar",
+    "Total missed speech (seconds)": "printf('%.3f', missed_ms / 1000.0::double)", "% VTC speech missed": "printf('%.2f%%', " + rounded_sql(_part_of.format(a="missed_ms", b="total_ms"), 2) + ")",
+}
+_add("d28_coverage_figures", _VCOV + ", z as (select l.label, coalesce(n_segments, 0) as n_segments, coalesce(total_ms, 0) as total_ms, coalesce(n_cuts, 0) as n_cuts, coalesce(n_cut_segments, 0) as n_cut_segments, coalesce(missed_ms, 0) as missed_ms from (select unnest(['all', 'KCHI', 'OCH', 'MAL', 'FEM']) as label) l left join vc using (label)), t as (" + " union all ".join(f"select label, '{m}' as metric, {v} as text from z" for m, v in _FIGURES.items()) + ") select metric, max(case when label = 'all' then text end) as all_types, " + ", ".join(f"max(case when label = '{x}' then text end) as {x}" for x in ("KCHI", "OCH", "MAL", "FEM")) + " from t group by metric")(
+    lambda s, d: agreement.coverage_figures(agreement.coverage_table(_uncovered(s, d)))
+)
 _add("c07_clip_to_absolute", SQL + ", cl as (select uid, onset_ms // 600000 as clip_idx, onset_ms % 600000 as rel_on, onset_ms % 600000 + (offset_ms - onset_ms) as rel_off, label from vtc) select uid, clip_idx, label, clip_idx * 600000 + rel_on as onset_ms, clip_idx * 600000 + rel_off as offset_ms from cl")(
     lambda s, d: agreement.to_absolute(
         derive.vtc(s, d).selectExpr("uid", "onset_ms div 600000 as clip_idx", "label", "onset_ms % 600000 as onset_ms", "onset_ms % 600000 + (offset_ms - onset_ms) as offset_ms"),

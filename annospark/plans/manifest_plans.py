@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from annospark.functions import columns as C
@@ -165,9 +166,9 @@ _add("b15_twelve_buckets", _bucket_sql(60))(_twelve)
 _add("b16_pick_clips", CLIPS + " select uid || '_' || printf('%04d', clip_idx) as clip_id, onset_ms, offset_ms from clips where uid || '_' || printf('%04d', clip_idx) in ('3_0001', '17_0004', '90_0000')")(
     lambda s, d: _fixed(s, d).select(C.clip_key(F.col("uid"), F.col("clip_idx")).alias("clip_id"), "onset_ms", "offset_ms").where(F.col("clip_id").isin("3_0001", "17_0004", "90_0000"))
 )
-_add("b17_descriptive_name", SQL + """, z as (select uid, ((uid * 37) % 100) / 100.0::double as d, ((uid * 59) % 100) / 100.0::double as i, uid % 70 as t, case when uid % 9 <> 0 then 'FEM' end as l from dur)
-select uid, coalesce(l, 'UNK') || '_density-' || case when d <= 0.33 then 'lo' when d >= 0.66 then 'hi' else 'mid' end || '_iou-' || case when i <= 0.33 then 'lo' when i >= 0.66 then 'hi' else 'mid' end || '_turns-' || case when t < 10 then 'few' when t > 50 then 'many' else 'some' end as name from z""")(
-    lambda s, d: derive.durations(s, d).selectExpr("uid", "((uid * 37) % 100) / 100D as d", "((uid * 59) % 100) / 100D as i", "uid % 70 as t", "case when uid % 9 <> 0 then 'FEM' end as l").select("uid", C.descriptive_name(F.col("d"), F.col("i"), F.col("t"), F.col("l")).alias("name"))
+_LEVEL = "case when {x} <= 0.33 then 'lo' when {x} >= 0.66 then 'hi' else 'mid' end"
+_add("b17_descriptive_name", _FULL + f" select uid, clip_idx, coalesce(dominant_label, 'UNK') || '_density-' || {_LEVEL.format(x='speech_density')} || '_iou-' || {_LEVEL.format(x='frame_iou')} || '_turns-' || case when n_turns < 10 then 'few' when n_turns > 50 then 'many' else 'some' end as name from cstat")(
+    lambda s, d: _cstat(s, d).select("uid", "clip_idx", C.descriptive_name(F.col("speech_density"), F.col("frame_iou"), F.col("n_turns"), F.col("dominant_label")).alias("name"))
 )
 _add("f01_longest_turns", _LONG + " select uid, turn_idx, label, len_s from lt order by len_s desc, uid, turn_idx limit 50")(lambda s, d: _long(s, d).orderBy(F.desc("len_s"), "uid", "turn_idx").limit(50).select("uid", "turn_idx", "label", "len_s"))
 _add("d38_long_turn_pivot", _LONG + " select uid, " + ", ".join(f"sum((label = '{x}')::int)::bigint as {x}" for x in derive.LABELS) + " from lt where len_s >= 10 group by uid")(lambda s, d: _long(s, d).where("len_s >= 10").groupBy("uid").pivot("label", list(derive.LABELS)).count().na.fill(0))
@@ -180,8 +181,9 @@ union all select 'files', 'std_ms', round(stddev_pop(dur_ms), 3) from dur union
 _add("d35_summary_card", SQL + " select 'card' as section, metric, value from (unpivot (select count(distinct uid)::double as files, count(*)::double as segments, count(distinct label)::double as labels, sum(offset_ms - onset_ms) / 3600000.0::double as speech_h from vtc) on files, segments, labels, speech_h into name metric value value)")(
     lambda s, d: explore.tidy(derive.vtc(s, d), "card", {"files": F.countDistinct("uid"), "segments": F.count("*"), "labels": F.countDistinct("label"), "speech_h": F.sum(F.col("offset_ms") - F.col("onset_ms")) / F.lit(3600000.0)})
 )
-_add("d36_histogram", SQL + " select label, least(((offset_ms - onset_ms) / (30000.0::double / 60))::double, 1e18) as x, 1 as one from vtc limit 0")(lambda s, d: explore.histogram(derive.vtc(s, d).where("offset_ms - onset_ms between 0 and 30000"), F.col("offset_ms") - F.col("onset_ms"), 0.0, 30_000.0, 60, ["label"]))
-ORACLE["d36_histogram"] = SQL + " select label, least(floor((offset_ms - onset_ms)::double / 500.0::double), 59)::bigint as bin, count(*) as n from vtc where offset_ms - onset_ms between 0 and 30000 group by label, bin"
+_add("d36_histogram", SQL + " select least(floor(greatest(0, least(offset_ms - onset_ms, 30000))::double / 500.0::double), 59)::bigint as bin, count(*) as n from vtc group by bin")(
+    lambda s, d: explore.histogram(derive.vtc(s, d), F.col("offset_ms") - F.col("onset_ms"), 0.0, 30_000.0, 60)
+)
 _add("d36_histogram_capped", SQL + " select label, least(floor(greatest(0, least(offset_ms - onset_ms, 30000))::double / 500.0::double), 59)::bigint as bin, count(*) as n from vtc group by label, bin")(
     lambda s, d: explore.histogram(derive.vtc(s, d), F.col("offset_ms") - F.col("onset_ms"), 0.0, 30_000.0, 60, ["label"])
 )
@@ -228,6 +230,9 @@ _add("d42_file_sizes", "with x as (select page_id, case when page_id % 9 <> 0 th
 _add("d47_run_summary", "select sum((value > 100)::int)::bigint as n_ok, sum((value <= 100)::int)::bigint as n_failed, round(avg(case when value > 100 then value end), 6) as mean_ok, round(stddev_samp(case when value > 100 then value end), 6) as std_ok, min(case when value > 100 then value end) as min_ok, max(case when value > 100 then value end) as max_ok from events where value is not null")(
     lambda s, d: (lambda ok: table(s, d, "events").where("value is not null").agg(F.sum((F.col("value") > 100).cast("long")).alias("n_ok"), F.sum((F.col("value") <= 100).cast("long")).alias("n_failed"), F.round(F.avg(ok), 6).alias("mean_ok"), F.round(F.stddev_samp(ok), 6).alias("std_ok"), F.min(ok).alias("min_ok"), F.max(ok).alias("max_ok")))(F.when(F.col("value") > 100, F.col("value")))
 )
+_add("d47_first_failures", "select event_id, 'value ' || round(value, 2)::decimal(18, 2)::varchar || ' is too low' as error from events where value <= 100 order by event_id limit 5")(
+    lambda s, d: explore.first_failures(table(s, d, "events").select("event_id", F.when(F.col("value") <= 100, F.concat(F.lit("value "), F.round("value", 2).cast("decimal(18,2)").cast("string"), F.lit(" is too low"))).alias("error")), "event_id")
+)
 _add("d43_upper_median", "select event_type, list(value order by value)[count(*) // 2 + 1] as value from events where value is not null group by event_type")(lambda s, d: selection.upper_median(table(s, d, "events"), "value", "event_type"))
 _add("d43_eta", "with m as (select event_type as step, list(value order by value)[count(*) // 2 + 1] as rate from events where value is not null group by event_type), t as (select event_type as step, count(*) * 1000 as bytes, 4 as workers from events group by event_type) select step, bytes, workers, rate, bytes::double / nullif(rate * workers, 0) as eta_s from t left join m using (step)")(
     lambda s, d: explore.eta(selection.upper_median(table(s, d, "events"), "value", "event_type").toDF("step", "rate"), table(s, d, "events").groupBy(F.col("event_type").alias("step")).agg((F.count("*") * 1000).alias("bytes"), F.first(F.lit(4)).alias("workers")))
@@ -238,6 +243,9 @@ _add("h13_json", SQL + ", c as (select uid, label, count(*) as n from vtc group
 _add("h14_formats", SQL + " select uid, printf('%02d:%02d:%02d', dur_ms // 1000 // 3600, dur_ms // 1000 // 60 % 60, dur_ms // 1000 % 60) as clock, case when dur_ms >= 1048576 then printf('%.1f MB', dur_ms / 1048576.0::double) else printf('%.1f KB', dur_ms / 1024.0::double) end as size, uid || '_' || printf('%04d', uid % 13) as clip from dur")(
     lambda s, d: derive.durations(s, d).select("uid", C.hhmmss(F.col("dur_ms") / 1000).alias("clock"), C.human_size(F.col("dur_ms")).alias("size"), C.clip_key(F.col("uid"), F.col("uid") % 13).alias("clip"))
 )
+_add("h14_durations", SQL + " select uid, case when dur_ms < 4000000 then printf('%dm %ds', dur_ms // 60000, dur_ms // 1000 % 60) else printf('%dh %dm', dur_ms // 3600000, dur_ms // 60000 % 60) end as whole, printf('%ds', round_even(dur_ms / 100000.0::double, 0)::bigint) as part from dur".replace("dur_ms < 4000000", "dur_ms < 3600000"))(
+    lambda s, d: derive.durations(s, d).select("uid", C.human_duration(F.col("dur_ms") / 1000.0).alias("whole"), C.human_duration(F.col("dur_ms") / 100_000.0).alias("part"))
+)
 _add("h15_rounding", "select event_id, floor(value * 10::double + 0.500001) / 10::double as v1, round(value, 3) as v3 from events where value is not null")(lambda s, d: table(s, d, "events").where("value is not null").select("event_id", C.rounded(F.col("value"), 1).alias("v1"), F.round("value", 3).alias("v3")))
 
 # Sample arrays: the embeddings serve as short signals.
@@ -277,12 +285,26 @@ def _cut(s, d):
     return _sig(s, d).withColumn("samples", F.expr("slice(samples, 1, cast(20 + vec_id % 40 as int))"))
 
 
+def _stacked(s, d):
+    """A recording's clips as one batch: their attention masks and those of one label, stacked."""
+    stacked = samples.stack_masks(samples.frame_masks(_fixed(s, d), _seg(s, d), ("FEM",)), ["uid"], ["clip_idx"], ["attention", "mask_FEM"])
+
+    def count(batches):
+        for b in batches:
+            found = [int(samples.unpack_stack(m, n, w, k).sum()) for m, n, w, k in zip(*(b.column(c).to_pylist() for c in ("masks", "n", "width", "n_labels")))]
+            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in ("uid", "n", "width", "n_labels")), pa.array([len(m.as_py()) for m in b.column("masks")], pa.int64()), pa.array(found, pa.int64())], names=["uid", "n", "width", "n_labels", "n_bytes", "n_set"])
+
+    return stacked.mapInArrow(count, "uid long, n long, width int, n_labels int, n_bytes long, n_set long")
+
+
 _add("h11_batches", _BATCH + " select label, batch, count(*) as n, (ceil(max(n_s) / 16.0) * 16)::int as width, sum(n_s)::bigint as n_attended, round(sum(list_sum(samples)), 9) as total from b group by label, batch having count(*) = 8")(
     lambda s, d: samples.batches(_cut(s, d), 8, ["vec_id"], "label", multiple=16, drop_last=True).select("label", "batch", "n", "width", F.size(F.array_remove(F.flatten("attention"), False)).cast("long").alias("n_attended"), _sum(F.flatten("samples")).alias("total"))
 )
 _add("h12_collate", "with z as (select event_id, user_id, case when user_id % 3 = 0 or event_id % 4 = 0 then null else value end as v from events) select event_id, case when count(v) over (partition by user_id) > 0 then coalesce(v, 0) end as v from z")(
     lambda s, d: table(s, d, "events").selectExpr("event_id", "user_id", "case when user_id % 3 = 0 or event_id % 4 = 0 then null else value end as v").select("event_id", samples.collate_scalar(F.col("v"), F.col("user_id")).alias("v"))
 )
+_add("h12_stacked_masks", CLIPS + """, fr as (select uid, clip_idx, (offset_ms - onset_ms) // 20 as n from clips), hm as (select uid, clip_idx, count(distinct i) as hits from (select uid, clip_idx, label, unnest(range(rel_on_ms // 20, rel_off_ms // 20)) as i from seg where label = 'FEM') group by uid, clip_idx)
+select uid, count(*) as n, max(n)::int as width, 2 as n_labels, count(*) * 2 * ((max(n) + 7) // 8) as n_bytes, (sum(n) + sum(coalesce(hits, 0)))::bigint as n_set from fr left join hm using (uid, clip_idx) group by uid""")(_stacked)
 _add("h16_sample_range", SQL + " select uid, onset_ms, label, onset_ms * 16000 // 1000 as first, least(offset_ms * 16000 // 1000, dur_ms * 16 - 200000) as stop from vtc join dur using (uid) where onset_ms * 16000 // 1000 < least(offset_ms * 16000 // 1000, dur_ms * 16 - 200000)")(
     lambda s, d: (lambda r: derive.vtc(s, d).join(derive.durations(s, d), "uid").select("uid", "onset_ms", "label", r[0].alias("first"), r[1].alias("stop")).where("first < stop"))(samples.sample_range(F.col("onset_ms"), F.col("offset_ms"), 16_000, F.col("dur_ms") * 16 - 200_000))
 )

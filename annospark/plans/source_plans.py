@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from annospark.operators import extend, selection, sessions
+from annospark.operators import explore, extend, selection, sessions
 from annospark.sources import arrays, derive, shards, tables
 from annospark.sources.derive import FRAMES_SQL, SQL, table
 from annospark.streaming import endless, live
@@ -57,6 +57,17 @@ def _scan(s, d):
     return found.groupBy("uid", "ext").agg((F.sum("bytes") > 0).alias("has_bytes"))
 
 
+@_add("d42_found_files", SQL + """, per as (select uid, sum(length(onset_ms::varchar) + 1)::bigint as bytes from vtc where label = 'OCH' and offset_ms - onset_ms > 15000 group by uid), z as (select dur.uid, bytes from dur left join per using (uid))
+select count(*) as total, count(bytes) as n_found, count(*) - count(bytes) as n_missing, coalesce(sum(bytes), 0)::bigint as total_bytes, min(bytes) as least, max(bytes) as greatest, avg(bytes) as mean, quantile_cont(bytes, 0.5)::double as median,
+(select coalesce(string_agg(k, ';' order by k), '') from (select uid::varchar as k from z where bytes is null order by k limit 10)) as missing from z""")
+def _sizes(s, d):
+    """A text file of each recording with long segments of one label, found again by a scan of the folder; the other recordings have none."""
+    rows = derive.vtc(s, d).where("label = 'OCH' and offset_ms - onset_ms > 15000").select(F.col("uid").cast("string").alias("uid"), F.col("onset_ms").cast("string").alias("line"))
+    rows.repartition("uid").write.partitionBy("uid").text(path := _folder(s, "texts"))
+    found = tables.scan_files(s, path, (".txt",), F.regexp_extract("path", "uid=([^/]+)/", 1))
+    return explore.file_sizes(derive.durations(s, d).select(F.col("uid").cast("string").alias("uid")), found)
+
+
 @_add("a04_read_shards", SQL + " select uid, onset_ms, offset_ms, label from vtc union all select uid, onset_ms, offset_ms, null from vad")
 def _shards(s, d):
     path = _folder(s, "shards")
@@ -95,6 +106,16 @@ def _json(s, d):
     return store.table("wav_id string, dur_ms long")
 
 
+@_add("a08_replaced_documents", SQL + " select uid::varchar as wav_id, case when uid % 3 = 0 then -dur_ms else dur_ms end as dur_ms from dur")
+def _replaced(s, d):
+    """A second save of some keys replaces their documents."""
+    store = tables.JsonStore(s, _folder(s, "json"))
+    rows = derive.durations(s, d).select(F.col("uid").cast("string").alias("wav_id"), "dur_ms")
+    store.save(rows)
+    store.save(rows.where("wav_id % 3 = 0").withColumn("dur_ms", -F.col("dur_ms")))
+    return store.table("wav_id string, dur_ms long")
+
+
 @_add("a09_parquet_store", SQL + " select uid::varchar as wav_id, case when uid % 3 = 0 then -dur_ms else dur_ms end as dur_ms from dur")
 def _store(s, d):
     store = tables.ParquetStore(s, _folder(s, "store"), buckets=8)
@@ -272,3 +293,23 @@ def _cache(s, d):
     step = lambda df: df.select("uid", "dur_ms", F.expr("dur_ms div 1000").alias("dur_s"))
     extend.cached(s, rows.where("uid % 2 = 0"), step, folder, "seconds", "1", {"unit": 1000})
     return extend.cached(s, rows, step, folder, "seconds", "1", {"unit": 1000}).select("uid", "dur_ms", "dur_s", "cache_name")
+
+
+@_add("j05_changed_source", SQL + " select uid, dur_ms, dur_ms // 1000 as dur_s, uid::varchar as source_id from (select uid, case when uid % 5 = 0 then dur_ms + 1000 else dur_ms end as dur_ms from dur where uid % 7 <> 0)")
+def _changed(s, d):
+    """Cached results after some rows of the source have changed and some keys are gone: what changed is computed anew, what is gone isn't returned."""
+    folder, rows = _folder(s, "cache"), derive.durations(s, d)
+    step = lambda df: df.select("uid", "dur_ms", F.expr("dur_ms div 1000").alias("dur_s"))
+    extend.cached(s, rows, step, folder, "seconds", "1", {"unit": 1000})
+    later = rows.where("uid % 7 <> 0").withColumn("dur_ms", F.when(F.col("uid") % 5 == 0, F.col("dur_ms") + 1000).otherwise(F.col("dur_ms")))
+    return extend.cached(s, later, step, folder, "seconds", "1", {"unit": 1000}).select("uid", "dur_ms", "dur_s", "source_id")
+
+
+@_add("j01_processor", SQL + " select uid, count(*) as n_segments, sum(offset_ms - onset_ms)::bigint as speech_ms from vtc group by uid")
+def _processor(s, d):
+    """A processor on some recordings, then on all: the second run takes only what is left."""
+    rows, folder = derive.vtc(s, d), _folder(s, "processor")
+    step = lambda df: df.groupBy("uid").agg(F.count("*").alias("n_segments"), F.sum(F.col("offset_ms") - F.col("onset_ms")).alias("speech_ms"))
+    p = extend.Processor("speech", "1.0.0", step, F.col("speech_ms") > 0, "uid")
+    p.run(rows.where("uid % 2 = 0"), folder)
+    return p.run(rows, folder).select("uid", "n_segments", "speech_ms")

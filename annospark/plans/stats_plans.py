@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from annospark.operators import explore, frames, intervals, kernels, sessions, stats, tiling
+from annospark.operators import explore, frames, intervals, kernels, sessions, slots, stats, summary, tiling
 from annospark.functions.columns import rounded, rounded_sql
 from annospark.sources import derive, tables
 from annospark.sources.derive import FRAMES_SQL, LABELS, SQL, WINDOWS_SQL
@@ -218,6 +218,31 @@ _CORR = _FULL + ", co as (" + " union all ".join(f"select '{a}' as a, '{b}' as b
 _add("d20_correlations", _CORR + " select a, b, round(r, 6) as r from co")(lambda s, d: stats.correlations(_cstat(s, d), _METRICS).withColumn("r", F.round("r", 6)))
 _add("d21_strong_pairs", _CORR + " select a, b, round(r, 6) as r from co where a < b and abs(r) > 0.3 order by abs(r) desc, a, b limit 15")(lambda s, d: stats.strong_pairs(stats.correlations(_cstat(s, d), _METRICS)).withColumn("r", F.round("r", 6)))
 
+
+
+def _figures(s, d):
+    both = _both(s, d)
+    seg, val = both
+    tagged = sessions.tag_conversations(sessions.turns(seg, stats.CLIP), stats.CLIP)
+    long = summary.long_table(_cstat(s, d, both), val, sessions.turns(seg, stats.CLIP), stats.conversation_stats(*both), sessions.transitions(tagged, stats.CLIP))
+    return summary.figures(long.checkpoint())  # figures and medians both read it
+
+
+_below = ", ".join(f"snr_below_{t}" for t in summary.SNR_BOUNDS)
+_LONG = _FULL + """,
+rx as (select *, lag(label) over w as from_label, onset_ms - lag(offset_ms) over w as gap_ms from tc window w as (partition by uid, clip_idx, conv_idx order by turn_idx)),
+cl as (unpivot (select 'clips' as section, 'all' as label, (offset_ms - onset_ms) / 1000.0::double as duration_s, speech_ms / 1000.0::double as labelled_s, vad_ms / 1000.0::double as vad_s, frame_iou::double as iou, child_fraction::double as child_fraction, snr_mean::double as snr, c50_mean::double as c50, turns_per_min::double as turns_per_min,
+""" + ", ".join(f"case when snr_mean < {t} then 1.0 when snr_mean is not null then 0.0 end::double as snr_below_{t}" for t in summary.SNR_BOUNDS) + f""" from cstat) on duration_s, labelled_s, vad_s, iou, child_fraction, snr, c50, turns_per_min, {_below} into name metric value value),
+cv as (unpivot (select 'conversations' as section, 'all' as label, (offset_ms - onset_ms) / 1000.0::double as duration_s, n_turns::double as n_turns, is_multi_speaker::int::double as multi_speaker, gap_after_ms / 1000.0::double as gap_after_s, snr_mean::double as snr, c50_mean::double as c50 from cs) on duration_s, n_turns, multi_speaker, gap_after_s, snr, c50 into name metric value value),
+lo as (select section, label, metric, value from cl union all select section, label, metric, value from cv
+""" + " ".join(f"union all select 'speech', '{x}', 'speech_s', dur_{x.lower()}_ms / 1000.0::double from cstat" for x in LABELS) + """
+union all select 'segments', label, 'length_s', (offset_ms - onset_ms) / 1000.0::double from val union all select 'segments', label, 'snr', snr from val
+union all select 'turns', unnest(['all', label]), 'duration_s', (offset_ms - onset_ms) / 1000.0::double from turns
+union all select 'transitions', unnest(['all', from_label || '>' || label]), 'gap_s', gap_ms / 1000.0::double from rx where from_label <> label),
+fg as (select section, label, metric, count(*) as n, """ + ", ".join(f"{rounded_sql(f, 4)} as {n}" for n, f in (("total", "sum(value)"), ("mean", "avg(value)"), ("std", "stddev_pop(value)"), ("least", "min(value)"), ("greatest", "max(value)"), ("median", "quantile_cont(value, 0.5)"))) + " from lo where value is not null group by section, label, metric)"
+_add("d34_all_figures", _LONG + " select * from fg")(_figures)
+_add("d35_card", _LONG + " " + " union all ".join(f"select '{name}' as name, printf('%.{digits}f{unit}', {rounded_sql(f'({which} / {float(by)}::double)', digits)}) as text from fg where section = '{section}' and label = 'all' and metric = '{metric}'" for name, section, metric, which, by, digits, unit in summary.CARD))(lambda s, d: summary.card(_figures(s, d).checkpoint()))
+
 # Frames.
 _F = SQL + FRAMES_SQL
 _RUNS = _F + """,
@@ -225,6 +250,7 @@ q1 as (select uid, i, vad > 0.5 as flag, case when (vad > 0.5) = lag(vad > 0.5)
 q2 as (select *, sum(nw) over (partition by uid order by i rows between unbounded preceding and current row) as run from q1),
 runs as (select uid, any_value(flag) as flag, min(i) as first, max(i) + 1 as "end" from q2 group by uid, run)"""
 _add("e06_runs", _RUNS + " select * from runs")(lambda s, d: intervals.runs(derive.frames(s, d), F.col("vad") > 0.5))
+_add("e06_runs_by_slots", _RUNS + " select * from runs")(lambda s, d: slots.runs(derive.frames(s, d), F.col("vad") > 0.5, slot_frames=1000))
 _add("e07_run_segments", _RUNS + ' select uid, first * 1000 as onset_ms, "end" * 1000 as offset_ms from runs where flag')(lambda s, d: intervals.run_segments(intervals.runs(derive.frames(s, d), F.col("vad") > 0.5), 1000))
 _add("e08_threshold_segments", _F + """, sco as (select uid, unnest(['FEM', 'KCHI']) as label, i, unnest([vad, (snr + 5) / 40]) as score from frames),
 q1 as (select *, score >= 0.6 as flag, case when (score >= 0.6) = lag(score >= 0.6) over (partition by uid, label order by i) then 0 else 1 end as nw from sco),

@@ -116,6 +116,31 @@ class ParquetStore:
     def table(self) -> DataFrame:
         return self._rows(self._versions()).drop("slot")
 
+    def table_or_none(self) -> DataFrame | None:
+        """The table, or None where nothing was saved."""
+        versions = self._versions()
+        return self._rows(versions).drop("slot") if versions else None
+
+    def vacuum(self, older_than: int | None = None) -> int:
+        """Deletes the files of slots that later saves have replaced, and what cut-off saves have left, of versions before `older_than` (default: the last one that stands).
+
+        Returns how many folders went. Readers that began before a replacing save may still need them; keep as many versions as such readers may lag.
+        """
+        standing = self._versions()
+        if not standing:
+            return 0
+        limit = max(standing.values()) if older_than is None else older_than
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.path}/rows")
+        store, gone = root.getFileSystem(conf), 0
+        for folder in store.listStatus(root):
+            version = int(folder.getPath().getName().removeprefix("version="))
+            for slot in store.listStatus(folder.getPath()) if version < limit else []:
+                name = slot.getPath().getName()
+                if name.startswith("slot=") and standing.get(int(name.removeprefix("slot="))) != version:
+                    gone += store.delete(slot.getPath(), True)
+        return gone
+
     def load(self, value) -> DataFrame:
         """Rows of one id; only its slot is read."""
         return self._rows(self._versions()).where((F.col("slot") == self._slot(F.lit(value))) & (F.col(self.key) == value)).drop("slot")
@@ -141,22 +166,54 @@ class ParquetStore:
 
 
 class JsonStore:
-    """One JSON document for each key in a folder of JSON lines."""
+    """JSON documents by key in a folder of JSON lines. Saving a key replaces its documents.
+
+    Each save writes a folder of its own, save=N, whose lines carry when they were saved; the last save of a key stands. `compact` rewrites what stands as one save.
+    """
 
     def __init__(self, spark: SparkSession, path: str, key: str = "wav_id"):
         self.spark, self.path, self.key = spark, path, key
 
+    def _saves(self) -> list[int]:
+        """Numbers of the saves that were finished."""
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        root = jvm.org.apache.hadoop.fs.Path(self.path)
+        store = root.getFileSystem(conf)
+        found = [f.getPath() for f in store.listStatus(root)] if store.exists(root) else []
+        return sorted(int(p.getName().removeprefix("save=")) for p in found if p.getName().startswith("save=") and store.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
     def save(self, rows: DataFrame) -> None:
-        rows.write.mode("append").json(self.path)
+        """Adds documents and replaces those of the same keys. One writer at a time."""
+        rows.write.mode("overwrite").json(f"{self.path}/save={max(self._saves(), default=-1) + 1}")
 
     def table(self, schema: str | None = None) -> DataFrame:
-        return (self.spark.read.schema(schema) if schema else self.spark.read).json(self.path)
+        saves = self._saves()
+        if not saves:
+            raise FileNotFoundError(f"{self.path}: nothing was saved")
+        read = self.spark.read.option("basePath", self.path)
+        rows = (read.schema(f"{schema}, save int") if schema else read).json([f"{self.path}/save={n}" for n in saves])
+        if len(saves) == 1:
+            return rows.drop("save")
+        # Which save stands for a key is told by aggregation: a key with very many documents is no large group.
+        last = rows.groupBy(self.key).agg(F.max("save").alias("save"))
+        same = rows.alias("r").join(last.alias("l"), F.col(f"r.{self.key}").eqNullSafe(F.col(f"l.{self.key}")) & (F.col("r.save") == F.col("l.save")), "left_semi")
+        return same.drop("save")
+
+    def compact(self, schema: str | None = None) -> None:
+        """Rewrites what stands as one save and deletes the earlier ones."""
+        old = self._saves()
+        rows = self.table(schema)
+        rows.write.mode("overwrite").json(f"{self.path}/save={old[-1] + 1}")
+        jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()
+        store = jvm.org.apache.hadoop.fs.Path(self.path).getFileSystem(conf)
+        for n in old:
+            store.delete(jvm.org.apache.hadoop.fs.Path(f"{self.path}/save={n}"), True)
 
     def load(self, value) -> DataFrame:
         return self.table().where(F.col(self.key) == value)
 
     def exists(self, value) -> bool:
-        return not self.load(value).isEmpty()
+        return bool(self._saves()) and not self.load(value).isEmpty()
 
     def list_ids(self) -> DataFrame:
         return self.table().select(self.key).distinct().orderBy(self.key)
