@@ -1,9 +1,12 @@
 """Secret scan: patterns find candidates, structure confirms them.
 
-Three base patterns report every match of enough length. Beside them, long runs of base64 letters (also over line ends), or of hex
-letters in either case, are searched for places where a key might begin, decoded from there and parsed: nested DER lengths must fill their
+Three base patterns report every match of enough length. Beside them, runs of base64 letters, or of hex letters in either case, also such as line ends, quote marks,
+escapes or colons interrupt, are searched for places where a key might begin, and parsed from there: nested DER lengths must fill their
 parents, SSH key blobs must be made of length-prefixed fields with a known key type, OpenSSH private keys of all fields that the
 format has, a signed token's header must be JSON that names an algorithm. Only what parses is reported, as long as it says it is.
+
+Parsing decodes what it looks at and no more: the head of an element tells where the next one is, and any byte of a run can be decoded on its own. So a false beginning costs a few
+letters, however long a key it claims, and keys may be of any length.
 """
 
 from __future__ import annotations
@@ -12,7 +15,9 @@ import base64
 import binascii
 import json
 import re
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections.abc import Callable, Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -32,10 +37,16 @@ _RUN = re.compile(r"[A-Za-z0-9+/_-]{24,}={0,2}")
 _HEX = re.compile(r"[0-9A-Fa-f]{24,}")
 #: White space as text holds it when it is quoted, in JSON or source code, once or more: \n, \r, \t, \u000a, \u000d.
 _ESCAPED = r"\\+(?:[nrt]|u000[adAD])"
-_PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]{{1,40}})-----((?:[A-Za-z0-9+/=\s]++|{_ESCAPED}|\\+/)*+)-----END \1-----")
-_QUOTING = re.compile(rf"{_ESCAPED}|\s|\\+(?=/)")
-#: base64 over several lines, and segments that points join; both begin at the first letter of a run, so that the search stays linear.
-_LINES = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{24,}+(?:\r?\n[ \t]*+[A-Za-z0-9+/]++)++={0,2}")
+_PEM = re.compile(rf"-----BEGIN ([A-Z0-9 ]++)-----((?:[A-Za-z0-9+/=\s>|]++|{_ESCAPED}|\\+/)*+)-----END \1-----")
+_QUOTING = re.compile(rf"{_ESCAPED}|[\s>|]|\\+(?=/)")
+#: Between the lines of an interrupted run: line ends, plain or escaped, with indentation and marks of quoted lines.
+_BREAK = rf"(?:(?:\r?\n|{_ESCAPED})(?:[ \t>|]|{_ESCAPED})*+)"
+_WRAPPED64 = re.compile(rf"(?<![A-Za-z0-9+/\\])[A-Za-z0-9+/]++(?:{_BREAK}[A-Za-z0-9+/]++)++")
+#: Hex letters in pairs that colons, blanks, line ends or backslash-x part.
+_WRAPPED16 = re.compile(rf"(?<![0-9A-WYZa-wyz])[0-9A-Fa-f]{{2,}}+(?:(?:[: ]{_BREAK}?|,? ?(?:\\+|0)x|{_BREAK})[0-9A-Fa-f]{{2,}}+)++")
+_LETTERS = {64: re.compile(r"[A-Za-z0-9+/]+"), 16: re.compile(r"[0-9A-Fa-f]{2,}")}
+_GLUE = {64: re.compile(_BREAK), 16: re.compile(rf"[: ]{_BREAK}?|,? ?(?:\\+|0)x|{_BREAK}")}
+#: Segments that points join; they begin at the first letter of a run, so that the search stays linear.
 _SEGMENTS = re.compile(r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]++(?:\.[A-Za-z0-9_-]*+)++")
 #: Where a key might begin: base64 of a SEQUENCE with its length, of a length before "ssh-" or "ecdsa-", of "openssh-key-v1"; hex of the same.
 _KEY64 = re.compile(r"(?=M[A-I][A-Za-z0-9+/_-]{22}|AAAA[BCE][23]|b3BlbnNzaC1rZXktdjEA)")
@@ -46,54 +57,82 @@ _HOLDERS = {0x30, 0x31, *range(0xA0, 0xA4)}
 _VALUES = {0x01, 0x02, 0x03, 0x04, 0x05, 0x06, 0x0C, 0x13, 0x80, 0x81}
 
 
-def _der_fills(data: bytes, start: int, end: int, depth: int = 0) -> bool:
-    """Whether data[start:end] is a series of DER elements whose nested lengths add up exactly."""
-    if depth > 12:
-        return False
-    n = 0
-    while start < end:
-        if start + 2 > end:
-            return False
-        tag, size = data[start], data[start + 1]
-        start += 2
-        if size == 0x80 or size > 0x84:
-            return False
-        if size > 0x80:
-            k = size - 0x80
-            if start + k > end:
-                return False
-            size = int.from_bytes(data[start : start + k], "big")
-            start += k
-        if start + size > end or (tag not in _HOLDERS and tag not in _VALUES):
-            return False
-        if tag in _HOLDERS and not _der_fills(data, start, start + size, depth + 1):
-            return False
-        start += size
-        n += 1
-    return n > 0
+class Run:
+    """The bytes that a run of letters stands for, from the letter `at` on; each part is decoded when it is asked for."""
 
+    def __init__(self, letters: str, at: int, end: int, base: int):
+        self.letters, self.at, self.base = letters, at, base
+        self.size = (end - at) * (6 if base == 64 else 4) // 8
 
-def is_der_key(data: bytes) -> bool:
-    """One outer SEQUENCE over all bytes, with nested lengths that add up and an INTEGER or SEQUENCE first."""
-    return len(data) >= 16 and data[0] == 0x30 and _der_fills(data, 0, len(data)) and _one_element(data) and data[_head(data)] in (0x02, 0x30)
+    def part(self, start: int, end: int) -> bytes:
+        """Bytes start to end, fewer where the run ends."""
+        end = min(end, self.size)
+        if start >= end:
+            return b""
+        if self.base == 16:
+            return bytes.fromhex(self.letters[self.at + 2 * start : self.at + 2 * end])
+        first = start // 3
+        letters = self.letters[self.at + 4 * first : self.at + -(-end * 4 // 3)].replace("-", "+").replace("_", "/")
+        return base64.b64decode(letters + "=" * (-len(letters) % 4))[start - 3 * first : end - 3 * first]
 
 
-def _head(data: bytes) -> int:
-    return 2 + (data[1] - 0x80 if data[1] > 0x80 else 0)
+class Plain:
+    """Bytes that are decoded already."""
 
+    def __init__(self, data: bytes):
+        self.data, self.size = data, len(data)
 
-def _one_element(data: bytes) -> bool:
-    h = _head(data)
-    size = data[1] if data[1] < 0x80 else int.from_bytes(data[2:h], "big")
-    return h + size == len(data) and size > 0
+    def part(self, start: int, end: int) -> bytes:
+        return self.data[start:end]
 
 
-def _field(data: bytes, at: int) -> tuple[bytes, int] | None:
-    """A length-prefixed field and where it ends."""
-    if at + 4 > len(data):
+def _element(run: Run | Plain, at: int) -> tuple[int, int, int] | None:
+    """Tag, first byte of the content and end of the DER element at a place; None if it has no definite length of up to four bytes."""
+    head = run.part(at, at + 6)
+    if len(head) < 2 or head[1] == 0x80 or head[1] > 0x84:
         return None
-    end = at + 4 + int.from_bytes(data[at : at + 4], "big")
-    return (data[at + 4 : end], end) if end <= len(data) else None
+    if head[1] < 0x80:
+        return head[0], at + 2, at + 2 + head[1]
+    k = head[1] - 0x80
+    return (head[0], at + 2 + k, at + 2 + k + int.from_bytes(head[2 : 2 + k], "big")) if len(head) >= 2 + k else None
+
+
+def _der_end(run: Run | Plain) -> int:
+    """Where the DER key at the start ends, 0 if there is none: a SEQUENCE that begins with an INTEGER or SEQUENCE and whose nested lengths add up exactly."""
+    outer = _element(run, 0)
+    if outer is None or outer[0] != 0x30 or not 16 <= outer[2] <= run.size or run.part(outer[1], outer[1] + 1) not in (b"\x02", b"\x30"):
+        return 0
+    at, open_ends = outer[1], [outer[2]]
+    while open_ends:
+        if at == open_ends[-1]:
+            open_ends.pop()
+            continue
+        found = _element(run, at)
+        if found is None or found[2] > open_ends[-1]:
+            return 0
+        tag, start, end = found
+        if tag in _HOLDERS:
+            if start == end:
+                return 0
+            open_ends.append(end)
+            at = start
+        elif tag in _VALUES:
+            at = end
+        else:
+            return 0
+    return outer[2]
+
+
+def is_der_key(data: bytes) -> bool:
+    """One outer SEQUENCE over all bytes, with nested lengths that add up and an INTEGER or SEQUENCE first."""
+    return len(data) > 0 and _der_end(Plain(data)) == len(data)
+
+
+def _field(run: Run | Plain, at: int) -> tuple[int, int] | None:
+    """First byte and end of the length-prefixed field at a place."""
+    size = run.part(at, at + 4)
+    end = at + 4 + int.from_bytes(size, "big")
+    return (at + 4, end) if len(size) == 4 and end <= run.size else None
 
 
 #: Fields behind the key type of a public key.
@@ -101,119 +140,107 @@ _SSH_FIELDS = {b"ssh-rsa": 2, b"ssh-dss": 4, b"ssh-ed25519": 1, b"ecdsa-sha2-nis
 _MAGIC = b"openssh-key-v1\0"
 
 
-def _ssh_end(data: bytes) -> int:
-    """Where the public key at the start of data ends, 0 if there is none: a known type and its fields, none empty."""
-    kind = _field(data, 0)
-    if kind is None or kind[0] not in _SSH_FIELDS:
+def _ssh_end(run: Run | Plain, at: int = 0) -> int:
+    """Where the public key at a place ends, 0 if there is none: a known type and its fields, none empty."""
+    kind = _field(run, at)
+    fields = _SSH_FIELDS.get(run.part(*kind)) if kind and kind[1] - kind[0] < 32 else None
+    if fields is None:
         return 0
     at = kind[1]
-    for _ in range(_SSH_FIELDS[kind[0]]):
-        part = _field(data, at)
-        if part is None or not part[0]:
+    for _ in range(fields):
+        part = _field(run, at)
+        if part is None or part[0] == part[1]:
             return 0
         at = part[1]
     return at
 
 
-def _openssh_end(data: bytes) -> int:
-    """Where the private key at the start of data ends, 0 if there is none: cipher, derivation and its options, as many public keys as it says, and a
+def _openssh_end(run: Run | Plain) -> int:
+    """Where the private key at the start ends, 0 if there is none: cipher, derivation and its options, as many public keys as it says, and a
     private section of whole cipher blocks, in clear if no cipher is named."""
-    at, names = len(_MAGIC), []
-    if not data.startswith(_MAGIC):
+    at, fields = len(_MAGIC), []
+    if run.part(0, at) != _MAGIC:
         return 0
     for _ in range(3):
-        part = _field(data, at)
+        part = _field(run, at)
         if part is None:
             return 0
-        names.append(part[0])
+        fields.append(part)
         at = part[1]
-    cipher, derivation, options = names
-    count = int.from_bytes(data[at : at + 4], "big") if at + 4 <= len(data) else 0
-    at += 4
-    if not (cipher.isascii() and cipher and (cipher == b"none") == (derivation == b"none") == (not options) and 0 < count <= 16):
+    cipher, derivation = (run.part(a, min(b, a + 64)) for a, b in fields[:2])
+    count, at = int.from_bytes(run.part(at, at + 4), "big"), at + 4
+    if not (cipher.isascii() and cipher and (cipher == b"none") == (derivation == b"none") == (fields[2][0] == fields[2][1]) and count > 0):
         return 0
-    for _ in range(count):
-        part = _field(data, at)
-        if part is None or _ssh_end(part[0]) != len(part[0]):
+    for _ in range(count):  # a count that isn't true ends at the first field that is no key
+        part = _field(run, at)
+        if part is None or _ssh_end(run, part[0]) != part[1]:
             return 0
         at = part[1]
-    private = _field(data, at)
-    if private is None or not private[0] or len(private[0]) % 8 or (cipher == b"none" and private[0][:4] != private[0][4:8]):
+    private = _field(run, at)
+    if private is None or private[0] == private[1] or (private[1] - private[0]) % 8:
         return 0
-    return private[1]
+    check = run.part(private[0], private[0] + 8)
+    return 0 if cipher == b"none" and check[:4] != check[4:] else private[1]
 
 
 def is_ssh_key(data: bytes) -> bool:
     """A public key blob or an OpenSSH private key that fills all bytes."""
-    return len(data) > 0 and len(data) in (_ssh_end(data), _openssh_end(data))
+    return len(data) > 0 and len(data) in (_ssh_end(Plain(data)), _openssh_end(Plain(data)))
 
 
-def key_at_start(data: bytes) -> tuple[str, int] | None:
-    """The kind of the key that data begins with and its length in bytes."""
-    if data[:1] == b"\x30" and len(data) >= 16:
-        h = _head(data)
-        size = data[1] if data[1] < 0x80 else int.from_bytes(data[2:h], "big")
-        if 16 <= h + size <= len(data) and data[1] <= 0x84 and data[h] in (0x02, 0x30) and is_der_key(data[: h + size]):
-            return "der", h + size
-    end = _ssh_end(data) or _openssh_end(data)
+def key_at_start(run: Run | Plain) -> tuple[str, int] | None:
+    """The kind of the key that a run begins with and its length in bytes."""
+    if end := _der_end(run):
+        return "der", end
+    end = _ssh_end(run) or _openssh_end(run)
     return ("ssh", end) if end else None
 
 
 def _key_kind(data: bytes) -> str | None:
     """The kind of the key that fills all of data."""
-    found = key_at_start(data)
+    found = key_at_start(Plain(data))
     return found[0] if found and found[1] == len(data) else None
 
 
-def _key_in(letters: str, base: int) -> tuple[str, int] | None:
-    """The kind of the key that a run of base64 or hex letters begins with and how many letters it takes."""
-    bits = {64: 6, 16: 4}[base]
-    head = _bytes(letters[:24], base)
-    if head is None or len(head) < 8:
-        return None
-    size = min(len(letters), MOST_LETTERS // 4)
-    if head[:1] == b"\x30":  # the outer length tells how much to decode, the first inner tag whether it's worth it
-        h = _head(head)
-        if head[1] in range(0x81, 0x85):
-            size = int.from_bytes(head[2:h], "big")
-        elif head[1] < 0x80:
-            size = head[1]
-        else:
-            return None
-        if h >= len(head) or head[h] not in (0x02, 0x30):
-            return None
-        size = -(-8 * (h + size) // bits)
-        if size > len(letters):
-            return None
-    data = _bytes(letters[:size], base)
-    found = key_at_start(data) if data else None
-    return (found[0], -(-8 * found[1] // bits)) if found else None
+def _keys_in(letters: str, start: int, end: int, base: int) -> Iterator[tuple[str, int, int]]:
+    """Keys within letters[start:end], one after the other; `=` behind base64 not included."""
+    at = start
+    while m := (_KEY64 if base == 64 else _KEY16).search(letters, at, end):
+        found = key_at_start(Run(letters, m.start(), end, base))
+        at = m.start() + (-(-8 * found[1] // (6 if base == 64 else 4)) if found else 1)
+        if found:
+            yield found[0], m.start(), at
 
 
-def _bytes(letters: str, base: int) -> bytes | None:
-    """Whole bytes of the letters; what is left of a last byte is dropped."""
-    if base == 16:
-        return bytes.fromhex(letters[: len(letters) // 2 * 2])
-    return decoded(letters if len(letters) % 4 != 1 else letters[:-1])
+def _covers(spans: list[tuple[int, int]]) -> Callable[[int, int], bool]:
+    """Whether any of the spans covers one from start to end."""
+    spans = sorted(spans)
+    starts, tops = [s for s, _ in spans], list(accumulate((e for _, e in spans), max))
+    return lambda start, end: (i := bisect_right(starts, start)) > 0 and tops[i - 1] >= end
 
 
-#: Letters that a DER key may take; an SSH blob, which doesn't say its length, a quarter of that. It keeps a long run of false beginnings cheap.
-MOST_LETTERS = 1 << 16
+def _padded(text: str, end: int) -> int:
+    """The end of base64 with its padding."""
+    return next((i for i in range(end, end + 2) if text[i : i + 1] != "="), end + 2)
 
 
-def _keys_in(text: str, start: int, end: int, base: int) -> Iterator[tuple[str, int, int]]:
-    """Keys within a run of letters, one after the other."""
-    at = start
-    while m := (_KEY64 if base == 64 else _KEY16).search(text, at, end):
-        found = _key_in(text[m.start() : min(end, m.start() + MOST_LETTERS)], base)
-        if found:
-            at = m.start() + found[1]
-            if base == 64:
-                while at < len(text) and text[at] == "=" and at - m.start() - found[1] < 2:
-                    at += 1
-            yield found[0], m.start(), at
-        else:
-            at = m.start() + 1
+def _keys_over(text: str, base: int) -> Iterator[tuple[str, int, int]]:
+    """Keys whose letters are interrupted, over the whole text: an interrupted run is searched as if it were one, and places are told by its pieces."""
+    for m in (_WRAPPED64 if base == 64 else _WRAPPED16).finditer(text):
+        starts, pieces, at = [], [], m.start()
+        while at < m.end():
+            piece = _LETTERS[base].match(text, at, m.end())
+            starts.append(at)
+            pieces.append(piece[0])
+            at = piece.end()
+            if at < m.end():
+                at = _GLUE[base].match(text, at, m.end()).end()
+        letters, ends = "".join(pieces), list(accumulate(map(len, pieces)))
+        for kind, first, end in _keys_in(letters, 0, len(letters), base):
+            i, k = bisect_right(ends, first), bisect_right(ends, end - 1)
+            if i < k:  # else it is found in its own run
+                stop = starts[k] + end - (ends[k] - len(pieces[k]))
+                yield kind, starts[i] + first - (ends[i] - len(pieces[i])), _padded(text, stop) if base == 64 else stop
 
 
 def decoded(run: str) -> bytes | None:
@@ -269,21 +296,16 @@ def spans_of(text: str) -> list[tuple[str, int, int]]:
         for m in BASE["hex"][0].finditer(text, r.start(), r.end()):
             if len(m[1]) >= BASE["hex"][1]:
                 found.append(("hex", m.start(), m.end()))
-        keys += _keys_in(text, r.start(), r.end(), 64)
+        keys += [(kind, a, _padded(text, b)) for kind, a, b in _keys_in(text, r.start(), r.start() + len(r[0].rstrip("=")), 64)]
         for m in _HEX.finditer(text, r.start(), r.end()):
             keys += _keys_in(text, m.start(), m.end(), 16)
-    for m in _LINES.finditer(text) if runs else ():  # its first line is such a run
-        letters = "".join(m[0].split()).rstrip("=")
-        if _KEY64.match(letters) and (key := _key_in(letters, 64)) and key[1] > len(m[0].split(maxsplit=1)[0]):
-            end, n = m.start(), 0
-            while n < key[1]:
-                n += not text[end].isspace()
-                end += 1
-            while end < m.end() and text[end] == "=":
-                end += 1
-            keys.append((key[0], m.start(), end))
+    over = [*_keys_over(text, 64), *_keys_over(text, 16)]
+    # What lies within a longer key, as a part of it that parses on its own, is that key.
+    inside = _covers([(s, e) for _, s, e in over])
+    keys = [k for k in keys if not inside(*k[1:])] + over
     # A key within armour is reported as that.
-    found += [("pem", *a) for a in armoured] + [k for k in keys if not any(s <= k[1] and k[2] <= e for s, e in armoured)]
+    armour = _covers(armoured)
+    found += [("pem", *a) for a in armoured] + [k for k in keys if not armour(*k[1:])]
     if "eyJ" in text:
         for m in _SEGMENTS.finditer(text):
             found += _tokens_in(m[0], m.start())

@@ -616,3 +616,45 @@ def test_secrets_in_other_spellings():
     slashed = json.dumps(f"-----BEGIN PRIVATE KEY-----\n{b64}\n-----END PRIVATE KEY-----").replace("/", "\\/").replace("\\n", "\\u000a", 1)
     assert "pem" in {k for k, _ in spans(slashed)}
     assert spans("-----BEGIN PRIVATE KEY-----" + "\\n" * 200_000) == []
+
+
+def long_der(tag, *parts):
+    body = b"".join(parts)
+    n = len(body)
+    head = bytes([n]) if n < 128 else bytes([0x82, n >> 8, n & 255]) if n < 1 << 16 else bytes([0x83, n >> 16, n >> 8 & 255, n & 255])
+    return bytes([tag]) + head + body
+
+
+def test_keys_of_any_length_and_depth():
+    rng = np.random.default_rng(10)
+    big = long_der(0x30, long_der(0x02, rng.bytes(60_000)), *[long_der(0x02, rng.bytes(500)) for _ in range(300)])
+    deep = long_der(0x02, b"\x05" * 30)
+    for _ in range(40):
+        deep = long_der(0x30, deep)
+    blob = b"\0\0\0\x07ssh-rsa" + b"\0\0\0\x03\1\0\1" + (40_000).to_bytes(4, "big") + rng.bytes(40_000)
+    for data, kind in ((big, "der"), (deep, "der"), (blob, "ssh")):
+        for run in (base64.b64encode(data).decode(), data.hex()):
+            got = [(k, s, e) for k, s, e in secrets.spans_of(f"é {run} x") if k not in secrets.BASE]
+            assert got == [(kind, 2, 2 + len(run))]
+
+
+def test_keys_in_interrupted_runs():
+    key = der(0x30, der(0x02, b"\0"), der(0x02, bytes(range(1, 130))), der(0x30, der(0x06, b"\x2a\x86"), der(0x02, b"\x03")))
+    b64, h = base64.b64encode(key).decode(), key.hex()
+    lines = lambda x, n, glue: glue.join(x[i : i + n] for i in range(0, len(x), n))
+    cases = [
+        "path/" + lines(b64, 64, "\n"), "xyz/" + lines(b64, 40, "\r\n    "), lines(b64, 60, "\\n"), lines(b64, 60, "\\\\r\\\\n"), lines(b64, 64, "\n> "), lines(b64, 20, "\n>> \t"), "word\n" + lines(b64, 64, "\n"),
+        lines(h, 2, ":"), lines(h.upper(), 2, ":"), lines(lines(h, 2, ":"), 45, "\n    "), lines(h, 64, "\n"), lines(h, 2, " "), "\\x" + lines(h, 2, "\\x"), "0x" + lines(h, 2, ", 0x"),
+    ]
+    for text in cases:
+        whole = f"é: {text}\n\nEnd of it."
+        got = [(k, whole[s:e]) for k, s, e in secrets.spans_of(whole) if k == "der"]
+        assert len(got) == 1, text
+        start = next(i for i in (text.find(b64[:8]), text.find("30:82"), text.find("3082"), text.find("30 82"), text.find("30\\x82"), text.find("30, 0x82")) if i >= 0)
+        assert got[0][1] == text[start:], text
+    for bad in ("M\nII\n", "MIIB\n", "3\n0", "30:82:", "30 82 01 ", "\\x30\\x82", "ab\n> ", "\\n\\n", "a b c d ", "fe ed de ad "):
+        import time
+
+        began = time.time()
+        secrets.spans_of(bad * (1_000_000 // len(bad)))
+        assert time.time() - began < 5, bad
