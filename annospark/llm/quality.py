@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_slices, tidy
+from .common import SLICE_BYTES, byte_slices, tidy
 
 #: Sorts of bytes whose share of a line is a feature.
 _SORTS = ("lower", "upper", "digit", "space", "mark", "symbol", "high")
@@ -106,9 +106,7 @@ class Crf:
 
     def marginals(self, x: np.ndarray, begins: np.ndarray) -> np.ndarray:
         """P(good) of each line."""
-        fwd, bwd, _ = self._passes(x, begins)
-        both = fwd + bwd
-        return 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
+        return self.good(x @ self.weights, begins)
 
     def pair_marginals(self, x: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """P(good) of each line, the lines that have one before them, and P(label before, label) of these as rows of 2 x 2."""
@@ -123,29 +121,82 @@ class Crf:
         return np.exp(both[:, 1] - total), at, pairs
 
     def _passes(self, x: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Forward and backward scores of both labels and the lines' own scores, over all documents at once, longest first."""
+        """Forward and backward scores of both labels and the lines' own scores, over all documents at once."""
         emit = x @ self.weights
-        lens = np.diff(begins)
-        fwd, bwd = np.zeros((len(x), 2)), np.zeros((len(x), 2))
+        return *self._scores(emit, begins), emit
+
+    def _scores(self, emit: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward and backward scores from the lines' own scores for the label good."""
+        own = np.stack([np.zeros(len(emit)), emit], 1)
+        steps = self.trans[None] + own[:, None, :]
+        fwd = chain(own[begins[:-1]], steps, begins)
+        # Backward: the same from the last line on, with what follows a line as its step.
+        back = np.zeros_like(steps)
+        back[:-1] = steps[1:].transpose(0, 2, 1)
+        bwd = chain(np.zeros((len(begins) - 1, 2)), back[::-1], len(emit) - begins[::-1])[::-1]
+        return fwd, bwd
+
+    def good(self, emit: np.ndarray, begins: np.ndarray) -> np.ndarray:
+        """P(good) of each line from the lines' own scores."""
+        fwd, bwd = self._scores(emit, begins)
+        both = fwd + bwd
+        return 1 / (1 + np.exp(np.clip(both[:, 0] - both[:, 1], -500, 500)))
+
+
+#: Lines that are stepped through one after the other; longer documents are cut into pieces of as many.
+STEPS = 128
+
+
+def chain(first: np.ndarray, steps: np.ndarray, begins: np.ndarray, most: int = STEPS) -> np.ndarray:
+    """Scores of both labels along documents: `first` at a document's first line, and from line to line log-sum-exp with the 2 x 2 of `steps` that leads into a line.
+
+    Documents of more than `most` lines are cut into pieces: products of the steps within each piece, all pieces at once, then the same chain over the pieces' products
+    for what each begins with. So Python takes some hundred steps, however many lines there are.
+    """
+    lens = np.diff(begins)
+    if lens.max(initial=0) <= most:
+        out = np.zeros((len(steps), 2))
         order = np.argsort(-lens, kind="stable")
-        first, sorted_lens = begins[:-1][order], lens[order]
-        live = len(lens)
-        for t in range(int(lens.max(initial=0))):
-            live = int(np.searchsorted(-sorted_lens, -t, side="left"))  # documents with more than t lines
-            at = first[:live] + t
-            if t == 0:
-                fwd[at, 1] = emit[at]
-            else:
-                prev = fwd[at - 1]
-                fwd[at, 0] = np.logaddexp(prev[:, 0] + self.trans[0, 0], prev[:, 1] + self.trans[1, 0])
-                fwd[at, 1] = np.logaddexp(prev[:, 0] + self.trans[0, 1], prev[:, 1] + self.trans[1, 1]) + emit[at]
-        for t in range(int(lens.max(initial=0)) - 2, -1, -1):
-            live = int(np.searchsorted(-sorted_lens, -(t + 1), side="left"))
-            at = first[:live] + t
-            nxt = bwd[at + 1] + np.stack([np.zeros(live), emit[at + 1]], 1)
-            bwd[at, 0] = np.logaddexp(nxt[:, 0] + self.trans[0, 0], nxt[:, 1] + self.trans[0, 1])
-            bwd[at, 1] = np.logaddexp(nxt[:, 0] + self.trans[1, 0], nxt[:, 1] + self.trans[1, 1])
-        return fwd, bwd, emit
+        heads, sorted_lens = begins[:-1][order], lens[order]
+        out[heads[sorted_lens > 0]] = first[order][sorted_lens > 0]
+        for t in range(1, int(lens.max(initial=0))):
+            at = heads[: int(np.searchsorted(-sorted_lens, -t, side="left"))] + t  # documents with more than t lines
+            out[at] = np.logaddexp(out[at - 1, :1] + steps[at, 0], out[at - 1, 1:] + steps[at, 1])
+        return out
+    pieces = -(-lens // most)
+    doc = np.repeat(np.arange(len(lens)), pieces)
+    piece_begins = np.concatenate(([0], np.cumsum(pieces)))
+    starts = begins[:-1][doc] + (np.arange(len(doc)) - piece_begins[:-1][doc]) * most
+    sizes = np.minimum(begins[1:][doc] - starts, most)
+    whole = steps.copy()
+    whole[starts[piece_begins[:-1][lens > 0]]] = [[0.0, -np.inf], [-np.inf, 0.0]]  # nothing leads into a document's first line
+    order = np.argsort(-sizes, kind="stable")
+    heads, sorted_sizes = starts[order], sizes[order]
+    for t in range(1, int(sizes.max())):
+        at = heads[: int(np.searchsorted(-sorted_sizes, -t, side="left"))] + t
+        whole[at] = np.logaddexp(whole[at - 1, :, :1] + whole[at, :1, :], whole[at - 1, :, 1:] + whole[at, 1:, :])
+    into = np.zeros((len(doc), 2, 2))
+    into[1:] = whole[starts[:-1] + sizes[:-1] - 1]
+    carried = chain(first, into, piece_begins, most)[np.repeat(np.arange(len(doc)), sizes)]
+    return np.logaddexp(carried[:, :1] + whole[:, 0], carried[:, 1:] + whole[:, 1])
+
+
+def line_scores(weights: np.ndarray, data: np.ndarray, offsets: np.ndarray, most: int = SLICE_BYTES) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each line's own score for the label good, its length and where each document's lines begin. A longer document is taken in parts of about `most` bytes of whole lines, each with
+    the line before and the line behind it, so that features of all of its lines are never held at once."""
+    if len(offsets) != 2 or len(data) <= most:
+        x, size, begins = line_features(data, offsets)
+        return x @ weights, size, begins
+    ends = np.append(np.flatnonzero(data == 10), len(data))  # of lines
+    starts = np.concatenate(([0], ends[:-1] + 1))
+    scores, at = [], 0
+    while at < len(starts):
+        to = max(at + 1, int(np.searchsorted(ends, starts[at] + most, "right")))
+        low, high = max(at - 1, 0), min(to + 1, len(starts))
+        x, _, _ = line_features(data[starts[low] : ends[high - 1]], np.array([0, ends[high - 1] - starts[low]]))
+        scores.append((x @ weights)[at - low : to - low])
+        at = to
+    return np.concatenate(scores), (ends - starts).astype(np.float64), np.array([0, len(starts)])
 
 
 def log_likelihood(crf: Crf, x: np.ndarray, begins: np.ndarray, labels: np.ndarray, share: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
@@ -224,8 +275,8 @@ def _score(crf: Crf):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offsets in byte_slices(b, most=1 << 18):
-                x, size, begins = line_features(data, offsets)
-                p = crf.marginals(x, begins)
+                emit, size, begins = line_scores(crf.weights, data, offsets)
+                p = crf.good(emit, begins)
                 w = size + 1e-9
                 score = np.add.reduceat(p * w, begins[:-1]) / np.add.reduceat(w, begins[:-1])
                 rows = b.slice(i, j - i)
@@ -249,9 +300,9 @@ def line_labels(docs: DataFrame, crf: Crf) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for i, j, data, offsets in byte_slices(b, most=1 << 18):
-                x, _, begins = line_features(data, offsets)
-                p, n = crf.marginals(x, begins), np.diff(begins)
+                emit, _, begins = line_scores(crf.weights, data, offsets)
+                p, n = crf.good(emit, begins), np.diff(begins)
                 ids = b.column("doc_id").slice(i, j - i).take(pa.array(np.repeat(np.arange(j - i), n)))
-                yield pa.RecordBatch.from_arrays([ids, pa.array(np.arange(len(x)) - np.repeat(begins[:-1], n)), pa.array(p)], names=["doc_id", "line", "good"])
+                yield pa.RecordBatch.from_arrays([ids, pa.array(np.arange(len(emit)) - np.repeat(begins[:-1], n)), pa.array(p)], names=["doc_id", "line", "good"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, line long, good double")

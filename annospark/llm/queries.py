@@ -50,7 +50,7 @@ def op5_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    held_out = id_remainder() == HELD_OUT
+    held_out = F.coalesce(id_remainder() == HELD_OUT, F.lit(False))  # an unknown id has no remainder
     model = quality.learn(docs, _table(spark, sf_dir, "labels").select("doc_id", "quality").where(~held_out))
     return quality.score(docs, model).select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
@@ -67,7 +67,7 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    held_out = id_remainder() == HELD_OUT
+    held_out = F.coalesce(id_remainder() == HELD_OUT, F.lit(False))  # an unknown id has no remainder
     profiles = langid.learn_profiles(docs.where(~held_out))
     return langid.identify(docs.select("doc_id", "text"), profiles).select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "rejected")
 

@@ -227,6 +227,9 @@ def _padded(text: str, end: int) -> int:
 def _keys_over(text: str, base: int) -> Iterator[tuple[str, int, int]]:
     """Keys whose letters are interrupted, over the whole text: an interrupted run is searched as if it were one, and places are told by its pieces."""
     for m in (_WRAPPED64 if base == 64 else _WRAPPED16).finditer(text):
+        plain = not ("\\" in m[0] if base == 64 else "\\u" in m[0])  # only letters of an escape could be taken for the run's
+        if plain and not (_KEY64 if base == 64 else _KEY16).search("".join(_LETTERS[base].findall(m[0]))):
+            continue
         starts, pieces, at = [], [], m.start()
         while at < m.end():
             piece = _LETTERS[base].match(text, at, m.end())
