@@ -8,7 +8,7 @@ probabilities weighted by the lines' lengths. A labelled document teaches that a
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -144,7 +144,7 @@ class Crf:
 
 
 #: Lines that are stepped through one after the other; longer documents are cut into pieces of as many.
-STEPS = 128
+STEPS = 512
 
 
 def chain(first: np.ndarray, steps: np.ndarray, begins: np.ndarray, most: int = STEPS) -> np.ndarray:
@@ -214,11 +214,12 @@ def log_likelihood(crf: Crf, x: np.ndarray, begins: np.ndarray, labels: np.ndarr
     return value, x.T @ (w * (y - p)), (w[at, None, None] * (seen - pairs)).sum(0)
 
 
-def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int = 200, rate: float = 0.08, decay: float = 1e-4, trans_decay: float = 1e-2) -> Crf:
+def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int = 200, rate: float = 0.08, decay: float = 1e-5, trans_decay: float = 1e-2) -> Crf:
     """Fits weights and all four transitions by conditional likelihood with Adam, from the marginals of lines and of pairs of lines.
 
     Each document counts alike whatever its number of lines, the two labels alike in sum. `decay` and `trans_decay` are the quadratic penalties; as
-    labels don't change within a labelled document, the penalty alone keeps the transitions finite.
+    labels don't change within a labelled document, the penalty alone keeps the transitions finite. The default of `decay` is what `cross_validate` prefers on
+    labelled documents of which none is held out.
     """
     lens = np.diff(begins)
     share = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum())) / np.maximum(lens, 1)
@@ -234,6 +235,23 @@ def fit_crf(x: np.ndarray, begins: np.ndarray, labels: np.ndarray, *, steps: int
     return crf
 
 
+def cross_validate(x: np.ndarray, begins: np.ndarray, size: np.ndarray, labels: np.ndarray, folds: np.ndarray, decays: Sequence[float], *, bound: float = 0.7, **options) -> dict[float, float]:
+    """For each penalty on the weights the share of documents whose label is right, each told by a field that was fitted on the other folds: good from a score of `bound` on."""
+    lens = np.diff(begins)
+    of = np.repeat(folds, lens)
+    cut = lambda keep: np.concatenate(([0], np.cumsum(lens[keep])))
+    out = {}
+    for decay in decays:
+        right = 0
+        for fold in np.unique(folds):
+            own = folds == fold
+            crf = fit_crf(x[of != fold], cut(~own), labels[~own], decay=decay, **options)
+            p, w, at = crf.marginals(x[of == fold], cut(own)), size[of == fold] + 1e-9, cut(own)[:-1]
+            right += int(((np.add.reduceat(p * w, at) / np.add.reduceat(w, at) >= bound) == (labels[own] == 1)).sum())
+        out[decay] = right / len(labels)
+    return out
+
+
 def _first_features(lines: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
