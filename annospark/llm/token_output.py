@@ -91,11 +91,11 @@ def write_ids(docs: DataFrame, path: str, tokenizer_path: str, *, end_id: int |
 
     Null and empty texts have the end id only (nothing if `end_id` is None). Null ids come first. Repeated rows are written
     each; rows of one id are in the order of their texts' hashes. Other columns are ignored. An empty table writes files without blocks.
-    `parts` ranges of doc_id (default: the number of shuffle partitions) are sorted and encoded on their own.
+    `parts` ranges of doc_id and hash (default: the number of shuffle partitions) are sorted and encoded on their own, so that an id that very many rows share isn't one range.
     """
     spark = docs.sparkSession
     parts = parts or shuffle_parts(spark)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, "doc_id").sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, F.col("doc_id"), F.xxhash64("text")).sortWithinPartitions(F.col("doc_id"), F.xxhash64("text"))
     rows.mapInArrow(_write(tokenizer_path, end_id, block_ids), _BLOCKS).write.option("compression", "zstd").parquet(f"{path}/blocks")
     totals = spark.read.schema(_BLOCKS).parquet(f"{path}/blocks").groupBy("part").agg(F.sum("n_ids").alias("n_ids"))
     start = F.sum("n_ids").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, 0)) - F.col("n_ids")  # one row for each part
