@@ -105,14 +105,14 @@ _add("a15_adapters", _SOURCES + " select wav_id, snr_mean, 'snr' as source from
 
 # Sampling and exploration.
 def _adapted(s, d):
-    """Metadata of four sources with their own id and status columns, made of the annotations; array files are there for two recordings in three."""
-    uid = F.col("uid").cast("string")
-    vad = derive.vad(s, d).groupBy("uid").agg(F.count("*").alias("n")).select(uid.alias("file_id"), "n", (F.col("uid") % 7 != 0).alias("success"))
-    vtc = derive.vtc(s, d).groupBy("uid").agg(F.count("*").alias("n")).select(uid.alias("uid"), "n", F.when(F.col("uid") % 5 == 0, "no audio").otherwise("").alias("error"))
-    dur = derive.durations(s, d)
-    snr = dur.select(uid.alias("uid"), F.col("dur_ms").alias("n"), F.when(F.col("uid") % 4 == 0, "skipped").otherwise("ok").alias("snr_status"))
-    esc = dur.select(uid.alias("uid"), F.col("dur_ms").alias("n"), F.when(F.col("uid") % 6 == 0, F.lit(None)).otherwise("ok").alias("esc_status"))
-    files = dur.where("uid % 3 <> 0").select(uid.alias("uid"))
+    """Metadata of four sources with their own id and status columns, all told by the annotations; array files are there for recordings with a segment of over 25 s."""
+    uid, length = F.col("uid").cast("string"), F.col("offset_ms") - F.col("onset_ms")
+    vad = derive.vad(s, d).groupBy("uid").agg(F.count("*").alias("n"), F.sum(length).alias("ms")).select(uid.alias("file_id"), "n", (F.col("ms") > 450_000).alias("success"))
+    per = derive.vtc(s, d).groupBy("uid").agg(F.count("*").alias("n"), F.sum((F.col("label") == "KCHI").cast("int")).alias("child"), F.max(length).alias("longest"))
+    vtc = per.select(uid.alias("uid"), "n", F.when(F.col("child") < 10, "too few of the child").otherwise("").alias("error"))
+    snr = derive.durations(s, d).select(uid.alias("uid"), F.col("dur_ms").alias("n"), F.when(F.col("dur_ms") <= 4_200_000, "too short").otherwise("ok").alias("snr_status"))
+    esc = derive.durations(s, d).join(per, "uid", "left").select(uid.alias("uid"), F.col("dur_ms").alias("n"), F.when(F.col("n") >= 50, "ok").alias("esc_status"))
+    files = per.where("longest > 25000").select(uid.alias("uid"))
     out = []
     for source, meta in (("vad", vad), ("vtc", vtc), ("snr", snr), ("esc", esc)):
         adapter = manifest.ADAPTERS[source]
@@ -120,9 +120,10 @@ def _adapted(s, d):
     return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
 
 
-_add("a15_four_adapters", SQL + """ select uid::varchar as wav_id, source, n, source in ('vad', 'vtc') or uid % 3 <> 0 as there from (
-  select uid, 'vad' as source, count(*) as n from vad where uid % 7 <> 0 group by uid union all select uid, 'vtc', count(*) from vtc where uid % 5 <> 0 group by uid
-  union all select uid, 'snr', dur_ms from dur where uid % 4 <> 0 union all select uid, 'esc', dur_ms from dur where uid % 6 <> 0)""")(_adapted)
+_add("a15_four_adapters", SQL + """, pv as (select uid, count(*) as n, sum((label = 'KCHI')::int) as child, max(offset_ms - onset_ms) as longest from vtc group by uid)
+select x.uid::varchar as wav_id, source, x.n, source in ('vad', 'vtc') or coalesce(longest > 25000, false) as there from (
+  select uid, 'vad' as source, count(*) as n from vad group by uid having sum(offset_ms - onset_ms) > 450000 union all select uid, 'vtc', n from pv where child >= 10
+  union all select uid, 'snr', dur_ms from dur where dur_ms > 4200000 union all select dur.uid, 'esc', dur_ms from dur join pv using (uid) where pv.n >= 50) x left join pv on pv.uid = x.uid""")(_adapted)
 _add("b10_sample", "select user_id as uid from (select distinct user_id from events) order by md5(user_id::varchar || ':42'), user_id limit 20")(lambda s, d: explore.sample(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct(), 20))
 _add("b10_sample_count", "select least(20, count(distinct user_id))::int as n_int, greatest(1, round(count(distinct user_id) * 0.25))::int as n_fraction, count(distinct user_id)::int as n_all from events")(
     lambda s, d: (lambda u: explore.sample(u, 20).agg(F.count("*").cast("int").alias("n_int")).crossJoin(explore.sample(u, 0.25).agg(F.count("*").cast("int").alias("n_fraction"))).crossJoin(u.agg(F.count("*").cast("int").alias("n_all"))))(table(s, d, "events").select(F.col("user_id").alias("uid")).distinct())

@@ -221,6 +221,18 @@ def _ingest(s, d):
     return store.table().groupBy("uid", "label").agg(F.count("*").alias("n"))
 
 
+@_add("i01_replaced_ingest", SQL + """, z as (select uid, label, case when uid % 3 = 0 then onset_ms + 1000 else onset_ms end as onset_ms from vtc) select uid, label, count(*) as n, sum(onset_ms)::bigint as onsets from z group by uid, label""")
+def _replaced_ingest(s, d):
+    """Shards arrive in three batches, each to a stream that goes on from the last one's checkpoint; the third replaces recordings of the first two, and versions that no slot needs are removed."""
+    rows = derive.vtc(s, d)
+    store, given, check = tables.ParquetStore(s, _folder(s, "ingest"), "uid", buckets=8), _folder(s, "arriving"), _folder(s, "ingest-checkpoint")
+    for batch in (rows.where("uid % 2 = 0"), rows.where("uid % 2 = 1"), rows.where("uid % 3 = 0").withColumn("onset_ms", F.col("onset_ms") + 1000)):
+        batch.write.mode("append").parquet(given)
+        live.ingest(s.readStream.schema(batch.schema).parquet(given), store, check)
+    store.vacuum()
+    return store.table().groupBy("uid", "label").agg(F.count("*").alias("n"), F.sum("onset_ms").alias("onsets"))
+
+
 @_add("i02_live_conversations", SQL + """, x as (select *, max(offset_ms) over (partition by uid order by onset_ms, offset_ms rows between unbounded preceding and 1 preceding) as reach from vtc), y as (select *, sum(case when onset_ms - reach < 10000 then 0 else 1 end) over (partition by uid order by onset_ms, offset_ms rows between unbounded preceding and current row) as k from x),
 z as (select uid, k, min(onset_ms) as start_ms, max(offset_ms) as end_ms, count(*) as n_segments, sum(offset_ms - onset_ms)::bigint as speech_ms from y group by uid, k) select uid, start_ms, n_segments, speech_ms from z where end_ms + 10000 < (select max(onset_ms) from vtc) - 60000""")
 def _live_conversations(s, d):
