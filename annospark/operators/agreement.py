@@ -99,10 +99,8 @@ def error_cdf(matches: DataFrame) -> DataFrame:
 
 def coverage_hours(a: DataFrame, b: DataFrame) -> DataFrame:
     """Hours that both, only a and only b mark, by label and for the union of labels (`all_speech`)."""
-    wide = lambda df: intervals.merge(df.select("uid", F.explode(F.array("label", F.lit("all_speech"))).alias("label"), "onset_ms", "offset_ms"), ["uid", "label"])
-    x, y, k = wide(a), wide(b), ["label"]
-    both = intervals.overlap_ms(x, y, ["uid", "label"]).groupBy("label").agg(F.sum("both_ms").alias("both_ms"))
-    out = intervals.total(x, k).withColumnRenamed("total_ms", "a_ms").join(intervals.total(y, k).withColumnRenamed("total_ms", "b_ms"), k, "full").join(both, k, "left").na.fill(0, ["a_ms", "b_ms", "both_ms"])
+    wide = lambda df: df.select("uid", F.explode(F.array("label", F.lit("all_speech"))).alias("label"), "onset_ms", "offset_ms")
+    out = intervals.common_time(wide(a), wide(b), ["uid", "label"]).groupBy("label").agg(*[F.sum(c).alias(c) for c in ("a_ms", "b_ms", "both_ms")])
     return out.select("label", (F.col("both_ms") / HOUR_MS).alias("both_h"), ((F.col("a_ms") - F.col("both_ms")) / HOUR_MS).alias("only_a_h"), ((F.col("b_ms") - F.col("both_ms")) / HOUR_MS).alias("only_b_h"))
 
 

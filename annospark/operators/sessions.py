@@ -15,11 +15,11 @@ def tag_turns(segments: DataFrame, keys: Sequence[str] = ("uid",), gap_ms: int =
     """segments with turn_idx, from 0: a new turn begins where the label changes or more than `gap_ms` passed since the label run's last end."""
     w = Window.partitionBy(*keys).orderBy("onset_ms", "label", "offset_ms")
     rows = segments.withColumn("swap", F.coalesce(F.col("label") != F.lag("label").over(w), F.lit(True)).cast("int"))
-    rows = rows.withColumn("label_run", F.sum("swap").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
-    inner = Window.partitionBy(*keys, "label_run").orderBy("onset_ms", "label", "offset_ms")
-    reach = F.max("offset_ms").over(inner.rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.withColumn("fresh", F.coalesce(F.col("onset_ms") - reach > gap_ms, F.lit(True)).cast("int"))
-    return rows.withColumn("turn_idx", F.sum("fresh").over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)) - 1).drop("swap", "label_run", "fresh")
+    rows = rows.withColumn("label_run", F.sum("swap").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # Runs are numbered upwards, so the greatest (run, end) so far holds the last run's furthest end: no window by run, and all share one sort.
+    so_far = F.max(F.struct("label_run", "offset_ms")).over(w.rowsBetween(Window.unboundedPreceding, -1))
+    rows = rows.withColumn("so_far", so_far).withColumn("fresh", F.coalesce((F.col("so_far.label_run") < F.col("label_run")) | (F.col("onset_ms") - F.col("so_far.offset_ms") > gap_ms), F.lit(True)).cast("int"))
+    return rows.withColumn("turn_idx", F.sum("fresh").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - 1).drop("swap", "label_run", "so_far", "fresh")
 
 
 def turns(segments: DataFrame, keys: Sequence[str] = ("uid",), gap_ms: int = TURN_GAP_MS) -> DataFrame:
@@ -36,11 +36,12 @@ def tag_conversations(turn_rows: DataFrame, keys: Sequence[str] = ("uid",), gap_
 
 def conversations(tagged: DataFrame, keys: Sequence[str] = ("uid",)) -> DataFrame:
     """keys, conv_idx, onset_ms, offset_ms (the last turn's end), n_turns, is_multi_speaker, labels (sorted, `;`), n_transitions, gap_after_ms."""
-    w = Window.partitionBy(*keys, "conv_idx").orderBy("turn_idx")
-    rows = tagged.withColumn("swap", F.coalesce(F.col("label") != F.lag("label").over(w), F.lit(False)).cast("long"))
+    w = Window.partitionBy(*keys).orderBy("turn_idx")  # as in tag_conversations, so that both share one sort
+    swap = (F.col("label") != F.lag("label").over(w)) & (F.col("conv_idx") == F.lag("conv_idx").over(w))
+    rows = tagged.withColumn("swap", F.coalesce(swap, F.lit(False)).cast("long"))
     out = rows.groupBy(*keys, "conv_idx").agg(
         F.min("onset_ms").alias("onset_ms"), F.max_by("offset_ms", "turn_idx").alias("offset_ms"), F.count("*").alias("n_turns"),
-        (F.countDistinct("label") > 1).alias("is_multi_speaker"), F.array_join(F.array_sort(F.collect_set("label")), ";").alias("labels"), F.sum("swap").alias("n_transitions"),
+        (F.size(F.collect_set("label")) > 1).alias("is_multi_speaker"), F.array_join(F.array_sort(F.collect_set("label")), ";").alias("labels"), F.sum("swap").alias("n_transitions"),
     )
     after = F.lead("onset_ms").over(Window.partitionBy(*keys).orderBy("conv_idx")) - F.col("offset_ms")
     return out.withColumn("gap_after_ms", after)

@@ -65,7 +65,7 @@ def label_changes(segments: DataFrame) -> DataFrame:
 
 def frame_iou(a: DataFrame, b: DataFrame, keys: list[str] = CLIP, frame_ms: int = FRAME_MS) -> DataFrame:
     """IoU of two segment sets on frames of `frame_ms`, indices cut off downwards; 0 without any active frame."""
-    grid = lambda df: intervals.merge(df.select(*keys, F.floor(F.col("onset_ms") / frame_ms).alias("onset_ms"), F.floor(F.col("offset_ms") / frame_ms).alias("offset_ms")).where("offset_ms > onset_ms"), keys)
+    grid = lambda df: df.select(*keys, F.floor(F.col("onset_ms") / frame_ms).alias("onset_ms"), F.floor(F.col("offset_ms") / frame_ms).alias("offset_ms")).where("offset_ms > onset_ms")
     out = intervals.iou(grid(a), grid(b), keys, slot_ms=None if keys == CLIP else intervals.SLOT_MS)
     return out.select(*keys, F.when(F.col("a_ms") + F.col("b_ms") == 0, 0.0).otherwise(F.col("iou")).alias("frame_iou"))
 

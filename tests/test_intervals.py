@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,3 +83,34 @@ def test_conversations_break_at_exactly_ten_seconds(spark):
     assert got == [(0, 2, True, "FEM;MAL", 10_000), (1, 1, False, "FEM", None)]
     assert [(r.from_label, r.to_label, r.gap_ms) for r in sessions.transitions(tagged).collect()] == [("FEM", "MAL", 9_999)]
     assert [(r.n_turns) for r in sessions.bouts(tagged).collect()] == [2]
+
+
+def test_common_time_equals_counted_milliseconds_whatever_the_slots(spark):
+    rng = random.Random(4)
+    sets = []
+    for _ in range(2):
+        on = [(uid, rng.randrange(300)) for uid in (1, 2, 3) for _ in range(40)]
+        sets.append([(uid, x, x + rng.choice([0, 1, 5, 60])) for uid, x in on] + [(1, 7, 7)] * 3)
+    sets[0] += [(4, 0, 350), (4, 0, 350)]  # a group that the other set lacks
+    a, b = (spark.createDataFrame(x, "uid long, onset_ms long, offset_ms long") for x in sets)
+    held = [{uid: {t for u, x, y in rows if u == uid for t in range(x, y)} for uid in (1, 2, 3, 4)} for rows in sets]
+    want = sorted((uid, len(held[0][uid]), len(held[1][uid]), len(held[0][uid] & held[1][uid])) for uid in (1, 2, 3, 4))
+    for slot in (None, 1, 10, 64, 10**6):
+        assert sorted(tuple(r) for r in intervals.common_time(a, b, ["uid"], slot).collect()) == want
+    assert intervals.common_time(a.limit(0), b.limit(0)).count() == 0
+
+
+def test_turns_equal_a_loop_over_nested_and_equal_segments(spark):
+    rng = random.Random(9)
+    rows = [(uid, x, x + rng.choice([10, 200, 900]), rng.choice("AAB")) for uid in range(6) for x in (rng.randrange(3000) for _ in range(30))]
+    rows += rows[:20]
+    want = []
+    for uid in range(6):
+        turn = None
+        for _, on, off, label in sorted((r for r in rows if r[0] == uid), key=lambda r: (r[1], r[3], r[2])):
+            if turn is None or label != turn[1] or on - turn[3] > 100:
+                turn = [uid, label, on, off, 0]
+                want.append(turn)
+            turn[3], turn[4] = max(turn[3], off), turn[4] + 1
+    got = sessions.turns(spark.createDataFrame(rows, "uid long, onset_ms long, offset_ms long, label string"), ["uid"], 100)
+    assert [list(r) for r in got.orderBy("uid", "turn_idx").select("uid", "label", "onset_ms", "offset_ms", "n_segments").collect()] == want
