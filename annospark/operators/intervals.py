@@ -66,6 +66,17 @@ def overlap_ms(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot_
     return overlap_join(a, b, keys, slot_ms).groupBy(*keys).agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
 
 
+def added(part: Sequence[str], on: Column, off: Column) -> list[Column]:
+    """What an interval [on, off) adds to its own set if that is a (column _a), to its own if that is b, and to both: what lies beyond the furthest end so far in order of onset_ms."""
+    before = Window.partitionBy(*part).orderBy("onset_ms").rowsBetween(Window.unboundedPreceding, -1)
+    return [F.greatest(F.lit(0), end - F.greatest(on, F.max(end).over(before))) for end in (F.when(F.col("_a"), off), F.when(~F.col("_a"), off), off)]
+
+
+def both_sets(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of two sets with _a, whether they are a's."""
+    return a.select(*keys, "onset_ms", "offset_ms", F.lit(True).alias("_a")).unionByName(b.select(*keys, "onset_ms", "offset_ms", F.lit(False).alias("_a")))
+
+
 def common_time(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot_ms: int | None = SLOT_MS) -> DataFrame:
     """keys, a_ms, b_ms, both_ms: what two sets of intervals cover, each and together. Intervals of a set may overlap; a set that a group lacks counts 0.
 
@@ -74,17 +85,14 @@ def common_time(a: DataFrame, b: DataFrame, keys: Sequence[str] = ("uid",), slot
     without `slot_ms` they are dealt by key only, for keys that name a short stretch, as a clip.
     """
     k = list(keys)
-    rows = a.select(*k, "onset_ms", "offset_ms", F.lit(True).alias("_a")).unionByName(b.select(*k, "onset_ms", "offset_ms", F.lit(False).alias("_a")))
-    part = k
+    rows, part = both_sets(a, b, k), k
     if slot_ms is not None:
         rows = rows.withColumn("_slot", F.explode(F.sequence(F.floor(F.col("onset_ms") / slot_ms), F.floor(F.greatest(F.col("offset_ms") - 1, F.col("onset_ms")) / slot_ms))))
         rows = rows.withColumns({"onset_ms": F.greatest("onset_ms", F.col("_slot") * slot_ms), "offset_ms": F.least("offset_ms", (F.col("_slot") + 1) * slot_ms)})
         part = [*k, "_slot"]
-    before = Window.partitionBy(*part).orderBy("onset_ms").rowsBetween(Window.unboundedPreceding, -1)
-    own = lambda side: F.when(F.col("_a") == side, F.col("offset_ms"))
-    new = lambda end: F.greatest(F.lit(0), end - F.greatest("onset_ms", F.max(end).over(before)))
-    rows = rows.select(*k, new(own(True)).alias("a_ms"), new(own(False)).alias("b_ms"), new(F.col("offset_ms")).alias("any_ms"))
-    out = rows.groupBy(*k).agg(*[F.sum(c).alias(c) for c in ("a_ms", "b_ms", "any_ms")])
+    names = ("a_ms", "b_ms", "any_ms")
+    rows = rows.select(*k, *[x.alias(n) for x, n in zip(added(part, F.col("onset_ms"), F.col("offset_ms")), names)])
+    out = rows.groupBy(*k).agg(*[F.sum(c).alias(c) for c in names])
     return out.select(*k, "a_ms", "b_ms", (F.col("a_ms") + F.col("b_ms") - F.col("any_ms")).alias("both_ms"))
 
 

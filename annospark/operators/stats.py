@@ -70,6 +70,15 @@ def frame_iou(a: DataFrame, b: DataFrame, keys: list[str] = CLIP, frame_ms: int
     return out.select(*keys, F.when(F.col("a_ms") + F.col("b_ms") == 0, 0.0).otherwise(F.col("iou")).alias("frame_iou"))
 
 
+def clip_cover(vad: DataFrame, segments: DataFrame, frame_ms: int = FRAME_MS) -> DataFrame:
+    """Per clip vad_ms, the time that VAD covers, and frame_iou as `frame_iou` gives it, from one sort: frames keep the order of onsets, and one shorter than a frame adds none."""
+    frame = lambda c: F.floor(F.col(c) / frame_ms)
+    ms, grid = intervals.added(CLIP, F.col("onset_ms"), F.col("offset_ms")), intervals.added(CLIP, frame("onset_ms"), frame("offset_ms"))
+    rows = intervals.both_sets(vad, segments, CLIP).select(*CLIP, ms[0].alias("vad_ms"), *[x.alias(n) for x, n in zip(grid, ("a", "b", "any"))])
+    out = rows.groupBy(*CLIP).agg(*[F.sum(c).alias(c) for c in ("vad_ms", "a", "b", "any")])
+    return out.select(*CLIP, "vad_ms", F.coalesce(F.try_divide((F.col("a") + F.col("b") - F.col("any")).cast("double"), F.col("any")), F.lit(0.0)).alias("frame_iou"))
+
+
 def coverage_by_label(segments: DataFrame, vad: DataFrame) -> DataFrame:
     """Per clip and label the share of labelled time that VAD covers, at most 1."""
     pairs = intervals.overlap_join(segments, intervals.merge(vad, CLIP), CLIP, slot_ms=None).groupBy(*CLIP, "label").agg(F.sum(F.col("off_ms") - F.col("on_ms")).alias("both_ms"))
@@ -149,9 +158,8 @@ def clip_stats(clips: DataFrame, segments: DataFrame, vad: DataFrame, valued: Da
     """One row a clip with all of its statistics; clips without speech have zeros and nulls."""
     tagged = sessions.tag_conversations(sessions.turns(segments, CLIP), CLIP)
     conv = sessions.conversations(tagged, CLIP).groupBy(*CLIP).agg(F.count("*").alias("n_conversations"), F.sum("n_turns").alias("n_conv_turns"), F.sum(F.col("is_multi_speaker").cast("long")).alias("n_multi_speaker"))
-    active = intervals.total(intervals.merge(vad, CLIP), CLIP).withColumnRenamed("total_ms", "vad_ms")
     out = clips.select(*CLIP, "onset_ms", "offset_ms")
-    for side in (clip_summary(valued), active, frame_iou(vad, segments), conv):
+    for side in (clip_summary(valued), clip_cover(vad, segments), conv):
         out = out.join(side, CLIP, "left")
     zeros = ["speech_ms", "n_segments", "n_labels", "child_ms", "adult_ms", "n_turns", "vad_ms", "n_conversations", "n_conv_turns", "n_multi_speaker", *[f"dur_{x.lower()}_ms" for x in LABELS]]
     out = out.na.fill(0, zeros).na.fill(0.0, ["frame_iou", "child_fraction"])

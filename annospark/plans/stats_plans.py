@@ -199,7 +199,7 @@ from clips c left join sp using (uid, clip_idx) left join lab using (uid, clip_i
 
 def _cstat(s, d, both=None):
     seg, val = both or _both(s, d)
-    return stats.clip_stats(_fixed(s, d), seg, _vseg(s, d).drop("rel_on_ms", "rel_off_ms").repartition(*stats.CLIP).checkpoint(), val)
+    return stats.clip_stats(_fixed(s, d), seg, _vseg(s, d), val)
 
 
 def _file_stats(s, d):

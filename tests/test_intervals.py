@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from annospark.operators import intervals, sessions
+from annospark.operators import intervals, sessions, stats
 
 
 def frame(spark, pairs, label=None):
@@ -114,3 +114,14 @@ def test_turns_equal_a_loop_over_nested_and_equal_segments(spark):
             turn[3], turn[4] = max(turn[3], off), turn[4] + 1
     got = sessions.turns(spark.createDataFrame(rows, "uid long, onset_ms long, offset_ms long, label string"), ["uid"], 100)
     assert [list(r) for r in got.orderBy("uid", "turn_idx").select("uid", "label", "onset_ms", "offset_ms", "n_segments").collect()] == want
+
+
+def test_clip_cover_equals_merged_vad_and_frame_iou(spark):
+    rng = random.Random(2)
+    sets = [[(u, c, x, x + rng.choice([1, 40, 99, 350, 1200])) for u in (1, 2) for c in (0, 1) for x in (rng.randrange(5000) for _ in range(12))] for _ in range(2)]
+    sets[0] += [(3, 0, 10, 20), (3, 1, 0, 500)]  # shorter than a frame; without segments
+    vad, seg = (spark.createDataFrame(x, "uid long, clip_idx long, onset_ms long, offset_ms long") for x in sets)
+    want = {(r.uid, r.clip_idx): r.total_ms for r in intervals.total(intervals.merge(vad, stats.CLIP), stats.CLIP).collect()}
+    iou = {(r.uid, r.clip_idx): r.frame_iou for r in stats.frame_iou(vad, seg).collect()}
+    got = {(r.uid, r.clip_idx): (r.vad_ms, r.frame_iou) for r in stats.clip_cover(vad, seg).collect()}
+    assert got == {k: (v, iou.get(k, 0.0)) for k, v in want.items()} and 0 < iou[1, 0] < 1
