@@ -15,7 +15,11 @@ from annospark.llm.queries import HELD_OUT, _tokenizer
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops what language ID rejects: null texts, texts without letters, and narrow margins between languages."""
+    """Drops what language ID rejects: null texts, texts without letters, and narrow margins between languages; of equal sizes the first language counts.
+
+    Each row is judged by its text alone, so repeated rows stay or go alike, and null ids stay. Without any labelled row there is no
+    language, and all rows go; an empty table gives an empty table.
+    """
     ship_package(spark)
     profiles = langid.learn_profiles(docs.where(id_remainder() != HELD_OUT))
     # Other columns travel as one, so that none clashes with those that are added.
@@ -28,7 +32,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keeps the document with the smallest doc_id of each group of near-duplicates (five words, 0.8), one row of an id and text.
 
     Documents are told by id and text: null ids stay, in a group with known ids they are last, and different texts of one id are
-    documents of their own.
+    documents of their own. Null, empty and wordless texts are near to nothing and stay. An empty table gives an empty table.
     """
     ship_package(spark)
     key = lambda text_hash: {"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(0)), "_none": F.col("doc_id").isNull(), "_hash": text_hash}
@@ -40,7 +44,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents that hold ten successive words of a benchmark item, or all of a shorter one."""
+    """Drops documents that hold ten successive words of a benchmark item, or all of a shorter one.
+
+    Documents are told by id and text, null ids too: repeated rows stay or go alike, and of different texts of one id only those that hold
+    such words go. Null and empty texts hold none and stay, items without words are held by none; without items all rows stay, and an
+    empty table gives an empty table.
+    """
     ship_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     hits = decontam.phrase_hits(docs, items).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
@@ -51,6 +60,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it in whole; one that the mix takes in part counts from half its words on.
 
     Documents are told by id and text, null ids too. Rows that share both are repeated alike, as often as the mix takes the one it takes most.
+    Null, empty and wordless texts come once for each whole epoch of their source, and go where that has no words at all. A null source is one of
+    its own. An empty table gives an empty table.
     """
     weights = mixing.quality_weight(spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rows = docs.select("doc_id", F.xxhash64("text").alias("_hash"), "source", mixing.word_count().alias("size")).join(weights, "doc_id", "left")
