@@ -91,8 +91,8 @@ def identify(docs: DataFrame, profiles: dict[str, bytes], *, level: int = 6, mar
 
     score is 0.5 plus the share by which the smallest size lies below the second, at most 1; rejected holds where
     that share is below `margin`, and where the text is null or has no letter (lang_pred `und`, score 0). Ties go to the first
-    language by code point. The dictionaries, `dict_bytes` for each language, go to the tasks with the
-    function. Nothing is shuffled; a whole text is compressed in the task that reads it.
+    language by code point. Repeated rows are judged alike, without profiles all rows are `und` and rejected, an empty table gives
+    an empty table. The dictionaries, `dict_bytes` for each language, go to the tasks with the function. Nothing is shuffled; a whole text is compressed in the task that reads it.
     """
     docs = docs.drop("lang_pred", "score", "rejected")
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("rejected", T.BooleanType())])

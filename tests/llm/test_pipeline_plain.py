@@ -24,7 +24,7 @@ def docs(spark):
     chain = [" ".join([f"x{k}" for k in range(4 * step)] + base[4 * step :]) for step in range(5)]
     planted = [(900_000 + i, t, "en", "s", 1) for i, t in enumerate(chain)]
     planted += [(910_000 + i, f"Some words before. {t.upper()}; and after", "en", "s", 1) for i, t in enumerate(items)]
-    planted += [(910_010, " ".join(items[0].split()[:4]), "en", "s", 1), (None, f"no id {items[1]}", None, None, None), (None, "no id and clean of all of it", None, None, None), (920_000, None, "en", "s", 1), (920_001, "", "en", "s", 1)]
+    planted += [(910_010, " ".join(items[0].split()[:4]), "en", "s", 1), (None, f"no id {items[1]}", None, None, None), (None, "no id and clean of all of it", None, None, None), (920_000, None, "en", "s", 1), (920_001, "", "en", "s", 1), (920_002, " ", "en", "no words", 1)]
     extra = spark.createDataFrame(planted, table.schema)
     return table.unionByName(extra).unionByName(table.limit(4)).withColumn("positions", F.lit(3)).withColumn("item_id", F.lit("own")).checkpoint()
 
@@ -100,6 +100,8 @@ def test_mixed_takes_about_the_target_of_each_source(spark, docs):
         times[r.doc_id] += 1
     assert max(times.values()) <= 2
     assert all(abs(taken[s] - target[s]) <= most[s] for s in order)
+    wordless = {r.doc_id: r.source for r in rows.collect() if not count(r.text)}
+    assert wordless and all(times[i] == (min(2, int(target[s] // size[s])) if size[s] else 0) for i, s in wordless.items())
 
 
 def test_token_ids_equal_the_library_in_order(spark, docs):
