@@ -92,8 +92,7 @@ def _csv(s, d):
 @_add("a07_all_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames group by uid")
 @_add("a07_array_sidecars", SQL + FRAMES_SQL + " select uid::varchar as uid, count(*) as n, sum((vad > 0.5)::int)::bigint as n_speech from frames group by uid")
 def _npz(s, d):
-    rows = derive.frames(s, d).groupBy(F.col("uid").cast("string").alias("uid")).agg(F.sort_array(F.collect_list(F.struct("i", "snr", "c50", "vad"))).alias("x"))
-    rows = rows.select("uid", *[F.expr(f"transform(x, r -> r.{a})").alias(a) for a in ("snr", "c50", "vad")])
+    rows = derive.frame_arrays(s, d).withColumn("uid", F.col("uid").cast("string"))
     arrays.write_npz(arrays.pack_npz(rows, ("snr", "c50", "vad")), path := _folder(s, "npz"))
     back = arrays.frames_of(arrays.read_npz(s, path, scalars=()))
     return back.groupBy("uid").agg(F.count("*").alias("n"), F.sum((F.col("vad") > 0.5).cast("long")).alias("n_speech"))

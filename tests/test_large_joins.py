@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from annospark.operators import kernels
+from annospark.operators import intervals, kernels, slots
 from annospark.sources import derive
 
 
@@ -12,7 +12,7 @@ def plan(df) -> str:
 
 def test_frame_arrays_are_not_broadcast(spark, sf):
     """Arrays made in the query count as one element each in Spark's estimate: their join was a broadcast of all frames."""
-    means = kernels.segment_means(derive.vtc(spark, sf), derive.frame_arrays(spark, sf, dealt=False))
+    means = kernels.segment_means(derive.vtc(spark, sf), derive.frame_arrays(spark, sf))
     assert "ShuffledHashJoin" in plan(means) and "Broadcast" not in plan(means)
     # A shuffle for segments and one for the recordings' lengths, none for arrays.
     assert plan(means).count("Exchange ") == 2
@@ -26,3 +26,11 @@ def test_segment_means_of_odd_segments(spark):
     assert got.count() == len(want) and {tuple(r) for r in got.collect()} == want
     dealt = kernels.segment_means(spark.createDataFrame(segments, "uid long, onset_ms long, offset_ms long"), recordings.repartition(3, F.xxhash64("uid")), ["snr"], size=7)
     assert {tuple(r) for r in dealt.collect()} == want
+
+
+def test_frames_stay_where_their_recording_is(spark, sf):
+    """Frames were made by one task, since Spark joins partitions of few bytes, and sorted there."""
+    frames = derive.frames(spark, sf)
+    for rows in (intervals.runs(frames, F.col("vad") > 0.5), derive.frame_arrays(spark, sf)):
+        assert plan(rows).count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan(rows)
+    assert frames.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
