@@ -12,7 +12,7 @@ import os
 import tarfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -109,14 +109,17 @@ class _TarWriter(DataSourceWriter):
 
 @dataclass
 class TarRange(InputPartition):
-    """Members of one tar whose payloads start within [first, end)."""
+    """Members of one tar whose payloads start within [first, end), and small tars that the same task reads after it."""
 
     shard: str
     first: int
     end: int
+    after: list[TarRange] = field(default_factory=list)
 
 
 _COMPARE = {GreaterThan: pc.greater, GreaterThanOrEqual: pc.greater_equal, LessThan: pc.less, LessThanOrEqual: pc.less_equal, EqualTo: pc.equal, EqualNullSafe: pc.equal}
+#: What opening a tar and its index counts as, in bytes, where small tars are put together for a task.
+OPEN_BYTES = 4 << 20
 #: Bytes between two wanted members that are read along rather than skipped by a request of their own, and the most that one request takes.
 GAP, RUN = 1 << 16, 8 << 20
 
@@ -181,28 +184,40 @@ class _TarReader(DataSourceReader):
                 self.filters.append(f)
 
     def partitions(self) -> Sequence[TarRange]:
-        shards = [x for x in shard_table(self.path) if all(may_hold(f, x) for f in self.filters)]
-        return [TarRange(x["shard"], first, first + self.split_bytes) for x in shards for first in range(0, x["bytes"], self.split_bytes)]
+        out, held = [], self.split_bytes
+        for x in shard_table(self.path):
+            if all(may_hold(f, x) for f in self.filters):
+                for first in range(0, x["bytes"], self.split_bytes):
+                    cost = min(self.split_bytes, x["bytes"] - first) + OPEN_BYTES
+                    part = TarRange(x["shard"], first, first + self.split_bytes)
+                    if held + cost > self.split_bytes:
+                        out.append(part)
+                        held = 0
+                    else:
+                        out[-1].after.append(part)
+                    held += cost
+        return out
 
     def read(self, partition: TarRange | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark's stand-in where no tar may hold anything
             return
         store, folder = store_of(self.path)
-        keep = (ds.field("start") >= partition.first) & (ds.field("start") < partition.end)
-        for f in self.filters:
-            keep = keep & condition(f)
-        found = indexed(store, folder, partition.shard, keep)
-        if found:
-            with store.open_input_file(f"{folder}/{partition.shard}.tar") as file:
-                rows, held = [], 0
-                for m, payload in fetch(file, found):
-                    rows.append((m["shard"], m["key"], m["ext"], payload))
-                    held += len(payload)
-                    if held >= RUN:
+        for part in (partition, *partition.after):
+            keep = (ds.field("start") >= part.first) & (ds.field("start") < part.end)
+            for f in self.filters:
+                keep = keep & condition(f)
+            found = indexed(store, folder, part.shard, keep)
+            if found:
+                with store.open_input_file(f"{folder}/{part.shard}.tar") as file:
+                    rows, held = [], 0
+                    for m, payload in fetch(file, found):
+                        rows.append((m["shard"], m["key"], m["ext"], payload))
+                        held += len(payload)
+                        if held >= RUN:
+                            yield _members(rows)
+                            rows, held = [], 0
+                    if rows:
                         yield _members(rows)
-                        rows, held = [], 0
-                if rows:
-                    yield _members(rows)
 
 
 def _members(rows: list[tuple]) -> pa.RecordBatch:
@@ -274,8 +289,9 @@ def index_shards(spark: SparkSession, folder: str) -> None:
     except AnalysisException as e:  # nothing indexed yet
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-    # One tar for each task: opening each takes as long as its headers are many.
-    tars = tars.repartition(max(1, min(tars.count(), 100_000)), "shard")
+    # A task has some tars or one large one, and no more than a small share of all. Each task writes a file of rows, and all readers open all of these.
+    n, size = tars.agg(F.count("*"), F.coalesce(F.sum(F.col("bytes") + OPEN_BYTES), F.lit(0))).first()
+    tars = tars.repartition(max(1, min(n, max(4 * spark.sparkContext.defaultParallelism, size >> 28))), "shard")
     tars.mapInArrow(_headers(qualified(spark, folder)), SHARDS).write.mode("append").parquet(f"{folder}/shards")
 
 

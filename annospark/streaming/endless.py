@@ -42,12 +42,21 @@ class Epochs:
 
     def __init__(self, shards: Sequence[dict], seed: int, worker: int, workers: int, buffer: int):
         self.shards, self.seed, self.worker, self.workers, self.buffer = shards, seed, worker, workers, buffer
+        self.known: dict[int, tuple[list[dict], list[int]]] = {}
+
+    def _ordered(self, epoch: int) -> tuple[list[dict], list[int]]:
+        """The worker's shards in the epoch's order, and the place in the epoch where each ends: ordered once, and kept for two epochs, since a batch may end in the next."""
+        if epoch not in self.known:
+            shards = sorted(self.shards, key=lambda s: _order(self.seed, epoch, s["shard"]))[self.worker :: self.workers]
+            self.known = {k: v for k, v in self.known.items() if k == epoch - 1} | {epoch: (shards, list(accumulate(s["samples"] for s in shards)))}
+        return self.known[epoch]
 
     def sequence(self, epoch: int) -> list[dict]:
-        return sorted(self.shards, key=lambda s: _order(self.seed, epoch, s["shard"]))[self.worker :: self.workers]
+        return self._ordered(epoch)[0]
 
     def size(self, epoch: int) -> int:
-        return sum(s["samples"] for s in self.sequence(epoch))
+        ends = self._ordered(epoch)[1]
+        return ends[-1] if ends else 0
 
     def after(self, at: tuple[int, int], blocks: int, epochs: int) -> tuple[int, int]:
         """The place `blocks` blocks on, at most the end of epoch number `epochs` (0: none)."""
@@ -63,8 +72,7 @@ class Epochs:
     def blocks(self, start: tuple[int, int], end: tuple[int, int]) -> Iterator[Block]:
         at = start
         while at < end:
-            shards = self.sequence(at[0])
-            ends = list(accumulate(s["samples"] for s in shards))
+            shards, ends = self._ordered(at[0])
             to = min(at[1] + self.buffer, ends[-1] if ends else 0)
             runs, n = [], at[1]
             while n < to:
@@ -85,12 +93,16 @@ class _EndlessReader(DataSourceStreamReader):
         self.step, self.epochs, self.seed, self.buffer = number("blocks", 8), number("epochs", 0), number("seed", 42), number("buffer", 1000)
         self.worker, self.workers = number("worker", 0), number("workers", 1)
         self.at: tuple[int, int] | None = None
+        self.known: Epochs | None = None
 
     def _epochs(self) -> Epochs:
-        shards = shard_table(self.path)
-        if not sum(s["samples"] for s in shards):
-            raise ValueError(f"{self.path} has no samples")
-        return Epochs(shards, self.seed, self.worker, self.workers, self.buffer)
+        """Read once by each run: tars must not be added meanwhile."""
+        if self.known is None:
+            shards = shard_table(self.path)
+            if not sum(s["samples"] for s in shards):
+                raise ValueError(f"{self.path} has no samples")
+            self.known = Epochs(shards, self.seed, self.worker, self.workers, self.buffer)
+        return self.known
 
     def _planned(self) -> tuple[int, int]:
         """How far any run has planned: Spark doesn't tell a restarted source where it stands, so it keeps that itself, beside the checkpoint."""

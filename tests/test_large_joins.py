@@ -1,9 +1,10 @@
-"""What Spark expects to be small and isn't must not be broadcast."""
+"""What Spark or a task takes for small and isn't: joins, tasks and plans whose work must not outgrow the input."""
 
 from pyspark.sql import functions as F
 
 from annospark.operators import intervals, kernels, slots
-from annospark.sources import derive
+from annospark.sources import derive, shards
+from annospark.streaming import endless
 
 
 def plan(df) -> str:
@@ -34,3 +35,22 @@ def test_frames_stay_where_their_recording_is(spark, sf):
     for rows in (intervals.runs(frames, F.col("vad") > 0.5), derive.frame_arrays(spark, sf)):
         assert plan(rows).count("Exchange ") == 1 and "REPARTITION_BY_NUM" in plan(rows)
     assert frames.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_small_tars_share_tasks(spark, tmp_path):
+    """Each tar had a task of its own, and a file in the table of tars, all of which each reader opens."""
+    path = str(tmp_path / "tars")
+    rows = [(f"{i:05d}", f"{i}_{k}", "bin", b"x" * i) for i in range(60) for k in range(3)]
+    shards.write_shards(spark.createDataFrame(rows, "shard string, key string, ext string, payload binary"), path)
+    assert len(list((tmp_path / "tars" / "shards").glob("*.parquet"))) <= 4 * spark.sparkContext.defaultParallelism
+    parts = shards._TarReader(path, 64 << 20).partitions()
+    assert len(parts) <= 6 and [r.shard for p in parts for r in (p, *p.after)] == [f"{i:05d}" for i in range(60)]
+    assert sorted((r.shard, r.key, r.ext, bytes(r.payload)) for r in shards.read_shards(spark, path).collect()) == sorted(rows)
+
+
+def test_an_epoch_is_ordered_once(monkeypatch):
+    """Every block of a batch ordered all shards of its epoch again, more than once."""
+    calls, order = [], endless._order
+    monkeypatch.setattr(endless, "_order", lambda *a: calls.append(a) or order(*a))
+    plan = endless.Epochs([{"shard": str(i), "samples": 10} for i in range(100)], 1, 0, 1, 5)
+    assert len(list(plan.blocks((0, 0), plan.after((0, 0), 400, 2)))) == 400 and len(calls) == 200
