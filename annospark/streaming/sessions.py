@@ -1,17 +1,18 @@
 """Live turns and conversations as the batch forms define them, whatever order and batches the segments arrive in.
 
 Segments of a recording wait in state until the watermark has passed their onset; then they are taken in order of onset. A turn is closed when no later segment can join it any more,
-a conversation when no later turn can: both by an event-time timer, so the last ones close as well once the watermark has moved on.
+a conversation when no later turn can: both by an event-time timeout, so the last ones close as well once the watermark has moved on.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from annospark.operators.sessions import CONVERSATION_GAP_MS, TURN_GAP_MS
 
@@ -21,97 +22,74 @@ ORIGIN_MS = 86_400_000
 CONVERSATIONS = "uid long, conv_idx long, onset_ms long, offset_ms long, n_turns long, is_multi_speaker boolean, labels string, n_transitions long"
 
 
-class SessionProcessor(StatefulProcessor):
-    """One recording: segments that wait, the open turn and the open conversation. Emits turns or conversations as they close."""
-
-    def __init__(self, conversations: bool, turn_gap_ms: int, conversation_gap_ms: int):
-        self.conversations, self.turn_gap_ms, self.conversation_gap_ms = conversations, turn_gap_ms, conversation_gap_ms
-        self.columns = [c.split()[0] for c in (CONVERSATIONS if conversations else TURNS).split(", ")]
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.waiting = handle.getListState("waiting", "onset_ms long, label string, offset_ms long")
-        self.turn = handle.getValueState("turn", "turn_idx long, label string, onset_ms long, offset_ms long, n_segments long")
-        self.talk = handle.getValueState("talk", "conv_idx long, onset_ms long, offset_ms long, n_turns long, labels string, n_transitions long, last_label string")
-        self.next = handle.getValueState("next", "turn_idx long, conv_idx long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        """Only puts segments by: what is due is taken when the batch's rows are all here."""
-        first = None
-        for pdf in rows:
-            pdf = pdf[pdf.label.notna()]  # rows without a label only move the watermark
-            if len(pdf):
-                self.waiting.appendList([(int(r.onset_ms), r.label, int(r.offset_ms)) for r in pdf.itertuples()])
-                first = min(int(pdf.onset_ms.min()), first if first is not None else int(pdf.onset_ms.min()))
-        if first is not None:
-            self.handle.registerTimer(first + 1 + ORIGIN_MS)
-        yield self._rows(key, [])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """Takes the segments that began before the watermark, then closes what can't grow any more."""
-        now = timerValues.getCurrentWatermarkInMs() - ORIGIN_MS
-        waiting = sorted(tuple(r) for r in self.waiting.get())
-        due = [r for r in waiting if r[0] < now]
-        turn = list(self.turn.get()) if self.turn.exists() else None
-        talk = list(self.talk.get()) if self.talk.exists() else None
-        turn_idx, conv_idx = self.next.get() if self.next.exists() else (0, 0)
-        out: list[tuple] = []
-
-        def close_talk() -> None:
-            nonlocal talk
-            if self.conversations:
-                names = talk[4].split(";")
-                out.append((*talk[:4], len(names) > 1, talk[4], talk[5]))
-            talk = None
-
-        def close_turn() -> None:
-            nonlocal turn, talk, conv_idx
-            _, label, onset, offset, _ = turn
-            if not self.conversations:
-                out.append(tuple(turn))
-            if talk and onset - talk[2] >= self.conversation_gap_ms:
-                close_talk()
-            if talk is None:
-                talk, conv_idx = [conv_idx, onset, offset, 1, label, 0, label], conv_idx + 1
-            else:
-                talk = [talk[0], talk[1], offset, talk[3] + 1, ";".join(sorted({*talk[4].split(";"), label})), talk[5] + (label != talk[6]), label]
-            turn = None
-
-        for onset, label, offset in due:
-            if turn and label == turn[1] and onset - turn[3] <= self.turn_gap_ms:
-                turn[3], turn[4] = max(turn[3], offset), turn[4] + 1
-                continue
-            if turn:
-                close_turn()
-            turn, turn_idx = [turn_idx, label, onset, offset, 1], turn_idx + 1
-        if turn and now - turn[3] > self.turn_gap_ms:
-            close_turn()
-        if talk and not turn and now - talk[2] >= self.conversation_gap_ms:
-            close_talk()
+STATE = "held string"
 
-        if due:
-            self.waiting.clear()
-            if len(due) < len(waiting):
-                self.waiting.put(waiting[len(due) :])
-        for state, value in ((self.turn, turn), (self.talk, talk)):
-            state.update(tuple(value)) if value else state.clear()
-        self.next.update((turn_idx, conv_idx))
-        later = [waiting[len(due)][0] + 1] if len(due) < len(waiting) else []
-        later += [turn[3] + self.turn_gap_ms + 1] if turn else [talk[2] + self.conversation_gap_ms] if talk else []
-        if later:
-            self.handle.registerTimer(min(later) + ORIGIN_MS)
-        yield self._rows(key, out)
 
-    def _rows(self, key, out: list[tuple]) -> pd.DataFrame:
-        return pd.DataFrame([(key[0], *r) for r in out], columns=self.columns)
+def _step(conversations: bool, turn_gap_ms: int, conversation_gap_ms: int, key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """One recording: takes the segments that began before the watermark, then closes what can't grow any more. Emits turns or conversations as they close.
 
-    def close(self) -> None:
-        pass
+    The state (segments that wait, the open turn and conversation, the next numbers) comes and goes with the rows, as one value: calls for each of its parts took most of the time.
+    """
+    waiting, turn, talk, turn_idx, conv_idx = json.loads(state.get[0]) if state.exists else ([], None, None, 0, 0)
+    for pdf in batches if not state.hasTimedOut else ():
+        pdf = pdf[pdf.label.notna()]  # rows without a label only move the watermark
+        waiting += [[int(a), label, int(b)] for a, label, b in zip(pdf.onset_ms, pdf.label, pdf.offset_ms)]
+    now = state.getCurrentWatermarkMs() - ORIGIN_MS
+    waiting.sort()
+    due = [r for r in waiting if r[0] < now]
+    waiting = waiting[len(due) :]
+    out: list[tuple] = []
+
+    def close_talk() -> None:
+        nonlocal talk
+        if conversations:
+            names = talk[4].split(";")
+            out.append((*key, *talk[:4], len(names) > 1, talk[4], talk[5]))
+        talk = None
+
+    def close_turn() -> None:
+        nonlocal turn, talk, conv_idx
+        _, label, onset, offset, _ = turn
+        if not conversations:
+            out.append((*key, *turn))
+        if talk and onset - talk[2] >= conversation_gap_ms:
+            close_talk()
+        if talk is None:
+            talk, conv_idx = [conv_idx, onset, offset, 1, label, 0, label], conv_idx + 1
+        else:
+            talk = [talk[0], talk[1], offset, talk[3] + 1, ";".join(sorted({*talk[4].split(";"), label})), talk[5] + (label != talk[6]), label]
+        turn = None
+
+    for onset, label, offset in due:
+        if turn and label == turn[1] and onset - turn[3] <= turn_gap_ms:
+            turn[3], turn[4] = max(turn[3], offset), turn[4] + 1
+            continue
+        if turn:
+            close_turn()
+        turn, turn_idx = [turn_idx, label, onset, offset, 1], turn_idx + 1
+    if turn and now - turn[3] > turn_gap_ms:
+        close_turn()
+    if talk and not turn and now - talk[2] >= conversation_gap_ms:
+        close_talk()
+
+    if waiting or turn_idx:
+        state.update((json.dumps((waiting, turn, talk, turn_idx, conv_idx)),))
+        # A timeout comes once the watermark is past its time.
+        later = [waiting[0][0]] if waiting else []
+        later += [turn[3] + turn_gap_ms] if turn else [talk[2] + conversation_gap_ms - 1] if talk else []
+        if later:
+            state.setTimeoutTimestamp(min(later) + ORIGIN_MS)
+    if out:
+        yield pd.DataFrame(out, columns=[c.split()[0] for c in (CONVERSATIONS if conversations else TURNS).split(", ")])
 
 
 def _live(segments: DataFrame, delay: str, schema: str, *more) -> DataFrame:
     rows = segments.select("uid", "onset_ms", "offset_ms", "label", F.timestamp_millis(F.col("onset_ms") + ORIGIN_MS).alias("ts")).withWatermark("ts", delay)
-    return rows.groupBy("uid").transformWithStateInPandas(SessionProcessor(*more), schema, "Append", "EventTime")
+
+    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        return _step(*more, key, batches, state)
+
+    return rows.groupBy("uid").applyInPandasWithState(step, schema, STATE, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def live_turns(segments: DataFrame, delay: str = "1 minute", turn_gap_ms: int = TURN_GAP_MS) -> DataFrame:
@@ -119,7 +97,7 @@ def live_turns(segments: DataFrame, delay: str = "1 minute", turn_gap_ms: int =
 
     Onsets are event time, from 0 on; segments may arrive less than `delay` out of order, later ones are dropped. A turn is emitted once the watermark is more than
     `turn_gap_ms` past its end. Rows with a null label are no segments: they only say how far time has moved, for the last turns to close. State holds the segments
-    of the last `delay` and one open turn for each recording. Needs a state store that knows timers (RocksDB).
+    of the last `delay` and one open turn for each recording.
     """
     return _live(segments, delay, TURNS, False, turn_gap_ms, CONVERSATION_GAP_MS)
 

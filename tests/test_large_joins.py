@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from annospark.operators import intervals, kernels, slots
 from annospark.sources import derive, shards
 from annospark.streaming import endless
+from annospark.streaming import sessions as live
 
 
 def plan(df) -> str:
@@ -54,3 +55,13 @@ def test_an_epoch_is_ordered_once(monkeypatch):
     monkeypatch.setattr(endless, "_order", lambda *a: calls.append(a) or order(*a))
     plan = endless.Epochs([{"shard": str(i), "samples": 10} for i in range(100)], 1, 0, 1, 5)
     assert len(list(plan.blocks((0, 0), plan.after((0, 0), 400, 2)))) == 400 and len(calls) == 200
+
+
+def test_live_turns_keep_one_value_a_recording(spark, tmp_path):
+    """State came by calls for each of its parts, from the one store that knows timers: the plain store holds it as well now."""
+    schema = "uid long, onset_ms long, offset_ms long, label string"
+    for rows in ([(1, 0, 50, "FEM"), (1, 100, 300, "FEM")], [(1, 5000, 5100, "MAL"), (-1, 10_000_000, 10_000_001, None)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = live.live_turns(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "2 seconds")
+        stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, 0, "FEM", 0, 300, 2), (1, 1, "MAL", 5000, 5100, 1)]
