@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from annospark.operators import intervals, kernels, slots
+from annospark.plans import stats_plans
 from annospark.sources import derive, shards
 from annospark.streaming import endless
 from annospark.streaming import sessions as live
@@ -20,6 +21,12 @@ def test_frame_arrays_are_not_broadcast(spark, sf):
     assert plan(means).count("Exchange ") == 2
 
 
+def test_segments_meet_clips_without_a_broadcast(spark, sf):
+    """A file's compressed bytes were what Spark expected of its segments, so the driver held them, ten times as large, for the statistics of clips."""
+    for rows in (stats_plans._seg(spark, sf), stats_plans._vseg(spark, sf)):
+        assert "SortMergeJoin" in plan(rows) and "Broadcast" not in plan(rows)
+
+
 def test_segment_means_of_odd_segments(spark):
     recordings = spark.createDataFrame([(1, [float(i) for i in range(2500)]), (2, []), (3, [None, float("nan"), 4.0])], "uid long, snr array<double>")
     segments = [(1, 0, 1), (1, 0, 1), (1, 1023_000, 1025_000), (1, 500, 2_500_000), (1, 9_000_000, 9_001_000), (2, 0, 1000), (3, 0, 3000), (4, 0, 1000), (None, 0, 1000)]
