@@ -51,7 +51,7 @@ def _scan(s, d):
     """A small file for each recording; hidden files and others lie beside."""
     path = _folder(s, "scan")
     rows = table(s, d, "events").select("event_id", F.col("user_id").cast("string").alias("uid"))
-    rows.repartition("uid").write.partitionBy("uid").json(path)
+    tables.write_folders(rows.select("uid", F.to_json(F.struct("event_id")).alias("line")), "uid", path, ".json")
     rows.select("uid").distinct().coalesce(1).write.text(f"{path}/other")
     found = tables.scan_files(s, path, (".json",), F.regexp_extract("path", "uid=([^/]+)/", 1))
     return found.groupBy("uid", "ext").agg((F.sum("bytes") > 0).alias("has_bytes"))
@@ -63,7 +63,7 @@ select count(*) as total, count(bytes) as n_found, count(*) - count(bytes) as n_
 def _sizes(s, d):
     """A text file of each recording with long segments of one label, found again by a scan of the folder; the other recordings have none."""
     rows = derive.vtc(s, d).where("label = 'OCH' and offset_ms - onset_ms > 15000").select(F.col("uid").cast("string").alias("uid"), F.col("onset_ms").cast("string").alias("line"))
-    rows.repartition("uid").write.partitionBy("uid").text(path := _folder(s, "texts"))
+    tables.write_folders(rows, "uid", path := _folder(s, "texts"), ".txt")
     found = tables.scan_files(s, path, (".txt",), F.regexp_extract("path", "uid=([^/]+)/", 1))
     return explore.file_sizes(derive.durations(s, d).select(F.col("uid").cast("string").alias("uid")), found)
 

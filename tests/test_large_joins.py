@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from annospark.operators import intervals, kernels, slots
 from annospark.plans import stats_plans
-from annospark.sources import derive, shards
+from annospark.sources import derive, shards, tables
 from annospark.streaming import endless
 from annospark.streaming import sessions as live
 
@@ -45,6 +45,26 @@ def test_frames_stay_where_their_recording_is(spark, sf):
     assert frames.select(F.spark_partition_id().alias("p")).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def test_folders_of_recordings_share_tasks(spark, tmp_path):
+    """Files of few bytes were written by a task or two, each with three processes for its rights, and each folder was listed by a task of its own."""
+    rows = [(f"{i}", f"{k}" if k else None) for i in range(60) for k in range(i % 3 + 1)] + [("a/b =", "é"), (None, "x")]
+    tables.write_folders(spark.createDataFrame(rows, "uid string, line string"), "uid", path := str(tmp_path / "texts"), ".txt")
+    want = {k: sorted(line or "" for u, line in rows if u == k) for k, _ in rows}
+    name = {"a/b =": "uid=a%2Fb%20%3D", None: "uid=__HIVE_DEFAULT_PARTITION__"}
+    for k, lines in want.items():
+        folder = tmp_path / "texts" / name.get(k, f"uid={k}")
+        assert [f.name for f in folder.iterdir()] == ["lines.txt"] and sorted((folder / "lines.txt").read_text().split("\n")[:-1]) == lines
+    spark.sparkContext.setJobGroup("listing", "")
+    found = tables.scan_files(spark, path, (".txt",), F.regexp_extract("path", "uid=([^/]+)/", 1))
+    tracker = spark.sparkContext.statusTracker()
+    stages = [tracker.getStageInfo(s) for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    spark.sparkContext.setJobGroup("", "")
+    assert stages and max(s.numTasks for s in stages) <= 4 * spark.sparkContext.defaultParallelism
+    assert found.count() == 62 and spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == "10000"
+    tables.write_folders(spark.createDataFrame([], "uid string, line string"), "uid", empty := str(tmp_path / "empty"), ".txt")
+    assert tables.scan_files(spark, empty, (".txt",)).count() == 0
+
+
 def test_small_tars_share_tasks(spark, tmp_path):
     """Each tar had a task of its own, and a file in the table of tars, all of which each reader opens."""
     path = str(tmp_path / "tars")
