@@ -21,6 +21,12 @@ def test_frame_arrays_are_not_broadcast(spark, sf):
     assert plan(means).count("Exchange ") == 2
 
 
+def test_segment_snr_as_it_ran_broadcasts_nothing(spark, sf):
+    """The query itself, by the plan that it ended with: it gathered all blocks of frames in the driver and failed by its memory on events at 6 times sf0.1."""
+    rows = stats_plans.QUERIES["c10_segment_snr"](spark, sf)
+    assert len(rows.collect()) > 0 and "isFinalPlan=true" in plan(rows) and "Broadcast" not in plan(rows)
+
+
 def test_segments_meet_clips_without_a_broadcast(spark, sf):
     """A file's compressed bytes were what Spark expected of its segments, so the driver held them, ten times as large, for the statistics of clips."""
     for rows in (stats_plans._seg(spark, sf), stats_plans._vseg(spark, sf)):
